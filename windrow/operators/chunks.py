@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Integers up to here are exact in a double.
 _EXACT = 2**53
 
 
@@ -20,16 +21,22 @@ def default_chunks(df: DataFrame) -> int:
 
 
 def with_chunks(
-    df: DataFrame, major: Column, minor: Column, chunks: int | None = None
+    df: DataFrame,
+    major: Column,
+    minor: Column,
+    chunks: int | None = None,
+    only: Column | None = None,
 ) -> DataFrame:
     """Add ``chunk`` (BIGINT), non-decreasing in the order (``major``, ``minor``).
 
-    Both are integral.  The cuts come from one quantile pass over ``major``; only where a single
+    Rows outside ``only`` all get chunk 0 and do not count for the balance.  ``major`` and
+    ``minor`` are integral.  The cuts come from one quantile pass over ``major``; only where a single
     value of ``major`` fills whole chunks does a second pass cut it by ``minor``.  The driver sees
     the cuts (``chunks`` numbers), never rows.
     """
     chunks = chunks or default_chunks(df)
-    cuts, base = _quantiles(df, major, chunks)
+    cut_rows = df if only is None else df.where(only)
+    cuts, base = _quantiles(cut_rows, major, chunks)
     if not cuts:
         return df.withColumn("chunk", F.lit(0).cast("bigint"))
     # A value cut at twice fills at least one chunk on its own; it can be told from its neighbours
@@ -37,16 +44,17 @@ def with_chunks(
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a - base) < _EXACT})
     edges = sorted({c - base for c in cuts} | {c - base + 1 for c in heavy})
     chunked = _bucket(df, major, base, edges, "_major")
-    if not heavy:
-        return chunked.withColumn("chunk", F.col("_major")).drop("_major")
-    is_heavy = major.isin(heavy)
-    minor_cuts, minor_base = _quantiles(df.where(is_heavy), minor, chunks)
-    chunked = _bucket(
-        chunked, minor, minor_base, sorted({c - minor_base for c in minor_cuts}), "_minor"
-    )
-    width = len(minor_cuts) + 2
-    sub = F.when(is_heavy, F.col("_minor")).otherwise(F.lit(0))
-    return chunked.withColumn("chunk", F.col("_major") * width + sub).drop("_major", "_minor")
+    chunk = F.col("_major")
+    if heavy:
+        is_heavy = major.isin(heavy)
+        minor_cuts, minor_base = _quantiles(cut_rows.where(is_heavy), minor, chunks)
+        minor_edges = sorted({c - minor_base for c in minor_cuts})
+        chunked = _bucket(chunked, minor, minor_base, minor_edges, "_minor")
+        within = F.when(is_heavy, F.col("_minor")).otherwise(F.lit(0))
+        chunk = F.col("_major") * (len(minor_edges) + 2) + within
+    if only is not None:
+        chunk = F.when(only, chunk).otherwise(F.lit(0))
+    return chunked.withColumn("chunk", chunk.cast("bigint")).drop("_major", "_minor")
 
 
 def _quantiles(df: DataFrame, value: Column, chunks: int) -> tuple[list[int], int]:

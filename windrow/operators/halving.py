@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from windrow.functions.durations import micros
 from windrow.functions.times import epoch_micros
 from windrow.operators.chunks import with_chunks
+from windrow.operators.heavy import heaviest
 from windrow.operators.windows import READING_WINDOWS, Windows, with_bounds
 
 # Readings folded one after the other in one array; longer runs are stitched.
 RUN = 1024
+# Readings of one window and key that one task may sort.
+SPLIT_ABOVE = 1_000_000
 
 
 def halving_reduce(
@@ -30,11 +33,13 @@ def halving_reduce(
     ts: str = "ts",
     tiebreak: str = "reading_id",
     chunks: int | None = None,
+    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """``window_start, window_end, key, first_ts, value, n`` per window and key of a batch table.
 
     Arrival order is (``ts``, ``tiebreak``); ``tiebreak`` is an integer that makes it total.  Needs
-    tumbling windows.
+    tumbling windows.  Groups of more than ``split_above`` readings are cut into chunks of their
+    order; stitching may differ from the plain fold in the last bit, other groups do not.
     """
     if windows.overlapping:
         raise ValueError("the halving reduce is defined over tumbling windows")
@@ -46,7 +51,7 @@ def halving_reduce(
         F.col(value).cast("double").alias("_x"),
     )
     group = ["window", key]
-    chunked = with_chunks(rows, epoch_micros("_ts"), F.col("_tie"), chunks)
+    chunked = _cut_heavy(rows, group, chunks, split_above)
     in_chunk = [*group, "chunk"]
 
     # Runs are counted from the newest reading back, so that only the oldest run may be short.
@@ -66,6 +71,22 @@ def halving_reduce(
     )
 
 
+def _cut_heavy(
+    rows: DataFrame, group: Sequence[str], chunks: int | None, split_above: int
+) -> DataFrame:
+    """Add ``chunk``: cuts of the time order for the heaviest groups, 0 for all others."""
+    counted = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    heavy = heaviest(counted, group, "_rows", split_above).select(*group)
+    if heavy.isEmpty():
+        return rows.withColumn("chunk", F.lit(0).cast("bigint"))
+    marked = rows.join(
+        F.broadcast(heavy.withColumn("_heavy", F.lit(True))), list(group), "left"
+    )
+    return with_chunks(
+        marked, epoch_micros("_ts"), F.col("_tie"), chunks, only=F.col("_heavy").isNotNull()
+    ).drop("_heavy")
+
+
 def _step(a: Column, x: Column) -> Column:
     return (a + x) / F.lit(2.0)
 

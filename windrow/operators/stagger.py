@@ -10,9 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from windrow.functions.durations import micros
 from windrow.functions.times import epoch_micros
-
-# The heaviest keys, whose rows are not moved to meet their phase.
-HEAVY_KEYS = 1000
+from windrow.operators.heavy import heaviest
 
 
 def staggered(
@@ -20,21 +18,20 @@ def staggered(
 ) -> DataFrame:
     """Add ``window_start`` / ``window_end`` with a phase per key.
 
-    Phases of the heaviest keys are broadcast (at most ``HEAVY_KEYS`` rows, whatever the data), so
-    no join task gets all rows of a hot key; the other keys meet their phase in a shuffled join.
-    Rows of heavy keys take part in that join only as salted non-matches.
+    Phases of the heaviest keys are broadcast (a list of fixed length), so no join task gets all
+    rows of a hot key; the other keys meet their phase in a shuffled join.  Rows of heavy keys take
+    part in that join only as salted non-matches.
     """
     length = F.lit(micros(size))
     phases = df.groupBy(key).agg(
         F.pmod(epoch_micros(F.min(ts)), length).alias("_phase"),
         F.count(F.lit(1)).alias("_rows"),
     )
-    heaviest = phases.orderBy(F.desc("_rows"), key).limit(HEAVY_KEYS)
-    heavy = F.broadcast(heaviest.select(key, F.col("_phase").alias("_heavy_phase")))
+    heavy = heaviest(phases, [key], "_rows").select(key, F.col("_phase").alias("_heavy_phase"))
     light = phases.select(key, "_phase", F.lit(0).alias("_salt"))
 
     spread = F.pmod(F.xxhash64(epoch_micros(ts)), F.lit(salts)).cast("int") + 1
-    salted = df.join(heavy, key, "left").withColumn(
+    salted = df.join(F.broadcast(heavy), key, "left").withColumn(
         "_salt", F.when(F.col("_heavy_phase").isNull(), F.lit(0)).otherwise(spread)
     )
     phased = salted.join(light, [key, "_salt"], "left")

@@ -1,0 +1,76 @@
+from datetime import datetime, timedelta
+from functools import reduce
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from windrow.operators import halving
+from windrow.operators.halving import halving_reduce
+from windrow.operators.windows import Windows
+
+START = datetime(2024, 1, 1)
+LAYOUT = "sensor_id string, temperature double, ts timestamp_ntz, reading_id bigint"
+
+
+def frame(spark, values, sensor="s"):
+    data = [(sensor, v, START + timedelta(milliseconds=i), i) for i, v in enumerate(values)]
+    return spark.createDataFrame(data, LAYOUT)
+
+
+@pytest.mark.parametrize("values, want", [([8.0], 8.0), ([8.0, 4.0], 6.0), ([8.0, 4.0, 2.0], 4.0)])
+def test_small_groups(spark, values, want):
+    (got,) = rows(halving_reduce(frame(spark, values)))
+    assert got == (START, START + timedelta(seconds=1), "s", START, want, len(values))
+
+
+def test_ties_follow_the_tiebreak(spark):
+    df = spark.createDataFrame([("s", 4.0, START, 2), ("s", 8.0, START, 1), ("s", 2.0, START, 3)], LAYOUT)
+    assert halving_reduce(df).first().temperature == 4.0
+
+
+def skewed(spark, same_instant):
+    """A third of 30 000 readings in one group, the rest spread out."""
+    instant = "0" if same_instant else "id / 1000"
+    return spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('s', id % 100)) sensor_id",
+        "pmod(hash(id), 10000) / 100D temperature",
+        f"timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, if(id % 3 = 0, {instant}, id % 7)) ts",
+        "id reading_id",
+    )
+
+
+@pytest.mark.parametrize("same_instant", [False, True])
+@pytest.mark.parametrize("run", [1024, 7])
+def test_hot_group_cut_into_chunks_equals_plain_fold(spark, monkeypatch, same_instant, run):
+    monkeypatch.setattr(halving, "RUN", run)
+    df = skewed(spark, same_instant)
+    windows = Windows("1 minute")
+    got = {
+        r.sensor_id: r
+        for r in halving_reduce(df, windows, chunks=16, split_above=200).collect()
+    }
+    groups = df.toPandas().sort_values(["ts", "reading_id"]).groupby("sensor_id")
+    assert set(got) == set(groups.groups)
+    for sensor, part in groups:
+        want = reduce(lambda a, x: (a + x) / 2, part.temperature)
+        assert got[sensor].temperature == pytest.approx(want, rel=1e-13)
+        assert got[sensor].n == len(part)
+        assert got[sensor].first_ts == part.ts.iloc[0]
+
+
+@pytest.mark.parametrize("same_instant", [False, True])
+def test_hot_group_is_split(spark, same_instant):
+    df = skewed(spark, same_instant).withColumn("window", F.lit(0)).withColumnsRenamed(
+        {"ts": "_ts", "reading_id": "_tie"}
+    )
+    cut = halving._cut_heavy(df, ["window", "sensor_id"], 16, 1000)
+    sizes = cut.groupBy("sensor_id", "chunk").count()
+    assert sizes.where("sensor_id = 'hot'").count() >= 12
+    assert sizes.where("sensor_id = 'hot'").agg(F.max("count")).first()[0] < 2000
+    assert sizes.where("sensor_id <> 'hot'").select("chunk").distinct().count() == 1
+
+
+def test_sliding_windows_are_refused(spark):
+    with pytest.raises(ValueError):
+        halving_reduce(frame(spark, [1.0]), Windows("2 seconds", "1 second"))

@@ -28,9 +28,11 @@ def staggered(
         F.count(F.lit(1)).alias("_rows"),
     )
     heavy = heaviest(phases, [key], "_rows").select(key, F.col("_phase").alias("_heavy_phase"))
-    light = phases.select(key, "_phase", F.lit(0).alias("_salt"))
+    # Always 0, but not a literal: Catalyst would turn a literal into a filter and shuffle by the
+    # bare key again.
+    light = phases.select(key, "_phase", F.least(F.col("_rows"), F.lit(0)).alias("_salt"))
 
-    spread = F.pmod(F.xxhash64(epoch_micros(ts)), F.lit(salts)).cast("int") + 1
+    spread = F.pmod(F.xxhash64(epoch_micros(ts)), F.lit(salts)) + 1
     salted = df.join(F.broadcast(heavy), key, "left").withColumn(
         "_salt", F.when(F.col("_heavy_phase").isNull(), F.lit(0)).otherwise(spread)
     )

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from windrow.functions.durations import common_pane, micros
+from windrow.functions.durations import common_pane, interval, micros
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,8 @@ class Windows:
     @property
     def pane(self) -> Windows:
         """The tumbling windows that tile every window of this kind."""
-        return Windows(common_pane(self.size, self.step), None, self.offset)
+        pane = common_pane(self.size, self.step)
+        return Windows(pane, None, interval(micros(self.offset) % micros(pane)))
 
     def of(self, ts: Column | str) -> Column:
         """The window struct (``start``, ``end``); a row falls into every window that covers it."""

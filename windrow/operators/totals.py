@@ -22,9 +22,13 @@ def amount_totals(
     ts: str = "ts",
     sum_name: str = "sum_amount",
     count_name: str = "tran_count",
+    time_name: str | None = None,
 ) -> DataFrame:
     """Amount sum and row count per window and key (no key: one row per window).
 
+    ``time_name`` adds the window's last instant, the event time by which a further window
+    aggregate can go on, in the same query and on a stream too.
+
     Batch, overlapping windows: rows are aggregated once into the panes the windows share and the
     pane totals are spread over the windows, so the per-row work does not grow with size / slide.
     Streams: one stateful aggregate over the windows, so a late row is judged per window.
@@ -41,9 +45,14 @@ def amount_totals(
     else:
         grouped = rows.groupBy(windows.of(ts).alias("window"), *keys)
         totals = grouped.agg(F.sum("_cents").alias("_cents"), F.count(F.lit(1)).alias("_rows"))
+    times = [] if time_name is None else [F.window_time("window").alias(time_name)]
     return with_bounds(
         totals.select(
-            "window", *keys, from_cents("_cents").alias(sum_name), F.col("_rows").alias(count_name)
+            "window",
+            *keys,
+            from_cents("_cents").alias(sum_name),
+            F.col("_rows").alias(count_name),
+            *times,
         )
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from windrow.functions.times import from_epoch_millis
 from windrow.operators.rollup import global_rollup, window_time
@@ -42,10 +42,20 @@ def store_records(transactions: DataFrame, windows: Windows = RETAIL_WINDOWS) ->
     return encode_by_store(store_totals(transactions, windows))
 
 
-def rollup_of_records(records: DataFrame, windows: Windows = ROLLUP_WINDOWS) -> DataFrame:
-    """The second stage: per-store topic records to the global roll-up, by window time."""
+def rollup_of_records(
+    records: DataFrame,
+    windows: Windows = ROLLUP_WINDOWS,
+    ts: Column | str = "ts",
+    delay: str = NO_DELAY,
+) -> DataFrame:
+    """The second stage: per-store topic records to the global roll-up.
+
+    The event time is the window time carried in the record, which makes the result reproducible;
+    ``delay`` then has to cover the span of windows one batch of the first stage publishes, since
+    its files come in any order.  Pass ``arrival_now()`` to go by the clock at ingest instead.
+    """
     totals = window_time(decode_by_store(records))
-    return global_rollup(event_time(totals, "ts", NO_DELAY), windows)
+    return global_rollup(event_time(totals, ts, delay), windows)
 
 
 def rollup_in_one(
@@ -54,5 +64,6 @@ def rollup_in_one(
     rollup: Windows = ROLLUP_WINDOWS,
     amount: str = "price",
 ) -> DataFrame:
-    """Both stages in one batch query."""
-    return global_rollup(window_time(store_totals(transactions, windows, amount)), rollup)
+    """Both stages in one query, batch or stream."""
+    totals = amount_totals(transactions, windows, "store_id", amount, time_name="ts")
+    return global_rollup(totals, rollup)

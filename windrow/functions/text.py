@@ -1,26 +1,24 @@
-"""Lines and words."""
+"""Lines and words of texts."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def lines(text: Column | str) -> Column:
-    """The lines of a text: ``\\n`` ends a line (a ``\\r`` before it goes too), and nothing after
-    the last ``\\n`` is no line."""
-    parts = F.split(text, "\r?\n")
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(
-        parts
-    )
-
-
 def explode_lines(df: DataFrame, text: str = "text") -> DataFrame:
-    """One row per line: ``pos`` (from 0) and ``line`` in place of the text column."""
+    """One row per line: ``pos`` (from 0) and ``line`` in place of the text column.
+
+    ``\\n`` ends a line (a ``\\r`` before it goes too); nothing after the last ``\\n`` is no line.
+    """
     rest = [c for c in df.columns if c != text]
-    parts = df.select(*rest, F.split(text, "\r?\n").alias("_parts"))
-    split = parts.select(*rest, F.size("_parts").alias("_size"), F.posexplode("_parts").alias("pos", "line"))
-    kept = split.where((F.col("line") != "") | (F.col("pos") < F.col("_size") - 1))
-    return kept.drop("_size")
+    parts = df.select(*rest, F.split(text, "\n").alias("_parts"))
+    cut = parts.select(
+        *rest, F.size("_parts").alias("_size"), F.posexplode("_parts").alias("pos", "line")
+    )
+    ended = F.col("pos") < F.col("_size") - 1
+    kept = cut.where(ended | (F.col("line") != ""))
+    bare = F.when(ended & F.col("line").endswith("\r"), F.expr("left(line, length(line) - 1)"))
+    return kept.select(*rest, "pos", F.coalesce(bare, "line").alias("line"))
 
 
 def explode_words(df: DataFrame, line: str = "line", drop_empty: bool = False) -> DataFrame:

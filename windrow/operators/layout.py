@@ -1,0 +1,16 @@
+"""Where rows are before CPU-heavy work on each of them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows over all cores if the scan would use fewer tasks than there are cores.
+
+    A large table comes in more splits than that and is left where it is: no shuffle.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from windrow.functions.text import explode_lines, line_word_counts
 from windrow.operators.halving import halving_reduce
 from windrow.operators.lateness import closed_windows, on_time_pairs, split_late
+from windrow.operators.layout import spread
 from windrow.operators.publish import publish_records, round_robin
 from windrow.operators.stagger import staggered
 from windrow.operators.totals import amount_totals
@@ -89,14 +90,17 @@ def name_sum(spark: SparkSession, folder: str) -> DataFrame:
     return names.name_sums(_units(spark, folder), NAMES)
 
 
+def _numbered(lines: DataFrame) -> DataFrame:
+    return lines.select("doc_id", F.col("pos").cast("bigint").alias("pos"), "line")
+
+
 def text_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return explode_lines(_texts(spark, folder).select("doc_id", "text")).select(
-        "doc_id", F.col("pos").cast("bigint").alias("pos"), "line"
-    )
+    return _numbered(explode_lines(_texts(spark, folder).select("doc_id", "text")))
 
 
 def line_words(spark: SparkSession, folder: str) -> DataFrame:
-    return line_word_counts(text_lines(spark, folder))
+    texts = spread(_texts(spark, folder).select("doc_id", "text"))
+    return line_word_counts(_numbered(explode_lines(texts)))
 
 
 def wordcount_window(spark: SparkSession, folder: str) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from windrow.functions.text import explode_lines, explode_words
-from windrow.operators.totals import windowed_aggregates
-from windrow.operators.windows import WORD_WINDOWS, Windows
+from windrow.operators.layout import spread
+from windrow.operators.windows import WORD_WINDOWS, Windows, with_bounds
 
 
 def word_totals(
@@ -16,11 +16,16 @@ def word_totals(
     ts: str = "ts",
     drop_empty: bool = False,
 ) -> DataFrame:
-    """Words counted per window.  Map-side combining does the per-line pre-count, and more."""
-    words = explode_words(lines.select(ts, line), line, drop_empty)
-    return windowed_aggregates(words, windows, ["word"], [F.count(F.lit(1)).alias("n")], ts)
+    """Words counted per window.
+
+    Map-side combining does the per-line pre-count, and more.  The window is found once per line,
+    before the line is cut into words.
+    """
+    placed = lines.select(windows.of(ts).alias("window"), line)
+    counts = explode_words(placed, line, drop_empty).groupBy("window", "word")
+    return with_bounds(counts.agg(F.count(F.lit(1)).alias("n")))
 
 
 def text_word_totals(texts: DataFrame, windows: Windows = WORD_WINDOWS) -> DataFrame:
     """The same for a table of whole texts with an event time."""
-    return word_totals(explode_lines(texts.select("ts", "text")), windows)
+    return word_totals(explode_lines(spread(texts.select("ts", "text"))), windows)

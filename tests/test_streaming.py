@@ -15,10 +15,11 @@ from windrow.operators.publish import publish_records
 from windrow.operators.rollup import global_rollup, window_time
 from windrow.operators.windows import NO_DELAY, Windows
 from windrow.plans import names, retail, words
-from windrow.schemas import TOPIC_RECORD
+from windrow.schemas import READING, TOPIC_RECORD, TRANSACTION
 from windrow.sources import tables
 from windrow.sources.replay import event_time, line_stream, table_stream
-from windrow.streaming import sinks
+from windrow.sources.records import decode_by_store
+from windrow.streaming import jobs, sinks
 from windrow.streaming.late import late_split
 from windrow.streaming.runs import append_end_marker, drain
 
@@ -289,3 +290,76 @@ def test_printed_rows(spark, folder):
     spark.range(2).coalesce(1).write.parquet(folder("in"))
     query = drain(sinks.printed(table_stream(spark, folder("in"), spark.range(1).schema), folder("ck")))
     assert query.exception() is None
+
+
+def test_retail_job_over_a_topic_table(spark, small, folder):
+    tx = transactions(spark, small)
+    fields = {n: n for n in TRANSACTION.fieldNames()}
+    topic = publish_records(tx, "transaction_id", fields).withColumn("n", F.col("key").cast("long"))
+    write_files(topic, folder("topic"), "n")
+    stream = table_stream(spark, folder("topic"), TOPIC_RECORD)
+    for writer in jobs.retail_job(stream, folder("out"), HOURS, 3, folder("ck")):
+        assert drain(writer).exception() is None
+    out = spark.read.parquet(folder("out"))
+    millis = tx.withColumn("ts", F.timestamp_millis("timestamp"))
+    want = closed_windows(retail.store_totals(millis, HOURS), millis)
+    assert rows(decode_by_store(out), "window_start", "store_id") == rows(want, "window_start", "store_id")
+    assert {r.partition for r in out.select("partition").distinct().collect()} == {0, 1, 2}
+
+
+def test_clock_jobs_start_and_keep_open_windows(spark, small, folder):
+    """By the clock nothing closes before the input ends; the jobs must run and keep their state."""
+    units = tables.named_units(events(spark, small)).select("name", "n")
+    units.write.parquet(folder("units"))
+    readings = events(spark, small).select(
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("timestamp"),
+        F.lit("s").alias("sensorId"),
+        F.col("value").alias("temperature"),
+    )
+    readings.write.parquet(folder("readings"))
+    os.makedirs(folder("text"))
+    with open(folder("text") + "/a.txt", "w") as f:
+        f.write("a b\n")
+    day = Windows("1 day")
+    queries = [
+        drain(jobs.name_job(table_stream(spark, folder("units"), units.schema), day, folder("ck"))),
+        drain(jobs.reading_job(table_stream(spark, folder("readings"), READING), day, True, folder("ck"))),
+        drain(jobs.word_job(line_stream(spark, folder("text")), day, folder("ck"))),
+    ]
+    for query in queries:
+        assert query.exception() is None
+        operators = [o for p in query.recentProgress for o in p["stateOperators"]]
+        assert sum(o["numRowsUpdated"] for o in operators) > 0
+
+
+def test_rollup_job_hands_rows_to_the_writer(spark, small, folder):
+    tx = transactions(spark, small)
+    records = retail.store_records(tx, HOURS)
+    records.coalesce(1).write.parquet(folder("in"))
+    records.limit(0).coalesce(1).write.mode("append").parquet(folder("in"))
+    os.makedirs(folder("notes"))
+    stream = table_stream(spark, folder("in"), records.schema)
+
+    class Rollups(Recorder):
+        def process(self, row):
+            self._note(f"row {row.window_start} {row.tran_count}")
+
+    writer = jobs.rollup_job(
+        stream, Rollups(folder("notes")), Windows("5 hours"), by_clock=False, checkpoints=folder("ck")
+    )
+    drain(writer)
+    notes = [open(f"{folder('notes')}/{n}").read() for n in os.listdir(folder("notes"))]
+    want = retail.rollup_in_one(tx, HOURS, Windows("5 hours"))
+    newest = want.agg(F.max("window_start")).first()[0]
+    assert sorted(n for n in notes if n.startswith("row")) == sorted(
+        f"row {r.window_start} {r.tran_count}" for r in want.where(F.col("window_start") < newest).collect()
+    )
+
+
+def test_checkpoints_default_to_the_shared_folder(spark, folder, monkeypatch):
+    df = spark.range(1)
+    spark.conf.set("spark.checkpoint.dir", folder("shared") + "/")
+    try:
+        assert jobs.checkpoint_of(df, "x") == folder("shared") + "/checkpoints/x"
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")

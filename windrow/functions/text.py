@@ -12,8 +12,10 @@ def explode_lines(df: DataFrame, text: str = "text") -> DataFrame:
     """
     rest = [c for c in df.columns if c != text]
     parts = df.select(*rest, F.split(text, "\n").alias("_parts"))
+    # The outer form adds no rows here (a split is never empty) and keeps Catalyst from testing the
+    # split for emptiness first, which would run it twice; a null text is dropped below.
     cut = parts.select(
-        *rest, F.size("_parts").alias("_size"), F.posexplode("_parts").alias("pos", "line")
+        *rest, F.size("_parts").alias("_size"), F.posexplode_outer("_parts").alias("pos", "line")
     )
     ended = F.col("pos") < F.col("_size") - 1
     kept = cut.where(ended | (F.col("line") != ""))

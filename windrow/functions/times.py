@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DataType
 
 from windrow.functions.durations import micros
 
@@ -21,6 +22,11 @@ def epoch_micros(ts: Column | str) -> Column:
     return F.unix_micros(_col(ts).cast("timestamp"))
 
 
+def from_epoch_micros(micros_: Column, kind: DataType) -> Column:
+    """A time of type ``kind`` (TIMESTAMP or TIMESTAMP_NTZ) from epoch microseconds."""
+    return F.timestamp_micros(micros_).cast(kind)
+
+
 def arrival_now() -> Column:
     """Wall clock at ingest; one value per micro-batch."""
     return F.current_timestamp()

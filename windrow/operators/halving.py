@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from windrow.functions.durations import micros
-from windrow.functions.times import epoch_micros
+from windrow.functions.times import epoch_micros, shift
 from windrow.operators.chunks import with_chunks
 from windrow.operators.heavy import heaviest
 from windrow.operators.windows import READING_WINDOWS, Windows, with_bounds
@@ -22,7 +22,7 @@ from windrow.operators.windows import READING_WINDOWS, Windows, with_bounds
 # Readings folded one after the other in one array; longer runs are stitched.
 RUN = 1024
 # Readings of one window and key that one task may sort.
-SPLIT_ABOVE = 1_000_000
+SPLIT_ABOVE = 4_000_000
 
 
 def halving_reduce(
@@ -32,53 +32,56 @@ def halving_reduce(
     value: str = "temperature",
     ts: str = "ts",
     tiebreak: str = "reading_id",
+    stamp: str | None = None,
     chunks: int | None = None,
     split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """``window_start, window_end, key, first_ts, value, n`` per window and key of a batch table.
 
-    Arrival order is (``ts``, ``tiebreak``); ``tiebreak`` is an integer that makes it total.  Needs
-    tumbling windows.  Groups of more than ``split_above`` readings are cut into chunks of their
+    Windows and arrival order go by (``ts``, ``tiebreak``); ``tiebreak`` is an integer that makes
+    the order total.  The first reading's ``stamp`` is kept (``ts`` by default).  Needs tumbling
+    windows.  Groups of more than ``split_above`` readings are cut into chunks of their
     order; stitching may differ from the plain fold in the last bit, other groups do not.
     """
     if windows.overlapping:
         raise ValueError("the halving reduce is defined over tumbling windows")
+    # Plain columns, the key first: the sorts compare them by prefix, which a struct has not.
     rows = readings.select(
-        windows.of(ts).alias("window"),
         key,
+        windows.of(ts)["start"].alias("window_start"),
         F.col(ts).alias("_ts"),
         F.col(tiebreak).alias("_tie"),
         F.col(value).cast("double").alias("_x"),
+        F.col(stamp or ts).alias("_stamp"),
     )
-    group = ["window", key]
-    chunked = _cut_heavy(rows, group, chunks, split_above)
-    in_chunk = [*group, "chunk"]
-
-    # Runs are counted from the newest reading back, so that only the oldest run may be short.
-    newest_first = Window.partitionBy(*in_chunk).orderBy(F.desc("_ts"), F.desc("_tie"))
-    run = F.floor((F.row_number().over(newest_first) - 1) / RUN)
-    runs = _fold_runs(chunked.withColumn("run", run), [*in_chunk, "run"])
-    by_chunk = _stitch(runs, in_chunk, F.col("run").asc())
-    folded = _stitch(by_chunk, group, F.col("chunk").desc())
-    return with_bounds(
-        folded.select(
-            "window",
-            key,
-            F.col("first._ts").alias("first_ts"),
-            F.col("folded").alias(value),
-            "n",
-        )
+    group = [key, "window_start"]
+    cut = _cut_heavy(rows, group, chunks, split_above)
+    if cut is None:
+        folded = _fold_groups(rows, group)
+    else:
+        by_chunk = _fold_groups(cut, [*group, "chunk"])
+        folded = _stitch(by_chunk, group, F.col("chunk").desc())
+    return folded.select(
+        "window_start",
+        shift(F.col("window_start"), windows.size).alias("window_end"),
+        key,
+        F.col("first._stamp").alias("first_ts"),
+        F.col("folded").alias(value),
+        "n",
     )
 
 
 def _cut_heavy(
     rows: DataFrame, group: Sequence[str], chunks: int | None, split_above: int
-) -> DataFrame:
-    """Add ``chunk``: cuts of the time order for the heaviest groups, 0 for all others."""
+) -> DataFrame | None:
+    """Add ``chunk``: cuts of the time order for the heaviest groups, 0 for all others.  None if no
+    group is heavy."""
     counted = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    heavy = heaviest(counted, group, "_rows", split_above).select(*group)
+    # Kept, so that the count runs once for the test and the join; the list has a fixed length.
+    heavy = heaviest(counted, group, "_rows", split_above).select(*group).persist()
     if heavy.isEmpty():
-        return rows.withColumn("chunk", F.lit(0).cast("bigint"))
+        heavy.unpersist()
+        return None
     marked = rows.join(
         F.broadcast(heavy.withColumn("_heavy", F.lit(True))), list(group), "left"
     )
@@ -87,6 +90,15 @@ def _cut_heavy(
     ).drop("_heavy")
 
 
+def _fold_groups(rows: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The fold of each group, by runs counted from the newest reading back, so that only the
+    oldest run may be short.  One shuffle."""
+    newest_first = Window.partitionBy(*group).orderBy(F.desc("_ts"), F.desc("_tie"))
+    run = F.floor((F.row_number().over(newest_first) - 1) / RUN)
+    runs = _fold_runs(rows.withColumn("run", run), [*group, "run"])
+    return _stitch(runs, group, F.col("run").asc())
+
+
 def _step(a: Column, x: Column) -> Column:
     return (a + x) / F.lit(2.0)
 
@@ -100,7 +112,7 @@ def _fold(rows: Column) -> Column:
 def _fold_runs(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per run: ``first`` reading, count ``n`` and the run's own fold ``folded``."""
     gathered = rows.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("_ts", "_tie", "_x"))).alias("_rows")
+        F.sort_array(F.collect_list(F.struct("_ts", "_tie", "_x", "_stamp"))).alias("_rows")
     )
     return gathered.select(
         *keys,
@@ -141,6 +153,7 @@ def halving_reduce_stream(
     value: str = "temperature",
     ts: str = "ts",
     tiebreak: str = "reading_id",
+    stamp: str | None = None,
 ) -> DataFrame:
     """The same reduce over a stream whose ``ts`` carries a watermark (append mode).
 
@@ -158,6 +171,7 @@ def halving_reduce_stream(
         F.col(ts).alias("_ts"),
         F.col(tiebreak).alias("_tie"),
         F.col(value).cast("double").alias("_x"),
+        F.col(stamp or ts).alias("_stamp"),
     )
     runs = _fold_runs(rows.withColumn("pane", panes.of(ts)), ["pane", key])
     runs = runs.select(
@@ -176,7 +190,7 @@ def halving_reduce_stream(
         joined.select(
             "window",
             key,
-            F.col("_runs")[0]["first"]["_ts"].alias("first_ts"),
+            F.col("_runs")[0]["first"]["_stamp"].alias("first_ts"),
             newest.alias(value),
             total.alias("n"),
         )

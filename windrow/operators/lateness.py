@@ -55,17 +55,16 @@ def with_seen(
     )
 
 
-def closed(window_end: Column, seen: Column, delay: str) -> Column:
-    """True where the watermark had passed the window's end before the row came."""
-    return F.coalesce(window_end <= shift(seen, delay, sign=-1), F.lit(False))
+def closed(end_micros: Column, seen: Column, delay: str) -> Column:
+    """True where the watermark had reached the window's end before the row came."""
+    return F.coalesce(end_micros <= epoch_micros(seen) - F.lit(micros(delay)), F.lit(False))
 
 
 def last_window_end(ts: Column, windows: Windows) -> Column:
-    """End of the youngest window that covers ``ts``."""
-    step, origin = micros(windows.step), micros(windows.offset)
-    into = F.pmod(epoch_micros(ts) - F.lit(origin), F.lit(step))
-    left = F.lit(micros(windows.size)) - into
-    return ts + F.make_dt_interval(secs=left.cast("decimal(20,0)") / F.lit(1_000_000))
+    """End of the youngest window that covers ``ts``, in epoch microseconds."""
+    at = epoch_micros(ts)
+    into = F.pmod(at - F.lit(micros(windows.offset)), F.lit(micros(windows.step)))
+    return at - into + F.lit(micros(windows.size))
 
 
 def split_late(
@@ -90,7 +89,8 @@ def on_time_pairs(
 ) -> DataFrame:
     """Rows with the ``window`` they count for, one row per window still open on arrival."""
     pairs = with_seen(df, ts=ts, **order).withColumn("window", windows.of(ts))
-    return pairs.where(~closed(F.col("window.end"), F.col("seen"), delay)).drop("seen")
+    is_late = closed(epoch_micros("window.end"), F.col("seen"), delay)
+    return pairs.where(~is_late).drop("seen")
 
 
 def closed_windows(

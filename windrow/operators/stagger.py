@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from windrow.functions.durations import micros
-from windrow.functions.times import epoch_micros
+from windrow.functions.times import epoch_micros, from_epoch_micros
 from windrow.operators.heavy import heaviest
 
 
@@ -32,13 +32,17 @@ def staggered(
     # bare key again.
     light = phases.select(key, "_phase", F.least(F.col("_rows"), F.lit(0)).alias("_salt"))
 
-    spread = F.pmod(F.xxhash64(epoch_micros(ts)), F.lit(salts)) + 1
+    # By value, so that a task that runs again sends its rows the same way.
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)) + 1
     salted = df.join(F.broadcast(heavy), key, "left").withColumn(
         "_salt", F.when(F.col("_heavy_phase").isNull(), F.lit(0)).otherwise(spread)
     )
     phased = salted.join(light, [key, "_salt"], "left")
-    phase = F.coalesce("_heavy_phase", "_phase")
-    into = F.pmod(epoch_micros(ts) - phase, length)
-    start = F.col(ts) - F.make_dt_interval(secs=into.cast("decimal(20,0)") / F.lit(1_000_000))
-    end = start + F.make_dt_interval(secs=F.lit(micros(size)).cast("decimal(20,0)") / F.lit(1_000_000))
-    return phased.select(*df.columns, start.alias("window_start"), end.alias("window_end"))
+    at = epoch_micros(ts)
+    start = at - F.pmod(at - F.coalesce("_heavy_phase", "_phase"), length)
+    kind = df.schema[ts].dataType
+    return phased.select(
+        *df.columns,
+        from_epoch_micros(start, kind).alias("window_start"),
+        from_epoch_micros(start + length, kind).alias("window_end"),
+    )

@@ -7,15 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import DataStreamWriter
 
-
-def printed(df: DataFrame, checkpoint: str, mode: str = "append") -> DataStreamWriter:
-    """Show every result row on the driver's console."""
-    return (
-        df.writeStream.format("console")
-        .option("truncate", "false")
-        .option("checkpointLocation", checkpoint)
-        .outputMode(mode)
-    )
+from windrow.operators.publish import round_robin
 
 
 def files(df: DataFrame, folder: str, checkpoint: str) -> DataStreamWriter:
@@ -38,6 +30,27 @@ def batch_folder(folder: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def topic_batch(options: dict[str, str]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body that writes records to a topic; a retry writes them again, under the
+    same keys."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format("kafka").options(**options).save()
+
+    return write
+
+
+def dealt(
+    body: Callable[[DataFrame, int], None], partitions: int
+) -> Callable[[DataFrame, int], None]:
+    """The body with a ``partition`` column dealt round robin within each task of the batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        body(batch.withColumn("partition", round_robin(partitions)), batch_id)
+
+    return write
+
+
 def batches(
     df: DataFrame, body: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
 ) -> DataStreamWriter:
@@ -90,3 +103,22 @@ class LifecycleWriter:
 
 def rows_to(df: DataFrame, writer: LifecycleWriter, checkpoint: str) -> DataStreamWriter:
     return df.writeStream.foreach(writer).option("checkpointLocation", checkpoint)
+
+
+class Printer(LifecycleWriter):
+    """Print every row, and nothing else, where it is computed."""
+
+    def open(self, partition_id: int, epoch_id: int) -> bool:
+        return True
+
+    def process(self, row: Row) -> None:
+        print(row)
+
+    def close(self, error: Exception | None) -> None:
+        pass
+
+
+def printed(df: DataFrame, checkpoint: str) -> DataStreamWriter:
+    """Every result row on the standard output of the executor that holds it; none passes through
+    the driver."""
+    return rows_to(df, Printer(), checkpoint)

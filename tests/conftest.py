@@ -4,8 +4,14 @@ from windrow.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "windrow-tests", **{"spark.sql.shuffle.partitions": "4"})
+def shared(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(shared):
+    settings = {"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared + "/"}
+    session = local_session(8, "windrow-tests", **settings)
     yield session
     session.stop()
 

@@ -16,6 +16,7 @@ from windrow.operators.rollup import global_rollup, window_time
 from windrow.operators.windows import NO_DELAY, Windows
 from windrow.plans import names, retail, words
 from windrow.schemas import READING, TOPIC_RECORD, TRANSACTION
+from windrow.session import shared_dir
 from windrow.sources import tables
 from windrow.sources.replay import event_time, line_stream, table_stream
 from windrow.sources.records import decode_by_store
@@ -356,10 +357,22 @@ def test_rollup_job_hands_rows_to_the_writer(spark, small, folder):
     )
 
 
-def test_checkpoints_default_to_the_shared_folder(spark, folder, monkeypatch):
-    df = spark.range(1)
-    spark.conf.set("spark.checkpoint.dir", folder("shared") + "/")
-    try:
-        assert jobs.checkpoint_of(df, "x") == folder("shared") + "/checkpoints/x"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_checkpoints_default_to_the_shared_folder(spark, shared):
+    assert jobs.checkpoint_of(spark.range(1), "x") == shared + "/checkpoints/x"
+    assert jobs.checkpoint_of(spark.range(1), "x", "/own") == "/own/x"
+
+
+def test_shared_folder_where_none_is_set():
+    class Conf:
+        get = staticmethod(lambda key, default: default)
+
+    class Context:
+        master, applicationId = "local[1]", "app"
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    assert shared_dir(Session) == shared_dir(Session)
+    Context.master = "yarn"
+    with pytest.raises(ValueError):
+        shared_dir(Session)

@@ -45,9 +45,17 @@ def test_bad_record_fails_the_job(spark, bad):
 
 
 @pytest.mark.parametrize("bad", BAD)
-def test_missing_field_fails_even_if_only_another_is_counted(spark, bad):
+def test_bad_record_fails_even_if_its_fields_are_not_used(spark, bad):
     with pytest.raises(Exception):
-        decode(topic(spark, bad), TRANSACTION).agg(F.max("store_id"), F.max("price")).collect()
+        decode(topic(spark, GOOD, bad), TRANSACTION).agg(F.max("product_id")).collect()
+    with pytest.raises(Exception):
+        decode(topic(spark, GOOD, bad), TRANSACTION).count()
+
+
+def test_record_is_parsed_once(spark):
+    for df in (decode_transactions(topic(spark, GOOD)), *decode_or_quarantine(topic(spark, GOOD), TRANSACTION)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
 
 
 def test_quarantine(spark):

@@ -7,9 +7,9 @@ from windrow.operators import heavy
 from windrow.operators.stagger import staggered
 
 
-@pytest.mark.parametrize("limit", [1, 3, 10_000])
-def test_phase_is_the_keys_first_arrival(spark, monkeypatch, limit):
-    monkeypatch.setattr(heavy.heaviest, "__defaults__", (0, limit))
+@pytest.mark.parametrize("above, limit", [(0, 1), (0, 3), (0, 10_000), (10_000, 10_000)])
+def test_phase_is_the_keys_first_arrival(spark, monkeypatch, above, limit):
+    monkeypatch.setattr(heavy.heaviest, "__defaults__", (above, limit))
     df = spark.range(3_000).selectExpr(
         "if(id % 3 = 0, 1, id % 50 + 2) k",
         "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, 60 + pmod(hash(id), 5000) / 7) ts",

@@ -16,13 +16,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from windrow.functions.durations import micros
 from windrow.functions.times import epoch_micros, shift
 from windrow.operators.chunks import with_chunks
-from windrow.operators.heavy import heaviest
+from windrow.operators.heavy import ABOVE, heaviest
 from windrow.operators.windows import READING_WINDOWS, Windows, with_bounds
 
 # Readings folded one after the other in one array; longer runs are stitched.
 RUN = 1024
-# Readings of one window and key that one task may sort.
-SPLIT_ABOVE = 4_000_000
 
 
 def halving_reduce(
@@ -34,7 +32,7 @@ def halving_reduce(
     tiebreak: str = "reading_id",
     stamp: str | None = None,
     chunks: int | None = None,
-    split_above: int = SPLIT_ABOVE,
+    split_above: int = ABOVE,
 ) -> DataFrame:
     """``window_start, window_end, key, first_ts, value, n`` per window and key of a batch table.
 
@@ -78,16 +76,15 @@ def _cut_heavy(
     group is heavy."""
     counted = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
     # Kept, so that the count runs once for the test and the join; the list has a fixed length.
-    heavy = heaviest(counted, group, "_rows", split_above).select(*group).persist()
-    if heavy.isEmpty():
+    heavy = heaviest(counted, group, "_rows", split_above).persist()
+    heavy_rows = heavy.agg(F.sum("_rows")).first()[0]
+    if not heavy_rows:
         heavy.unpersist()
         return None
-    marked = rows.join(
-        F.broadcast(heavy.withColumn("_heavy", F.lit(True))), list(group), "left"
-    )
-    return with_chunks(
-        marked, epoch_micros("_ts"), F.col("_tie"), chunks, only=F.col("_heavy").isNotNull()
-    ).drop("_heavy")
+    marked = rows.join(F.broadcast(heavy), list(group), "left")
+    is_heavy = F.col("_rows").isNotNull()
+    cut = with_chunks(marked, epoch_micros("_ts"), F.col("_tie"), chunks, is_heavy, heavy_rows)
+    return cut.drop("_rows")
 
 
 def _fold_groups(rows: DataFrame, group: Sequence[str]) -> DataFrame:

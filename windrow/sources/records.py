@@ -6,6 +6,9 @@ and on a stream.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -15,25 +18,22 @@ from windrow.schemas import BY_PRODUCT, BY_STORE, TRANSACTION
 
 def decode(df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
     """The record's fields as columns.  A malformed record, or one that lacks a field or has a null
-    in it, fails the job."""
+    in it, fails the job, whichever columns are used later on."""
     record = F.from_json(_text(), schema, {"mode": "FAILFAST"})
-    parsed = df.select(*keep, record.alias("_record"))
-    return parsed.select(*keep, *[_required(f.name, f.dataType.simpleString()) for f in schema])
+    refused = F.raise_error(F.lit("record with a missing or null field")).cast(schema)
+    checked = F.transform(
+        F.array(record), lambda r: F.when(_complete(r, schema), r).otherwise(refused)
+    )
+    return df.select(*keep, F.inline(checked))
 
 
 def decode_or_quarantine(
     df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: decoded rows, and the untouched input rows that do not decode."""
-    record = F.from_json(_text(), schema, {"mode": "PERMISSIVE"})
-    parsed = df.withColumn("_record", record)
-    complete = F.lit(True)
-    for field in schema:
-        complete = complete & F.col("_record").getField(field.name).isNotNull()
-    good = parsed.where(complete).select(
-        *keep, *[F.col("_record").getField(f.name).alias(f.name) for f in schema]
-    )
-    return good, parsed.where(~complete).drop("_record")
+    parsed = F.array(F.from_json(_text(), schema, {"mode": "PERMISSIVE"}))
+    complete = F.filter(parsed, lambda r: _complete(r, schema))
+    return df.select(*keep, F.inline(complete)), df.where(F.size(complete) == 0)
 
 
 def decode_transactions(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -71,10 +71,10 @@ def _text() -> Column:
     return F.col("value").cast("string")
 
 
-def _required(name: str, kind: str) -> Column:
-    value = F.col("_record").getField(name)
-    missing = F.raise_error(F.lit(f"record without field {name!r}")).cast(kind)
-    return F.coalesce(value, missing).alias(name)
+def _complete(record: Column, schema: StructType) -> Column:
+    """Whether no field is null.  Used inside a lambda, where the record is parsed once: as a plain
+    filter Catalyst would write the parse out again for every field."""
+    return reduce(and_, [record.getField(f.name).isNotNull() for f in schema])
 
 
 def _totals(decoded: DataFrame, wire_key: str, key: str) -> DataFrame:

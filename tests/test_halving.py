@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from windrow.operators import halving
+from windrow.operators import ordered
 from windrow.operators.halving import halving_reduce
 from windrow.operators.windows import Windows
 
@@ -43,7 +43,7 @@ def skewed(spark, same_instant):
 @pytest.mark.parametrize("same_instant", [False, True])
 @pytest.mark.parametrize("run", [1024, 7])
 def test_hot_group_cut_into_chunks_equals_plain_fold(spark, monkeypatch, same_instant, run):
-    monkeypatch.setattr(halving, "RUN", run)
+    monkeypatch.setattr(ordered, "RUN", run)
     df = skewed(spark, same_instant)
     windows = Windows("1 minute")
     got = {
@@ -64,7 +64,7 @@ def test_hot_group_is_split(spark, same_instant):
     df = skewed(spark, same_instant).withColumn("window", F.lit(0)).withColumnsRenamed(
         {"ts": "_ts", "reading_id": "_tie"}
     )
-    cut = halving._cut_heavy(df, ["window", "sensor_id"], 16, 1000)
+    cut = ordered._cut_heavy(df, ["window", "sensor_id"], 16, 1000)
     sizes = cut.groupBy("sensor_id", "chunk").count()
     assert sizes.where("sensor_id = 'hot'").count() >= 12
     assert sizes.where("sensor_id = 'hot'").agg(F.max("count")).first()[0] < 2000
@@ -74,3 +74,21 @@ def test_hot_group_is_split(spark, same_instant):
 def test_sliding_windows_are_refused(spark):
     with pytest.raises(ValueError):
         halving_reduce(frame(spark, [1.0]), Windows("2 seconds", "1 second"))
+
+
+@pytest.mark.parametrize("split_above", [200, 10**9])
+def test_reduce_hook_with_an_associative_function(spark, monkeypatch, split_above):
+    """Text joined in order: associative, not commutative."""
+    monkeypatch.setattr(ordered, "RUN", 50)
+    df = skewed(spark, False).where("reading_id < 6000")
+    run, merge = ordered.associative(
+        lambda a, b: F.struct(F.concat(a["text"], F.lit(" "), b["text"]).alias("text")), "text"
+    )
+    values = {"text": F.col("reading_id").cast("string")}
+    got = ordered.windowed_reduce(
+        df, Windows("1 minute"), "sensor_id", "ts", "reading_id", values, run, merge, 8, split_above
+    )
+    want = df.toPandas().sort_values(["ts", "reading_id"]).groupby("sensor_id").reading_id.agg(
+        lambda s: " ".join(map(str, s))
+    )
+    assert {r.sensor_id: r.state.text for r in got.collect()} == want.to_dict()

@@ -2,25 +2,17 @@
 
 Not a mean: the newest reading weighs one half, the one before a quarter, and so on; the first
 timestamp is kept.  One step maps the running value ``a`` to ``(a + x) / 2``, so a run of ``n``
-readings that folds to ``g`` on its own turns an incoming ``a`` into ``g + (a - first) / 2^n``.
-Runs can therefore be folded apart from each other and stitched afterwards: a sensor with a third
-of all readings is folded by many tasks, and no task ever holds a whole group.
+readings that folds to ``g`` on its own turns an incoming ``a`` into ``g + (a - first) / 2^n``.  By
+that rule runs are folded apart from each other and merged afterwards.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from windrow.functions.durations import micros
-from windrow.functions.times import epoch_micros, shift
-from windrow.operators.chunks import with_chunks
-from windrow.operators.heavy import ABOVE, heaviest
-from windrow.operators.windows import READING_WINDOWS, Windows, with_bounds
-
-# Readings folded one after the other in one array; longer runs are stitched.
-RUN = 1024
+from windrow.operators.heavy import ABOVE
+from windrow.operators.ordered import windowed_reduce, windowed_reduce_stream
+from windrow.operators.windows import READING_WINDOWS, Windows
 
 
 def halving_reduce(
@@ -34,112 +26,16 @@ def halving_reduce(
     chunks: int | None = None,
     split_above: int = ABOVE,
 ) -> DataFrame:
-    """``window_start, window_end, key, first_ts, value, n`` per window and key of a batch table.
-
-    Windows and arrival order go by (``ts``, ``tiebreak``); ``tiebreak`` is an integer that makes
-    the order total.  The first reading's ``stamp`` is kept (``ts`` by default).  Needs tumbling
-    windows.  Groups of more than ``split_above`` readings are cut into chunks of their
-    order; stitching may differ from the plain fold in the last bit, other groups do not.
-    """
-    if windows.overlapping:
-        raise ValueError("the halving reduce is defined over tumbling windows")
-    # Plain columns, the key first: the sorts compare them by prefix, which a struct has not.
-    rows = readings.select(
-        key,
-        windows.of(ts)["start"].alias("window_start"),
-        F.col(ts).alias("_ts"),
-        F.col(tiebreak).alias("_tie"),
-        F.col(value).cast("double").alias("_x"),
-        F.col(stamp or ts).alias("_stamp"),
-    )
-    group = [key, "window_start"]
-    cut = _cut_heavy(rows, group, chunks, split_above)
-    if cut is None:
-        folded = _fold_groups(rows, group)
-    else:
-        by_chunk = _fold_groups(cut, [*group, "chunk"])
-        folded = _stitch(by_chunk, group, F.col("chunk").desc())
-    return folded.select(
-        "window_start",
-        shift(F.col("window_start"), windows.size).alias("window_end"),
-        key,
-        F.col("first._stamp").alias("first_ts"),
-        F.col("folded").alias(value),
-        "n",
-    )
-
-
-def _cut_heavy(
-    rows: DataFrame, group: Sequence[str], chunks: int | None, split_above: int
-) -> DataFrame | None:
-    """Add ``chunk``: cuts of the time order for the heaviest groups, 0 for all others.  None if no
-    group is heavy."""
-    counted = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    # Kept, so that the count runs once for the test and the join; the list has a fixed length.
-    heavy = heaviest(counted, group, "_rows", split_above).persist()
-    heavy_rows = heavy.agg(F.sum("_rows")).first()[0]
-    if not heavy_rows:
-        heavy.unpersist()
-        return None
-    marked = rows.join(F.broadcast(heavy), list(group), "left")
-    is_heavy = F.col("_rows").isNotNull()
-    cut = with_chunks(marked, epoch_micros("_ts"), F.col("_tie"), chunks, is_heavy, heavy_rows)
-    return cut.drop("_rows")
-
-
-def _fold_groups(rows: DataFrame, group: Sequence[str]) -> DataFrame:
-    """The fold of each group, by runs counted from the newest reading back, so that only the
-    oldest run may be short.  One shuffle."""
-    newest_first = Window.partitionBy(*group).orderBy(F.desc("_ts"), F.desc("_tie"))
-    run = F.floor((F.row_number().over(newest_first) - 1) / RUN)
-    runs = _fold_runs(rows.withColumn("run", run), [*group, "run"])
-    return _stitch(runs, group, F.col("run").asc())
-
-
-def _step(a: Column, x: Column) -> Column:
-    return (a + x) / F.lit(2.0)
-
-
-def _fold(rows: Column) -> Column:
-    """Fold an ordered array of structs by their ``_x``; a single row passes unchanged."""
-    rest = F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))
-    return F.aggregate(rest, rows[0]["_x"], lambda a, row: _step(a, row["_x"]))
-
-
-def _fold_runs(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per run: ``first`` reading, count ``n`` and the run's own fold ``folded``."""
-    gathered = rows.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("_ts", "_tie", "_x", "_stamp"))).alias("_rows")
-    )
-    return gathered.select(
-        *keys,
-        F.col("_rows")[0].alias("first"),
-        F.size("_rows").cast("bigint").alias("n"),
-        _fold(F.col("_rows")).alias("folded"),
-    )
-
+    """``window_start, window_end, key, first_ts, value, n`` per key and window of a batch table.
 
-def _stitch(parts: DataFrame, keys: Sequence[str], newest_first: Column) -> DataFrame:
-    """Join the runs of each ``keys`` group into one run of the same shape.
-
-    Unrolling ``g + (a - first) / 2^n`` gives a plain sum over the runs: each adds its fold minus
-    the first value of the run after it, halved once per reading that follows.
+    Windows and arrival order go by (``ts``, ``tiebreak``); the first reading's ``stamp`` is kept
+    (``ts`` by default).  Values of groups merged from several runs may differ from the plain fold in
+    the last bit.
     """
-    order = Window.partitionBy(*keys).orderBy(newest_first)
-    after = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    follower = F.lag("first").over(order)
-    term = F.when(after.isNull(), F.col("folded")).otherwise(
-        (F.col("folded") - follower["_x"]) * F.pow(F.lit(2.0), -after)
-    )
-    return (
-        parts.select(*keys, "first", "n", term.alias("_term"))
-        .groupBy(*keys)
-        .agg(
-            F.min("first").alias("first"),
-            F.sum("n").alias("n"),
-            F.sum("_term").alias("folded"),
-        )
+    reduced = windowed_reduce(
+        readings, windows, key, ts, tiebreak, _values(value, stamp or ts), _run, _merge, chunks, split_above
     )
+    return _result(reduced, key, value)
 
 
 def halving_reduce_stream(
@@ -152,43 +48,44 @@ def halving_reduce_stream(
     tiebreak: str = "reading_id",
     stamp: str | None = None,
 ) -> DataFrame:
-    """The same reduce over a stream whose ``ts`` carries a watermark (append mode).
-
-    Readings of one pane (an even share of the window, a tenth by default) of one key are kept and
-    folded together; the window keeps one small run per pane.  ``pane`` bounds what a hot key can
-    pile up in state.
-    """
-    pane_size = micros(pane) if pane else micros(windows.size) // 10
-    if micros(windows.size) % pane_size:
-        raise ValueError("the pane must divide the window")
-    panes = Windows(f"{pane_size} microseconds", None, windows.offset)
-    rows = readings.select(
-        ts,
-        key,
-        F.col(ts).alias("_ts"),
-        F.col(tiebreak).alias("_tie"),
-        F.col(value).cast("double").alias("_x"),
-        F.col(stamp or ts).alias("_stamp"),
+    """The same over a stream whose ``ts`` carries a watermark (append mode)."""
+    reduced = windowed_reduce_stream(
+        readings, windows, key, ts, tiebreak, _values(value, stamp or ts), _run, _merge, pane
     )
-    runs = _fold_runs(rows.withColumn("pane", panes.of(ts)), ["pane", key])
-    runs = runs.select(
-        F.window_time("pane").alias("_pane_ts"), key, F.struct("first", "n", "folded").alias("run")
-    )
-    joined = runs.groupBy(windows.of("_pane_ts").alias("window"), key).agg(
-        F.sort_array(F.collect_list("run")).alias("_runs")
+    return _result(reduced, key, value)
+
+
+def _values(value: str, stamp: str) -> dict[str, Column]:
+    return {"x": F.col(value).cast("double"), "stamp": F.col(stamp)}
+
+
+def _run(rows: Column) -> Column:
+    rest = F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))
+    folded = F.aggregate(rest, rows[0]["x"], lambda a, row: (a + row["x"]) / F.lit(2.0))
+    return F.struct(
+        rows[0]["stamp"].alias("stamp"),
+        rows[0]["x"].alias("first"),
+        F.size(rows).cast("bigint").alias("n"),
+        folded.alias("folded"),
     )
-    newest = F.aggregate(
-        F.slice("_runs", F.lit(2), F.greatest(F.size("_runs") - 1, F.lit(0))),
-        F.col("_runs")[0]["folded"],
-        lambda a, run: run["folded"] + (a - run["first"]["_x"]) * F.pow(F.lit(2.0), -run["n"]),
+
+
+def _merge(older: Column, newer: Column) -> Column:
+    carried = (older["folded"] - newer["first"]) * F.pow(F.lit(2.0), -newer["n"])
+    return F.struct(
+        older["stamp"].alias("stamp"),
+        older["first"].alias("first"),
+        (older["n"] + newer["n"]).alias("n"),
+        (newer["folded"] + carried).alias("folded"),
     )
-    total = F.aggregate("_runs", F.lit(0).cast("bigint"), lambda n, run: n + run["n"])
-    return with_bounds(
-        joined.select(
-            "window",
-            key,
-            F.col("_runs")[0]["first"]["_stamp"].alias("first_ts"),
-            newest.alias(value),
-            total.alias("n"),
-        )
+
+
+def _result(reduced: DataFrame, key: str, value: str) -> DataFrame:
+    return reduced.select(
+        "window_start",
+        "window_end",
+        key,
+        F.col("state.stamp").alias("first_ts"),
+        F.col("state.folded").alias(value),
+        F.col("state.n").alias("n"),
     )

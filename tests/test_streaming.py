@@ -16,7 +16,7 @@ from windrow.operators.rollup import global_rollup, window_time
 from windrow.operators.windows import NO_DELAY, Windows
 from windrow.plans import names, retail, words
 from windrow.schemas import READING, TOPIC_RECORD, TRANSACTION
-from windrow.session import shared_dir
+from windrow.session import STREAM_SETTINGS, shared_dir, tolerate_idle_sources
 from windrow.sources import tables
 from windrow.sources.replay import event_time, line_stream, table_stream
 from windrow.sources.records import decode_by_store
@@ -376,3 +376,60 @@ def test_shared_folder_where_none_is_set():
     Context.master = "yarn"
     with pytest.raises(ValueError):
         shared_dir(Session)
+
+
+@pytest.mark.parametrize("policy, closed", [("min", 0), ("max", 2)])
+def test_idle_source_of_a_union(spark, folder, policy, closed):
+    layout = "arrival_ts timestamp, name string, n int"
+    busy = [(datetime(2024, 1, 1, 0, 0, s), "a", 1) for s in (1, 5, 9)]
+    spark.createDataFrame(busy, layout).coalesce(1).write.parquet(folder("busy"))
+    spark.createDataFrame([], layout).coalesce(1).write.parquet(folder("idle"))
+    schema = spark.read.parquet(folder("busy")).schema
+    one, other = (
+        event_time(table_stream(spark, folder(f), schema), "arrival_ts", NO_DELAY, "arrival_ts")
+        for f in ("busy", "idle")
+    )
+    before = spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy")
+    try:
+        if policy == "max":
+            tolerate_idle_sources(spark)
+        drain(sinks.files(names.name_sums(one.union(other)), folder("out"), folder("ck")))
+    finally:
+        spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", before)
+    got = spark.read.schema("n bigint").parquet(folder("out"))
+    assert got.count() == closed
+
+
+@pytest.mark.parametrize("stream", [False, True])
+def test_repeated_totals_count_once(spark, small, folder, stream):
+    tx = transactions(spark, small)
+    records = retail.store_records(tx, HOURS)
+    records.coalesce(1).write.parquet(folder("in"))
+    records.sample(0.3, seed=1).coalesce(1).write.mode("append").parquet(folder("in"))
+    want = rows(retail.rollup_in_one(tx, HOURS, Windows("5 hours")), "window_start")
+    if not stream:
+        got = retail.rollup_of_records(spark.read.parquet(folder("in")), Windows("5 hours"), repeats=True)
+        assert rows(got, "window_start") == want
+        return
+    source = table_stream(spark, folder("in"), records.schema)
+    got = retail.rollup_of_records(source, Windows("5 hours"), delay="3 days", repeats=True)
+    drain(sinks.files(got, folder("out"), folder("ck")))
+    out = rows(spark.read.parquet(folder("out")), "window_start")
+    assert 80 < len(out) < len(want) and out == want[: len(out)]
+
+
+def test_cluster_stream_settings(spark, small, folder):
+    """The state store meant for clusters gives the same result."""
+    tx = transactions(spark, small).select("transaction_id", "ts", "store_id", "price")
+    stream = replay(spark, tx, folder("in"), "transaction_id", "ts", "2 seconds")
+    before = {k: spark.conf.get(k, None) for k in STREAM_SETTINGS}
+    try:
+        for key, value in STREAM_SETTINGS.items():
+            spark.conf.set(key, value)
+        drain(sinks.files(retail.store_totals(stream, HOURS), folder("out"), folder("ck")))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    want = closed_windows(retail.store_totals(tx, HOURS), tx)
+    order = ("window_start", "store_id")
+    assert rows(spark.read.parquet(folder("out")), *order) == rows(want, *order)

@@ -47,15 +47,24 @@ def rollup_of_records(
     windows: Windows = ROLLUP_WINDOWS,
     ts: Column | str = "ts",
     delay: str = NO_DELAY,
+    repeats: bool = False,
 ) -> DataFrame:
     """The second stage: per-store topic records to the global roll-up.
 
     The event time is the window time carried in the record, which makes the result reproducible;
     ``delay`` then has to cover the span of windows one batch of the first stage publishes, since
-    its files come in any order.  Pass ``arrival_now()`` to go by the clock at ingest instead.
+    its files come in any order.  Pass ``arrival_now()`` to go by the clock at ingest instead.  With
+    ``repeats`` a (store, window) total that comes again within the delay counts once, as it may from
+    a sink that delivers at least once.
     """
-    totals = window_time(decode_by_store(records))
-    return global_rollup(event_time(totals, ts, delay), windows)
+    totals = event_time(window_time(decode_by_store(records)), ts, delay)
+    if repeats:
+        totals = _once(totals, ["store_id", "window_start", "window_end"])
+    return global_rollup(totals, windows)
+
+
+def _once(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.dropDuplicatesWithinWatermark(keys) if df.isStreaming else df.dropDuplicates(keys)
 
 
 def rollup_in_one(

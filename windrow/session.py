@@ -8,6 +8,23 @@ from functools import cache
 from pyspark.sql import SparkSession
 
 
+# What a cluster session should set before it starts streams: state beyond the heap, written as
+# changes only.
+STREAM_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def tolerate_idle_sources(spark: SparkSession) -> SparkSession:
+    """Over a union of streams, let the source that is ahead move the watermark, so that a silent one
+    does not hold windows open.  (Within one source an idle partition never does.)"""
+    spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
+    return spark
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Make window edges, epoch conversions and formatted times independent of the host zone."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -54,6 +54,10 @@ TRANSACTION_PRODUCER = {"batch_bytes": 100, "linger_ms": 50, "retries": 2, "acks
 TOTALS_PRODUCER = {"batch_bytes": 100, "linger_ms": 1000, "retries": 3, "acks": "1"}
 
 
+# How the lateness operators find a topic's order: each partition is a source of its own.
+TOPIC_ORDER = {"source": "partition", "arrival": "offset", "tiebreak": "offset"}
+
+
 def read_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 

@@ -22,22 +22,21 @@ def late_split(
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body: on-time rows to ``main``, rows late for all their windows to ``side``.
 
-    What each source has shown so far is a table per batch under ``folder`` (a shared folder), one
-    row per source.  Batch ``i`` reads the table of batch ``i - 1`` and replaces its own, so a
-    retried batch gives the same split.
+    What each source has shown so far is a small table under ``folder`` (a shared folder), one row
+    per source.  Two copies take turns: a batch reads the one its predecessor wrote and replaces the
+    other, so a retried batch gives the same split.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = None
-        if batch_id > 0:
-            before = spark.read.parquet(f"{folder}/batch_id={batch_id - 1}")
         batch.persist()
         try:
             shown = batch.groupBy(source).agg(F.max(ts).alias(ts))
-            if before is not None:
+            before = None
+            if batch_id > 0:
+                reader = batch.sparkSession.read.schema(shown.schema)
+                before = reader.parquet(f"{folder}/turn={(batch_id - 1) % 2}")
                 shown = shown.unionByName(before).groupBy(source).agg(F.max(ts).alias(ts))
-            shown.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+            shown.write.mode("overwrite").parquet(f"{folder}/turn={batch_id % 2}")
             on_time, late = split_late(
                 batch, windows, delay, ts, source=source, before=before, **order
             )

@@ -67,17 +67,29 @@ def last_window_end(ts: Column, windows: Windows) -> Column:
     return at - into + F.lit(micros(windows.size))
 
 
-def split_late(
+def flag_late(
     df: DataFrame,
     windows: Windows = RETAIL_WINDOWS,
     delay: str = RETAIL_DELAY,
     ts: str = "ts",
     **order,
-) -> tuple[DataFrame, DataFrame]:
-    """``(on_time, late)``: a row is late when every window it belongs to had closed."""
+) -> DataFrame:
+    """Add ``late``: true where every window the row belongs to had closed when it came."""
     seen = with_seen(df, ts=ts, **order)
     is_late = closed(last_window_end(F.col(ts), windows), F.col("seen"), delay)
-    return seen.where(~is_late).drop("seen"), seen.where(is_late).drop("seen")
+    return seen.withColumn("late", is_late).drop("seen")
+
+
+def split_late(
+    df: DataFrame,
+    windows: Windows = RETAIL_WINDOWS,
+    delay: str = RETAIL_DELAY,
+    ts: str = "ts",
+    **order,
+) -> tuple[DataFrame, DataFrame]:
+    """``(on_time, late)`` rows; use :func:`flag_late` where one pass has to feed both."""
+    flagged = flag_late(df, windows, delay, ts, **order)
+    return flagged.where(~F.col("late")).drop("late"), flagged.where("late").drop("late")
 
 
 def on_time_pairs(

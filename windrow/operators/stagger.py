@@ -16,7 +16,7 @@ from windrow.operators.heavy import heaviest
 def staggered(
     df: DataFrame, size: str, key: str, ts: str = "ts", salts: int = 32
 ) -> DataFrame:
-    """Add ``window_start`` / ``window_end`` with a phase per key.
+    """Add ``window`` (``start``, ``end``), tumbling with a phase per key.
 
     Phases of the heaviest keys are broadcast (a list of fixed length), so no join task gets all
     rows of a hot key; the other keys meet their phase in a shuffled join.  Rows of heavy keys take
@@ -41,8 +41,8 @@ def staggered(
     at = epoch_micros(ts)
     start = at - F.pmod(at - F.coalesce("_heavy_phase", "_phase"), length)
     kind = df.schema[ts].dataType
-    return phased.select(
-        *df.columns,
-        from_epoch_micros(start, kind).alias("window_start"),
-        from_epoch_micros(start + length, kind).alias("window_end"),
+    window = F.struct(
+        from_epoch_micros(start, kind).alias("start"),
+        from_epoch_micros(start + length, kind).alias("end"),
     )
+    return phased.select(*df.columns, window.alias("window"))

@@ -57,6 +57,18 @@ def amount_totals(
     )
 
 
+def pair_totals(pairs: DataFrame, key: str, amount: Column | str) -> DataFrame:
+    """Amount sum and row count per window and key of rows that carry their ``window`` already."""
+    totals = (
+        pairs.select("window", key, cents(amount).alias("_cents"))
+        .groupBy("window", key)
+        .agg(F.sum("_cents").alias("_cents"), F.count(F.lit(1)).alias("tran_count"))
+    )
+    return with_bounds(
+        totals.select("window", key, from_cents("_cents").alias("sum_amount"), "tran_count")
+    )
+
+
 def windowed_sums(
     df: DataFrame, windows: Windows, keys: Sequence[str], value: str, ts: str, name: str
 ) -> DataFrame:

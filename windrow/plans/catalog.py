@@ -16,8 +16,8 @@ from windrow.operators.lateness import closed_windows, on_time_pairs, split_late
 from windrow.operators.layout import spread
 from windrow.operators.publish import publish_records, round_robin
 from windrow.operators.stagger import staggered
-from windrow.operators.totals import amount_totals
-from windrow.operators.windows import RETAIL_DELAY, WORD_WINDOWS, Windows, with_bounds
+from windrow.operators.totals import amount_totals, pair_totals
+from windrow.operators.windows import RETAIL_DELAY, WORD_WINDOWS, Windows
 from windrow.functions.money import cents, from_cents
 from windrow.plans import names, retail, words
 from windrow.schemas import TRANSACTION
@@ -161,11 +161,7 @@ def late_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def on_time_store_sliding(spark: SparkSession, folder: str) -> DataFrame:
     pairs = on_time_pairs(_arrivals(spark, folder), LATE_WINDOWS, RETAIL_DELAY, **_ORDER)
-    totals = pairs.groupBy("window", "store_id").agg(
-        from_cents(F.sum(cents("price"))).alias("sum_amount"),
-        F.count(F.lit(1)).alias("tran_count"),
-    )
-    return with_bounds(totals)
+    return pair_totals(pairs, "store_id", "price")
 
 
 def closed_store_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -174,11 +170,8 @@ def closed_store_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tumbling_stagger(spark: SparkSession, folder: str) -> DataFrame:
-    rows = staggered(_arrivals(spark, folder).select("ts", "store_id", "price"), STAGGER, "store_id")
-    return rows.groupBy("window_start", "window_end", "store_id").agg(
-        from_cents(F.sum(cents("price"))).alias("sum_amount"),
-        F.count(F.lit(1)).alias("tran_count"),
-    )
+    rows = _arrivals(spark, folder).select("ts", "store_id", "price")
+    return pair_totals(staggered(rows, STAGGER, "store_id"), "store_id", "price")
 
 
 QUERIES: dict[str, Query] = {

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from windrow.operators.lateness import split_late
+from windrow.operators.lateness import flag_late
 from windrow.operators.windows import RETAIL_DELAY, RETAIL_WINDOWS, Windows
 
 
@@ -37,11 +37,14 @@ def late_split(
                 before = reader.parquet(f"{folder}/turn={(batch_id - 1) % 2}")
                 shown = shown.unionByName(before).groupBy(source).agg(F.max(ts).alias(ts))
             shown.write.mode("overwrite").parquet(f"{folder}/turn={batch_id % 2}")
-            on_time, late = split_late(
+            flagged = flag_late(
                 batch, windows, delay, ts, source=source, before=before, **order
-            )
-            main(on_time, batch_id)
-            side(late, batch_id)
+            ).persist()
+            try:
+                main(flagged.where(~F.col("late")).drop("late"), batch_id)
+                side(flagged.where("late").drop("late"), batch_id)
+            finally:
+                flagged.unpersist()
         finally:
             batch.unpersist()
 

@@ -9,6 +9,9 @@ key or one instant.  Results never depend on where the cuts fall.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -22,55 +25,73 @@ def default_chunks(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Where an order by (major, minor) is cut: at ``edges`` of major and, for the ``heavy`` values
+    of major that fill whole chunks, at ``minor_edges``.  Edges count from their base."""
+
+    base: int = 0
+    edges: tuple[int, ...] = ()
+    heavy: tuple[int, ...] = ()
+    minor_base: int = 0
+    minor_edges: tuple[int, ...] = ()
+
+
 def with_chunks(
+    df: DataFrame, major: Column, minor: Column, chunks: int | None = None
+) -> DataFrame:
+    """Add ``chunk`` (BIGINT), non-decreasing in the order (``major``, ``minor``), both integral."""
+    return assign_chunks(df, find_cuts(df, major, minor, chunks), major, minor)
+
+
+def find_cuts(
     df: DataFrame,
     major: Column,
     minor: Column,
     chunks: int | None = None,
-    only: Column | None = None,
     rows: int | None = None,
-) -> DataFrame:
-    """Add ``chunk`` (BIGINT), non-decreasing in the order (``major``, ``minor``).
-
-    Rows outside ``only`` all get chunk 0 and do not count for the balance.  ``major`` and
-    ``minor`` are integral.  The cuts come from one quantile pass over ``major``; only where a single
-    value of ``major`` fills whole chunks does a second pass cut it by ``minor``.  The passes look at
-    some ``SEEN_PER_CHUNK`` rows per chunk (``rows``, where known, spares counting them first), so
-    the one task that merges them stays small; that bears on the balance alone.  The driver sees the
-    cuts (``chunks`` numbers), never rows.
+    narrow: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> Cuts:
+    """Cuts that balance the rows ``narrow`` leaves of ``df``.
+
+    One quantile pass over ``major`` and, only where single values fill whole chunks, one over
+    ``minor``.  The passes look at some ``SEEN_PER_CHUNK`` rows per chunk, so the one task that merges
+    them stays small; that bears on the balance alone.  ``rows``, the number of rows to balance,
+    spares counting them first.  The driver sees the cuts (``chunks`` numbers), never rows.
     """
     chunks = chunks or default_chunks(df)
-    cut_rows = df if only is None else df.where(only)
-    rows = cut_rows.count() if rows is None else rows
-    cuts, base = _quantiles(cut_rows, major, chunks, rows)
-    if not cuts:
-        return df.withColumn("chunk", F.lit(0).cast("bigint"))
+    rows = narrow(df).count() if rows is None else rows
+    looked_at = chunks * SEEN_PER_CHUNK / max(rows, 1)
+    seen = narrow(df.sample(looked_at, seed=17) if looked_at < 0.5 else df)
+    cuts, base = _quantiles(seen, major, chunks)
     # A value cut at twice fills at least one chunk on its own; it can be told from its neighbours
     # only where a double still holds every integer.
     heavy = sorted({a for a, b in zip(cuts, cuts[1:]) if a == b and abs(a - base) < _EXACT})
     edges = sorted({c - base for c in cuts} | {c - base + 1 for c in heavy})
-    chunked = _bucket(df, major, base, edges, "_major")
-    chunk = F.col("_major")
-    if heavy:
-        is_heavy = major.isin(heavy)
-        minor_cuts, minor_base = _quantiles(cut_rows.where(is_heavy), minor, chunks, rows)
-        minor_edges = sorted({c - minor_base for c in minor_cuts})
-        chunked = _bucket(chunked, minor, minor_base, minor_edges, "_minor")
-        within = F.when(is_heavy, F.col("_minor")).otherwise(F.lit(0))
-        chunk = F.col("_major") * (len(minor_edges) + 2) + within
-    if only is not None:
-        chunk = F.when(only, chunk).otherwise(F.lit(0))
-    return chunked.withColumn("chunk", chunk.cast("bigint")).drop("_major", "_minor")
-
-
-def _quantiles(
-    df: DataFrame, value: Column, chunks: int, rows: int
-) -> tuple[list[int], int]:
+    if not heavy:
+        return Cuts(base, tuple(edges))
+    minor_cuts, minor_base = _quantiles(seen.where(major.isin(heavy)), minor, chunks)
+    minor_edges = sorted({c - minor_base for c in minor_cuts})
+    return Cuts(base, tuple(edges), tuple(heavy), minor_base, tuple(minor_edges))
+
+
+def assign_chunks(df: DataFrame, cuts: Cuts, major: Column, minor: Column) -> DataFrame:
+    """Add ``chunk`` by given cuts."""
+    if not cuts.edges:
+        return df.withColumn("chunk", F.lit(0).cast("bigint"))
+    chunked = _bucket(df, major, cuts.base, cuts.edges, "chunk")
+    if not cuts.heavy:
+        return chunked
+    chunked = _bucket(chunked, minor, cuts.minor_base, cuts.minor_edges, "_minor")
+    within = F.when(major.isin(list(cuts.heavy)), F.col("_minor")).otherwise(F.lit(0))
+    chunk = F.col("chunk") * (len(cuts.minor_edges) + 2) + within
+    return chunked.withColumn("chunk", chunk).drop("_minor")
+
+
+def _quantiles(df: DataFrame, value: Column, chunks: int) -> tuple[list[int], int]:
     """The ``chunks - 1`` inner quantiles and the origin to measure from; none for no rows."""
     shares = [i / chunks for i in range(1, chunks)] or [0.5]
-    looked_at = chunks * SEEN_PER_CHUNK / max(rows, 1)
-    seen = df.sample(looked_at, seed=17) if looked_at < 0.5 else df
-    row = seen.agg(
+    row = df.agg(
         F.percentile_approx(value, shares, max(10_000, 4 * chunks)).alias("cuts"),
         F.min(value).alias("low"),
         F.max(value).alias("high"),
@@ -80,7 +101,7 @@ def _quantiles(
     return list(row["cuts"]), row["low"] if row["high"] - row["low"] < _EXACT else 0
 
 
-def _bucket(df: DataFrame, value: Column, base: int, edges: list[int], name: str) -> DataFrame:
+def _bucket(df: DataFrame, value: Column, base: int, edges: Sequence[int], name: str) -> DataFrame:
     """``name`` := number of ``edges`` at or below ``value - base``, by binary search in the JVM.
 
     Offsets from the origin keep microsecond times exact in a double for 285 years; beyond 2^53

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from windrow.functions.durations import interval, micros
 from windrow.functions.times import epoch_micros, shift
-from windrow.operators.chunks import with_chunks
+from windrow.operators.chunks import assign_chunks, find_cuts
 from windrow.operators.heavy import ABOVE, heaviest
 from windrow.operators.windows import Windows, with_bounds
 
@@ -142,10 +142,13 @@ def _cut_heavy(
     if not heavy_rows:
         heavy.unpersist()
         return None
-    marked = rows.join(F.broadcast(heavy), list(group), "left")
-    is_heavy = F.col("_rows").isNotNull()
-    cut = with_chunks(marked, epoch_micros("_ts"), F.col("_tie"), chunks, is_heavy, heavy_rows)
-    return cut.drop("_rows")
+    order = (epoch_micros("_ts"), F.col("_tie"))
+    cuts = find_cuts(
+        rows, *order, chunks, heavy_rows, lambda df: df.join(F.broadcast(heavy), list(group), "left_semi")
+    )
+    marked = assign_chunks(rows.join(F.broadcast(heavy), list(group), "left"), cuts, *order)
+    chunk = F.when(F.col("_rows").isNotNull(), F.col("chunk")).otherwise(F.lit(0))
+    return marked.withColumn("chunk", chunk).drop("_rows")
 
 
 def _reduce_groups(

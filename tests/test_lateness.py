@@ -103,3 +103,28 @@ def test_closed_cut_is_applied_before_the_shuffle(spark, small):
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan
     assert plan.index("Aggregate") < plan.index("scalar-subquery")
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    data=st.lists(st.tuples(st.integers(0, 1), st.integers(0, 9), st.integers(0, 60)), max_size=30),
+    size=st.integers(1, 4),
+    offset=st.integers(0, 4),
+    delay=st.integers(0, 6),
+)
+def test_pairs_equal_a_plain_scan(spark, data, size, offset, delay):
+    """Windows of ``size`` slides of 5 seconds; every pair judged on its own."""
+    windows = Windows(f"{5 * size} seconds", "5 seconds", f"{offset} seconds")
+    seen = running_max(data)
+    pairs, late = set(), set()
+    for i, (_, _, s) in enumerate(data):
+        newest = s - (s - offset) % 5
+        starts = [newest - 5 * j for j in range(size)]
+        open_ = [w for w in starts if seen[i] is None or w + 5 * size > seen[i] - delay]
+        pairs |= {(i, at(w)) for w in open_}
+        if not open_:
+            late.add(i)
+    df = arrivals(spark, data)
+    got = on_time_pairs(df, windows, f"{delay} seconds", chunks=4)
+    assert {(r.row_id, r.start) for r in got.select("row_id", "window.start").collect()} == pairs
+    assert {r.row_id for r in split_late(df, windows, f"{delay} seconds", chunks=4)[1].collect()} == late

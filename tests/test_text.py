@@ -1,7 +1,12 @@
+import re
+from collections import Counter
+
 import pytest
+from hypothesis import given, settings, strategies as st
 
 from tests.conftest import rows
 from windrow.functions.text import explode_lines, explode_words, line_word_counts
+from windrow.operators.layout import spread
 
 TOKENS = [
     ("", [""]),
@@ -55,3 +60,48 @@ def test_line_counts_need_no_shuffle(spark, small):
 def test_long_line_is_counted_whole(spark):
     df = spark.createDataFrame([(1, "ab cd " * 50_000)], "id int, line string")
     assert rows(line_word_counts(df), "word") == [(1, "ab", 50_000), (1, "cd", 50_000)]
+
+
+def plain_words(line):
+    """The rule spelled out: blank what is no letter, split at white space, drop empties at the end."""
+    parts = re.split(r"\s+", re.sub("[^a-zA-Z ]", " ", line))
+    if parts == [""]:
+        return parts
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text("aZ b1.\té😀 ", max_size=12), min_size=1, max_size=60))
+def test_any_line(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, line string")
+    want = Counter((i, w) for i, t in enumerate(texts) for w in plain_words(t))
+    assert Counter((r.id, r.word) for r in explode_words(df).collect()) == want
+    assert {(r.id, r.word): r.n for r in line_word_counts(df).collect()} == dict(want)
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.text("a\r\n", max_size=8), min_size=1, max_size=60))
+def test_any_text(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    want = []
+    for i, text in enumerate(texts):
+        *ended, last = text.split("\n")
+        found = [line.removesuffix("\r") for line in ended] + ([last] if last else [])
+        want += [(i, pos, line) for pos, line in enumerate(found)]
+    assert rows(explode_lines(df), "id", "pos") == want
+
+
+def test_null_text_and_line(spark):
+    df = spark.createDataFrame([(1, None)], "id int, text string")
+    assert explode_lines(df).collect() == []
+    lines = df.withColumnRenamed("text", "line")
+    assert explode_words(lines).collect() == []
+    assert line_word_counts(lines).collect() == []
+
+
+def test_spread_moves_rows_only_where_the_scan_is_narrow(spark):
+    assert spread(spark.range(100, numPartitions=2)).rdd.getNumPartitions() == 8
+    wide = spark.range(100, numPartitions=9)
+    assert spread(wide) is wide

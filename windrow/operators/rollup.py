@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from windrow.functions.money import cents, from_cents
 from windrow.functions.times import shift
-from windrow.operators.windows import ROLLUP_WINDOWS, Windows, with_bounds
+from windrow.operators.windows import ROLLUP_WINDOWS, Windows, placed, with_bounds
 
 
 def window_time(totals: DataFrame) -> DataFrame:
@@ -22,11 +22,9 @@ def global_rollup(
     A transaction that sits in several sliding windows of the first stage counts once for each.
     The last reducer gets one row per task and window, never the rows themselves.
     """
-    rolled = (
-        totals.select(ts, "tran_count", cents("sum_amount").alias("_cents"))
-        .groupBy(windows.of(ts).alias("window"))
-        .agg(F.sum("tran_count").alias("tran_count"), F.sum("_cents").alias("_cents"))
-    )
-    return with_bounds(
-        rolled.select("window", "tran_count", from_cents("_cents").alias("sum_amount"))
+    rows = totals.select(ts, "tran_count", cents("sum_amount").alias("_cents"))
+    rolled = rows.groupBy(placed(rows, windows, ts)).agg(
+        F.sum("tran_count").alias("tran_count"), F.sum("_cents").alias("_cents")
     )
+    summed = rolled.withColumn("sum_amount", from_cents("_cents")).drop("_cents")
+    return with_bounds(summed, windows)

@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from windrow.functions.money import cents, from_cents
-from windrow.operators.windows import Windows, with_bounds
+from windrow.functions.times import shift
+from windrow.operators.windows import Windows, placed, with_bounds
 
 
 def amount_totals(
@@ -35,37 +36,40 @@ def amount_totals(
     """
     keys = [] if key is None else [key]
     rows = df.select(ts, *keys, cents(amount).alias("_cents"))
+    sums = [F.sum("_cents").alias("_cents"), F.count(F.lit(1)).alias("_rows")]
     if windows.overlapping and not df.isStreaming:
-        panes = (
-            rows.groupBy(windows.pane.of(ts)["start"].alias("_pane"), *keys)
-            .agg(F.sum("_cents").alias("_cents"), F.count(F.lit(1)).alias("_rows"))
-        )
-        grouped = panes.groupBy(windows.of("_pane").alias("window"), *keys)
+        panes = rows.groupBy(windows.pane.of(ts)["start"].alias("_pane"), *keys).agg(*sums)
+        grouped = panes.groupBy(placed(panes, windows, "_pane"), *keys)
         totals = grouped.agg(F.sum("_cents").alias("_cents"), F.sum("_rows").alias("_rows"))
     else:
-        grouped = rows.groupBy(windows.of(ts).alias("window"), *keys)
-        totals = grouped.agg(F.sum("_cents").alias("_cents"), F.count(F.lit(1)).alias("_rows"))
-    times = [] if time_name is None else [F.window_time("window").alias(time_name)]
+        totals = rows.groupBy(placed(rows, windows, ts), *keys).agg(*sums)
+    last = [] if time_name is None else [_last_instant(totals, windows).alias(time_name)]
     return with_bounds(
         totals.select(
-            "window",
+            totals.columns[0],
             *keys,
             from_cents("_cents").alias(sum_name),
             F.col("_rows").alias(count_name),
-            *times,
-        )
+            *last,
+        ),
+        windows,
     )
 
 
+def _last_instant(totals: DataFrame, windows: Windows) -> Column:
+    if totals.isStreaming:
+        return F.window_time("window")
+    return shift(shift(F.col("window_start"), windows.size), "1 microsecond", sign=-1)
+
+
 def pair_totals(pairs: DataFrame, key: str, amount: Column | str) -> DataFrame:
     """Amount sum and row count per window and key of rows that carry their ``window`` already."""
-    totals = (
-        pairs.select("window", key, cents(amount).alias("_cents"))
-        .groupBy("window", key)
-        .agg(F.sum("_cents").alias("_cents"), F.count(F.lit(1)).alias("tran_count"))
+    rows = with_bounds(pairs.select("window", key, cents(amount).alias("_cents")))
+    totals = rows.groupBy("window_start", "window_end", key).agg(
+        F.sum("_cents").alias("_cents"), F.count(F.lit(1)).alias("tran_count")
     )
-    return with_bounds(
-        totals.select("window", key, from_cents("_cents").alias("sum_amount"), "tran_count")
+    return totals.select(
+        "window_start", "window_end", key, from_cents("_cents").alias("sum_amount"), "tran_count"
     )
 
 
@@ -73,14 +77,13 @@ def windowed_sums(
     df: DataFrame, windows: Windows, keys: Sequence[str], value: str, ts: str, name: str
 ) -> DataFrame:
     """Sum of an integer column per window and keys, as BIGINT."""
-    totals = df.groupBy(windows.of(ts).alias("window"), *keys).agg(
-        F.sum(F.col(value).cast("bigint")).alias(name)
-    )
-    return with_bounds(totals)
+    total = F.sum(F.col(value).cast("bigint")).alias(name)
+    return windowed_aggregates(df, windows, keys, [total], ts)
 
 
 def windowed_aggregates(
     df: DataFrame, windows: Windows, keys: Sequence[str], aggregates: Sequence[Column], ts: str
 ) -> DataFrame:
     """Any built-in aggregates per window and keys; the hook for one's own window functions."""
-    return with_bounds(df.groupBy(windows.of(ts).alias("window"), *keys).agg(*aggregates))
+    totals = df.groupBy(placed(df, windows, ts), *keys).agg(*aggregates)
+    return with_bounds(totals, windows)

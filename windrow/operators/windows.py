@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from windrow.functions.durations import common_pane, interval, micros
+from windrow.functions.times import shift
 
 
 @dataclass(frozen=True)
@@ -46,11 +47,21 @@ RETAIL_DELAY = "2 seconds"
 NO_DELAY = "0 seconds"
 
 
-def with_bounds(df: DataFrame, window: str = "window") -> DataFrame:
-    """Replace the window struct by the columns ``window_start`` and ``window_end``, first."""
-    rest = [F.col(c) for c in df.columns if c != window]
-    return df.select(
-        F.col(f"{window}.start").alias("window_start"),
-        F.col(f"{window}.end").alias("window_end"),
-        *rest,
-    )
+def placed(df: DataFrame, windows: Windows, ts: str) -> Column:
+    """The window of ``ts`` as a grouping column: the struct on a stream, whose watermark goes with
+    it, and the bare start in batch, a fifth of the struct's size in every shuffled row."""
+    if df.isStreaming:
+        return windows.of(ts).alias("window")
+    return windows.of(ts)["start"].alias("window_start")
+
+
+def with_bounds(df: DataFrame, windows: Windows | None = None) -> DataFrame:
+    """Put ``window_start`` and ``window_end`` first, in place of a window struct or, given
+    ``windows``, of a bare window start."""
+    if "window" in df.columns:
+        start, end = F.col("window.start"), F.col("window.end")
+    else:
+        start = F.col("window_start")
+        end = shift(start, windows.size)
+    rest = [F.col(c) for c in df.columns if c not in ("window", "window_start")]
+    return df.select(start.alias("window_start"), end.alias("window_end"), *rest)

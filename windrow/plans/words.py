@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from windrow.functions.text import explode_lines, explode_words
 from windrow.operators.layout import spread
-from windrow.operators.windows import WORD_WINDOWS, Windows, with_bounds
+from windrow.operators.windows import WORD_WINDOWS, Windows, placed, with_bounds
 
 
 def word_totals(
@@ -21,9 +21,9 @@ def word_totals(
     Map-side combining does the per-line pre-count, and more.  The window is found once per line,
     before the line is cut into words.
     """
-    placed = lines.select(windows.of(ts).alias("window"), line)
-    counts = explode_words(placed, line, drop_empty).groupBy("window", "word")
-    return with_bounds(counts.agg(F.count(F.lit(1)).alias("n")))
+    windowed = lines.select(placed(lines, windows, ts), line)
+    counts = explode_words(windowed, line, drop_empty).groupBy(windowed.columns[0], "word")
+    return with_bounds(counts.agg(F.count(F.lit(1)).alias("n")), windows)
 
 
 def text_word_totals(texts: DataFrame, windows: Windows = WORD_WINDOWS) -> DataFrame:

@@ -12,11 +12,10 @@ def explode_lines(df: DataFrame, text: str = "text") -> DataFrame:
     """
     rest = [c for c in df.columns if c != text]
     parts = df.select(*rest, F.split(text, "\n").alias("_parts"))
+    sized = parts.withColumn("_size", F.size("_parts"))
     # The outer form adds no rows here (a split is never empty) and keeps Catalyst from testing the
     # split for emptiness first, which would run it twice; a null text is dropped below.
-    cut = parts.select(
-        *rest, F.size("_parts").alias("_size"), F.posexplode_outer("_parts").alias("pos", "line")
-    )
+    cut = sized.select(*rest, "_size", F.posexplode_outer("_parts").alias("pos", "line"))
     ended = F.col("pos") < F.col("_size") - 1
     kept = cut.where(ended | (F.col("line") != ""))
     bare = F.when(ended & F.col("line").endswith("\r"), F.expr("left(line, length(line) - 1)"))
@@ -31,22 +30,21 @@ def explode_words(df: DataFrame, line: str = "line", drop_empty: bool = False) -
     ``drop_empty`` to leave those out.
     """
     rest = [c for c in df.columns if c != line]
-    tokens = df.select(*rest, line, F.posexplode(_split(line)).alias("_at", "word"))
-    return tokens.where(_counts(line, drop_empty)).drop(line, "_at")
+    if drop_empty:
+        return df.select(*rest, F.explode(_split(line)).alias("word")).where("word <> ''")
+    # Only the first and the last token can be empty; the first is a word unless the line has
+    # separators alone.  Found per line, so that the words need not carry the line along.
+    leads = (F.col(line) == "") | F.col(line).rlike("[a-zA-Z]")
+    lines = df.select(*rest, line, leads.alias("_leads"))
+    tokens = lines.select(*rest, "_leads", F.posexplode(_split(line)).alias("_at", "word"))
+    words = tokens.where((F.col("word") != "") | ((F.col("_at") == 0) & F.col("_leads")))
+    return words.select(*rest, "word")
 
 
 def _split(line: str) -> Column:
     return F.split(line, "[^a-zA-Z]+")
 
 
-def _counts(line: str, drop_empty: bool) -> Column:
-    """Whether a token at ``_at`` is a word.  Only the first and the last token can be empty."""
-    if drop_empty:
-        return F.col("word") != ""
-    leading = (F.col("_at") == 0) & ((F.col(line) == "") | F.col(line).rlike("[a-zA-Z]"))
-    return (F.col("word") != "") | leading
-
-
 def line_word_counts(df: DataFrame, line: str = "line", drop_empty: bool = False) -> DataFrame:
     """One row per distinct word of each line, with its count ``n`` in that line.
 

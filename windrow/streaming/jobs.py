@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from windrow.functions.times import arrival_now, from_epoch_millis
+from windrow.operators.publish import publish_records
 from windrow.operators.windows import (
     NAME_WINDOWS,
     NO_DELAY,
@@ -22,6 +23,7 @@ from windrow.operators.windows import (
     Windows,
 )
 from windrow.plans import names, readings, retail, words
+from windrow.schemas import TRANSACTION
 from windrow.session import shared_dir
 from windrow.sources.kafka import write_topic
 from windrow.sources.replay import event_time
@@ -36,6 +38,19 @@ def start_all(writers: Iterable[DataStreamWriter]) -> list[StreamingQuery]:
     return [writer.start() for writer in writers]
 
 
+def publish(
+    transactions: DataFrame, out: str | dict[str, str], timestamp: Column | str = "ts"
+) -> None:
+    """Write a table of transactions as keyed records, numbered by ``transaction_id``, to a folder or
+    a topic."""
+    fields = {name: name for name in TRANSACTION.fieldNames()}
+    records = publish_records(transactions, "transaction_id", fields, timestamp)
+    if isinstance(out, dict):
+        records.write.format("kafka").options(**out).save()
+    else:
+        records.write.mode("append").parquet(out)
+
+
 def retail_job(
     records: DataFrame,
     out: str | dict[str, str],

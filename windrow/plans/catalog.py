@@ -34,7 +34,7 @@ LATE_WINDOWS = Windows("2 hours", "1 hour")
 STAGGER = "6 hours"
 
 TRANSACTION_FIELDS = TRANSACTION.fieldNames()
-_ORDER = {"source": "source_partition", "arrival": "arrival", "tiebreak": "row_id"}
+ARRIVAL_ORDER = {"source": "source_partition", "arrival": "arrival", "tiebreak": "row_id"}
 
 
 def _table(name: str, view: Callable[[DataFrame], DataFrame]):
@@ -155,12 +155,12 @@ def round_robin_balance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def late_rows(spark: SparkSession, folder: str) -> DataFrame:
-    _, late = split_late(_arrivals(spark, folder), LATE_WINDOWS, RETAIL_DELAY, **_ORDER)
+    _, late = split_late(_arrivals(spark, folder), LATE_WINDOWS, RETAIL_DELAY, **ARRIVAL_ORDER)
     return late.select("row_id", "ts", "source_partition", "arrival", "store_id", "price")
 
 
 def on_time_store_sliding(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = on_time_pairs(_arrivals(spark, folder), LATE_WINDOWS, RETAIL_DELAY, **_ORDER)
+    pairs = on_time_pairs(_arrivals(spark, folder), LATE_WINDOWS, RETAIL_DELAY, **ARRIVAL_ORDER)
     return pair_totals(pairs, "store_id", "price")
 
 

@@ -160,3 +160,10 @@ ORACLE: dict[str, str] = {
         GROUP BY us, store_id
     """,
 }
+
+# A stream emits a window once the newest row is past its end by the delay.
+ORACLE["q_stream_store_sliding"] = f"""
+    SELECT * FROM ({ORACLE["q_store_sliding"]})
+    WHERE window_end <= (SELECT max(l_shipdate) - INTERVAL 2 SECOND FROM lineitem)
+"""
+ORACLE["q_stream_late_rows"] = ORACLE["q_late_rows"]

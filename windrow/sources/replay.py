@@ -7,17 +7,17 @@ from pyspark.sql.types import StructType
 
 
 def table_stream(
-    spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = 1
+    spark: SparkSession, folder: str, schema: StructType, files_per_batch: int | None = 1
 ) -> DataFrame:
-    """A stream over the parquet files of ``folder``, oldest first, from the first one on.
+    """A stream over the parquet files of ``folder``, oldest first, from the first one on; ``None``
+    takes all there are in one batch.
 
     Replayable: offsets live in the checkpoint of the query that reads it.
     """
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(folder)
 
 
 def line_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:

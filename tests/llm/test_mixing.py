@@ -1,0 +1,57 @@
+from collections import Counter, defaultdict
+
+import pytest
+
+from windrow.llm import mixing
+
+
+def brute_targets(sizes, weights=(1, 2, 3), epochs=3):
+    """Share by weight, stop at the limit, share the excess again."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    got, free, left = {}, set(names), float(sum(sizes.values()))
+    while free:
+        level = left / sum(weight[s] for s in free)
+        full = {s for s in free if level * weight[s] >= epochs * sizes[s]}
+        for s in full or free:
+            got[s] = epochs * sizes[s] if full else level * weight[s]
+        left -= sum(epochs * sizes[s] for s in full)
+        free = free - full if full else set()
+    return got
+
+
+@pytest.mark.parametrize("which", ["odd", "documents"])
+def test_targets_and_budgets(request, which):
+    docs = request.getfixturevalue(which)
+    found = mixing.mixed(docs, docs.count()).collect()
+    assert Counter(r.doc_id for r in found) == Counter(r.doc_id for r in docs.collect())
+    sizes, taken, target = defaultdict(int), defaultdict(int), {}
+    for r in found:
+        sizes[r.source] += r.size
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 3 * r.size
+    assert target == pytest.approx(brute_targets(sizes))
+    assert sum(target.values()) == pytest.approx(sum(sizes.values()))
+    for s, words in taken.items():
+        assert target[s] - 1 <= words <= target[s]
+
+
+def test_ranges_do_not_change_the_result(documents):
+    few, many = (mixing.mixed(documents, n).orderBy("doc_id").collect() for n in (1, 10_000_000))
+    assert few == many
+
+
+def test_documents_of_the_mix(odd, documents, none):
+    for docs in (odd, documents):
+        out = mixing.mixed_documents(docs, docs.count())
+        assert out.columns == docs.columns
+        want, got, largest = defaultdict(float), defaultdict(int), defaultdict(int)
+        for r in mixing.mixed(docs, docs.count()).collect():
+            want[r.source] = r.target
+            largest[r.source] = max(largest[r.source], r.size)
+        for r in out.withColumn("words", mixing.words()).collect():
+            got[r.source] += r.words
+        for s in want:  # a document at the cut goes in or out whole; rows of one id and text go together
+            assert abs(got[s] - want[s]) <= 2 * largest[s]
+    assert mixing.mixed_documents(none, 0).count() == mixing.mixed(none, 0).count() == 0

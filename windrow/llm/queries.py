@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from windrow.llm import exact, mixing, ring
+from windrow.llm import exact, mixing, packing, ring, simhash
 from windrow.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.token_pieces(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return packing.packed(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact.duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -30,8 +36,15 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(docs, docs.count()).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"), shingle_words=4, most_bits=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sharding": op4_sharding,
     "op8_mixing": op8_mixing,
+    "op9_simhash": op9_simhash,
 }

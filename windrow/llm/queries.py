@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from windrow.llm import exact, mixing, packing, ring, simhash
+from windrow.llm import exact, licenses, mixing, packing, ring, rules, simhash
 from windrow.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.rated(table(spark, folder, "documents"))
+
+
 def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return mixing.mixed(docs, docs.count()).select("doc_id", "size", "source_size", "target", "taken")
@@ -41,10 +45,16 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.labelled(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sharding": op4_sharding,
+    "op7_rules": op7_rules,
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
+    "op10_licenses": op10_licenses,
 }

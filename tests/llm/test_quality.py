@@ -1,0 +1,74 @@
+import itertools
+import math
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, strategies as st
+
+from windrow.llm import crf, quality
+
+
+@given(st.lists(st.floats(-5, 5), min_size=1, max_size=7), st.lists(st.floats(-3, 3), min_size=4, max_size=4))
+def test_messages_are_the_sum_over_all_labellings(good, pairs):
+    pairs = np.array(pairs).reshape(2, 2)
+    weights = {s: math.exp(sum(g for g, x in zip(good, s, strict=True) if x) + sum(pairs[a, b] for a, b in zip(s, s[1:]))) for s in itertools.product((0, 1), repeat=len(good))}
+    total = sum(weights.values())
+    marginals, expected, norm = crf._messages(np.array(good), pairs)
+    assert norm == pytest.approx(math.log(total), abs=1e-6)
+    for i, got in enumerate(marginals):
+        assert got == pytest.approx(sum(w for s, w in weights.items() if s[i]) / total, abs=1e-9)
+    for a, b in itertools.product((0, 1), repeat=2):
+        want = sum(w * sum(x == (a, b) for x in zip(s, s[1:])) for s, w in weights.items()) / total
+        assert expected[a, b] == pytest.approx(want, abs=1e-9)
+
+
+def test_neighbours_decide_a_doubtful_line():
+    model = crf.Model(np.zeros(crf.FEATURES), np.array([[2.0, -2.0], [-2.0, 2.0]]), 1.0, 0.0)
+    rows = np.zeros((3, crf.FEATURES))
+    rows[[0, 2], -1] = 1
+    model.weights[-1] = 3
+    assert model.marginals(rows)[1] > 0.95 and model.marginals(np.zeros((1, crf.FEATURES)))[0] == 0.5
+
+
+def test_features_of_lines():
+    rows, lengths = crf.features("ab cd\n \nAB AB. é".encode())
+    assert rows.shape == (2, crf.FEATURES) and lengths.tolist() == [5, 9]
+    assert rows[0, crf.OWN : 2 * crf.OWN].tolist() == [0] * crf.OWN and rows[0, 2 * crf.OWN : -1].tolist() == rows[1, : crf.OWN].tolist()
+    assert crf.features(b"")[0].shape == (1, crf.FEATURES)
+
+
+def test_held_out_documents_are_told_apart(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    found = quality.rated(docs, labels)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"] and found.count() == docs.count()
+    rows = found.join(labels, "doc_id").collect()
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7)
+    unseen = [r for r in rows if r.held_out]
+    assert sum(r.predicted == r.quality for r in unseen) >= 0.95 * len(unseen)
+    assert sum(r.predicted for r in rows if r.quality) >= 0.98 * sum(r.quality for r in rows)
+
+
+def test_learns_from_texts_alone(spark, documents):
+    """Other ids, sources and languages, or another order of the rows, change no score of a text."""
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    model = quality.learn(documents, labels)
+    again = quality.learn(documents.repartition(5).selectExpr("doc_id", "text"), labels.repartition(3))
+    assert np.array_equal(model.weights, again.weights) and (model.slope, model.shift) == (again.slope, again.shift)
+    held = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 4 = 2, 1 - quality, quality) as quality")
+    assert np.array_equal(model.weights, quality.learn(documents, held).weights)
+
+
+def test_odd_rows(spark, odd, none):
+    labels = spark.createDataFrame([(1, 1), (3, 0), (4, 0), (9, 1), (9, 0), (None, 1), (77, 1), (5, None)], "doc_id long, quality int")
+    assert quality.rated(odd, labels).count() == odd.count()
+    kept = quality.good_documents(odd, labels)
+    assert kept.columns == odd.columns
+    assert quality.good_documents(odd, labels.limit(0)).count() == odd.count()
+    assert {r.score for r in quality.rated(odd, labels.limit(0)).collect()} == {0.5}
+    assert quality.rated(none, labels).count() == quality.good_documents(none, labels).count() == 0
+    clash = quality.scored(odd.withColumnRenamed("tag", "score"), quality.learn(odd, labels))
+    assert clash.columns.count("score") == 1

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from windrow.llm import exact, html, licenses, mixing, packing, ring, rules, simhash
+from windrow.llm import exact, html, licenses, mixing, packing, quality, ring, rules, simhash
 from windrow.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rated(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_html(spark: SparkSession, folder: str) -> DataFrame:
     return html.extracted(table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sharding": op4_sharding,
+    "op5_quality": op5_quality,
     "op6_html": op6_html,
     "op7_rules": op7_rules,
     "op8_mixing": op8_mixing,

@@ -143,7 +143,7 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: i
     """
     digest = checkpointed(digests(docs, key, text, bits))
     repeated = checkpointed(repeated_fingerprints(digest, digest.count()))
-    classes = byte_classes(docs, repeated, key, text, bits)
+    classes = checkpointed(byte_classes(docs, repeated, key, text, bits))  # so that Spark may split a hot class in the join
     again = (
         digest.groupBy("key", "tag")
         .agg(F.min("row").alias("first_row"), F.count(F.lit(1)).alias("times"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from windrow.llm import exact, html, licenses, mixing, packing, quality, ring, rules, simhash
+from windrow.llm import exact, html, licenses, lm, mixing, packing, quality, ring, rules, simhash
 from windrow.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """The target is what is labelled good; the background is all documents."""
+    good = table(spark, folder, "labels").filter("quality = 1")
+    return lm.rated(table(spark, folder, "documents"), good)
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Shards 0 to 7 by the law of rows: without slack every shard gets full, so counts differ by one at most."""
     placed = ring.shard_documents(table(spark, folder, "documents"), shards=8)
@@ -60,6 +66,7 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_lm_score": op3_lm_score,
     "op4_sharding": op4_sharding,
     "op5_quality": op5_quality,
     "op6_html": op6_html,

@@ -4,27 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from windrow.llm import exact
-from windrow.llm.shared import table
+from windrow.llm import exact, mixing, packing, quality, simhash
+from windrow.llm.shared import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: The tokenizer of the packed sequences, one of the public files.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go.  It learns from ``labels``; without any, all stay."""
+    return quality.good_documents(docs, table(spark, sf_dir, "labels"))
+
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest id stays."""
+    """Of texts that are equal after lower-casing A-Z, the document of the largest id stays."""
     return exact.deduplicated(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are linked by SimHash, the one of the smallest id stays."""
+    return simhash.deduplicated(docs, shingle_words=4, most_bits=4)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each source's documents up to its target, whole, and again where the target is larger."""
+    return mixing.mixed_documents(docs, docs.count())
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents and their places in training sequences."""
+    pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), with_ids=False)
+    return packing.packed(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality_classifier),
+    ("exact dedup", exact_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mix),
+    ("best-fit packing", pack),
+]
 
-#: The stages cannot be put in SQL: tests/llm holds them against brute force.
+#: The classifier, the fingerprints and the tokenizer cannot be put in SQL: tests/llm holds the
+#: stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``.  Each stage's rows are written to the shared folder, so that a
+    later one, or a lost executor, reads them again and does not make them again."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

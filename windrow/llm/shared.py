@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,10 +19,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     A lost executor costs no more than a reread.  Where the session names no folder, as in tests,
     checkpoints go beside its warehouse.
     """
-    spark = df.sparkSession
+    _shared_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the same folder: for whole documents, of which a reader wants some columns."""
+    path = f"{_shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """This application's own folder within that of ``spark.checkpoint.dir``."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
-    return df.checkpoint()
+    return spark.sparkContext.getCheckpointDir()
 
 
 def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -59,8 +59,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
         words = WordTokens(tokenizer)
         for batch in batches:
             at, starts, parts = [], [], []
-            for i, ids in enumerate(words.encode([data or b"" for data in as_bytes(batch.column("text"))])):
-                ids += end
+            for i, data in enumerate(as_bytes(batch.column("text"))):
+                ids = words.encode(data or b"") + end
                 for start in range(0, len(ids), step):
                     at.append(i)
                     starts.append(start // 4)

@@ -3,57 +3,59 @@
 from __future__ import annotations
 
 import re
+import struct
 
-import numpy as np
-
-#: A word of letters with no or some marks after it, as UTF-8: ASCII and Latin-1 letters only.
-_PLAIN = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])*)([.,!?;:*&%$#|]*)\Z")
+#: Letters only, ASCII or Latin-1, as UTF-8.
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z")
+#: Marks that may follow a word of letters without changing how it is cut.
+_MARKS = b".,!?;:*&%$#|"
 #: Words that are remembered before the memory begins anew.
 REMEMBERED = 600_000
 
 
-class WordTokens:
+class WordTokens(dict):
     """Ids as bytes (little-endian unsigned 32-bit), the same as of the tokenizer's own ``encode``.
 
     The tokenizer drops white space and lets no token reach over it, so a text's ids are those of
-    its words, one after the other, and a word's ids are looked up once.  A new word made of plain
-    letters and marks goes to the tokenizer's model in these two parts, as the tokenizer itself
-    would cut it; every other word goes through the whole tokenizer.
+    its words, one after the other, and a word's ids are looked up once: this is the dictionary of
+    words seen.  A new word made of plain letters and marks goes to the tokenizer's model in these
+    two parts, as the tokenizer itself would cut it; every other word goes through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words: dict[bytes, bytes] = {}
+        # how the tokenizer spells the bytes of a letter beyond ASCII for its model
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {b: spelt for c in map(chr, range(0xC0, 0x100)) for b, spelt in zip(c.encode(), spell(c)[0][0], strict=True)}
         self.parts: dict[bytes, bytes] = {b"": b""}
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text."""
-        split = [text.split() for text in texts]
-        if len(self.words) > REMEMBERED:
-            self.words, self.parts = {}, {b"": b""}
-        words = self.words
-        self._learn({w for some in split for w in some} - words.keys())
-        return [b"".join([words[w] for w in some]) for some in split]
-
-    def _learn(self, new: set[bytes]) -> None:
-        odd = []
-        for word in new:
-            if found := _PLAIN.match(word):
-                self.words[word] = self._part(found[1]) + self._part(found[2])
-            else:
-                odd.append(word)
-        encoded = self.tokenizer.encode_batch([w.decode() for w in odd], add_special_tokens=False)
-        self.words.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(odd, encoded, strict=True))
+    def encode(self, text: bytes) -> bytes:
+        if len(self) > REMEMBERED:
+            self.clear()
+            self.parts = {b"": b""}
+        return b"".join(map(self.__getitem__, text.split()))
+
+    def __missing__(self, word: bytes) -> bytes:
+        letters = word.rstrip(_MARKS)
+        if letters.isalpha() or not letters or _LETTERS.match(letters):
+            ids = self._part(letters.lower()) + self._part(word[len(letters) :])
+        else:
+            ids = _packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+        self[word] = ids
+        return ids
 
     def _part(self, part: bytes) -> bytes:
-        part = part.lower()
-        if part not in self.parts:
-            text = part.decode().lower()
-            if not part.isascii():
-                text = self.spelled.pre_tokenize_str(text)[0][0]
-            self.parts[part] = np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
-        return self.parts[part]
+        ids = self.parts.get(part)
+        if ids is None:
+            text = part.decode() if part.isascii() else part.decode().lower().encode().decode("latin-1").translate(self.spelling)
+            ids = self.parts[part] = _packed([t.id for t in self.model.tokenize(text)])
+        return ids
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)

@@ -5,6 +5,8 @@ Everything is DataFrame operations: no Python runs on the executors.
 
 from __future__ import annotations
 
+from math import isqrt
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from windrow.llm.shared import checkpointed, fresh, sized
@@ -13,8 +15,9 @@ from windrow.llm.shared import checkpointed, fresh, sized
 MOST_EPOCHS = 3
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (1, 2, 3)
-#: Rows that one range of keys of a source is meant to hold.
-RANGE_ROWS = 100_000
+#: A source's keys are cut into so many ranges at least, else into the square root of all rows: then
+#: neither the rows of a range nor the ranges of a source are many.
+LEAST_RANGES = 16
 
 
 def words(text: str = "text") -> Column:
@@ -97,12 +100,14 @@ def mixed(docs: DataFrame, rows: int, key: str = "doc_id", text: str = "text", s
     sets how finely the keys are cut, never the result.  Null sources are one source, the last;
     rows without words take nothing; an empty table gives no rows.
     """
-    narrow = docs.select(
-        F.col(key), F.col(source).cast("string").alias("source"), words(text).alias("size"), _order_key(key).alias("order_key"), _tie(text).alias("tie")
+    narrow = checkpointed(  # words are counted once
+        docs.select(
+            F.col(key), F.col(source).cast("string").alias("source"), words(text).alias("size"), _order_key(key).alias("order_key"), _tie(text).alias("tie")
+        )
     )
     per_source = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")))
     per_source = per_source.withColumnRenamed("source", "of_source")
-    ordered = prefix_sums(narrow, max(16, -(-rows // RANGE_ROWS)))
+    ordered = prefix_sums(narrow, max(LEAST_RANGES, isqrt(rows)))
     out = ordered.join(per_source, F.col("source").eqNullSafe(F.col("of_source")))
     budget = F.floor("target")
     return out.withColumn("taken", taken(F.col("before"), F.col("size"), F.col("source_size"), budget)).select(

@@ -1,0 +1,60 @@
+from decimal import Decimal
+
+import pytest
+
+from windrow.operators.rollup import global_rollup, window_time
+from windrow.operators.totals import amount_totals, fanned_totals
+from windrow.operators.windows import Windows
+from windrow.plans import retail
+
+DAY = Windows("1 day")
+
+
+def sales(spark, amount, kind, n=1):
+    return spark.range(n).selectExpr(f"cast('{amount}' as {kind}) as price", "1L as store_id", "id as product_id", "timestamp_ntz'2024-01-01' as ts")
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(18,3)", "decimal(38,10)"])
+def test_amounts_below_a_cent(spark, kind):
+    (row,) = amount_totals(sales(spark, "0.004", kind, 1000), DAY, "store_id", "price").collect()
+    assert row.sum_amount == pytest.approx(4.0, abs=1e-9) and row.tran_count == 1000
+
+
+@pytest.mark.parametrize("amount", ["0.125", "90071992547409.93", "-0.001", "99999999999999999999.999999"])
+def test_decimals_keep_their_scale(spark, amount):
+    rows = sales(spark, amount, "decimal(28,6)", 3)
+    (row,) = amount_totals(rows, DAY, "store_id", "price", exact=True).collect()
+    assert row.sum_amount == 3 * Decimal(amount)
+    (rolled,) = retail.rollup_in_one(rows, Windows("2 days", "1 day"), DAY).limit(1).collect()
+    assert rolled.sum_amount == float(3 * Decimal(amount))
+
+
+def test_a_sum_too_large_is_an_error(spark):
+    rows = sales(spark, "9" * 38, "decimal(38,0)", 4)
+    with pytest.raises(Exception, match="(?i)overflow|out_of_range"):
+        amount_totals(rows, DAY, "store_id", "price").collect()
+
+
+def test_rollup_of_exact_totals(spark):
+    rows = sales(spark, "0.001", "decimal(18,3)", 7)
+    totals = window_time(amount_totals(rows, DAY, "product_id", "price", exact=True))
+    (row,) = global_rollup(totals, DAY).collect()
+    assert (row.sum_amount, row.tran_count) == (0.007, 7)
+
+
+def test_fan_out_reads_once_and_shuffles_once(spark, small, tmp_path):
+    rows = spark.read.parquet(f"{small}/lineitem.parquet").selectExpr("l_suppkey store_id", "l_partkey product_id", "l_extendedprice price", "l_shipdate ts")
+    plan = fanned_totals(rows, Windows("10 days", "5 days"), ["store_id", "product_id"], "price")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_two_windows_a_row_take_one_shuffle(spark, small):
+    rows = spark.read.parquet(f"{small}/lineitem.parquet").selectExpr("l_partkey product_id", "l_extendedprice price", "l_shipdate ts")
+    plan = amount_totals(rows, Windows("10 days", "5 days"), "product_id", "price")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_null_keys_of_a_fan_out(spark):
+    rows = spark.createDataFrame([(None, 1, 2.0), (1, None, 3.0)], "store_id long, product_id long, price double").selectExpr("*", "timestamp_ntz'2024-01-01' as ts")
+    found = {(r.branch, r.store_id, r.product_id): r.sum_amount for r in fanned_totals(rows, DAY, ["store_id", "product_id"], "price").collect()}
+    assert found == {("store_id", None, None): 2.0, ("store_id", 1, None): 3.0, ("product_id", None, 1): 2.0, ("product_id", None, None): 3.0}

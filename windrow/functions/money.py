@@ -1,8 +1,9 @@
-"""Exact, order-free sums of currency amounts.
+"""Sums of currency amounts, as exact as their type.
 
-Amounts become whole cents in a BIGINT: the sum is the same whatever the order of the rows or a
-task retry, stays in the primitive hash-aggregate path, and raises on overflow (ANSI mode)
-instead of wrapping.  Fractions of a cent go to the nearest cent.
+A ``DECIMAL`` is summed at its own scale in 38 digits: exact, the same whatever the order of the
+rows, and an error rather than a wrap where even these do not do.  ``FLOAT`` and ``DOUBLE`` are
+summed as ``DOUBLE``, unrounded; who wants exact sums of such a column says what its amounts are, by
+a cast to ``DECIMAL``.  Between stages a sum keeps its type; results show it as ``DOUBLE``.
 """
 
 from __future__ import annotations
@@ -10,12 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def cents(amount: Column | str) -> Column:
-    amount = F.col(amount) if isinstance(amount, str) else amount
-    # rint stays a machine instruction, where round takes every value through a BigDecimal.
-    return F.rint(amount.cast("double") * F.lit(100.0)).cast("bigint")
+def total(amount: Column | str) -> Column:
+    return F.sum(amount)
 
 
-def from_cents(total: Column | str) -> Column:
-    total = F.col(total) if isinstance(total, str) else total
-    return total.cast("double") / F.lit(100.0)
+def shown(amount: Column | str) -> Column:
+    amount = F.col(amount) if isinstance(amount, str) else amount
+    return amount.cast("double")

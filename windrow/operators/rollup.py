@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from windrow.functions.money import cents, from_cents
+from windrow.functions.money import shown, total
 from windrow.functions.times import shift
 from windrow.operators.windows import ROLLUP_WINDOWS, Windows, placed, with_bounds
 
@@ -22,9 +22,8 @@ def global_rollup(
     A transaction that sits in several sliding windows of the first stage counts once for each.
     The last reducer gets one row per task and window, never the rows themselves.
     """
-    rows = totals.select(ts, "tran_count", cents("sum_amount").alias("_cents"))
+    rows = totals.select(ts, "tran_count", "sum_amount")
     rolled = rows.groupBy(placed(rows, windows, ts)).agg(
-        F.sum("tran_count").alias("tran_count"), F.sum("_cents").alias("_cents")
+        F.sum("tran_count").alias("tran_count"), shown(total("sum_amount")).alias("sum_amount")
     )
-    summed = rolled.withColumn("sum_amount", from_cents("_cents")).drop("_cents")
-    return with_bounds(summed, windows)
+    return with_bounds(rolled, windows)

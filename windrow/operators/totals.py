@@ -10,11 +10,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from windrow.functions.money import cents, from_cents
+from windrow.functions.durations import micros
+from windrow.functions.money import shown, total
 from windrow.functions.times import shift
 from windrow.operators.windows import Windows, placed, with_bounds
 
 
+#: Windows that a row falls into, beyond which rows are summed by pane first.
+DIRECT_WINDOWS = 2
+
+
 def amount_totals(
     df: DataFrame,
     windows: Windows,
@@ -24,23 +29,26 @@ def amount_totals(
     sum_name: str = "sum_amount",
     count_name: str = "tran_count",
     time_name: str | None = None,
+    exact: bool = False,
 ) -> DataFrame:
     """Amount sum and row count per window and key (no key: one row per window).
 
     ``time_name`` adds the window's last instant, the event time by which a further window
-    aggregate can go on, in the same query and on a stream too.
+    aggregate can go on, in the same query and on a stream too; ``exact`` leaves the sum in the type
+    it was made in, for such a stage.
 
-    Batch, overlapping windows: rows are aggregated once into the panes the windows share and the
-    pane totals are spread over the windows, so the per-row work does not grow with size / slide.
+    Batch, windows that overlap more than twice: rows are aggregated once into the panes the windows
+    share and the pane totals are spread over the windows, so the per-row work does not grow with
+    size / slide.  Otherwise a row is put into its one or two windows directly, with one shuffle.
     Streams: one stateful aggregate over the windows, so a late row is judged per window.
     """
     keys = [] if key is None else [key]
-    rows = df.select(ts, *keys, cents(amount).alias("_cents"))
-    sums = [F.sum("_cents").alias("_cents"), F.count(F.lit(1)).alias("_rows")]
-    if windows.overlapping and not df.isStreaming:
+    rows = df.select(ts, *keys, (F.col(amount) if isinstance(amount, str) else amount).alias("_amount"))
+    sums = [total("_amount").alias("_amount"), F.count(F.lit(1)).alias("_rows")]
+    if micros(windows.size) > DIRECT_WINDOWS * micros(windows.step) and not df.isStreaming:
         panes = rows.groupBy(windows.pane.of(ts)["start"].alias("_pane"), *keys).agg(*sums)
         grouped = panes.groupBy(placed(panes, windows, "_pane"), *keys)
-        totals = grouped.agg(F.sum("_cents").alias("_cents"), F.sum("_rows").alias("_rows"))
+        totals = grouped.agg(total("_amount").alias("_amount"), F.sum("_rows").alias("_rows"))
     else:
         totals = rows.groupBy(placed(rows, windows, ts), *keys).agg(*sums)
     last = [] if time_name is None else [_last_instant(totals, windows).alias(time_name)]
@@ -48,7 +56,7 @@ def amount_totals(
         totals.select(
             totals.columns[0],
             *keys,
-            from_cents("_cents").alias(sum_name),
+            (F.col("_amount") if exact else shown("_amount")).alias(sum_name),
             F.col("_rows").alias(count_name),
             *last,
         ),
@@ -56,6 +64,22 @@ def amount_totals(
     )
 
 
+def fanned_totals(df: DataFrame, windows: Windows, keys: Sequence[str], amount: str, ts: str = "ts") -> DataFrame:
+    """Amount sum and row count per window and each of ``keys`` by itself, of a batch table.
+
+    One scan and one shuffle for all keys: ``branch`` names the key that a row is for, and the other
+    keys are null in it.
+    """
+    rows = df.select(windows.of(ts)["start"].alias("window_start"), *keys, F.col(amount).alias("_amount"))
+    sets = rows.groupingSets([["window_start", k] for k in keys], "window_start", *keys)
+    totals = sets.agg(
+        F.coalesce(*[F.when(F.grouping(k) == 0, F.lit(k)) for k in keys]).alias("branch"),
+        shown(total("_amount")).alias("sum_amount"),
+        F.count(F.lit(1)).alias("tran_count"),
+    )
+    return with_bounds(totals, windows)
+
+
 def _last_instant(totals: DataFrame, windows: Windows) -> Column:
     if totals.isStreaming:
         return F.window_time("window")
@@ -64,12 +88,10 @@ def _last_instant(totals: DataFrame, windows: Windows) -> Column:
 
 def pair_totals(pairs: DataFrame, key: str, amount: Column | str) -> DataFrame:
     """Amount sum and row count per window and key of rows that carry their ``window`` already."""
-    rows = with_bounds(pairs.select("window", key, cents(amount).alias("_cents")))
-    totals = rows.groupBy("window_start", "window_end", key).agg(
-        F.sum("_cents").alias("_cents"), F.count(F.lit(1)).alias("tran_count")
-    )
-    return totals.select(
-        "window_start", "window_end", key, from_cents("_cents").alias("sum_amount"), "tran_count"
+    amount = F.col(amount) if isinstance(amount, str) else amount
+    rows = with_bounds(pairs.select("window", key, amount.alias("_amount")))
+    return rows.groupBy("window_start", "window_end", key).agg(
+        shown(total("_amount")).alias("sum_amount"), F.count(F.lit(1)).alias("tran_count")
     )
 
 

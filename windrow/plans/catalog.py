@@ -18,7 +18,6 @@ from windrow.operators.publish import publish_records, round_robin
 from windrow.operators.stagger import staggered
 from windrow.operators.totals import amount_totals, pair_totals
 from windrow.operators.windows import RETAIL_DELAY, WORD_WINDOWS, Windows
-from windrow.functions.money import cents, from_cents
 from windrow.plans import names, retail, words
 from windrow.schemas import TRANSACTION
 from windrow.session import pin_utc
@@ -45,6 +44,7 @@ def _table(name: str, view: Callable[[DataFrame], DataFrame]):
 
 
 _sales = _table("lineitem", tables.sales)
+_net_sales = _table("lineitem", tables.net_sales)
 _transactions = _table("events", tables.transactions)
 _units = _table("events", tables.named_units)
 _readings = _table("events", tables.readings)
@@ -69,17 +69,18 @@ def product_sliding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fanout_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows and amount that each branch of the fan-out accounts for."""
-    by_store, by_product = retail.fan_out(_sales(spark, folder), SALES_WINDOWS)
-
-    def total(branch: DataFrame, name: str) -> DataFrame:
-        return branch.agg(
-            F.lit(name).alias("branch"),
-            F.sum("tran_count").alias("tran_count"),
-            from_cents(F.sum(cents("sum_amount"))).alias("sum_amount"),
-        )
+    """Both branches of the fan-out, window by window; ``key`` is the store or the product."""
+    key = F.when(F.col("branch") == "store_id", F.col("store_id")).otherwise(F.col("product_id"))
+    fanned = retail.fanned_out(_sales(spark, folder), SALES_WINDOWS)
+    return fanned.select("branch", "window_start", "window_end", key.alias("key"), "sum_amount", "tran_count")
+
+
+def store_net_sliding(spark: SparkSession, folder: str) -> DataFrame:
+    return retail.store_totals(_net_sales(spark, folder), SALES_WINDOWS)
+
 
-    return total(by_store, "store").unionByName(total(by_product, "product"))
+def net_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    return retail.rollup_in_one(_net_sales(spark, folder), SALES_WINDOWS, ROLLUP)
 
 
 def global_rollup(spark: SparkSession, folder: str) -> DataFrame:
@@ -161,17 +162,18 @@ def late_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def on_time_store_sliding(spark: SparkSession, folder: str) -> DataFrame:
     pairs = on_time_pairs(_arrivals(spark, folder), LATE_WINDOWS, RETAIL_DELAY, **ARRIVAL_ORDER)
-    return pair_totals(pairs, "store_id", "price")
+    return pair_totals(pairs, "store_id", F.col("price").cast(tables.MONEY))
 
 
 def closed_store_windows(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _transactions(spark, folder).select("ts", "store_id", "price")
+    price = F.col("price").cast(tables.MONEY)
+    rows = _transactions(spark, folder).select("ts", "store_id", price.alias("price"))
     return closed_windows(amount_totals(rows, DAYS, "store_id", "price"), rows)
 
 
 def tumbling_stagger(spark: SparkSession, folder: str) -> DataFrame:
     rows = _arrivals(spark, folder).select("ts", "store_id", "price")
-    return pair_totals(staggered(rows, STAGGER, "store_id"), "store_id", "price")
+    return pair_totals(staggered(rows, STAGGER, "store_id"), "store_id", F.col("price").cast(tables.MONEY))
 
 
 QUERIES: dict[str, Query] = {
@@ -180,6 +182,8 @@ QUERIES: dict[str, Query] = {
     "q_product_sliding": product_sliding,
     "q_fanout_totals": fanout_totals,
     "q_global_rollup": global_rollup,
+    "q_store_net_sliding": store_net_sliding,
+    "q_net_rollup": net_rollup,
     "q_name_sum": name_sum,
     "q_text_lines": text_lines,
     "q_line_word_counts": line_words,

@@ -8,6 +8,13 @@ _SALES = """
     FROM lineitem
 """
 
+_NET_SALES = """
+    SELECT l_suppkey AS store_id, l_shipdate AS ts,
+           CAST(CAST(CAST(l_extendedprice AS DECIMAL(18, 2)) * (1 - CAST(l_discount AS DECIMAL(4, 2))) AS DECIMAL(18, 4))
+                * (1 + CAST(l_tax AS DECIMAL(4, 2))) AS DECIMAL(18, 6)) AS amount
+    FROM lineitem
+"""
+
 _SALES_SLIDING = """
     SELECT time_bucket(INTERVAL 5 DAY, ts, TIMESTAMP '1970-01-03') - j * INTERVAL 5 DAY AS window_start,
            {key}, amount
@@ -15,16 +22,28 @@ _SALES_SLIDING = """
 """
 
 
-def _sliding(key: str, as_key: str | None = None) -> str:
-    rows = _SALES_SLIDING.format(key=key, sales=_SALES)
+def _sliding(key: str, as_key: str | None = None, sales: str = _SALES, shown: str = "CAST(sum(amount) AS DOUBLE)") -> str:
+    rows = _SALES_SLIDING.format(key=key, sales=sales)
     return f"""
         SELECT window_start, window_start + INTERVAL 10 DAY AS window_end,
                {as_key or key} AS {key},
-               CAST(sum(amount) AS DOUBLE) AS sum_amount, count(*) AS tran_count
+               {shown} AS sum_amount, count(*) AS tran_count
         FROM ({rows}) GROUP BY window_start, {key}
     """
 
 
+def _rollup(totals: str) -> str:
+    return f"""
+        SELECT ws AS window_start, ws + INTERVAL 5 DAY AS window_end,
+               CAST(sum(tran_count) AS BIGINT) AS tran_count,
+               CAST(sum(sum_amount) AS DOUBLE) AS sum_amount
+        FROM (SELECT time_bucket(INTERVAL 5 DAY, window_end - INTERVAL 1 MICROSECOND,
+                                 TIMESTAMP '1970-01-01') AS ws, tran_count, sum_amount
+              FROM ({totals}))
+        GROUP BY ws
+    """
+
+
 _TRANSACTIONS = """
     SELECT CAST(event_id AS INTEGER) AS transaction_id, CAST(user_id AS INTEGER) AS customer_id,
            CAST(user_id % 20 + 1 AS INTEGER) AS store_id, CAST(value AS FLOAT) AS price,
@@ -73,20 +92,16 @@ ORACLE: dict[str, str] = {
     "q_tx_view": _TRANSACTIONS,
     "q_store_sliding": _sliding("store_id"),
     "q_product_sliding": _sliding("product_id"),
-    "q_fanout_totals": """
-        SELECT b AS branch, 2 * count(*) AS tran_count,
-               CAST(2 * sum(CAST(l_extendedprice AS DECIMAL(18, 2))) AS DOUBLE) AS sum_amount
-        FROM lineitem, (SELECT unnest(['store', 'product']) AS b) GROUP BY b
-    """,
-    "q_global_rollup": f"""
-        SELECT ws AS window_start, ws + INTERVAL 5 DAY AS window_end,
-               CAST(sum(tran_count) AS BIGINT) AS tran_count,
-               CAST(sum(CAST(sum_amount AS DECIMAL(18, 2))) AS DOUBLE) AS sum_amount
-        FROM (SELECT time_bucket(INTERVAL 5 DAY, window_end - INTERVAL 1 MICROSECOND,
-                                 TIMESTAMP '1970-01-01') AS ws, tran_count, sum_amount
-              FROM ({_sliding("store_id")}))
-        GROUP BY ws
+    "q_fanout_totals": f"""
+        SELECT 'store_id' AS branch, window_start, window_end, store_id AS key, sum_amount, tran_count
+        FROM ({_sliding("store_id")})
+        UNION ALL
+        SELECT 'product_id', window_start, window_end, product_id, sum_amount, tran_count
+        FROM ({_sliding("product_id")})
     """,
+    "q_store_net_sliding": _sliding("store_id", sales=_NET_SALES),
+    "q_net_rollup": _rollup(_sliding("store_id", sales=_NET_SALES, shown="sum(amount)")),
+    "q_global_rollup": _rollup(_sliding("store_id", shown="sum(amount)")),
     "q_name_sum": """
         SELECT ws AS window_start, ws + INTERVAL 3 HOUR AS window_end, name, n FROM (
             SELECT time_bucket(INTERVAL 3 HOUR, ts, TIMESTAMP '1970-01-01') AS ws,

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 
 from windrow.functions.times import from_epoch_millis
 from windrow.operators.rollup import global_rollup, window_time
-from windrow.operators.totals import amount_totals
+from windrow.operators.totals import amount_totals, fanned_totals
 from windrow.operators.windows import NO_DELAY, RETAIL_DELAY, RETAIL_WINDOWS, ROLLUP_WINDOWS, Windows
 from windrow.sources.records import decode_by_store, decode_transactions, encode_by_store
 from windrow.sources.replay import event_time
@@ -37,6 +37,11 @@ def fan_out(
     return store_totals(transactions, windows), product_totals(transactions, windows)
 
 
+def fanned_out(transactions: DataFrame, windows: Windows = RETAIL_WINDOWS, amount: str = "price") -> DataFrame:
+    """Both branches of a batch table's fan-out in one pass over it."""
+    return fanned_totals(transactions, windows, ["store_id", "product_id"], amount)
+
+
 def store_records(transactions: DataFrame, windows: Windows = RETAIL_WINDOWS) -> DataFrame:
     """What the first stage publishes: per-store totals as keyed topic records."""
     return encode_by_store(store_totals(transactions, windows))
@@ -74,5 +79,5 @@ def rollup_in_one(
     amount: str = "price",
 ) -> DataFrame:
     """Both stages in one query, batch or stream."""
-    totals = amount_totals(transactions, windows, "store_id", amount, time_name="ts")
+    totals = amount_totals(transactions, windows, "store_id", amount, time_name="ts", exact=True)
     return global_rollup(totals, rollup)

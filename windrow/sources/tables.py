@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from windrow.functions.times import date_text, epoch_millis, time_text
 
 
+#: The tables keep amounts as DOUBLE; all have two decimals.
+MONEY = "decimal(18,2)"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -34,11 +38,23 @@ def sales(lineitem: DataFrame) -> DataFrame:
     return lineitem.select(
         F.col("l_suppkey").alias("store_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("l_extendedprice").alias("price"),
+        F.col("l_extendedprice").cast(MONEY).alias("price"),
         F.col("l_shipdate").alias("ts"),
     )
 
 
+def net_sales(lineitem: DataFrame) -> DataFrame:
+    """Line items as transactions at what is paid for them, to the last digit: six decimals."""
+    price, discount, tax = (F.col(f"l_{c}").cast(MONEY) for c in ("extendedprice", "discount", "tax"))
+    one = F.lit(1).cast(MONEY)
+    return lineitem.select(
+        F.col("l_suppkey").alias("store_id"),
+        (price * (one - discount)).cast("decimal(18,4)").alias("_net"),
+        (one + tax).cast("decimal(4,2)").alias("_gross"),
+        F.col("l_shipdate").alias("ts"),
+    ).select("store_id", (F.col("_net") * F.col("_gross")).cast("decimal(18,6)").alias("price"), "ts")
+
+
 def named_units(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_type").alias("name"), F.lit(1).alias("n"), F.col("ts").alias("arrival_ts")

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from windrow.llm.shared import as_bytes, mapped
+from windrow.llm.shared import as_bytes, checkpointed, mapped
 
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -27,7 +27,7 @@ LEAST_CHARACTERS, LEAST_HISTOGRAM_WORDS = 200, 50
 #: Jensen-Shannon distances (0 to 1) above which a document is too far from its language.
 MOST_CHARACTER_DISTANCE, MOST_WORD_DISTANCE = 0.25, 0.53
 #: Words counted before a task emits them.
-FLUSH_WORDS = 300_000
+FLUSH_WORDS = 500_000
 #: The name of the reference made of all languages.
 ANY = ""
 
@@ -46,6 +46,8 @@ def _classes() -> np.ndarray:
 
 
 CLASSES, N_CLASSES = _classes(), 9
+#: Names under which the number of words and the classes are counted: no word has a line end.
+WORDS_ITEM, CLASS_ITEMS = b"\n", [b"\n%d" % i for i in range(N_CLASSES)]
 
 
 def character_counts(text: bytes) -> np.ndarray:
@@ -76,7 +78,11 @@ class Reference:
 
 
 def reference_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """lang, kind (``class`` or ``word``), item, n: counted over every document."""
+    """lang, item, n over every document: each word, the number of words, and each character class.
+
+    Under ``ANY`` stand all documents together.  Words are counted by task and then shuffled once;
+    both sums are taken where all counts of a word have met.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = {}
@@ -84,9 +90,9 @@ def reference_counts(docs: DataFrame, text: str = "text", lang: str = "lang") ->
 
         def emitted() -> Iterator[pa.RecordBatch]:
             for name, counter in words.items():
-                yield _counted(name, "word", list(counter), list(counter.values()))
-            for name, counts in classes.items():
-                yield _counted(name, "class", [str(i).encode() for i in range(N_CLASSES)], counts.tolist())
+                counter.update(dict(zip(CLASS_ITEMS, classes[name].tolist(), strict=True)) | {WORDS_ITEM: counter.total()})
+                items, counts = pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())
+                yield pa.record_batch({"lang": pa.array([name] * len(counter), pa.string()), "item": items, "n": counts})
             words.clear()
             classes.clear()
 
@@ -100,14 +106,11 @@ def reference_counts(docs: DataFrame, text: str = "text", lang: str = "lang") ->
         yield from emitted()
 
     narrow = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(ANY)).alias("lang"), F.col(text).cast("string").alias("text"))
-    return mapped(narrow, work, "lang string, kind string, item binary, n long").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
-
-
-def _counted(lang: str, kind: str, items: list[bytes], counts: list[int]) -> pa.RecordBatch:
-    n = len(items)
-    return pa.record_batch(
-        {"lang": pa.array([lang] * n, pa.string()), "kind": pa.array([kind] * n, pa.string()), "item": pa.array(items, pa.binary()), "n": pa.array(counts, pa.int64())}
-    )
+    met = mapped(narrow, work, "lang string, item binary, n long").repartition("item")
+    own = met.groupBy("item", "lang").agg(F.sum("n").alias("n"))
+    langs = F.filter(F.collect_list(F.struct("lang", "n")), lambda x: x["lang"] != ANY)
+    both = own.groupBy("item").agg(F.array_append(langs, F.struct(F.lit(ANY).alias("lang"), F.sum("n").alias("n"))).alias("sums"))
+    return both.select("item", F.inline("sums"))
 
 
 def references(docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON_WORDS, least_words: int = LEAST_REFERENCE_WORDS) -> dict[str, Reference]:
@@ -116,20 +119,19 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang", common:
     Only the classes, the totals and the ``common`` commonest words of such languages reach the
     driver; ties go by the word.
     """
-    counts = reference_counts(docs, text, lang)
-    each = F.explode(F.array_distinct(F.array("lang", F.lit(ANY)))).alias("lang")
-    counts = counts.select(each, "kind", "item", "n").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
-    place = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item"))
-    totals = counts.filter("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("n_words")).filter((F.col("n_words") >= least_words) | (F.col("lang") == ANY))
-    top = counts.withColumn("place", place).filter(F.col("place") <= common).join(totals, "lang")
-    found: dict[str, Reference] = {}
-    for r in top.orderBy("lang", "kind", "place").collect():
-        one = found.setdefault(r["lang"], Reference(n_words=r["n_words"]))
-        if r["kind"] == "word":
-            one.words[bytes(r["item"])] = r["n"]
+    is_word = ~F.col("item").isin([WORDS_ITEM, *CLASS_ITEMS])
+    place = F.row_number().over(Window.partitionBy("lang", is_word).orderBy(F.desc("n"), "item"))
+    top = checkpointed(reference_counts(docs, text, lang).withColumn("place", place).filter(F.col("place") <= common))
+    enough = top.filter((F.col("item") == F.lit(WORDS_ITEM)) & ((F.col("n") >= least_words) | (F.col("lang") == ANY))).select("lang")
+    found: dict[str, Reference] = {ANY: Reference()}
+    for r in top.join(enough, "lang").orderBy("lang", "place").collect():
+        one, item = found.setdefault(r["lang"], Reference()), bytes(r["item"])
+        if item == WORDS_ITEM:
+            one.n_words = r["n"]
+        elif item in CLASS_ITEMS:
+            one.classes[CLASS_ITEMS.index(item)] = r["n"]
         else:
-            one.classes[int(r["item"])] = r["n"]
-    found.setdefault(ANY, Reference())
+            one.words[item] = r["n"]
     return found
 
 

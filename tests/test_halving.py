@@ -92,3 +92,36 @@ def test_reduce_hook_with_an_associative_function(spark, monkeypatch, split_abov
         lambda s: " ".join(map(str, s))
     )
     assert {r.sensor_id: r.state.text for r in got.collect()} == want.to_dict()
+
+
+@pytest.mark.parametrize("split_above", [100, 10**9])
+def test_value_does_not_depend_on_the_cuts(spark, split_above):
+    df = skewed(spark, False).unionByName(skewed(spark, False).withColumn("sensor_id", F.lit(None).cast("string")))
+    one, other = (halving_reduce(df, Windows("1 minute"), chunks=c, split_above=split_above) for c in (16, 64))
+    whole = halving_reduce(df, Windows("1 minute"))
+    assert {tuple(r) for r in one.collect()} == {tuple(r) for r in whole.collect()} == {tuple(r) for r in other.collect()}
+    assert {r.n for r in whole.collect() if r.sensor_id is None} == {30_000}
+
+
+@pytest.mark.parametrize("run", [1024, 3])
+@pytest.mark.parametrize("split_above", [2, 10**9])
+def test_what_is_not_finite_stays_so(spark, monkeypatch, run, split_above):
+    monkeypatch.setattr(ordered, "RUN", run)
+    inf, nan, want, frames = float("inf"), float("nan"), {}, []
+    for place in (0, 1, 6, 11):
+        for odd in ([inf], [-inf], [nan], [inf, -inf], [1.7e308], [-1.7e308, 1.7e308]):
+            values = [float(i) for i in range(12)]
+            values[place : place + len(odd)] = odd
+            name = f"{place} {odd}"
+            want[name] = reduce(lambda a, x: (a + x) / 2, values[:12])
+            frames += [(name, v, START + timedelta(milliseconds=i), i) for i, v in enumerate(values[:12])]
+    found = halving_reduce(spark.createDataFrame(frames, LAYOUT), chunks=4, split_above=split_above).collect()
+    assert {r.sensor_id: r.temperature for r in found} == pytest.approx(want, nan_ok=True)
+
+
+def test_merging_by_levels(spark, monkeypatch):
+    """Eight rows a run and eight states a merge: 3000 rows take three levels."""
+    monkeypatch.setattr(ordered, "RUN", 8)
+    values = [float(i * 37 % 101) for i in range(900)]
+    got = halving_reduce(frame(spark, values), Windows("1 minute"), chunks=8, split_above=100).first()
+    assert got.temperature == pytest.approx(reduce(lambda a, x: (a + x) / 2, values), rel=1e-14) and got.n == 900

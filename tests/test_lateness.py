@@ -128,3 +128,15 @@ def test_pairs_equal_a_plain_scan(spark, data, size, offset, delay):
     got = on_time_pairs(df, windows, f"{delay} seconds", chunks=4)
     assert {(r.row_id, r.start) for r in got.select("row_id", "window.start").collect()} == pairs
     assert {r.row_id for r in split_late(df, windows, f"{delay} seconds", chunks=4)[1].collect()} == late
+
+
+def test_rows_without_a_source_are_one_source(spark):
+    df = spark.range(200).selectExpr(
+        "if(id % 4 = 0, null, id % 2) source_partition", "id row_id", "id + if(id % 7 = 0, 40, 0) arrival",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) ts",
+    )
+    named = df.selectExpr("coalesce(source_partition, 9) source_partition", "row_id", "arrival", "ts")
+    windows = Windows("4 seconds", "2 seconds")
+    on_time, late = split_late(df, windows)
+    assert on_time.count() + late.count() == 200 and late.where("source_partition is null").count() > 0
+    assert rows(late.select("row_id"), "row_id") == rows(split_late(named, windows)[1].select("row_id"), "row_id")

@@ -29,8 +29,8 @@ def halving_reduce(
     """``window_start, window_end, key, first_ts, value, n`` per key and window of a batch table.
 
     Windows and arrival order go by (``ts``, ``tiebreak``); the first reading's ``stamp`` is kept
-    (``ts`` by default).  Values of groups merged from several runs may differ from the plain fold in
-    the last bit.
+    (``ts`` by default).  The rows of a group are reduced in the same runs and merged in the same
+    order however they are cut, so the value does not depend on ``chunks`` or ``split_above``.
     """
     reduced = windowed_reduce(
         readings, windows, key, ts, tiebreak, _values(value, stamp or ts), _run, _merge, chunks, split_above
@@ -71,15 +71,23 @@ def _run(rows: Column) -> Column:
 
 
 def _merge(older: Column, newer: Column) -> Column:
-    carried = (older["folded"] - newer["first"]) * F.pow(F.lit(2.0), -newer["n"])
+    # Scaled before they are subtracted, so that far ends of the range do not overflow.  What is not
+    # finite stays so: infinity halves to infinity, and against its opposite to NaN.
+    scale = F.pow(F.lit(2.0), -newer["n"])
+    carried = older["folded"] * scale - newer["first"] * scale
+    both = F.when(_finite(older["folded"]) & _finite(newer["folded"]), newer["folded"] + carried)
     return F.struct(
         older["stamp"].alias("stamp"),
         older["first"].alias("first"),
         (older["n"] + newer["n"]).alias("n"),
-        (newer["folded"] + carried).alias("folded"),
+        both.otherwise(older["folded"] + newer["folded"]).alias("folded"),
     )
 
 
+def _finite(value: Column) -> Column:
+    return F.abs(value) < F.lit(float("inf"))
+
+
 def _result(reduced: DataFrame, key: str, value: str) -> DataFrame:
     return reduced.select(
         "window_start",

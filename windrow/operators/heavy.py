@@ -2,7 +2,7 @@
 
 A list of the heaviest groups has a fixed length whatever the data, so it may be broadcast; every
 group that is not on it holds less than ``1 / limit`` of all rows or no more than ``above`` rows,
-so it may go to one task.
+so it may go to one task.  The list bears on where rows are joined, never on results.
 """
 
 from __future__ import annotations

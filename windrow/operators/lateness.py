@@ -31,27 +31,29 @@ def with_seen(
 
     ``arrival`` and ``tiebreak`` are integers that order a source's rows.  The running maximum is
     taken inside (source, chunk) groups and topped up with the maximum of the source's earlier
-    chunks, so one busy source is spread over all tasks.  Join and window share one shuffle.
+    chunks, so one busy source is spread over all tasks.  Join and window share one shuffle.  Rows
+    without a source are one source: a struct of a null equals another one, which a null does not.
     """
-    chunked = with_chunks(df, F.col(arrival), F.col(tiebreak), chunks)
-    tops = chunked.groupBy(source, "chunk").agg(F.max(ts).alias("_top"))
+    chunked = with_chunks(df, F.col(arrival), F.col(tiebreak), chunks).withColumn("_source", F.struct(source))
+    tops = chunked.groupBy("_source", "chunk").agg(F.max(ts).alias("_top"))
     if before is not None:
-        tops = tops.unionByName(before.select(source, F.lit(-1).alias("chunk"), F.col(ts).alias("_top")))
+        earlier = before.select(F.struct(source).alias("_source"), F.lit(-1).alias("chunk"), F.col(ts).alias("_top"))
+        tops = tops.unionByName(earlier)
     earlier_chunks = (
-        Window.partitionBy(source).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy("_source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
     floors = tops.select(
-        source, "chunk", F.max("_top").over(earlier_chunks).alias("_floor")
+        "_source", "chunk", F.max("_top").over(earlier_chunks).alias("_floor")
     )
     earlier_rows = (
-        Window.partitionBy(source, "chunk")
+        Window.partitionBy("_source", "chunk")
         .orderBy(arrival, tiebreak)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        chunked.join(floors, [source, "chunk"])
+        chunked.join(floors, ["_source", "chunk"])
         .withColumn("seen", F.greatest("_floor", F.max(ts).over(earlier_rows)))
-        .drop("chunk", "_floor")
+        .drop("_source", "chunk", "_floor")
     )
 
 

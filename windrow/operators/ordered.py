@@ -17,23 +17,26 @@ A reduce is given by two functions of columns:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from windrow.functions.durations import interval, micros
 from windrow.functions.times import epoch_micros, shift
 from windrow.operators.chunks import assign_chunks, find_cuts
-from windrow.operators.heavy import ABOVE, heaviest
+from windrow.operators.heavy import ABOVE, LIMIT
 from windrow.operators.windows import Windows, with_bounds
 
 Run = Callable[[Column], Column]
 Merge = Callable[[Column, Column], Column]
 
-# Rows reduced one after the other in one array; longer groups are merged from runs.
+# Rows reduced one after the other in one array, and states merged so; longer groups are merged from
+# runs, and these from merged ones, so that no array grows with the group but by its millionth part.
 RUN = 1024
 
 
-def associative(reduce: Merge, *columns: str) -> tuple[Run, Merge]:
+def associative(step: Merge, *columns: str) -> tuple[Run, Merge]:
     """``(run, merge)`` of an associative function of two neighbouring rows or states.
 
     It takes two structs with ``columns`` and gives one of just these, in this order and of the same
@@ -42,9 +45,9 @@ def associative(reduce: Merge, *columns: str) -> tuple[Run, Merge]:
 
     def run(rows: Column) -> Column:
         first = F.struct(*[rows[0][c].alias(c) for c in columns])
-        return F.aggregate(_rest(rows), first, reduce)
+        return F.aggregate(_rest(rows), first, step)
 
-    return run, reduce
+    return run, step
 
 
 def windowed_reduce(
@@ -62,7 +65,8 @@ def windowed_reduce(
     """``window_start, window_end, key, state`` per key and tumbling window of a batch table.
 
     Windows and order go by (``ts``, ``tiebreak``); ``tiebreak`` is an integer that makes the order
-    total.  Groups of more than ``split_above`` rows are cut into chunks of their order as well.
+    total.  Groups of more than ``split_above`` rows are numbered chunk by chunk of their order, and
+    not by one task; runs are the same either way.
     """
     _tumbling(windows)
     # Plain columns, the key first: the sorts compare them by prefix, which a struct has not.
@@ -74,12 +78,10 @@ def windowed_reduce(
         *_named(values),
     )
     group = [key, "window_start"]
-    cut = _cut_heavy(rows, group, chunks, split_above)
-    if cut is None:
-        reduced = _reduce_groups(rows, group, list(values), run, merge)
-    else:
-        parts = _reduce_groups(cut, [*group, "chunk"], list(values), run, merge)
-        reduced = _merge_parts(parts, group, F.col("chunk"), merge)
+    numbered = _numbered_back(rows, group, chunks, split_above)
+    runs = _reduce_runs(numbered.withColumn("_back", F.floor(F.col("_back") / RUN)), [*group, "_back"], list(values), run)
+    merged = _merge_parts(runs.withColumn("_part", F.floor(F.col("_back") / RUN)), [*group, "_part"], -F.col("_back"), merge)
+    reduced = _merge_parts(merged, group, -F.col("_part"), merge)
     end = shift(F.col("window_start"), windows.size).alias("window_end")
     return reduced.select("window_start", end, key, "state")
 
@@ -130,36 +132,55 @@ def _named(values: dict[str, Column]) -> list[Column]:
     return [c.alias(name) for name, c in values.items()]
 
 
+def _numbered_back(
+    rows: DataFrame, group: Sequence[str], chunks: int | None, split_above: int
+) -> DataFrame:
+    """Add ``_back``: the number of newer rows in the row's group.
+
+    Counted from the newest row, so that of the runs cut by it only the oldest may be short.  Where no
+    group is heavy this is one window and one shuffle.  Else a row's number is that in its chunk plus
+    the rows of its group's newer chunks.
+    """
+    newest_first = (F.desc("_ts"), F.desc("_tie"))
+    cut = _cut_heavy(rows, group, chunks, split_above)
+    if cut is None:
+        back = F.row_number().over(Window.partitionBy(*group).orderBy(*newest_first)) - 1
+        return rows.withColumn("_back", back)
+    # a struct of the group equals another one though it holds nulls
+    cut = cut.withColumn("_group", F.struct(*group))
+    newer = Window.partitionBy("_group").orderBy(F.desc("chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy("_group", "chunk").agg(F.count(F.lit(1)).alias("_size"))
+    floors = sizes.select("_group", "chunk", F.coalesce(F.sum("_size").over(newer), F.lit(0)).alias("_newer"))
+    inside = F.row_number().over(Window.partitionBy("_group", "chunk").orderBy(*newest_first)) - 1
+    joined = cut.join(floors, ["_group", "chunk"]).withColumn("_back", F.col("_newer") + inside)
+    return joined.select(*rows.columns, "_back")
+
+
 def _cut_heavy(
     rows: DataFrame, group: Sequence[str], chunks: int | None, split_above: int
 ) -> DataFrame | None:
-    """Add ``chunk``: cuts of the time order for the heaviest groups, 0 for all others.  None if no
-    group is heavy."""
+    """Add ``chunk``: cuts of the time order for the heavy groups, however many, and 0 for all others.
+    None if no group is heavy."""
     counted = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    # Kept, so that the count runs once for the test and the join; the list has a fixed length.
-    heavy = heaviest(counted, group, "_rows", split_above).persist()
-    heavy_rows = heavy.agg(F.sum("_rows")).first()[0]
-    if not heavy_rows:
+    # Kept for the two passes of this function.
+    heavy = counted.where(F.col("_rows") > split_above).persist()
+    try:
+        n, heavy_rows = heavy.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+        if not n:
+            return None
+        named = heavy.select(*[F.col(c).alias(f"_heavy_{c}") for c in group], "_rows")
+        named = F.broadcast(named) if n <= LIMIT else named
+        order = (epoch_micros("_ts"), F.col("_tie"))
+        cuts = find_cuts(rows, *order, chunks, heavy_rows, lambda df: df.join(named, _same(df, group), "left_semi"))
+    finally:
         heavy.unpersist()
-        return None
-    order = (epoch_micros("_ts"), F.col("_tie"))
-    cuts = find_cuts(
-        rows, *order, chunks, heavy_rows, lambda df: df.join(F.broadcast(heavy), list(group), "left_semi")
-    )
-    marked = assign_chunks(rows.join(F.broadcast(heavy), list(group), "left"), cuts, *order)
+    marked = assign_chunks(rows.join(named, _same(rows, group), "left"), cuts, *order)
     chunk = F.when(F.col("_rows").isNotNull(), F.col("chunk")).otherwise(F.lit(0))
-    return marked.withColumn("chunk", chunk).drop("_rows")
+    return marked.select(*rows.columns, chunk.alias("chunk"))
 
 
-def _reduce_groups(
-    rows: DataFrame, group: Sequence[str], values: list[str], run: Run, merge: Merge
-) -> DataFrame:
-    """The state of each group.  Runs are counted from the newest row back, so that only the oldest
-    may be short.  One shuffle."""
-    newest_first = Window.partitionBy(*group).orderBy(F.desc("_ts"), F.desc("_tie"))
-    back = F.floor((F.row_number().over(newest_first) - 1) / RUN)
-    runs = _reduce_runs(rows.withColumn("_back", back), [*group, "_back"], values, run)
-    return _merge_parts(runs, group, -F.col("_back"), merge)
+def _same(df: DataFrame, group: Sequence[str]) -> Column:
+    return reduce(and_, [df[c].eqNullSafe(F.col(f"_heavy_{c}")) for c in group])
 
 
 def _reduce_runs(

@@ -13,33 +13,25 @@ from windrow.functions.times import epoch_micros, from_epoch_micros
 from windrow.operators.heavy import heaviest
 
 
-def staggered(
-    df: DataFrame, size: str, key: str, ts: str = "ts", salts: int = 32
-) -> DataFrame:
+def staggered(df: DataFrame, size: str, key: str, ts: str = "ts") -> DataFrame:
     """Add ``window`` (``start``, ``end``), tumbling with a phase per key.
 
-    Phases of the heaviest keys are broadcast (a list of fixed length), so no join task gets all
-    rows of a hot key; the other keys meet their phase in a shuffled join.  Rows of heavy keys take
-    part in that join only as salted non-matches.
+    Phases of the heaviest keys are broadcast (a list of fixed length), so their rows stay where they
+    are; only rows of other keys are shuffled, to meet their phase in a join.  Rows without a key
+    are one key.
     """
     length = F.lit(micros(size))
-    phases = df.groupBy(key).agg(
+    phases = df.groupBy(F.struct(key).alias("_key")).agg(
         F.pmod(epoch_micros(F.min(ts)), length).alias("_phase"),
         F.count(F.lit(1)).alias("_rows"),
     )
-    heavy = heaviest(phases, [key], "_rows").select(key, F.col("_phase").alias("_heavy_phase"))
-    # Always 0, but not a literal: Catalyst would turn a literal into a filter and shuffle by the
-    # bare key again.
-    light = phases.select(key, "_phase", F.least(F.col("_rows"), F.lit(0)).alias("_salt"))
-
-    # By value, so that a task that runs again sends its rows the same way.
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(salts)) + 1
-    salted = df.join(F.broadcast(heavy), key, "left").withColumn(
-        "_salt", F.when(F.col("_heavy_phase").isNull(), F.lit(0)).otherwise(spread)
-    )
-    phased = salted.join(light, [key, "_salt"], "left")
+    heavy = heaviest(phases, ["_key"], "_rows").select("_key", F.col("_phase").alias("_heavy_phase"))
+    marked = df.withColumn("_key", F.struct(key)).join(F.broadcast(heavy), "_key", "left")
+    hot = marked.where(F.col("_heavy_phase").isNotNull()).withColumn("_phase", F.col("_heavy_phase"))
+    rest = marked.where(F.col("_heavy_phase").isNull()).join(phases.select("_key", "_phase"), "_key")
+    phased = hot.select(*df.columns, "_phase").unionByName(rest.select(*df.columns, "_phase"))
     at = epoch_micros(ts)
-    start = at - F.pmod(at - F.coalesce("_heavy_phase", "_phase"), length)
+    start = at - F.pmod(at - F.col("_phase"), length)
     kind = df.schema[ts].dataType
     window = F.struct(
         from_epoch_micros(start, kind).alias("start"),

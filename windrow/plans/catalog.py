@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from windrow.functions.text import explode_lines, line_word_counts
 from windrow.operators.halving import halving_reduce
-from windrow.operators.lateness import closed_windows, on_time_pairs, split_late
+from windrow.operators.lateness import closed_windows, flag_late, on_time_pairs, split_late
 from windrow.operators.layout import spread
 from windrow.operators.publish import publish_records, round_robin
 from windrow.operators.stagger import staggered
@@ -29,6 +29,7 @@ SALES_WINDOWS = Windows("10 days", "5 days", "2 days")
 ROLLUP = Windows("5 days")
 NAMES = Windows("3 hours")
 DAYS = Windows("1 day")
+MONTHS = Windows("30 days")
 LATE_WINDOWS = Windows("2 hours", "1 hour")
 STAGGER = "6 hours"
 
@@ -171,6 +172,27 @@ def closed_store_windows(spark: SparkSession, folder: str) -> DataFrame:
     return closed_windows(amount_totals(rows, DAYS, "store_id", "price"), rows)
 
 
+def reading_halving_long(spark: SparkSession, folder: str) -> DataFrame:
+    """All readings as one sensor's, by month: groups of many runs."""
+    one = _readings(spark, folder).withColumn("sensor_id", F.lit("all"))
+    return halving_reduce(one, MONTHS, split_above=5_000)
+
+
+def late_rows_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    """Late and on-time rows where one of the sources has no name."""
+    rows = _arrivals(spark, folder).withColumn("source_partition", F.nullif("source_partition", F.lit(2)))
+    flagged = flag_late(rows, LATE_WINDOWS, RETAIL_DELAY, **ARRIVAL_ORDER)
+    return flagged.select("row_id", F.coalesce("source_partition", F.lit(-1)).alias("source"), "late")
+
+
+def stagger_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    """Staggered windows where one of the keys has no name."""
+    store = F.nullif(F.col("store_id") - 1, F.lit(7))
+    rows = _arrivals(spark, folder).select("ts", store.alias("store"), "price")
+    totals = pair_totals(staggered(rows, STAGGER, "store"), "store", F.col("price").cast(tables.MONEY))
+    return totals.withColumn("store", F.coalesce("store", F.lit(-1)))
+
+
 def tumbling_stagger(spark: SparkSession, folder: str) -> DataFrame:
     rows = _arrivals(spark, folder).select("ts", "store_id", "price")
     return pair_totals(staggered(rows, STAGGER, "store_id"), "store_id", F.col("price").cast(tables.MONEY))
@@ -197,4 +219,7 @@ QUERIES: dict[str, Query] = {
     "q_on_time_store_sliding": on_time_store_sliding,
     "q_closed_windows": closed_store_windows,
     "q_tumbling_stagger": tumbling_stagger,
+    "q_reading_halving_long": reading_halving_long,
+    "q_late_rows_nulls": late_rows_nulls,
+    "q_stagger_nulls": stagger_nulls,
 }

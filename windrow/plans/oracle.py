@@ -163,6 +163,32 @@ ORACLE: dict[str, str] = {
         WHERE ws + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 2 SECOND FROM events)
         GROUP BY ws, store_id
     """,
+    "q_reading_halving_long": """
+        SELECT ws AS window_start, ws + INTERVAL 30 DAY AS window_end, 'all' AS sensor_id,
+               min(ts) AS first_ts,
+               list_reduce(list(value ORDER BY ts, event_id), lambda a, x: (a + x) / 2)
+                   AS temperature,
+               count(*) AS n
+        FROM (SELECT *, time_bucket(INTERVAL 30 DAY, ts, TIMESTAMP '1970-01-01') AS ws FROM events)
+        GROUP BY ws
+    """,
+    "q_late_rows_nulls": f"""
+        SELECT row_id, coalesce(nullif(source_partition, 2), -1) AS source,
+               coalesce(time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 2 HOUR
+                        <= seen - INTERVAL 2 SECOND, FALSE) AS late
+        FROM ({_SEEN})
+    """,
+    "q_stagger_nulls": """
+        SELECT make_timestamp(us) AS window_start,
+               make_timestamp(us) + INTERVAL 6 HOUR AS window_end, store,
+               CAST(sum(amount) AS DOUBLE) AS sum_amount, count(*) AS tran_count
+        FROM (SELECT t - (t - phase) % 21600000000 AS us, store, amount
+              FROM (SELECT epoch_us(ts) AS t,
+                           min(epoch_us(ts)) OVER (PARTITION BY user_id % 20) % 21600000000 AS phase,
+                           coalesce(nullif(CAST(user_id % 20 AS INTEGER), 7), -1) AS store,
+                           CAST(value AS DECIMAL(18, 2)) AS amount FROM events))
+        GROUP BY us, store
+    """,
     "q_tumbling_stagger": """
         SELECT make_timestamp(us) AS window_start,
                make_timestamp(us) + INTERVAL 6 HOUR AS window_end, store_id,

@@ -219,10 +219,11 @@ def site_templates(pages: DataFrame, url: str = "url", html: str = "html", least
             yield pa.record_batch({"host": batch.column("host"), "page": pa.array([p for p, _ in found], pa.int64()), "subtrees": pa.array([s for _, s in found], pa.list_(pa.int64()))})
 
     cut = mapped(pages.select(_host(url).alias("host"), F.col(html).cast("string").alias("html")), work, "host string, page long, subtrees array<long>")
-    distinct = checkpointed(cut.groupBy("host", "page").agg(F.first("subtrees").alias("subtrees")))
-    hosts = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= least_pages)
-    counts = distinct.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-    often = counts.filter(F.col("n") >= least_pages).join(hosts, "host").filter(F.col("n") >= least_share * F.col("pages"))
+    distinct = cut.groupBy("host", "page").agg(F.first("subtrees").alias("subtrees"))
+    found = distinct.select("host", F.explode(F.array_append("subtrees", F.lit(None).cast("long"))).alias("subtree"))
+    counts = checkpointed(found.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages))
+    hosts = counts.filter("subtree is null").select("host", F.col("n").alias("pages"))  # each page has one null
+    often = counts.filter("subtree is not null").join(hosts, "host").filter(F.col("n") >= least_share * F.col("pages"))
     return often.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template"))
 
 

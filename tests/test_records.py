@@ -23,7 +23,9 @@ GOOD = {
     "date": "2024-01-01", "time": "00:00:00", "timestamp": 1704067200000,
 }
 MISSING = {k: v for k, v in GOOD.items() if k != "store_id"}
-BAD = ["not json", "", json.dumps(MISSING), json.dumps({**GOOD, "price": None}), json.dumps({**GOOD, "store_id": "x"})]
+BAD = ["not json", "", json.dumps(MISSING), json.dumps({**GOOD, "price": None}), json.dumps({**GOOD, "store_id": "x"}),
+       json.dumps({**GOOD, "price": "NaN"}), json.dumps({**GOOD, "price": float("inf")}), json.dumps({**GOOD, "date": 5}),
+       json.dumps({**GOOD, "time": None}), json.dumps({**GOOD, "time": ["x"]}), json.dumps({**GOOD, "store_id": 2**31})]
 
 
 def topic(spark, *values):
@@ -95,12 +97,33 @@ def test_round_robin_within_a_task(spark):
         assert len(counts) == 3 and max(counts) - min(counts) <= 1
 
 
+@pytest.mark.parametrize("tasks, each", [(200, 1), (7, 1000), (3, 2)])
+def test_round_robin_over_all_tasks(spark, tasks, each):
+    dealt = spark.range(tasks * each, numPartitions=tasks).groupBy(round_robin(3).alias("p")).count().collect()
+    counts = {r.p: r["count"] for r in dealt}
+    assert len(counts) == 3 and max(counts.values()) - min(counts.values()) <= max(2, tasks * each // 100)
+
+
+def test_wide_ids(spark):
+    at = datetime(2024, 1, 1)
+    totals = spark.createDataFrame([(at, at, 2**40, 1.5, 1)], "window_start timestamp, window_end timestamp, store_id bigint, sum_amount double, tran_count bigint")
+    assert decode_by_store(encode_by_store(totals)).first().store_id == 2**40
+
+
+def test_decimal_sums_come_back_whole(spark):
+    at = datetime(2024, 1, 1)
+    totals = spark.createDataFrame([(at, at, 1, 1)], "window_start timestamp, window_end timestamp, store_id bigint, tran_count bigint")
+    totals = totals.withColumn("sum_amount", F.lit("12345678901234567890.123456").cast("decimal(38,6)"))
+    assert str(decode_by_store(encode_by_store(totals), "decimal(38,6)").first().sum_amount) == "12345678901234567890.123456"
+
+
 def test_topic_options():
     assert kafka.reader_options("a:1,b:2", "sales", group="g", group_prefix="p") == {
         "kafka.bootstrap.servers": "a:1,b:2", "subscribe": "sales", "startingOffsets": "earliest",
         "kafka.group.id": "g", "groupIdPrefix": "p",
     }
     assert "kafka.group.id" not in kafka.reader_options("a:1", "sales")
+    assert kafka.reader_options("a:1", "sales", client_id="c")["kafka.client.id"] == "c"
     assert kafka.writer_options("a:1", "totals", client_id="c", **kafka.TOTALS_PRODUCER) == {
         "kafka.bootstrap.servers": "a:1", "topic": "totals", "kafka.batch.size": "100",
         "kafka.linger.ms": "1000", "kafka.retries": "3", "kafka.acks": "1", "kafka.client.id": "c",

@@ -11,18 +11,18 @@ from tests.conftest import rows
 from windrow.functions.text import explode_words
 from windrow.operators.halving import halving_reduce, halving_reduce_stream
 from windrow.operators.lateness import closed_windows, split_late
-from windrow.operators.publish import publish_records
+from windrow.operators.publish import publish_records, wire_fields
 from windrow.operators.rollup import global_rollup, window_time
 from windrow.operators.windows import NO_DELAY, Windows
 from windrow.plans import names, retail, words
-from windrow.schemas import READING, TOPIC_RECORD, TRANSACTION
+from windrow.schemas import BY_STORE, READING, TOPIC_RECORD, TRANSACTION
 from windrow.session import STREAM_SETTINGS, shared_dir, tolerate_idle_sources
 from windrow.sources import tables
 from windrow.sources.replay import event_time, line_stream, table_stream
 from windrow.sources.records import decode_by_store
 from windrow.streaming import jobs, sinks
 from windrow.streaming.late import late_split
-from windrow.streaming.runs import append_end_marker, drain
+from windrow.streaming.runs import append_end_marker, append_end_record, drain
 
 HOURS = Windows("10 hours", "5 hours", "2 hours")
 DAY = Windows("1 day")
@@ -117,8 +117,7 @@ def test_fan_out_branches_account_for_the_same_rows(spark, small, folder):
 def test_two_stages_through_a_topic_table(spark, small, folder):
     """Published JSON -> per-store totals -> published JSON -> global roll-up, each a stream."""
     tx = transactions(spark, small)
-    fields = {n: n for n in TRANSACTION.fieldNames()}
-    topic = publish_records(tx, "transaction_id", fields).withColumn("n", F.col("key").cast("long"))
+    topic = publish_records(tx, "transaction_id", wire_fields(TRANSACTION)).withColumn("n", F.col("key").cast("long"))
     write_files(topic, folder("topic"), "n")
     stream = table_stream(spark, folder("topic"), TOPIC_RECORD)
     first = retail.store_records(retail.transactions_of(stream), HOURS)
@@ -364,18 +363,12 @@ def test_checkpoints_default_to_the_shared_folder(spark, shared):
 
 def test_shared_folder_where_none_is_set():
     class Conf:
-        get = staticmethod(lambda key, default: default)
-
-    class Context:
-        master, applicationId = "local[1]", "app"
+        get = staticmethod(lambda key, default: {"spark.sql.warehouse.dir": "hdfs://store/warehouse/"}.get(key, default))
 
     class Session:
-        conf, sparkContext = Conf, Context
+        conf = Conf
 
-    assert shared_dir(Session) == shared_dir(Session)
-    Context.master = "yarn"
-    with pytest.raises(ValueError):
-        shared_dir(Session)
+    assert shared_dir(Session) == "hdfs://store/warehouse"
 
 
 @pytest.mark.parametrize("policy, closed", [("min", 0), ("max", 2)])
@@ -433,3 +426,109 @@ def test_cluster_stream_settings(spark, small, folder):
     want = closed_windows(retail.store_totals(tx, HOURS), tx)
     order = ("window_start", "store_id")
     assert rows(spark.read.parquet(folder("out")), *order) == rows(want, *order)
+
+
+def published(spark, small, folder, pieces=4):
+    """Transactions as topic records in several files, and the transactions as they come back."""
+    tx = transactions(spark, small)
+    for low in range(0, 1000, 1000 // pieces):
+        jobs.publish(tx.where(f"transaction_id between {low} and {low + 1000 // pieces - 1}"), folder)
+        time.sleep(0.02)
+    return tx.withColumn("ts", F.timestamp_millis("timestamp"))
+
+
+def test_end_record_flushes_the_retail_job(spark, small, folder):
+    tx = published(spark, small, folder("topic"))
+    stream = table_stream(spark, folder("topic"), TOPIC_RECORD)
+    for turn in range(2):
+        for writer in jobs.retail_job(stream, folder("out"), HOURS, None, folder("ck"), sinks.to_files(folder("products"))):
+            drain(writer)
+        if not turn:
+            append_end_record(spark, folder("topic"), TRANSACTION, ["timestamp"])
+    assert rows(decode_by_store(spark.read.parquet(folder("out"))), "window_start", "store_id") == rows(
+        retail.store_totals(tx, HOURS), "window_start", "store_id"
+    )
+    assert rows(spark.read.parquet(folder("products")), "window_start", "product_id") == rows(
+        retail.product_totals(tx, HOURS), "window_start", "product_id"
+    )
+
+
+def test_end_marker_of_times_in_milliseconds(spark, folder):
+    data = [(1_700_000_000_000 + 1000 * i, "s", float(i)) for i in range(5)]
+    spark.createDataFrame(data, READING).coalesce(1).write.parquet(folder("in"))
+    append_end_marker(spark.createDataFrame([], READING), folder("in"), "timestamp")
+    stream = table_stream(spark, folder("in"), READING)
+    drain(jobs.reading_job(stream, Windows("1 minute"), clock=False, checkpoints=folder("ck"), sink=sinks.to_files(folder("out"))))
+    assert spark.read.parquet(folder("out")).agg(F.sum("n")).first()[0] == 5
+
+
+def test_rollup_job_counts_a_repeated_total_once(spark, small, folder):
+    tx = transactions(spark, small)
+    records = retail.store_records(tx, HOURS)
+    records = records.select("key", F.lit(0).alias("partition"), F.lit(None).cast("timestamp").alias("timestamp"), "value")
+    for _ in range(2):
+        records.coalesce(1).write.mode("append").parquet(folder("in"))
+    os.makedirs(folder("notes"))
+
+    class Counts(Recorder):
+        def process(self, row):
+            self._note(f"row {row.window_start} {row.tran_count}")
+
+    stream = table_stream(spark, folder("in"), TOPIC_RECORD, None)
+    writer = jobs.rollup_job(stream, Counts(folder("notes")), Windows("5 hours"), False, checkpoints=folder("ck"))
+    drain(writer)
+    append_end_record(spark, folder("in"), BY_STORE, ["windowStart", "windowEnd"])
+    drain(writer)
+    notes = [open(f"{folder('notes')}/{n}").read() for n in os.listdir(folder("notes"))]
+    want = retail.rollup_in_one(tx, HOURS, Windows("5 hours")).collect()
+    assert sorted(n for n in notes if n.startswith("row")) == sorted(f"row {r.window_start} {r.tran_count}" for r in want)
+
+
+def test_job_with_main_and_side_output(spark, small, folder):
+    windows = Windows("2 hours", "1 hour")
+    arrivals = instants(tables.shuffled_arrivals(events(spark, small)))
+    write_files(arrivals, folder("in"), "arrival", pieces=4)
+    stream = table_stream(spark, folder("in"), arrivals.schema)
+    job = jobs.split_job(stream, sinks.batch_folder(folder("main")), sinks.batch_folder(folder("side")), windows, "2 seconds", folder("ck"))
+    drain(job)
+    on_time, late = split_late(arrivals, windows, "2 seconds")
+    for name, want in (("main", on_time), ("side", late)):
+        assert rows(spark.read.parquet(folder(name)).select("row_id"), "row_id") == rows(want.select("row_id"), "row_id")
+
+
+def test_clock_windows_fire_while_the_input_is_silent(spark, folder):
+    spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "name string, n int").coalesce(1).write.parquet(folder("in"))
+    stream = table_stream(spark, folder("in"), spark.read.parquet(folder("in")).schema)
+    query = jobs.name_job(stream, Windows("1 second"), folder("ck"), sinks.to_files(folder("out"))).start()
+    try:
+        for _ in range(120):
+            time.sleep(0.5)
+            if os.path.isdir(folder("out")) and (got := spark.read.schema("name string, n bigint").parquet(folder("out")).collect()):
+                break
+        assert query.exception() is None and sorted((r.name, r.n) for r in got) == [("a", 2), ("b", 1)]
+    finally:
+        query.stop()
+
+
+def test_targets_of_many_small_batches(spark, folder):
+    totals = [0, 0, 0]
+
+    def count(batch, batch_id):
+        for r in batch.groupBy("partition").count().collect():
+            totals[r.partition] += r["count"]
+
+    for i in range(40):
+        sinks.dealt(count, 3)(spark.range(25, numPartitions=1 + i % 7), i)
+    assert sum(totals) == 1000 and max(totals) - min(totals) <= 10
+
+
+def test_replays_take_several_batches_and_leave_no_folder(spark, small, shared, monkeypatch):
+    from windrow.streaming import replayed, runs
+
+    seen = []
+    monkeypatch.setattr(replayed, "drain", lambda writer: seen.append(runs.drain(writer)))
+    for replay_query in replayed.REPLAYS.values():
+        seen.clear()
+        replay_query(spark, small)
+        assert len({p["batchId"] for query in seen for p in query.recentProgress if p["numInputRows"]}) >= 3
+    assert not os.path.isdir(f"{shared}/replays") or not os.listdir(f"{shared}/replays")

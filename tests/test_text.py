@@ -3,10 +3,10 @@ from collections import Counter
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from windrow.functions.text import explode_lines, explode_words, line_word_counts
-from windrow.operators.layout import spread
 
 TOKENS = [
     ("", [""]),
@@ -101,7 +101,10 @@ def test_null_text_and_line(spark):
     assert line_word_counts(lines).collect() == []
 
 
-def test_spread_moves_rows_only_where_the_scan_is_narrow(spark):
-    assert spread(spark.range(100, numPartitions=2)).rdd.getNumPartitions() == 8
-    wide = spark.range(100, numPartitions=9)
-    assert spread(wide) is wide
+@pytest.mark.parametrize("line, want", [("x\r", "x"), ("x\r\r", "x\r"), ("x\r\u0085", "x\r\u0085"), ("x\r\u2028", "x\r\u2028"), ("\r", "")])
+def test_line_ends_of_files_and_texts_agree(spark, tmp_path, line, want):
+    (tmp_path / "a.txt").write_bytes(f"{line}\nlast".encode())
+    raw = spark.read.option("lineSep", "\n").text(str(tmp_path))
+    assert raw.select(F.regexp_replace("value", r"\r\z", "")).first()[0] == want
+    texts = spark.createDataFrame([(f"{line}\nlast",)], "text string")
+    assert explode_lines(texts).orderBy("pos").first().line == want

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from windrow.sources.records import encode
 
@@ -27,10 +28,17 @@ def publish_records(
     )
 
 
-def round_robin(partitions: int) -> Column:
+def wire_fields(schema: StructType) -> dict[str, Column]:
+    """The fields of a record layout, from columns of the same names, in the layout's types."""
+    return {f.name: F.col(f.name).cast(f.dataType) for f in schema}
+
+
+def round_robin(partitions: int, start: int = 0) -> Column:
     """A partition number that goes round within each task, like one counter per sink instance.
 
-    No shuffle and no sort: the low 33 bits of ``monotonically_increasing_id`` count a task's rows.
+    Tasks begin one further each, and ``start`` further than that, so that many short tasks, or many
+    small batches that pass their number, fill all partitions alike.  No shuffle and no sort: the low
+    33 bits of ``monotonically_increasing_id`` count a task's rows.
     """
     in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return (in_task % partitions).cast("int")
+    return ((in_task + F.spark_partition_id() + start) % partitions).cast("int")

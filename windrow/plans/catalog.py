@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from windrow.functions.text import explode_lines, line_word_counts
 from windrow.operators.halving import halving_reduce
 from windrow.operators.lateness import closed_windows, flag_late, on_time_pairs, split_late
-from windrow.operators.layout import spread
-from windrow.operators.publish import publish_records, round_robin
+from windrow.operators.publish import publish_records, round_robin, wire_fields
 from windrow.operators.stagger import staggered
 from windrow.operators.totals import amount_totals, pair_totals
 from windrow.operators.windows import RETAIL_DELAY, WORD_WINDOWS, Windows
@@ -101,8 +100,7 @@ def text_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_words(spark: SparkSession, folder: str) -> DataFrame:
-    texts = spread(_texts(spark, folder).select("doc_id", "text"))
-    return line_word_counts(_numbered(explode_lines(texts)))
+    return line_word_counts(_numbered(explode_lines(_texts(spark, folder).select("doc_id", "text"))))
 
 
 def wordcount_window(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,8 +112,7 @@ def reading_halving(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _published(spark: SparkSession, folder: str) -> DataFrame:
-    fields = {name: name for name in TRANSACTION_FIELDS}
-    return publish_records(_transactions(spark, folder), "transaction_id", fields)
+    return publish_records(_transactions(spark, folder), "transaction_id", wire_fields(TRANSACTION))
 
 
 def decoded_transactions(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,6 +128,14 @@ def by_store_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def product_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Product totals as topic records and back, their sums to the last digit."""
+    totals = amount_totals(_sales(spark, folder), SALES_WINDOWS, "product_id", "price", exact=True)
+    decoded = records.decode_by_product(records.encode_by_product(totals), "decimal(28,2)")
+    plain = {"window_start": _plain("window_start"), "window_end": _plain("window_end"), "sum_amount": F.col("sum_amount").cast("double")}
+    return decoded.withColumns(plain)
+
+
 def published_records(spark: SparkSession, folder: str) -> DataFrame:
     """Published records with their value decoded (JSON text differs by float formatting)."""
     topic = _published(spark, folder).withColumnRenamed("timestamp", "record_ts")
@@ -139,20 +144,24 @@ def published_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def round_robin_balance(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether every task deals its rows evenly: counts per target differ by one at most."""
-    dealt = _sales(spark, folder).select(
-        F.spark_partition_id().alias("task"), round_robin(3).alias("target")
-    )
-    per_task = (
-        dealt.groupBy("task")
-        .agg(*[F.count_if(F.col("target") == t).alias(f"t{t}") for t in range(3)])
-        .select(
-            (F.col("t0") + F.col("t1") + F.col("t2")).alias("rows"),
-            (F.greatest("t0", "t1", "t2") - F.least("t0", "t1", "t2")).alias("spread"),
-        )
+    """Rows dealt over three targets by tasks of every size: what each target gets, in percent of all
+    rows, and whether the targets differ by no more than the number of tasks allows."""
+    dealt = _sales(spark, folder).select(F.spark_partition_id().alias("task"), round_robin(3).alias("target"))
+    tasks = dealt.groupBy("task").agg(*[F.count_if(F.col("target") == t).alias(f"t{t}") for t in range(3)])
+    uneven = F.greatest("t0", "t1", "t2") - F.least("t0", "t1", "t2")
+    totals = tasks.agg(
+        *[F.sum(f"t{t}").alias(f"t{t}") for t in range(3)],
+        F.sum(F.col("t0") + F.col("t1") + F.col("t2")).alias("n_rows"),
+        (F.max(uneven) <= 1).alias("even_in_tasks"),
+        F.count(F.lit(1)).alias("tasks"),
     )
-    return per_task.agg(
-        F.sum("rows").alias("n_rows"), (F.max("spread") <= 1).alias("balanced")
+    per_target = F.inline(F.array(*[F.struct(F.lit(t).alias("target"), F.col(f"t{t}").alias("n")) for t in range(3)]))
+    each = totals.select("n_rows", "even_in_tasks", "tasks", per_target)
+    return each.select(
+        "target",
+        F.round(100 * F.col("n") / F.col("n_rows")).cast("int").alias("percent"),
+        "n_rows",
+        (F.col("even_in_tasks") & (F.abs(3 * F.col("n") - F.col("n_rows")) <= 3 * F.col("tasks"))).alias("balanced"),
     )
 
 
@@ -214,6 +223,7 @@ QUERIES: dict[str, Query] = {
     "q_decode_transactions": decoded_transactions,
     "q_by_store_roundtrip": by_store_roundtrip,
     "q_publish_records": published_records,
+    "q_product_roundtrip": product_roundtrip,
     "q_round_robin_balance": round_robin_balance,
     "q_late_rows": late_rows,
     "q_on_time_store_sliding": on_time_store_sliding,

@@ -137,8 +137,9 @@ ORACLE: dict[str, str] = {
           ON t.transaction_id = e.event_id
     """,
     "q_round_robin_balance": """
-        SELECT count(*) AS n_rows, TRUE AS balanced FROM lineitem
+        SELECT unnest([0, 1, 2])::INTEGER AS target, 33 AS percent, count(*) AS n_rows, TRUE AS balanced FROM lineitem
     """,
+    "q_product_roundtrip": _sliding("product_id"),
     "q_late_rows": f"""
         SELECT row_id, ts, source_partition, arrival, store_id, price FROM ({_SEEN})
         WHERE time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') + INTERVAL 2 HOUR
@@ -208,3 +209,8 @@ ORACLE["q_stream_store_sliding"] = f"""
     WHERE window_end <= (SELECT max(l_shipdate) - INTERVAL 2 SECOND FROM lineitem)
 """
 ORACLE["q_stream_late_rows"] = ORACLE["q_late_rows"]
+ORACLE["q_stream_flushed_store_sliding"] = ORACLE["q_store_sliding"]
+ORACLE["q_stream_rollup"] = ORACLE["q_global_rollup"]
+ORACLE["q_stream_name_sum"] = ORACLE["q_name_sum"]
+ORACLE["q_stream_wordcount_window"] = ORACLE["q_wordcount_window"]
+ORACLE["q_stream_reading_halving"] = ORACLE["q_reading_halving"]

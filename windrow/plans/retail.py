@@ -9,7 +9,7 @@ from windrow.operators.rollup import global_rollup, window_time
 from windrow.operators.totals import amount_totals, fanned_totals
 from windrow.operators.windows import NO_DELAY, RETAIL_DELAY, RETAIL_WINDOWS, ROLLUP_WINDOWS, Windows
 from windrow.sources.records import decode_by_store, decode_transactions, encode_by_store
-from windrow.sources.replay import event_time
+from windrow.sources.replay import by_clock, event_time
 
 
 def transactions_of(records: DataFrame, delay: str = RETAIL_DELAY) -> DataFrame:
@@ -43,8 +43,8 @@ def fanned_out(transactions: DataFrame, windows: Windows = RETAIL_WINDOWS, amoun
 
 
 def store_records(transactions: DataFrame, windows: Windows = RETAIL_WINDOWS) -> DataFrame:
-    """What the first stage publishes: per-store totals as keyed topic records."""
-    return encode_by_store(store_totals(transactions, windows))
+    """What the first stage publishes: per-store totals as keyed topic records, to the last digit."""
+    return encode_by_store(amount_totals(transactions, windows, "store_id", "price", exact=True))
 
 
 def rollup_of_records(
@@ -53,16 +53,20 @@ def rollup_of_records(
     ts: Column | str = "ts",
     delay: str = NO_DELAY,
     repeats: bool = False,
+    clock: bool = False,
+    amount: str = "double",
 ) -> DataFrame:
     """The second stage: per-store topic records to the global roll-up.
 
     The event time is the window time carried in the record, which makes the result reproducible;
     ``delay`` then has to cover the span of windows one batch of the first stage publishes, since
-    its files come in any order.  Pass ``arrival_now()`` to go by the clock at ingest instead.  With
+    its files come in any order.  With ``clock`` a stream goes by the time of ingest instead.  With
     ``repeats`` a (store, window) total that comes again within the delay counts once, as it may from
-    a sink that delivers at least once.
+    a sink that delivers at least once.  ``amount`` is the type in which the sums are read and summed
+    up again; see :func:`windrow.sources.records.decode_by_store`.
     """
-    totals = event_time(window_time(decode_by_store(records)), ts, delay)
+    decoded = window_time(decode_by_store(records, amount))
+    totals = by_clock(decoded, delay, "ts") if clock else event_time(decoded, ts, delay)
     if repeats:
         totals = _once(totals, ["store_id", "window_start", "window_end"])
     return global_rollup(totals, windows)

@@ -19,10 +19,10 @@ TRANSACTION = T.StructType(
 )
 
 # Totals travel with their window bounds (epoch milliseconds), so that a reader can roll them up
-# by event time.  Sums and counts are wider than the classic INT / FLOAT pair: no silent wrap.
+# by event time.  Ids, sums and counts are wider than the classic INT / FLOAT pair: no silent wrap.
 BY_STORE = T.StructType(
     [
-        T.StructField("storeId", T.IntegerType()),
+        T.StructField("storeId", T.LongType()),
         T.StructField("sumAmount", T.DoubleType()),
         T.StructField("tranCount", T.LongType()),
         T.StructField("windowStart", T.LongType()),
@@ -31,7 +31,7 @@ BY_STORE = T.StructType(
 )
 
 BY_PRODUCT = T.StructType(
-    [T.StructField("productId", T.IntegerType()), *BY_STORE.fields[1:]]
+    [T.StructField("productId", T.LongType()), *BY_STORE.fields[1:]]
 )
 
 READING = T.StructType(
@@ -42,16 +42,6 @@ READING = T.StructType(
     ]
 )
 
-NAMED_UNIT = T.StructType(
-    [
-        T.StructField("name", T.StringType()),
-        T.StructField("n", T.IntegerType()),
-        T.StructField("arrival_ts", T.TimestampType()),
-    ]
-)
-
-LINE = T.StructType([T.StructField("value", T.StringType())])
-
 TOPIC_RECORD = T.StructType(
     [
         T.StructField("key", T.StringType()),

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -51,16 +49,12 @@ def local_session(cores: int | str = "*", name: str = "windrow", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``.  Where it is unset (local runs and
-    tests) one fresh folder per application."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_dir(spark.sparkContext.applicationId)
+    """The folder all executors see: ``spark.checkpoint.dir`` or, where that is unset, the warehouse."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", "")).rstrip("/")
 
 
-@cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"windrow-{application}-")
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that a run has made for itself, on whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,7 +11,11 @@ from pyspark.sql.streaming import DataStreamWriter
 
 
 def reader_options(
-    servers: str, topic: str, group: str | None = None, group_prefix: str | None = None
+    servers: str,
+    topic: str,
+    group: str | None = None,
+    group_prefix: str | None = None,
+    client_id: str | None = None,
 ) -> dict[str, str]:
     """Read a topic from its earliest offset.  Restarts go on from the checkpoint; the group only
     names the consumer."""
@@ -24,6 +28,8 @@ def reader_options(
         options["kafka.group.id"] = group
     if group_prefix:
         options["groupIdPrefix"] = group_prefix
+    if client_id:
+        options["kafka.client.id"] = client_id
     return options
 
 

@@ -10,19 +10,19 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType, VariantType
 
 from windrow.functions.times import epoch_millis
 from windrow.schemas import BY_PRODUCT, BY_STORE, TRANSACTION
 
 
 def decode(df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The record's fields as columns.  A malformed record, or one that lacks a field or has a null
-    in it, fails the job, whichever columns are used later on."""
-    record = F.from_json(_text(), schema, {"mode": "FAILFAST"})
-    refused = F.raise_error(F.lit("record with a missing or null field")).cast(schema)
+    """The record's fields as columns.  A malformed record, or one that lacks a field, has a null in
+    it or a value of another kind, fails the job, whichever columns are used later on."""
+    record = F.from_json(_text(), _wire(schema), {"mode": "FAILFAST", **_STRICT})
+    refused = F.raise_error(F.lit("record with a missing, null or mistyped field")).cast(schema)
     checked = F.transform(
-        F.array(record), lambda r: F.when(_complete(r, schema), r).otherwise(refused)
+        F.array(record), lambda r: F.when(_complete(r, schema), _typed(r, schema)).otherwise(refused)
     )
     return df.select(*keep, F.inline(checked))
 
@@ -31,22 +31,30 @@ def decode_or_quarantine(
     df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: decoded rows, and the untouched input rows that do not decode."""
-    parsed = F.array(F.from_json(_text(), schema, {"mode": "PERMISSIVE"}))
+    parsed = F.array(F.from_json(_text(), _wire(schema), {"mode": "PERMISSIVE", **_STRICT}))
     complete = F.filter(parsed, lambda r: _complete(r, schema))
-    return df.select(*keep, F.inline(complete)), df.where(F.size(complete) == 0)
+    good = F.transform(complete, lambda r: _typed(r, schema))
+    return df.select(*keep, F.inline(good)), df.where(F.size(complete) == 0)
 
 
 def decode_transactions(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return decode(df, TRANSACTION, keep)
 
 
-def decode_by_store(df: DataFrame) -> DataFrame:
-    """Per-store totals as written by :func:`encode_by_store`."""
-    return _totals(decode(df, BY_STORE), "storeId", "store_id")
+def decode_by_store(df: DataFrame, amount: str = "double") -> DataFrame:
+    """Per-store totals as written by :func:`encode_by_store`.  ``amount`` is the type to read their
+    sums in: a DECIMAL gives back to the last digit what was written as one."""
+    return _totals(decode(df, _summed(BY_STORE, amount)), "storeId", "store_id")
 
 
-def decode_by_product(df: DataFrame) -> DataFrame:
-    return _totals(decode(df, BY_PRODUCT), "productId", "product_id")
+def decode_by_product(df: DataFrame, amount: str = "double") -> DataFrame:
+    return _totals(decode(df, _summed(BY_PRODUCT, amount)), "productId", "product_id")
+
+
+def _summed(schema: StructType, amount: str) -> StructType:
+    """The layout with another type of sum."""
+    kind = StructType.fromDDL(f"sumAmount {amount}")["sumAmount"].dataType
+    return StructType([StructField(f.name, kind if f.name == "sumAmount" else f.dataType) for f in schema])
 
 
 def encode(df: DataFrame, fields: dict[str, Column | str] | None = None) -> Column:
@@ -71,10 +79,28 @@ def _text() -> Column:
     return F.col("value").cast("string")
 
 
+# NaN and infinities are no JSON numbers.
+_STRICT = {"allowNonNumericNumbers": "false"}
+
+
+def _wire(schema: StructType) -> StructType:
+    """The layout to parse with: text fields as they stand, since a parser would turn any other value
+    into text."""
+    return StructType([StructField(f.name, VariantType() if f.dataType == StringType() else f.dataType) for f in schema])
+
+
 def _complete(record: Column, schema: StructType) -> Column:
-    """Whether no field is null.  Used inside a lambda, where the record is parsed once: as a plain
-    filter Catalyst would write the parse out again for every field."""
-    return reduce(and_, [record.getField(f.name).isNotNull() for f in schema])
+    """Whether no field is null, and text fields hold text.  Used inside a lambda, where the record is
+    parsed once: as a plain filter Catalyst would write the parse out again for every field."""
+    checks = [
+        F.schema_of_variant(record.getField(f.name)) == "STRING" if f.dataType == StringType() else record.getField(f.name).isNotNull()
+        for f in schema
+    ]
+    return reduce(and_, [F.coalesce(check, F.lit(False)) for check in checks])
+
+
+def _typed(record: Column, schema: StructType) -> Column:
+    return F.struct(*[record.getField(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def _totals(decoded: DataFrame, wire_key: str, key: str) -> DataFrame:
@@ -92,7 +118,7 @@ def _totals_record(totals: DataFrame, wire_key: str, key: str) -> DataFrame:
     value = encode(
         totals,
         {
-            wire_key: F.col(key).cast("int"),
+            wire_key: F.col(key).cast("bigint"),
             "sumAmount": "sum_amount",
             "tranCount": "tran_count",
             "windowStart": start,

@@ -19,10 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def transactions(events: DataFrame) -> DataFrame:
-    """Events in the layout of a retail transaction; ``ts`` is kept beside the record."""
+    """Events as retail transactions; ``ts`` is kept beside the record.  Ids are as wide as the
+    table's: the wire layout narrows them when they are published."""
     return events.select(
-        F.col("event_id").cast("int").alias("transaction_id"),
-        F.col("user_id").cast("int").alias("customer_id"),
+        F.col("event_id").alias("transaction_id"),
+        F.col("user_id").alias("customer_id"),
         (F.col("user_id") % 20 + 1).cast("int").alias("store_id"),
         F.col("value").cast("float").alias("price"),
         (F.col("event_id") % 50 + 1).cast("int").alias("product_id"),

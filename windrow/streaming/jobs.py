@@ -6,17 +6,18 @@ writer has its own checkpoint under ``checkpoints``, or under the session's shar
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from windrow.functions.times import arrival_now, from_epoch_millis
-from windrow.operators.publish import publish_records
+from windrow.functions.times import from_epoch_millis
+from windrow.operators.publish import publish_records, wire_fields
 from windrow.operators.windows import (
     NAME_WINDOWS,
     NO_DELAY,
     READING_WINDOWS,
+    RETAIL_DELAY,
     RETAIL_WINDOWS,
     ROLLUP_WINDOWS,
     WORD_WINDOWS,
@@ -26,8 +27,13 @@ from windrow.plans import names, readings, retail, words
 from windrow.schemas import TRANSACTION
 from windrow.session import shared_dir
 from windrow.sources.kafka import write_topic
-from windrow.sources.replay import event_time
+from windrow.sources.replay import by_clock, event_time
 from windrow.streaming import sinks
+from windrow.streaming.late import late_split
+
+
+#: How long a total may be delivered again and still be told from a new one.
+REPEATS_WITHIN = "30 seconds"
 
 
 def checkpoint_of(df: DataFrame, name: str, checkpoints: str | None = None) -> str:
@@ -43,8 +49,7 @@ def publish(
 ) -> None:
     """Write a table of transactions as keyed records, numbered by ``transaction_id``, to a folder or
     a topic."""
-    fields = {name: name for name in TRANSACTION.fieldNames()}
-    records = publish_records(transactions, "transaction_id", fields, timestamp)
+    records = publish_records(transactions, "transaction_id", wire_fields(TRANSACTION), timestamp)
     if isinstance(out, dict):
         records.write.format("kafka").options(**out).save()
     else:
@@ -57,17 +62,19 @@ def retail_job(
     windows: Windows = RETAIL_WINDOWS,
     partitions: int | None = None,
     checkpoints: str | None = None,
+    sink: sinks.Sink = sinks.printed,
 ) -> list[DataStreamWriter]:
-    """Transaction records to printed product totals and store totals as topic records.
+    """Transaction records to product totals, for ``sink``, and store totals as topic records.
 
     ``out`` is a folder or the options of a topic.  With ``partitions`` the records are dealt round
-    robin over that many target partitions.
+    robin over that many target partitions.  Results are printed unless another ``sink`` is given,
+    here and below.
     """
     transactions = retail.transactions_of(records)
     products = retail.product_totals(transactions, windows)
     stores = retail.store_records(transactions, windows)
     return [
-        sinks.printed(products, checkpoint_of(records, "product-totals", checkpoints)),
+        sink(products, checkpoint_of(records, "product-totals", checkpoints)),
         _published(stores, out, partitions, checkpoint_of(records, "store-totals", checkpoints)),
     ]
 
@@ -77,51 +84,66 @@ def rollup_job(
     writer: sinks.LifecycleWriter,
     windows: Windows = ROLLUP_WINDOWS,
     by_clock: bool = True,
-    delay: str = NO_DELAY,
+    delay: str = REPEATS_WITHIN,
     checkpoints: str | None = None,
+    repeats: bool = True,
+    amount: str = "double",
 ) -> DataStreamWriter:
     """Store-total records to the global roll-up, handed row by row to ``writer``.
 
-    ``by_clock`` windows by the time of ingest; otherwise by the window times in the records.
+    ``by_clock`` windows by the time of ingest; otherwise by the window times in the records.  A total
+    that is delivered again within ``delay`` counts once; windows come out so much later.
     """
-    ts = arrival_now() if by_clock else F.col("ts")
-    rolled = retail.rollup_of_records(records, windows, ts, delay)
+    rolled = retail.rollup_of_records(records, windows, delay=delay, repeats=repeats, clock=by_clock, amount=amount)
     return sinks.rows_to(rolled, writer, checkpoint_of(records, "rollup", checkpoints))
 
 
+def split_job(
+    arrivals: DataFrame,
+    main: Callable[[DataFrame, int], None],
+    side: Callable[[DataFrame, int], None],
+    windows: Windows = RETAIL_WINDOWS,
+    delay: str = RETAIL_DELAY,
+    checkpoints: str | None = None,
+    **order: str,
+) -> DataStreamWriter:
+    """Rows to a main output, rows late for all their windows to a side output, batch by batch."""
+    seen = checkpoint_of(arrivals, "split-seen", checkpoints)
+    body = late_split(seen, main, side, windows, delay, **order)
+    return sinks.batches(arrivals, body, checkpoint_of(arrivals, "split", checkpoints))
+
+
 def word_job(
-    lines: DataFrame, windows: Windows = WORD_WINDOWS, checkpoints: str | None = None
+    lines: DataFrame, windows: Windows = WORD_WINDOWS, checkpoints: str | None = None, sink: sinks.Sink = sinks.printed
 ) -> DataStreamWriter:
-    """Text lines (``value``) to word counts per window of their ingest, printed."""
-    stamped = event_time(lines.select(F.col("value").alias("line")), arrival_now(), NO_DELAY)
+    """Text lines (``value``) to word counts per window of their ingest."""
+    stamped = by_clock(lines.select(F.col("value").alias("line")), NO_DELAY, "ts")
     counts = words.word_totals(stamped, windows)
-    return sinks.printed(counts, checkpoint_of(lines, "words", checkpoints))
+    return sink(counts, checkpoint_of(lines, "words", checkpoints))
 
 
 def name_job(
-    units: DataFrame, windows: Windows = NAME_WINDOWS, checkpoints: str | None = None
+    units: DataFrame, windows: Windows = NAME_WINDOWS, checkpoints: str | None = None, sink: sinks.Sink = sinks.printed
 ) -> DataStreamWriter:
-    """Named units (``name``, ``n``) summed per name and window of their ingest, printed."""
-    stamped = event_time(units.select("name", "n"), arrival_now(), NO_DELAY, "arrival_ts")
-    return sinks.printed(
-        names.name_sums(stamped, windows), checkpoint_of(units, "names", checkpoints)
-    )
+    """Named units (``name``, ``n``) summed per name and window of their ingest."""
+    stamped = by_clock(units.select("name", "n"), NO_DELAY, "arrival_ts")
+    return sink(names.name_sums(stamped, windows), checkpoint_of(units, "names", checkpoints))
 
 
 def reading_job(
     rows: DataFrame,
     windows: Windows = READING_WINDOWS,
-    by_clock: bool = True,
+    clock: bool = True,
     checkpoints: str | None = None,
+    sink: sinks.Sink = sinks.printed,
 ) -> DataStreamWriter:
     """Readings (``timestamp`` in epoch milliseconds, ``sensorId``, ``temperature``) halved per
-    sensor and window, printed.  Within one instant of arrival they go by ``timestamp``."""
-    ts = arrival_now() if by_clock else from_epoch_millis("timestamp")
-    stamped = event_time(rows, ts, NO_DELAY)
+    sensor and window.  Within one instant of arrival they go by ``timestamp``."""
+    stamped = by_clock(rows, NO_DELAY, "ts") if clock else event_time(rows, from_epoch_millis("timestamp"), NO_DELAY)
     reduced = readings.halved_readings(
         stamped, windows, key="sensorId", tiebreak="timestamp", stamp="timestamp"
     )
-    return sinks.printed(reduced, checkpoint_of(rows, "readings", checkpoints))
+    return sink(reduced, checkpoint_of(rows, "readings", checkpoints))
 
 
 def _published(

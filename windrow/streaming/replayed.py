@@ -1,6 +1,8 @@
 """Queries that replay a given table as a stream, to its end, and hand back what was emitted.
 
-Each run keeps its output and checkpoint in a folder of its own under the shared folder.
+Each run lays the table out as files in the order of its time or arrival, reads them one batch each,
+and keeps output and state in a folder of its own under the shared folder.  What it emitted is
+checkpointed, and the folder removed.
 """
 
 from __future__ import annotations
@@ -8,76 +10,154 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType, TimestampType
 
-from windrow.operators.windows import RETAIL_DELAY
-from windrow.plans import retail
-from windrow.plans.catalog import ARRIVAL_ORDER, LATE_WINDOWS, SALES_WINDOWS
-from windrow.session import pin_utc, shared_dir
+from windrow.functions.text import explode_lines
+from windrow.functions.times import epoch_micros
+from windrow.operators.windows import NO_DELAY, RETAIL_DELAY, WORD_WINDOWS
+from windrow.plans import names, readings, retail, words
+from windrow.plans.catalog import ARRIVAL_ORDER, DAYS, LATE_WINDOWS, NAMES, ROLLUP, SALES_WINDOWS
+from windrow.schemas import BY_STORE, TOPIC_RECORD
+from windrow.session import pin_utc, remove_folder, shared_dir
 from windrow.sources import tables
+from windrow.sources.records import encode_by_store
 from windrow.sources.replay import event_time, table_stream
-from windrow.streaming import sinks
-from windrow.streaming.late import late_split
-from windrow.streaming.runs import drain
+from windrow.streaming import jobs, sinks
+from windrow.streaming.runs import append_end_marker, append_end_record, drain
+
+# Files, and so batches, that a table is replayed in at least, and the rows of one at most.
+LEAST_FILES, FILE_ROWS = 4, 2_000_000
 
 
 def store_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Totals of the windows a stream over the sales has closed by their end."""
-    sales = event_time(_stream(spark, folder, "lineitem", tables.sales), "ts", RETAIL_DELAY)
-    return _emitted(retail.store_totals(sales, SALES_WINDOWS))
+    run = _Run(spark)
+    sales = run.stream(_view(spark, folder, "lineitem", tables.sales), epoch_micros("ts"))
+    return run.emitted(retail.store_totals(event_time(sales, "ts", RETAIL_DELAY), SALES_WINDOWS))
+
+
+def flushed_store_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, and after the end marker those of the windows that were still open: all there are."""
+    run = _Run(spark)
+    view = _view(spark, folder, "lineitem", tables.sales)
+    sales = run.stream(view, epoch_micros("ts"))
+    totals = retail.store_totals(event_time(sales, "ts", RETAIL_DELAY), SALES_WINDOWS)
+    return run.emitted(totals, lambda: append_end_marker(sales, run.input))
+
+
+def rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """The roll-up of per-store totals that come through a topic, each of them twice."""
+    run = _Run(spark)
+    totals = retail.amount_totals(_view(spark, folder, "lineitem", tables.sales), SALES_WINDOWS, "store_id", "price", exact=True)
+    records = encode_by_store(totals).select("key", F.lit(0).alias("partition"), F.current_timestamp().alias("timestamp"), "value")
+    order = F.element_at(F.split("key", "@"), 2).cast("bigint")  # the window that the key names
+    twice = records.unionByName(records)
+    topic = run.stream(twice, order, TOPIC_RECORD)
+    rolled = retail.rollup_of_records(topic, ROLLUP, delay="20 days", repeats=True, amount="decimal(28,2)")
+    return run.emitted(rolled, lambda: append_end_record(spark, run.input, BY_STORE, ["windowStart", "windowEnd"]))
 
 
 def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The side output of a stream that splits off rows late for all their windows."""
-    arrivals = _stream(spark, folder, "events", tables.shuffled_arrivals)
-    run = _run_folder(spark)
-    split = late_split(
-        f"{run}/seen",
-        sinks.batch_folder(f"{run}/main"),
-        sinks.batch_folder(f"{run}/side"),
-        LATE_WINDOWS,
-        RETAIL_DELAY,
-        **ARRIVAL_ORDER,
+    run = _Run(spark)
+    arrivals = run.stream(_view(spark, folder, "events", tables.shuffled_arrivals), F.col("arrival"))
+    drain(
+        jobs.split_job(
+            arrivals,
+            sinks.batch_folder(f"{run.folder}/main"),
+            sinks.batch_folder(f"{run.folder}/side"),
+            LATE_WINDOWS,
+            RETAIL_DELAY,
+            f"{run.folder}/checkpoints",
+            **ARRIVAL_ORDER,
+        )
     )
-    drain(sinks.batches(arrivals, split, f"{run}/checkpoint"))
-    return _read(spark, f"{run}/side", arrivals.schema)
+    return run.ended(f"{run.folder}/side", arrivals.schema)
 
 
-REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "q_stream_store_sliding": store_totals,
-    "q_stream_late_rows": late_rows,
-}
+def name_sums(spark: SparkSession, folder: str) -> DataFrame:
+    run = _Run(spark)
+    units = run.stream(_view(spark, folder, "events", tables.named_units), epoch_micros("arrival_ts"))
+    sums = names.name_sums(event_time(units, "arrival_ts", NO_DELAY, "arrival_ts"), NAMES)
+    return run.emitted(sums, lambda: append_end_marker(units, run.input, "arrival_ts"))
 
 
-def _stream(
-    spark: SparkSession, folder: str, name: str, view: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
-    """The table as a stream, in one batch: its files need not be in the order of time."""
-    schema = tables.table(pin_utc(spark), folder, name).schema
-    # A pattern, since the file source takes no path of a single file.
-    return view(table_stream(spark, f"{folder}/{name}.parque[t]", schema, None))
+def word_totals(spark: SparkSession, folder: str) -> DataFrame:
+    run = _Run(spark)
+    texts = run.stream(_view(spark, folder, "documents", tables.texts).select("ts", "text"), epoch_micros("ts"))
+    lines = explode_lines(event_time(texts, "ts", NO_DELAY))
+    return run.emitted(words.word_totals(lines, WORD_WINDOWS), lambda: append_end_marker(texts, run.input))
 
 
-def _run_folder(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/replays/{uuid4()}"
+def halved_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Kept by whole windows: by panes, which a hot sensor needs, the last bit may differ."""
+    run = _Run(spark)
+    rows = run.stream(_view(spark, folder, "events", tables.readings), F.col("reading_id"))
+    halved = readings.halved_readings(event_time(rows, "ts", NO_DELAY), DAYS, pane=DAYS.size)
+    return run.emitted(halved, lambda: append_end_marker(rows, run.input))
 
 
-def _emitted(result: DataFrame) -> DataFrame:
-    run = _run_folder(result.sparkSession)
-    drain(sinks.files(result, f"{run}/out", f"{run}/checkpoint"))
-    return _read(result.sparkSession, f"{run}/out", result.schema)
+REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "q_stream_store_sliding": store_totals,
+    "q_stream_flushed_store_sliding": flushed_store_totals,
+    "q_stream_rollup": rollup,
+    "q_stream_late_rows": late_rows,
+    "q_stream_name_sum": name_sums,
+    "q_stream_wordcount_window": word_totals,
+    "q_stream_reading_halving": halved_readings,
+}
 
 
-def _read(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    """The rows written, with times as the tables have them."""
-    plain = StructType([StructField(f.name, f.dataType) for f in schema])
-    rows = spark.read.schema(plain).parquet(folder)
-    return rows.select(
-        *[
-            F.col(f.name).cast("timestamp_ntz").alias(f.name)
-            if isinstance(f.dataType, TimestampType)
-            else F.col(f.name)
-            for f in plain
-        ]
-    )
+def _view(spark: SparkSession, folder: str, name: str, view: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return view(tables.table(pin_utc(spark), folder, name))
+
+
+class _Run:
+    """One replay and its folder."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = f"{shared_dir(spark)}/replays/{uuid4()}"
+        self.input = f"{self.folder}/in"
+
+    def stream(self, rows: DataFrame, order: Column, schema: StructType | None = None) -> DataFrame:
+        """The rows as a stream of files in the order of a number: the oldest rows in the oldest file."""
+        # Streams carry TIMESTAMP, so files do too.
+        rows = rows.select(
+            *[F.col(f.name).cast("timestamp") if f.dataType.simpleString() == "timestamp_ntz" else F.col(f.name) for f in rows.schema]
+        )
+        n = rows.count()
+        files = max(LEAST_FILES, -(-n // FILE_ROWS))
+        shares = [i / files for i in range(1, files)]
+        edges = rows.agg(F.percentile_approx(order, shares, 10_000)).first()[0] or []
+        for low, high in zip([None, *edges], [*edges, None], strict=True):
+            piece = rows if low is None else rows.where(order > low)
+            piece = piece if high is None else piece.where(order <= high)
+            piece.coalesce(1).write.mode("append").parquet(self.input)
+        return table_stream(self.spark, self.input, schema or rows.schema)
+
+    def emitted(self, result: DataFrame, end: Callable[[], None] | None = None) -> DataFrame:
+        """What the stream has emitted at the end of its input, and of what ``end`` adds to it."""
+        writer = sinks.files(result, f"{self.folder}/out", f"{self.folder}/checkpoint")
+        drain(writer)
+        if end is not None:
+            end()
+            drain(writer)
+        return self.ended(f"{self.folder}/out", result.schema)
+
+    def ended(self, output: str, schema: StructType) -> DataFrame:
+        """The rows written, with times as the tables have them."""
+        plain = StructType([StructField(f.name, f.dataType) for f in schema])
+        rows = self.spark.read.schema(plain).parquet(output)
+        back = [F.col(f.name).cast("timestamp_ntz") if isinstance(f.dataType, TimestampType) else F.col(f.name) for f in plain]
+        kept = _checkpointed(rows.select(*[c.alias(f.name) for c, f in zip(back, plain, strict=True)]))
+        remove_folder(self.spark, self.folder)
+        return kept
+
+
+def _checkpointed(rows: DataFrame) -> DataFrame:
+    context = rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(rows.sparkSession))
+    return rows.checkpoint()

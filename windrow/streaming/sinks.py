@@ -9,6 +9,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from windrow.operators.publish import round_robin
 
+#: What the jobs take for their results: a stream and its checkpoint to a writer.
+Sink = Callable[[DataFrame, str], DataStreamWriter]
+
 
 def files(df: DataFrame, folder: str, checkpoint: str) -> DataStreamWriter:
     """Parquet files, exactly once: the sink's log and the checkpoint agree on committed batches."""
@@ -20,6 +23,11 @@ def files(df: DataFrame, folder: str, checkpoint: str) -> DataStreamWriter:
     )
 
 
+def to_files(folder: str) -> Sink:
+    """:func:`files` of one folder, as a job's sink."""
+    return lambda df, checkpoint: files(df, folder, checkpoint)
+
+
 def batch_folder(folder: str) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` body with repeatable effect: batch ``i`` owns ``batch_id=i`` and a retry
     replaces it whole."""
@@ -43,10 +51,11 @@ def topic_batch(options: dict[str, str]) -> Callable[[DataFrame, int], None]:
 def dealt(
     body: Callable[[DataFrame, int], None], partitions: int
 ) -> Callable[[DataFrame, int], None]:
-    """The body with a ``partition`` column dealt round robin within each task of the batch."""
+    """The body with a ``partition`` column dealt round robin over the tasks of the batch, each batch
+    beginning one further."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        body(batch.withColumn("partition", round_robin(partitions)), batch_id)
+        body(batch.withColumn("partition", round_robin(partitions, batch_id % partitions)), batch_id)
 
     return write
 

@@ -15,9 +15,11 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows per chunk that the cuts are drawn from.
+# Rows per chunk that the cuts are drawn from.  Like the next value it bears on the balance of the
+# chunks, never on results.
 SEEN_PER_CHUNK = 400
-# Integers up to here are exact in a double.
+# Integers up to here are exact in a double.  A single value further than that from the least one is
+# not cut by the minor order, however many rows it has: all of them go to one chunk.
 _EXACT = 2**53
 
 

@@ -43,6 +43,8 @@ def test_same_as_brute_force(pages):
         ("<article>cut <b>off", "cut off"),
         ("<div id=comments><p>me too</p></div><p class=lead>text", "text"),
         ("<article>1</article><aside>no</aside><article>2</article>", "1\n2"),
+        ("<article class='post has-comments'><p>text</p></article><article class=comment><p>first!</p></article>", "text"),
+        ("<article><p>text</p><div class=cookieBanner>ok?</div><div hidden>no</div><p>more</p></article>", "text\nmore"),
         ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
         ("<p>a&nbsp;b\n\t c</p>", "a b c"),
     ],

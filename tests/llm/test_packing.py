@@ -64,6 +64,12 @@ def test_rounds_join_what_tasks_leave_open(spark, monkeypatch):
     assert 1500 <= len({r.sequence_id for r in found}) <= 1515  # two of 700 each
 
 
+def test_columns_of_the_same_names_are_replaced(spark):
+    items = spark.range(10).selectExpr("id", "1000L as length", "'x' as offset", "1 as sequence_id")
+    found = packing.packed(items)
+    assert found.columns == ["id", "length", "sequence_id", "offset", "filled"] and {r.offset for r in found.collect()} == {0, 1000}
+
+
 def test_sizes_that_never_fit_together(spark, monkeypatch):
     monkeypatch.setattr(packing, "ROUND_ROWS", 100)
     found = packing.packed(spark.range(1000).selectExpr("id", "1100L as length")).collect()

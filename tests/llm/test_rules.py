@@ -64,10 +64,9 @@ def test_keeps_clean_and_drops_junk(spark):
     folder = "/root/testdata/sf0.01"
     found = rules.rated(spark.read.parquet(f"{folder}/documents.parquet")).filter("not base_failed")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
-    share = {r.quality: r.kept / r.n for r in found.join(labels, "doc_id").groupBy("quality").agg({"*": "count", "kept": "count"}).selectExpr("quality", "0 as kept", "`count(1)` as n").collect()}
-    kept = {r.quality: r["count"] for r in found.join(labels, "doc_id").filter("kept").groupBy("quality").count().collect()}
-    n = {r.quality: r["count"] for r in found.join(labels, "doc_id").groupBy("quality").count().collect()}
-    assert set(share) == {0, 1} and kept[1] > 0.98 * n[1] and kept.get(0, 0) < 0.1 * n[0]
+    rows = found.join(labels, "doc_id").collect()
+    good, bad = ([r.kept for r in rows if r.quality == q] for q in (1, 0))
+    assert sum(good) > 0.98 * len(good) and sum(bad) < 0.1 * len(bad)
 
 
 def test_empty_table(none):

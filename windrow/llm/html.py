@@ -43,10 +43,12 @@ ASIDE_WORDS = frozenset(
     "ad ads adv advert advertisement advertising banner sponsor sponsored promo promoted promotion cookie cookies consent gdpr notice notices "
     "alert popup modal overlay subscribe subscription newsletter signup login nav navbar navigation menu breadcrumb breadcrumbs sidebar "
     "aside footer header masthead toolbar pagination pager comment comments commentlist disqus reply replies respond discussion share "
-    "sharing social related recommended recommendations widget complementary contentinfo search hidden".split()
+    "sharing social related recommended recommendations widget complementary contentinfo search hidden sidenav topbar topnav skiplink "
+    "disclaimer copyright adsbygoogle banners crumbs newsletters paywall".split()
 )
-#: Elements of the article itself, in which the words above say nothing.
+#: Elements of the article itself; of the words above only these few say that one is something else.
 MAIN_TAGS = frozenset({"article", "main"})
+NOT_MAIN_WORDS = frozenset("comment reply ad advert advertisement sponsored promo teaser".split())
 
 _MARKUP = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)>?)""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:\s|^)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -73,7 +75,8 @@ def _opened(tag: str, attributes: str, inside_main: bool) -> Element:
             else:
                 names.append(value)
                 words.update(w.lower() for w in _NAME_WORD.findall(value))
-    aside = tag in ASIDE_TAGS and not (tag == "header" and inside_main) or tag not in MAIN_TAGS | {"body", "html"} and (hidden or not ASIDE_WORDS.isdisjoint(words))
+    aside = hidden or tag in ASIDE_TAGS and not (tag == "header" and inside_main)
+    aside = aside or not (NOT_MAIN_WORDS if tag in MAIN_TAGS else ASIDE_WORDS).isdisjoint(words)
     return Element(tag, " ".join(names), aside)
 
 

@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from windrow.functions.text import explode_lines, line_word_counts
+from windrow.functions.times import from_epoch_millis
 from windrow.operators.halving import halving_reduce
 from windrow.operators.lateness import closed_windows, flag_late, on_time_pairs, split_late
 from windrow.operators.publish import publish_records, round_robin, wire_fields
 from windrow.operators.stagger import staggered
-from windrow.operators.totals import amount_totals, pair_totals
+from windrow.operators.totals import amount_totals, pair_totals, windowed_aggregates
 from windrow.operators.windows import RETAIL_DELAY, WORD_WINDOWS, Windows
 from windrow.plans import names, retail, words
 from windrow.schemas import TRANSACTION
@@ -120,6 +121,25 @@ def decoded_transactions(spark: SparkSession, folder: str) -> DataFrame:
     return records.decode_transactions(_published(spark, folder))
 
 
+def event_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Records whose event time is a field of theirs, per hour of that time."""
+    decoded = records.decode_transactions(_published(spark, folder))
+    timed = decoded.select(_plain(from_epoch_millis("timestamp")).alias("ts"), "transaction_id")
+    first, last = F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
+    return windowed_aggregates(timed, Windows("1 hour"), [], [first, last, F.count(F.lit(1)).alias("n")], "ts")
+
+
+def window_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Aggregates of one's own over all rows of a window, whatever their key."""
+    own = [
+        F.max("price").cast("double").alias("highest"),
+        F.min("price").cast("double").alias("lowest"),
+        F.count_distinct("store_id").alias("stores"),
+        F.max_by("product_id", F.struct("price", "product_id")).alias("dearest"),
+    ]
+    return windowed_aggregates(_sales(spark, folder), SALES_WINDOWS, [], own, "ts")
+
+
 def by_store_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     wire = records.encode_by_store(store_sliding(spark, folder))
     decoded = records.decode_by_store(wire)
@@ -221,6 +241,8 @@ QUERIES: dict[str, Query] = {
     "q_wordcount_window": wordcount_window,
     "q_reading_halving": reading_halving,
     "q_decode_transactions": decoded_transactions,
+    "q_event_times": event_times,
+    "q_window_all": window_all,
     "q_by_store_roundtrip": by_store_roundtrip,
     "q_publish_records": published_records,
     "q_product_roundtrip": product_roundtrip,

@@ -129,6 +129,19 @@ ORACLE: dict[str, str] = {
         GROUP BY ws, sensor_id
     """,
     "q_decode_transactions": _TRANSACTIONS,
+    "q_event_times": """
+        SELECT ws AS window_start, ws + INTERVAL 1 HOUR AS window_end, first_ts, last_ts, n FROM (
+            SELECT time_bucket(INTERVAL 1 HOUR, ms, TIMESTAMP '1970-01-01') AS ws,
+                   min(ms) AS first_ts, max(ms) AS last_ts, count(*) AS n
+            FROM (SELECT make_timestamp(epoch_us(ts) // 1000 * 1000) AS ms FROM events) GROUP BY 1)
+    """,
+    "q_window_all": f"""
+        SELECT window_start, window_start + INTERVAL 10 DAY AS window_end,
+               CAST(max(amount) AS DOUBLE) AS highest, CAST(min(amount) AS DOUBLE) AS lowest,
+               count(DISTINCT store_id) AS stores,
+               arg_max(product_id, struct_pack(a := amount, p := product_id)) AS dearest
+        FROM ({_SALES_SLIDING.format(key="store_id, product_id", sales=_SALES)}) GROUP BY window_start
+    """,
     "q_by_store_roundtrip": _sliding("store_id", "CAST(store_id AS INTEGER)"),
     "q_publish_records": f"""
         SELECT CAST(transaction_id AS VARCHAR) AS key,

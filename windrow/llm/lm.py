@@ -100,8 +100,8 @@ def pair_counts(docs: DataFrame, words: Broadcast[Vocabulary], text: str = "text
         for batch in batches:
             pairs, sizes = known.pairs(as_bytes(batch.column("text")))
             inside = np.repeat(np.array(batch.column("target").to_pylist(), bool), sizes)
-            counts[0] += np.bincount(pairs, minlength=counts.shape[1])
-            counts[1] += np.bincount(pairs[inside], minlength=counts.shape[1])
+            np.add.at(counts[0], pairs, 1)
+            np.add.at(counts[1], pairs[inside], 1)
         seen = np.flatnonzero(counts[0])
         for at in range(0, len(seen), 100_000):
             some = seen[at : at + 100_000]

@@ -19,6 +19,8 @@ CAPACITY = 2048
 END_ID = 0
 #: A bin with so little room left counts as full.
 NEARLY = 8
+#: Items that a task packs together, and the bytes with which these are taken to be enough.
+AT_ONCE_ROWS, AT_ONCE_BYTES = 50_000, 16 << 20
 #: Open rows that one task of a round takes.
 ROUND_ROWS = 200_000
 #: A round that closes or joins less than this share of the open bins is the last.
@@ -83,21 +85,35 @@ def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     return mapped(narrow, work, schema).withColumnRenamed("key", key)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fewer, larger batches: best fit has more to choose from."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.num_rows for b in held) >= AT_ONCE_ROWS or sum(b.nbytes for b in held) >= AT_ONCE_BYTES:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def packed(items: DataFrame, capacity: int = CAPACITY, nearly: int = NEARLY) -> DataFrame:
     """``items`` with ``sequence_id``, ``offset`` and ``filled`` (tokens of the whole sequence).
 
-    ``items`` has ``length``, from 1 to ``capacity``.  Each task packs what it reads, a batch at a
-    time.  Bins with at most ``nearly`` left are done; all others go on as items of their own size:
+    ``items`` has ``length``, from 1 to ``capacity``.  Each task packs what it reads, some
+    batches at a time.  Bins with at most ``nearly`` left are done; all others go on as items of their own size:
     they are dealt anew to as many tasks as their rows need, and packed again, until one task has
     seen all that is open or a round gains almost nothing.  The bins left then are sequences too:
-    no row is lost.  An empty table gives no rows.
+    no row is lost.  Columns of ``items`` under the new names are replaced; an empty table gives no
+    rows.
     """
+    items = items.drop("sequence_id", "offset", "filled")
     names = items.columns
     schema = items.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long"), "filled": F.lit(0).cast("long")}).schema
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in _gathered(batches):
             sizes = batch.column("length").to_numpy(zero_copy_only=False)
             bins, places = best_fit(sizes, capacity)
             filled = np.bincount(bins, sizes).astype(np.int64)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -9,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+#: Rows of an Arrow batch.
+BATCH_ROWS = 1000
 #: Rows of a narrow table that may be broadcast: at 16 bytes each, 16 MB.
 BROADCAST_ROWS = 1_000_000
 
@@ -59,9 +62,18 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
 def mapped(
     df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
-    """``mapInArrow`` with empty batches passed over."""
+    """``mapInArrow`` with empty batches passed over.
+
+    The rows hold whole texts, so batches are kept to ``BATCH_ROWS`` rows in this session: that, and
+    the longest texts, set what a task holds at a time on either side of Python.
+    """
+    conf, setting = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(setting)) <= BATCH_ROWS:
+        conf.set(setting, BATCH_ROWS)
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.collect()  # what an earlier task of this worker has left: functions sent by value, and their tables
+        pa.default_memory_pool().release_unused()
         return work(batch for batch in batches if batch.num_rows)
 
     return df.mapInArrow(full, schema)

@@ -15,16 +15,15 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows per chunk that the cuts are drawn from.  Like the next value it bears on the balance of the
-# chunks, never on results.
-SEEN_PER_CHUNK = 400
-# Integers up to here are exact in a double.  A single value further than that from the least one is
+# Chunks per shuffle partition: these are hashed onto the partitions, where a few even out.
+PER_PARTITION = 4
+# Integers up to here are exact in a double; this bears on the balance of chunks, never on results.  A single value further than that from the least one is
 # not cut by the minor order, however many rows it has: all of them go to one chunk.
 _EXACT = 2**53
 
 
 def default_chunks(df: DataFrame) -> int:
-    return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return PER_PARTITION * max(4, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 @dataclass(frozen=True)
@@ -51,20 +50,16 @@ def find_cuts(
     major: Column,
     minor: Column,
     chunks: int | None = None,
-    rows: int | None = None,
     narrow: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> Cuts:
     """Cuts that balance the rows ``narrow`` leaves of ``df``.
 
     One quantile pass over ``major`` and, only where single values fill whole chunks, one over
-    ``minor``.  The passes look at some ``SEEN_PER_CHUNK`` rows per chunk, so the one task that merges
-    them stays small; that bears on the balance alone.  ``rows``, the number of rows to balance,
-    spares counting them first.  The driver sees the cuts (``chunks`` numbers), never rows.
+    ``minor``.  Tasks keep sketches of fixed size, which one task merges.  The driver sees the cuts
+    (``chunks`` numbers), never rows.
     """
     chunks = chunks or default_chunks(df)
-    rows = narrow(df).count() if rows is None else rows
-    looked_at = chunks * SEEN_PER_CHUNK / max(rows, 1)
-    seen = narrow(df.sample(looked_at, seed=17) if looked_at < 0.5 else df)
+    seen = narrow(df)
     cuts, base = _quantiles(seen, major, chunks)
     # A value cut at twice fills at least one chunk on its own; it can be told from its neighbours
     # only where a double still holds every integer.

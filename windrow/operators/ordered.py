@@ -165,13 +165,13 @@ def _cut_heavy(
     # Kept for the two passes of this function.
     heavy = counted.where(F.col("_rows") > split_above).persist()
     try:
-        n, heavy_rows = heavy.agg(F.count(F.lit(1)), F.sum("_rows")).first()
+        n = heavy.count()
         if not n:
             return None
         named = heavy.select(*[F.col(c).alias(f"_heavy_{c}") for c in group], "_rows")
         named = F.broadcast(named) if n <= LIMIT else named
         order = (epoch_micros("_ts"), F.col("_tie"))
-        cuts = find_cuts(rows, *order, chunks, heavy_rows, lambda df: df.join(named, _same(df, group), "left_semi"))
+        cuts = find_cuts(rows, *order, chunks, lambda df: df.join(named, _same(df, group), "left_semi"))
     finally:
         heavy.unpersist()
     marked = assign_chunks(rows.join(named, _same(rows, group), "left"), cuts, *order)

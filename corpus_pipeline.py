@@ -14,6 +14,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: The tokenizer of the packed sequences, one of the public files.
 TOKENIZER = "word_bpe_49k.json"
+#: Words that a task remembers the ids of: fewer than in the query of its own, since here the executors
+#: also hold what earlier stages have left.
+REMEMBERED_WORDS = 80_000
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +41,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in training sequences."""
-    pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), with_ids=False)
+    pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), with_ids=False, remembered=REMEMBERED_WORDS)
     return packing.packed(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from windrow.llm.shared import as_bytes, checkpointed, mapped
-from windrow.llm.tokens import WordTokens
+from windrow.llm.tokens import REMEMBERED, WordTokens
 
 #: Tokens of a sequence.
 CAPACITY = 2048
@@ -47,18 +47,27 @@ def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return bins, places
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+def token_pieces(
+    docs: DataFrame,
+    tokenizer: str,
+    key: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    with_ids: bool = True,
+    remembered: int = REMEMBERED,
+) -> DataFrame:
     """Pieces of at most ``capacity`` tokens: key, piece, start, length, ids_crc32, and ids if asked for.
 
     A document's ids are the tokenizer's, without special tokens, and the end id.  Null is empty.
-    Only a longer document is cut, and only its last piece is shorter.
+    Only a longer document is cut, and only its last piece is shorter.  ``remembered`` words are kept
+    with their ids by each task, and as many older ones: some 500 bytes each.
     """
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     step, end = 4 * capacity, np.array([END_ID], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(tokenizer)
+        words = WordTokens(tokenizer, remembered)
         for batch in batches:
             at, starts, parts = [], [], []
             for i, data in enumerate(as_bytes(batch.column("text"))):
@@ -146,7 +155,7 @@ def packed(items: DataFrame, capacity: int = CAPACITY, nearly: int = NEARLY) ->
             return whole.unionByName(open_rows)
         tasks = -(-rows // ROUND_ROWS)
         dealt = open_rows.repartition(tasks, F.xxhash64("sequence_id", F.lit(turn)))
-        state = checkpointed(mapped(dealt, again, schema))
+        state = checkpointed(mapped(dealt, again, schema), narrow=True)
         whole, turn, bins_before = whole.unionByName(state.filter(done)), turn + 1, bins
         if tasks == 1:
             return whole.unionByName(state.filter(~done))

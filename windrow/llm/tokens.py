@@ -9,8 +9,8 @@ import struct
 _LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+\Z")
 #: Marks that may follow a word of letters without changing how it is cut.
 _MARKS = b".,!?;:*&%$#|"
-#: Words that are remembered before the memory begins anew.
-REMEMBERED = 600_000
+#: Words that are remembered, before those of them go that have not come since as many others did.
+REMEMBERED = 300_000
 
 
 class WordTokens(dict):
@@ -23,7 +23,7 @@ class WordTokens(dict):
     tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__()
@@ -33,14 +33,19 @@ class WordTokens(dict):
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.spelling = {b: spelt for c in map(chr, range(0xC0, 0x100)) for b, spelt in zip(c.encode(), spell(c)[0][0], strict=True)}
         self.parts: dict[bytes, bytes] = {b"": b""}
+        self.older: dict[bytes, bytes] = {}
+        self.remembered = remembered
 
     def encode(self, text: bytes) -> bytes:
-        if len(self) > REMEMBERED:
+        if len(self) > self.remembered:
+            self.older, self.parts = dict(self), {b"": b""}
             self.clear()
-            self.parts = {b"": b""}
         return b"".join(map(self.__getitem__, text.split()))
 
     def __missing__(self, word: bytes) -> bytes:
+        if (ids := self.older.get(word)) is not None:
+            self[word] = ids
+            return ids
         letters = word.rstrip(_MARKS)
         if letters.isalpha() or not letters or _LETTERS.match(letters):
             ids = self._part(letters.lower()) + self._part(word[len(letters) :])

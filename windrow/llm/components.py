@@ -25,7 +25,7 @@ def components(links: DataFrame) -> DataFrame:
     stars around their smallest node in a number of rounds that grows as the logarithm of the graph.
     A hub is a minimum per task and then a skewed join, which Spark splits.
     """
-    links = checkpointed(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
+    links = checkpointed(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), narrow=True)
     before = None
     while (state := _state(links)) != before:
         before = state
@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("least").alias("v")).distinct()
         least = _least(large)
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("least").alias("v")).filter("u <> v")
-        links = checkpointed(small.unionByName(least.filter("u <> least").select("u", F.col("least").alias("v"))).distinct())
+        links = checkpointed(small.unionByName(least.filter("u <> least").select("u", F.col("least").alias("v"))).distinct(), narrow=True)
     return links.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

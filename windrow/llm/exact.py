@@ -142,8 +142,8 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: i
     gives no rows; other columns are not read.
     """
     digest = checkpointed(digests(docs, key, text, bits))
-    repeated = checkpointed(repeated_fingerprints(digest, digest.count()))
-    classes = checkpointed(byte_classes(docs, repeated, key, text, bits))  # so that Spark may split a hot class in the join
+    repeated = checkpointed(repeated_fingerprints(digest, digest.count()), narrow=True)
+    classes = checkpointed(byte_classes(docs, repeated, key, text, bits), narrow=True)  # so that Spark may split a hot class in the join
     again = (
         digest.groupBy("key", "tag")
         .agg(F.min("row").alias("first_row"), F.count(F.lit(1)).alias("times"))
@@ -167,9 +167,10 @@ def duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: i
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    found = checkpointed(duplicates(docs, key, text).select(key, "tag", "kept", "repeated"))
+    found = checkpointed(duplicates(docs, key, text).select(key, "tag", "kept", "repeated"), narrow=True)
     gone = found.filter("not kept and not repeated")
     # of a repeated pair one row may stay; if none does, the whole pair goes
     several = found.filter("repeated").groupBy(key, "tag").agg(F.max("kept").alias("one_stays"))
     dropped = gone.select(key, "tag").unionByName(several.filter("not one_stays").select(key, "tag"))
-    return without_rows(docs, checkpointed(dropped), checkpointed(several.filter("one_stays").select(key, "tag")), key, text)
+    pairs = several.filter("one_stays").select(key, "tag")
+    return without_rows(docs, checkpointed(dropped, narrow=True), checkpointed(pairs, narrow=True), key, text)

@@ -128,11 +128,13 @@ def mixed_documents(docs: DataFrame, rows: int, key: str = "doc_id", text: str =
     rest = F.floor("target") - passes * F.col("source_size") - F.col("before")
     last = F.when((rest > 0) & (2 * rest >= F.col("size")), F.struct("order_key", "tie"))
     upto = checkpointed(
-        decided.groupBy("source").agg(F.max(passes).alias("passes"), F.max(last).alias("upto")).select(F.col("source").alias("of_source"), "passes", "upto")
+        decided.groupBy("source").agg(F.max(passes).alias("passes"), F.max(last).alias("upto")).select(F.col("source").alias("of_source"), "passes", "upto"),
+        narrow=True,
     )
     place = F.struct(_order_key(key).alias("order_key"), _tie(text).alias("tie"))
     own = docs[source].cast("string").eqNullSafe(F.col("of_source"))
     (times,) = fresh(docs, "times")
-    copies = F.when(words(text) > 0, F.col("passes") + F.coalesce(place <= F.col("upto"), F.lit(False)).cast("int")).otherwise(0)
+    has_words = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    copies = F.when(has_words, F.col("passes") + F.coalesce(place <= F.col("upto"), F.lit(False)).cast("int")).otherwise(0)
     taken_rows = docs.join(sized(upto), own).withColumn(times, copies).filter(F.col(times) > 0)
     return taken_rows.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*(docs[c] for c in docs.columns))

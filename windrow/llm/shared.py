@@ -10,20 +10,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+#: Files of a narrow checkpoint for each core.
+FILES_PER_CORE = 4
 #: Rows of an Arrow batch.
 BATCH_ROWS = 1000
 #: Rows of a narrow table that may be broadcast: at 16 bytes each, 16 MB.
 BROADCAST_ROWS = 1_000_000
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame, narrow: bool = False) -> DataFrame:
     """``df`` written to the folder of ``spark.checkpoint.dir`` and read from there.
 
     A lost executor costs no more than a reread.  Where the session names no folder, as in tests,
-    checkpoints go beside its warehouse.
+    checkpoints go beside its warehouse.  ``narrow`` results of a shuffle are written as a few files
+    for each core at most: their tasks read one shuffle partition after the other.
     """
     _shared_folder(df.sparkSession)
-    return df.checkpoint()
+    files = FILES_PER_CORE * df.sparkSession.sparkContext.defaultParallelism
+    return (df.coalesce(files) if narrow else df).checkpoint()
 
 
 def written(df: DataFrame) -> DataFrame:

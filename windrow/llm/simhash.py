@@ -182,10 +182,10 @@ def near_duplicates(
     """
     rows = checkpointed(fingerprints(docs, key, text, shingle_words))
     smallest = F.min(F.struct(F.col("key").isNull().alias("none"), "key", "tag"))
-    nodes = checkpointed(rows.groupBy("fingerprint").agg(smallest.alias("first")))
+    nodes = checkpointed(rows.groupBy("fingerprint").agg(smallest.alias("first")), narrow=True)
     roots = components(links(nodes, most_bits)).withColumnRenamed("node", "fingerprint")
     rooted = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    firsts = rooted.groupBy("root").agg(F.min("first").alias("keep"))
+    firsts = checkpointed(rooted.groupBy("root").agg(F.min("first").alias("keep")), narrow=True)  # so that a large component can be split below
     named = rooted.select("fingerprint", "root").join(firsts, "root").select("fingerprint", "keep")
     return rows.join(named, "fingerprint").select(
         F.col("key").alias(key), "tag", "fingerprint", F.col("keep.key").alias("component"), F.struct("keep.key", "keep.tag").alias("keep")
@@ -196,5 +196,5 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
     """The rows of ``docs`` that stay, one of each component, with all their columns."""
     found = near_duplicates(docs, key, text, shingle_words, most_bits)
     own = F.col(key).eqNullSafe(F.col("keep.key")) & (F.col("tag") == F.col("keep.tag"))
-    pairs = checkpointed(found.select(key, "tag", own.alias("stays")).groupBy(key, "tag").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("times")))
+    pairs = checkpointed(found.select(key, "tag", own.alias("stays")).groupBy(key, "tag").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("times")), narrow=True)
     return without_rows(docs, pairs.filter("not stays"), pairs.filter("stays and times > 1"), key, text)

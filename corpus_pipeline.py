@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from windrow.llm import exact, mixing, packing, quality, simhash
-from windrow.llm.shared import table, written
+from windrow.llm.shared import checkpointed, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -42,7 +42,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents and their places in training sequences."""
     pieces = packing.token_pieces(docs, public_tokenizers.path(TOKENIZER), with_ids=False, remembered=REMEMBERED_WORDS)
-    return packing.packed(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    # written first: else tokenizing and packing would hold two Python workers for each core
+    return packing.packed(checkpointed(pieces)).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -63,6 +63,23 @@ def test_good_documents_score_lower(spark):
     assert np.mean([g < b for g in good for b in bad]) > 0.9
 
 
+def test_less_common_words_tell_documents_apart(spark):
+    """Whatever the number of words: those that only the target has, and others of the same shape."""
+    common = " ".join(f"{a}{b}{c}" for a in "bcdfghjklmnp" for b in "aeiouy" for c in "bcdfghjklmnpqrstvwxz" for _ in range(2))
+    rows = [(i, f"{common} {'zab zeb' if i < 5 else 'zib zob'}") for i in range(10)] + [(10, common), (11, "zab zeb"), (12, "zib zob")]
+    docs = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    found = lm.rated(docs, spark.createDataFrame([(i,) for i in range(5)], "doc_id long"))
+    scores = {r.doc_id: r.score for r in found.collect()}
+    assert found.count() == len(rows) * 2
+    assert scores[11] < scores[12] - 1
+
+
+def test_models_are_not_collected(spark, documents):
+    models = lm.fit(documents.withColumn("target", documents["doc_id"] % 2 == 0))
+    words = {w for r in documents.collect() for w in (r.text or "").split()}
+    assert models.known is None and models.shares.count() > len(words) > lm.SHAPES
+
+
 def test_empty_tables(spark, none, odd):
     labels = spark.createDataFrame([], "doc_id long")
     assert lm.rated(none, labels).count() == 0

@@ -1,28 +1,32 @@
-"""Cross-entropy difference of two matched bigram models over one shared vocabulary."""
+"""Cross-entropy difference of two matched bigram models over all words of the corpus."""
 
 from __future__ import annotations
 
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+import xxhash
+from pyspark.sql import Column, DataFrame, functions as F
 
-from windrow.llm.shared import as_bytes, mapped, sized
+from windrow.llm.shared import as_bytes, mapped, sized, text_tag, written
 
-#: Tokens of the vocabulary: the edge of a document, shapes of unknown words, and the commonest
-#: words.  Its square bounds the models, whatever the corpus: 4 194 304 pairs.
-VOCABULARY = 2048
+#: Tokens of the vocabulary: the edge of a document, shapes of unknown words, and words.  As many as
+#: this means every word of the corpus; of fewer, the commonest words are taken.
+VOCABULARY = 1 << 62
 #: Weight of the word's own frequency against the counts of its pairs, in counts.
 PRIOR = 10.0
 #: Words counted, or remembered, before a task begins anew.
 REMEMBERED = 300_000
+#: Pairs of tokens that a task counts together before it emits them, and rows of what it emits.
+FLUSH_PAIRS, ROWS = 1_000_000, 100_000
 
 EDGE = 0
+#: What the first of two codes is multiplied by to make the pair's.
+FIRST = np.int64(-7046029254386353131)
 _MARKED, _DIGIT, _SYMBOL = re.compile(rb"[.,;:!?]\Z"), re.compile(rb"[0-9]"), re.compile(rb"[#*$%&|<>@=/_\\{}\[\]()+~^!]")
 #: Shapes: length in three steps, capitals in three, digits, symbols, and a mark at the end.
 SHAPES = 3 * 3 * 2 * 2 * 2
@@ -37,25 +41,26 @@ def shape(word: bytes) -> int:
     return found
 
 
-class Vocabulary(dict):
-    """Token of each word.  Unknown ones get their shape's, and are remembered for a while."""
+class Codes(dict):
+    """The 64-bit code of each word's token, remembered for a while.
 
-    def __init__(self, words: list[bytes]):
-        super().__init__()
-        self.known = {w: 1 + SHAPES + i for i, w in enumerate(words)}
-        self.size = 1 + SHAPES + len(words)
+    With ``known`` words, all others have their shape's code; without, each word is a token.  Codes
+    are hashes: they need no table, however many words there are.
+    """
 
-    def __reduce__(self):
-        return type(self), ([*self.known],)
+    def __init__(self, known: list[bytes] | None):
+        super().__init__()
+        self.known = None if known is None else frozenset(known)
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > REMEMBERED:
             self.clear()
-        token = self[word] = self.known.get(word) or 1 + shape(word)
-        return token
+        name = word if self.known is None or word in self.known else b"\n%d" % shape(word)  # no word has a line end
+        code = self[word] = xxhash.xxh3_64_intdigest(name) - (1 << 63)
+        return code
 
-    def pairs(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each pair of tokens in a row (first times size, plus second), and pairs per text.
+    def pairs(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Codes of each pair of tokens in a row and of its second token, and pairs per text.
 
         A text begins and ends at the edge, so that one without words has one pair.
         """
@@ -66,10 +71,10 @@ class Vocabulary(dict):
             tokens.append(EDGE)
             sizes.append(len(words) + 1)
         flat = np.array(tokens, np.int64)
-        return flat[:-1] * self.size + flat[1:], np.array(sizes, np.int64)
+        return flat[:-1] * FIRST + flat[1:], flat[1:], np.array(sizes, np.int64)
 
 
-def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY) -> Vocabulary:
+def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY) -> list[bytes]:
     """The commonest words of all documents, ties by the word; the driver gets no more than these."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,35 +89,50 @@ def vocabulary(docs: DataFrame, text: str = "text", size: int = VOCABULARY) -> V
 
     counts = mapped(docs.select(F.col(text).cast("string").alias("text")), work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "word").limit(size - 1 - SHAPES).collect()
-    return Vocabulary([bytes(r["word"]) for r in top])
+    return [bytes(r["word"]) for r in top]
 
 
 def _rows(counter: Counter) -> pa.RecordBatch:
     return pa.record_batch({"word": pa.array(list(counter), pa.binary()), "n": pa.array(list(counter.values()), pa.int64())})
 
 
-def pair_counts(docs: DataFrame, words: Broadcast[Vocabulary], text: str = "text", target: str = "target") -> DataFrame:
-    """pair, n, n_target: how often each pair of tokens stands in all documents and in the target's."""
+def _sliced(**columns: pa.Array | np.ndarray) -> Iterator[pa.RecordBatch]:
+    whole = pa.record_batch({name: pa.array(c) if isinstance(c, np.ndarray) else c for name, c in columns.items()})
+    for at in range(0, whole.num_rows, ROWS):
+        yield whole.slice(at, ROWS)
+
+
+def pair_counts(docs: DataFrame, known: list[bytes] | None = None, text: str = "text", target: str = "target") -> DataFrame:
+    """pair, token, n, n_target: how often each pair of tokens stands in all documents and in the
+    target's, and the code of its second token."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = words.value
-        counts = np.zeros((2, known.size**2), np.int64)
+        codes, held, size = Codes(known), [], 0
+
+        def emitted() -> Iterator[pa.RecordBatch]:
+            pairs, tokens, inside = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            found, first, back, n = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)
+            aimed = np.bincount(back[inside], minlength=len(found))
+            yield from _sliced(pair=found, token=tokens[first], n=n, n_target=aimed)
+
         for batch in batches:
-            pairs, sizes = known.pairs(as_bytes(batch.column("text")))
-            inside = np.repeat(np.array(batch.column("target").to_pylist(), bool), sizes)
-            np.add.at(counts[0], pairs, 1)
-            np.add.at(counts[1], pairs[inside], 1)
-        seen = np.flatnonzero(counts[0])
-        for at in range(0, len(seen), 100_000):
-            some = seen[at : at + 100_000]
-            yield pa.record_batch({"pair": pa.array(some), "n": pa.array(counts[0, some]), "n_target": pa.array(counts[1, some])})
+            pairs, tokens, sizes = codes.pairs(as_bytes(batch.column("text")))
+            held.append((pairs, tokens, np.repeat(np.array(batch.column("target").to_pylist(), bool), sizes)))
+            size += len(pairs)
+            if size > FLUSH_PAIRS:
+                yield from emitted()
+                size = 0
+        if held:
+            yield from emitted()
 
     narrow = docs.select(F.col(text).cast("string").alias("text"), F.col(target).alias("target"))
-    return mapped(narrow, work, "pair long, n long, n_target long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
+    met = mapped(narrow, work, "pair long, token long, n long, n_target long").groupBy("pair", "token")
+    return met.agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
 
 
 def losses(counts: np.ndarray, size: int, prior: float = PRIOR) -> np.ndarray:
-    """Loss in nats of each second token after each first, from the counts of pairs.
+    """Loss in nats of each second token after each first, from the counts of all pairs of a small vocabulary.
 
     A pair's probability leans on the second token's own frequency, as if it had come ``prior``
     times more; that frequency counts every token once more than seen.
@@ -122,28 +142,63 @@ def losses(counts: np.ndarray, size: int, prior: float = PRIOR) -> np.ndarray:
     return -np.log((pairs + prior * alone) / (pairs.sum(axis=1, keepdims=True) + prior)).astype(np.float32).ravel()
 
 
+def _share(pairs: str, tokens: str, total: int, size: int, prior: float) -> Column:
+    """A pair's share of a text's loss, see :func:`losses`.
+
+    A text begins and ends at the edge, so each token is as often a pair's first as a pair's second:
+    the first's count is taken with the pair that the token ends, and both counts are the second's.
+    """
+    alone = (F.col(tokens) + 1) / F.lit(float(total + size))
+    return F.log(F.col(tokens) + prior) - F.log(F.col(pairs) + prior * alone)
+
+
 @dataclass(frozen=True)
 class Models:
-    """The shared vocabulary, and both models' losses for all its pairs."""
+    """The words that are tokens (all if None), and both models' shares of the loss of each pair seen: pair, target, background."""
 
-    words: Vocabulary
-    background: np.ndarray = field(repr=False)
-    target: np.ndarray = field(repr=False)
+    known: list[bytes] | None
+    shares: DataFrame
 
 
 def fit(docs: DataFrame, text: str = "text", target: str = "target", size: int = VOCABULARY) -> Models:
     """Both models, of one form: the background's from all documents, the target's from those marked.
 
-    Words and pairs are counted over every document; the driver gets the counts of seen pairs of the
-    vocabulary, ``size`` squared at most.
+    Words and pairs are counted over every document, and the counts stay tables; the driver gets
+    three sums, and the words only of a vocabulary of limited ``size``.
     """
-    words = vocabulary(docs, text, size)
-    shared = docs.sparkSession.sparkContext.broadcast(words)
-    found = pair_counts(docs, shared, text, target).toArrow()
-    counts = np.zeros((2, words.size**2), np.int64)
-    at = found.column("pair").to_numpy()
-    counts[0, at], counts[1, at] = found.column("n").to_numpy(), found.column("n_target").to_numpy()
-    return Models(words, losses(counts[0], words.size), losses(counts[1], words.size))
+    known = None if size >= VOCABULARY else vocabulary(docs, text, size)
+    counts = written(pair_counts(docs, known, text, target))
+    tokens = written(counts.groupBy("token").agg(F.sum("n").alias("t"), F.sum("n_target").alias("t_target")))
+    seen = tokens.agg(F.count(F.lit(1)).alias("size"), F.sum("t").alias("n"), F.sum("t_target").alias("n_target")).first()
+    size = 1 + SHAPES + (max(seen["size"] - 1, 0) if known is None else len(known))
+    shares = counts.join(sized(tokens), "token").select(
+        "pair",
+        _share("n_target", "t_target", seen["n_target"] or 0, size, PRIOR).alias("target"),
+        _share("n", "t", seen["n"] or 0, size, PRIOR).alias("background"),
+    )
+    return Models(known, shares)
+
+
+def document_pairs(docs: DataFrame, known: list[bytes] | None = None, key: str = "key", text: str = "text") -> DataFrame:
+    """key, tag, pair, n, edges: each row's pairs once with their number; one pair of a row begins at the edge."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = Codes(known)
+        for batch in batches:
+            pairs, _, sizes = codes.pairs(as_bytes(batch.column("text")))
+            ends = np.cumsum(sizes)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((pairs, row))
+            sorted_pairs, begins = pairs[order], np.zeros(len(pairs), np.int64)
+            begins[ends - sizes] = 1
+            at = np.flatnonzero(np.append(True, (sorted_pairs[1:] != sorted_pairs[:-1]) | (row[1:] != row[:-1])))
+            n, edges = np.diff(np.append(at, len(pairs))), np.add.reduceat(begins[order], at)
+            rows = pa.array(row[at])
+            yield from _sliced(key=batch.column("key").take(rows), tag=batch.column("tag").take(rows), pair=sorted_pairs[at], n=n, edges=edges)
+
+    narrow = docs.select(F.col(key).alias("key"), text_tag(text).alias("tag"), F.col(text).cast("string").alias("text"))
+    return mapped(narrow, work, f"key {kind}, tag long, pair long, n long, edges long")
 
 
 def scored(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -151,23 +206,23 @@ def scored(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "te
 
     Losses are means per token in nats; the score is the mean of the tokens' differences, target
     less background: the lower, the more like the target.  The end of a text counts as a token, so
-    that empty and null texts have a score too.
+    that empty and null texts have a score too.  ``docs`` are those that the background was counted
+    on; a pair that was not counted is an error.  Rows of one key and text are scored as one.
     """
-    kind = docs.schema[key].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
-        for batch in batches:
-            pairs, sizes = models.words.pairs(as_bytes(batch.column("text")))
-            starts = np.cumsum(sizes) - sizes
-            target, background = (np.add.reduceat(table[pairs].astype(np.float64), starts) / sizes for table in (models.target, models.background))
-            columns = {"key": batch.column("key"), "n_tokens": pa.array(sizes), "target_loss": pa.array(target), "background_loss": pa.array(background)}
-            yield pa.record_batch(columns | {"score": pa.array(target - background)})
-
     narrow = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    schema = f"key {kind}, n_tokens long, target_loss double, background_loss double, score double"
-    return mapped(narrow, work, schema).withColumnRenamed("key", key)
+    met = document_pairs(narrow, models.known).join(models.shares, "pair", "left")
+    some = F.when(F.col("target").isNull(), F.raise_error(F.lit("a pair that the models were not fitted on")).cast("double"))
+    n = F.sum("n")
+    summed = met.groupBy(F.col("key").alias("same_key"), F.col("tag").alias("same_tag")).agg(
+        n.alias("n"),
+        F.sum("edges").alias("rows"),
+        (F.sum(F.col("n") * some.otherwise(F.col("target"))) / n).alias("target_loss"),
+        (F.sum(F.col("n") * F.col("background")) / n).alias("background_loss"),
+    )
+    rows = narrow.select("key", text_tag("text").alias("tag"))
+    found = rows.join(summed, rows["key"].eqNullSafe(summed["same_key"]) & (rows["tag"] == summed["same_tag"]))
+    n_tokens = F.floor(F.col("n") / F.col("rows")).cast("long").alias("n_tokens")
+    return found.select(F.col("key").alias(key), n_tokens, "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
 
 
 def rated(docs: DataFrame, chosen: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

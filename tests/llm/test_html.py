@@ -53,6 +53,21 @@ def test_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article title='a hidden gem'><p title=\"its class=ad id=nav\">text</p><p alt = 'role=search'>more</p></article>", "text\nmore"),
+        ("<article><p title='x' class='ad'>no</p><p data-class=ad CLASS=lead>yes</p><p Hidden>no</p></article>", "yes"),
+        ("<div class='layout with-sidebar'><div class=menu>menu</div><article><p>text</p></article></div>", "text"),
+        ("<div id=search-results><main><p>text</p></main></div>", "text"),
+        ("<form><div class=no-comments><div><article>text</article></div></div></form><p>after", "text"),
+        ("<div class=comments>two<article class=comment>first!</article></div><p>text", "text"),
+    ],
+)
+def test_only_what_is_aside_goes(page, text):
+    assert html.main_text(page) == text
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<b>", "</b>", "<div class=x>", "</div>", "<script>", "</script>", "<!--", "-->", "<", ">", '"', "'", "&amp", "<li>", "<article>", "text ", "\n", "<a href='", "</", "<!x", "\x00"])).map("".join))
 def test_broken_markup_ends(page):

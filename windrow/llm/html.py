@@ -51,7 +51,8 @@ MAIN_TAGS = frozenset({"article", "main"})
 NOT_MAIN_WORDS = frozenset("comment reply ad advert advertisement sponsored promo teaser".split())
 
 _MARKUP = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)>?)""", re.S)
-_ATTRIBUTE = re.compile(r"""(?:\s|^)(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: One attribute after the other, each with its whole value: nothing is looked for within values.
+_ATTRIBUTE = re.compile(r"""([^\s/>="']+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)""")
 _NAME_WORD = re.compile(r"[A-Za-z][a-z]*")
 
 
@@ -69,10 +70,10 @@ def _opened(tag: str, attributes: str, inside_main: bool) -> Element:
     words, names, hidden = set(), [], False
     if attributes and not attributes.isspace():
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
-            value = a or b or c
-            if name.lower() == "hidden" or name.lower() == "aria-hidden" and value.lower() == "true":
+            name, value = name.lower(), a or b or c
+            if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 hidden = True
-            else:
+            elif name in ("class", "id", "role"):
                 names.append(value)
                 words.update(w.lower() for w in _NAME_WORD.findall(value))
     aside = hidden or tag in ASIDE_TAGS and not (tag == "header" and inside_main)
@@ -119,6 +120,9 @@ def parse(html: str) -> Element:
                     break
         element = _opened(tag, found[3], main > 0)
         stack[-1].children.append(element)
+        if tag in MAIN_TAGS and not element.aside:  # what holds an article is not aside, whatever it is called
+            for e in stack:
+                e.aside = e.aside and e.tag in MAIN_TAGS
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             at = close.end() if close else end

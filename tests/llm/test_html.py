@@ -97,5 +97,20 @@ def test_site_templates_go(spark):
     assert {r.page_id: r.text for r in html.extracted(articles).collect()}[3] == f"story 3 about 21\n{quoted}"
 
 
+NOTICE = "we keep our readers free of charge and so we ask all of you to write to us whenever you like"
+
+
+def test_long_templates_go_wherever_they_stand(spark):
+    rows = []
+    for i in range(40):
+        notice = f"<div><h2>Dear readers</h2><p>{NOTICE}</p></div>"
+        quoted = f"<div><section><p>{NOTICE} too</p></section></div>" if i % 4 == 0 else ""
+        rows.append((i, "http://a.example.com/x", f"<article><p>story {i}</p>{notice}{quoted}<section>{NOTICE}</section></article>"))
+        rows.append((100 + i, "http://m.example.com/x", f"<main><p>{NOTICE}</p><div>{NOTICE} there</div><div><p>story {i}</p></div></main>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in html.extracted(pages).collect()}
+    assert texts[3] == "story 3" and texts[4] == f"story 4\n{NOTICE} too" and texts[103] == "story 3"
+
+
 def test_empty_table(pages):
     assert html.extracted(pages.limit(0)).count() == 0

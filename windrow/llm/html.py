@@ -18,8 +18,8 @@ from windrow.llm.shared import checkpointed, mapped, sized
 LEAST_PAGES = 10
 #: ... and on such a share of them.
 LEAST_SHARE = 0.5
-#: Within an article, only subtrees of fewer words are taken for template.
-MOST_ARTICLE_WORDS = 12
+#: A paragraph of an article that has more words is taken for a quoted passage, however often it recurs.
+MOST_PARAGRAPH_WORDS = 12
 
 # Fixed values of HTML: elements without content, with raw text, and those that begin a block.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -62,11 +62,16 @@ class Element:
     name: str = ""
     aside: bool = False
     children: list[Element | str] = field(default_factory=list)
+    #: Digest of the tags and names from the root to this element, and that of its parent.
+    path: int = 0
+    above: int = 0
+    #: Whether this is, or stands in, a paragraph of an article.
+    paragraph: bool = False
     digest: int = 0
     n_words: int = 0
 
 
-def _opened(tag: str, attributes: str, inside_main: bool) -> Element:
+def _opened(tag: str, attributes: str, inside_main: bool, stack: list[Element]) -> Element:
     words, names, hidden = set(), [], False
     if attributes and not attributes.isspace():
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -78,7 +83,10 @@ def _opened(tag: str, attributes: str, inside_main: bool) -> Element:
                 words.update(w.lower() for w in _NAME_WORD.findall(value))
     aside = hidden or tag in ASIDE_TAGS and not (tag == "header" and inside_main)
     aside = aside or not (NOT_MAIN_WORDS if tag in MAIN_TAGS else ASIDE_WORDS).isdisjoint(words)
-    return Element(tag, " ".join(names), aside)
+    name, parent = " ".join(names), stack[-1]
+    path = xxhash.xxh3_64_intdigest(f"{tag} {name}".encode("utf-8", "surrogatepass"), parent.path)
+    paragraph = parent.paragraph or tag == "p" and any(e.tag == "article" for e in stack)
+    return Element(tag, name, aside, path=path, above=parent.path, paragraph=paragraph)
 
 
 def parse(html: str) -> Element:
@@ -118,7 +126,7 @@ def parse(html: str) -> Element:
                     break
                 if stack[i].tag in SCOPES:
                     break
-        element = _opened(tag, found[3], main > 0)
+        element = _opened(tag, found[3], main > 0, stack)
         stack[-1].children.append(element)
         if tag in MAIN_TAGS and not element.aside:  # what holds an article is not aside, whatever it is called
             for e in stack:
@@ -141,7 +149,7 @@ def _digested(element: Element) -> None:
             todo.append((one, True))
             todo.extend((c, False) for c in one.children if isinstance(c, Element))
             continue
-        state = xxhash.xxh3_64(f"{one.tag} {one.name}\0".encode())
+        state = xxhash.xxh3_64(f"{one.tag} {one.name}\0".encode("utf-8", "surrogatepass"))
         for child in one.children:
             if isinstance(child, Element):
                 state.update(child.digest.to_bytes(8, "little"))
@@ -161,12 +169,21 @@ def _walk(element: Element, inside: bool = False) -> Iterator[tuple[Element, boo
         todo.extend((c, inside or one.tag in MAIN_TAGS) for c in reversed(one.children) if isinstance(c, Element) and not c.aside)
 
 
+def _identity(e: Element) -> int:
+    """What a subtree is counted by, as a signed long: its content and the path to it."""
+    return ((e.digest * 0x9E3779B97F4A7C15 + e.above) & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
+
+
+def _may_go(e: Element) -> bool:
+    return e.tag not in MAIN_TAGS and not (e.paragraph and e.n_words > MOST_PARAGRAPH_WORDS)
+
+
 def subtrees(html: str) -> tuple[int, list[int]]:
-    """A page's own digest, and the digests of the subtrees that may be template, as signed longs."""
+    """A page's own digest, and the identities of the subtrees that may be template, as signed longs."""
     root = parse(html)
     _digested(root)
-    found = {e.digest for e, inside in _walk(root) if e is not root and e.n_words and (not inside or e.n_words <= MOST_ARTICLE_WORDS) and e.tag not in MAIN_TAGS}
-    return root.digest - (1 << 63), [d - (1 << 63) for d in sorted(found)]
+    found = {_identity(e) for e, _ in _walk(root) if e is not root and e.n_words and _may_go(e)}
+    return root.digest - (1 << 63), sorted(found)
 
 
 def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
@@ -175,8 +192,8 @@ def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
     if template:
         _digested(root)
 
-    def gone(e: Element, inside: bool) -> bool:
-        return e.aside or bool(template) and (not inside or e.n_words <= MOST_ARTICLE_WORDS) and e.tag not in MAIN_TAGS and e.digest - (1 << 63) in template
+    def gone(e: Element) -> bool:
+        return e.aside or bool(template) and _may_go(e) and _identity(e) in template
 
     tops = []
     for tag in ("article", "main"):
@@ -190,14 +207,13 @@ def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
 
     for top in tops or [root]:
         todo: list[Element | str | None] = [top]
-        inside = top.tag in MAIN_TAGS
         while todo:
             one = todo.pop()
             if one is None:
                 ended()
             elif isinstance(one, str):
                 block.append(one)
-            elif one is top or not gone(one, inside):
+            elif one is top or not gone(one):
                 if one.tag in ("br", "wbr"):
                     block.append(" ")
                     continue

@@ -112,5 +112,21 @@ def test_long_templates_go_wherever_they_stand(spark):
     assert texts[3] == "story 3" and texts[4] == f"story 4\n{NOTICE} too" and texts[103] == "story 3"
 
 
+@pytest.mark.parametrize("broadcast", [0, html.BROADCAST_SUBTREES])
+def test_templates_of_a_section_go(spark, monkeypatch, broadcast):
+    """However many other pages the host has; a section is a folder of URLs, or a kind of page."""
+    monkeypatch.setattr(html, "BROADCAST_SUBTREES", broadcast)
+    rows = [(i, f"http://a.example.com/news/{i}", f"<div><p>page {i}</p></div>") for i in range(300)]
+    rows += [(1000 + i, f"http://a.example.com/sport/ball/{i % 2}/x?{i}", f"<div><p>page {i} of balls</p><ul><li>{NOTICE}</ul></div>") for i in range(20)]
+    rows += [(2000 + i, f"http://a.example.com/news/a{i}", f"<div id=shop><p>shop {i}</p><section>{NOTICE}</section></div>") for i in range(20)]
+    rows += [(3000 + i, f"http://a.example.com/news/b{i}", f"<div><p>page b{i}</p><section>{NOTICE}</section></div>") for i in range(9)]
+    rows += [(4000 + i, f"http://b.example.com/sport/{i}", f"<div><p>other {i}</p><ul><li>{NOTICE}</ul></div>") for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in html.extracted(pages).collect()}
+    assert len(texts) == len(rows) and texts[7] == "page 7"
+    assert texts[1003] == "page 3 of balls" and texts[2004] == "shop 4"
+    assert texts[3001] == f"page b1\n{NOTICE}" and texts[4001] == f"other 1\n{NOTICE}"  # on too few pages
+
+
 def test_empty_table(pages):
     assert html.extracted(pages.limit(0)).count() == 0

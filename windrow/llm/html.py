@@ -12,12 +12,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from windrow.llm.shared import checkpointed, mapped, sized
+from windrow.llm.shared import checkpointed, mapped
 
 #: A subtree is its site's template if it is on so many different pages of the host ...
 LEAST_PAGES = 10
-#: ... and on such a share of them.
+#: ... and on such a share of all of them, or of those in one folder, or of those with the path that it stands at.
 LEAST_SHARE = 0.5
+#: Subtrees of templates that may be broadcast, at 8 bytes each; of more, each page's own are joined to it.
+BROADCAST_SUBTREES = 500_000
 #: A paragraph of an article that has more words is taken for a quoted passage, however often it recurs.
 MOST_PARAGRAPH_WORDS = 12
 
@@ -53,6 +55,7 @@ NOT_MAIN_WORDS = frozenset("comment reply ad advert advertisement sponsored prom
 _MARKUP = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)>?)""", re.S)
 #: One attribute after the other, each with its whole value: nothing is looked for within values.
 _ATTRIBUTE = re.compile(r"""([^\s/>="']+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)""")
+_FOLDERS = re.compile(r"[^/?#]*//[^/?#]*/([^?#]*/)")
 _NAME_WORD = re.compile(r"[A-Za-z][a-z]*")
 
 
@@ -89,9 +92,12 @@ def _opened(tag: str, attributes: str, inside_main: bool, stack: list[Element])
     return Element(tag, name, aside, path=path, above=parent.path, paragraph=paragraph)
 
 
-def parse(html: str) -> Element:
-    """The element tree; unclosed, crossed and cut-off markup is closed where it must end."""
-    root = Element("html")
+def parse(html: str, host: str = "") -> Element:
+    """The element tree; unclosed, crossed and cut-off markup is closed where it must end.
+
+    Paths begin at the host: subtrees of different hosts have different ones.
+    """
+    root = Element("html", path=xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass")))
     stack, main, at, end = [root], 0, 0, len(html)
     while at < end:
         found = _MARKUP.search(html, at)
@@ -169,26 +175,44 @@ def _walk(element: Element, inside: bool = False) -> Iterator[tuple[Element, boo
         todo.extend((c, inside or one.tag in MAIN_TAGS) for c in reversed(one.children) if isinstance(c, Element) and not c.aside)
 
 
+def _signed(digest: int) -> int:
+    return (digest & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
+
+
 def _identity(e: Element) -> int:
     """What a subtree is counted by, as a signed long: its content and the path to it."""
-    return ((e.digest * 0x9E3779B97F4A7C15 + e.above) & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
+    return _signed(e.digest * 0x9E3779B97F4A7C15 + e.above)
 
 
 def _may_go(e: Element) -> bool:
     return e.tag not in MAIN_TAGS and not (e.paragraph and e.n_words > MOST_PARAGRAPH_WORDS)
 
 
-def subtrees(html: str) -> tuple[int, list[int]]:
-    """A page's own digest, and the identities of the subtrees that may be template, as signed longs."""
-    root = parse(html)
+def sections(url: str, host: str = "") -> list[int]:
+    """The host, and each folder of the URL's path with those that hold it, as signed longs."""
+    state = xxhash.xxh3_64(b"\0" + host.encode("utf-8", "surrogatepass"))
+    found = [_signed(state.intdigest())]
+    folders = _FOLDERS.match(url)
+    for name in folders[1].split("/") if folders else ():
+        if name:
+            state.update(b"/" + name.encode("utf-8", "surrogatepass"))
+            found.append(_signed(state.intdigest()))
+    return found
+
+
+def subtrees(html: str, host: str = "") -> tuple[int, list[int], dict[int, int]]:
+    """A page's own digest, its elements' paths, and the identities of the subtrees that may be
+    template, with the path that holds each, all as signed longs."""
+    root = parse(html, host)
     _digested(root)
-    found = {_identity(e) for e, _ in _walk(root) if e is not root and e.n_words and _may_go(e)}
-    return root.digest - (1 << 63), sorted(found)
+    elements = [e for e, _ in _walk(root)]
+    found = {_identity(e): _signed(e.above) for e in elements if e is not root and e.n_words and _may_go(e)}
+    return _signed(root.digest ^ root.path), sorted({_signed(e.path) for e in elements}), found
 
 
-def main_text(html: str, template: frozenset[int] = frozenset()) -> str:
+def main_text(html: str, template: frozenset[int] = frozenset(), host: str = "") -> str:
     """Blocks of the article, joined by line ends; of the whole body where no element says what is main."""
-    root = parse(html)
+    root = parse(html, host)
     if template:
         _digested(root)
 
@@ -229,25 +253,51 @@ def _host(url: str):
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _cut(pages: DataFrame, url: str, html: str) -> DataFrame:
+    """page, tag, url, sections, paths, subtrees, above of each row: see :func:`subtrees`."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        longs = pa.list_(pa.int64())
+        for batch in batches:
+            urls, hosts = (batch.column(c).to_pylist() for c in ("url", "host"))
+            found = [subtrees(h or "", host) for h, host in zip(batch.column("html").to_pylist(), hosts, strict=True)]
+            columns = {"page": pa.array([p for p, _, _ in found], pa.int64()), "tag": batch.column("tag"), "url": batch.column("url")}
+            columns["sections"] = pa.array([sections(u, h) for u, h in zip(urls, hosts, strict=True)], longs)
+            columns["paths"] = pa.array([p for _, p, _ in found], longs)
+            columns["subtrees"] = pa.array([[*s] for _, _, s in found], longs)
+            yield pa.record_batch(columns | {"above": pa.array([[*s.values()] for _, _, s in found], longs)})
+
+    narrow = pages.select(_host(url).alias("host"), F.coalesce(F.col(url).cast("string"), F.lit("")).alias("url"), F.col(html).cast("string").alias("html"))
+    lists = ("sections", "paths", "subtrees", "above")
+    return mapped(narrow.withColumn("tag", _tag("host", "html")), work, "page long, tag long, url string, " + ", ".join(f"{c} array<long>" for c in lists))
+
+
+def _tag(host: str, html: str):
+    return F.xxhash64(host, F.coalesce(F.col(html), F.lit("")))
+
+
 def site_templates(pages: DataFrame, url: str = "url", html: str = "html", least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """host, template (digests of its recurring subtrees).
+    """subtree: the identities of all sites' recurring subtrees, each of one host.
 
-    Copies of one page count once.  Few subtrees can be on so large a share of a host's pages: at
-    most 1 / share times those of one page, however many pages the host has.
+    A subtree is counted among all pages of its host, among those of each folder that its page is in,
+    and among those that have the path at which it stands: so what a section or a kind of page has in
+    common is found however many other pages the host has.  Copies of one page count once.
     """
+    lists = ("sections", "paths", "subtrees", "above")
+    distinct = _cut(pages, url, html).groupBy("page").agg(F.min_by(F.struct(*lists), "url").alias("cut")).select("cut.*")
+    nothing = F.lit(None).cast("long")  # each page has one in each of its groups
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [subtrees(h or "") for h in batch.column("html").to_pylist()]
-            yield pa.record_batch({"host": batch.column("host"), "page": pa.array([p for p, _ in found], pa.int64()), "subtrees": pa.array([s for _, s in found], pa.list_(pa.int64()))})
+    def pair(group, subtree):
+        return F.struct(group.alias("group"), subtree.alias("subtree"))
 
-    cut = mapped(pages.select(_host(url).alias("host"), F.col(html).cast("string").alias("html")), work, "host string, page long, subtrees array<long>")
-    distinct = cut.groupBy("host", "page").agg(F.first("subtrees").alias("subtrees"))
-    found = distinct.select("host", F.explode(F.array_append("subtrees", F.lit(None).cast("long"))).alias("subtree"))
-    counts = checkpointed(found.groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages))
-    hosts = counts.filter("subtree is null").select("host", F.col("n").alias("pages"))  # each page has one null
-    often = counts.filter("subtree is not null").join(hosts, "host").filter(F.col("n") >= least_share * F.col("pages"))
-    return often.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template"))
+    by_section = F.flatten(F.transform("sections", lambda g: F.transform(F.array_append("subtrees", nothing), lambda s: pair(g, s))))
+    by_path = F.zip_with("above", "subtrees", pair)
+    of_paths = F.transform("paths", lambda g: pair(g, nothing))
+    found = distinct.select(F.inline(F.concat(by_section, by_path, of_paths)))
+    counts = checkpointed(found.groupBy("group", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages))
+    groups = counts.filter("subtree is null").select("group", F.col("n").alias("pages"))
+    often = counts.filter("subtree is not null").join(groups, "group").filter(F.col("n") >= least_share * F.col("pages"))
+    return often.select("subtree").distinct()
 
 
 def extracted(pages: DataFrame, url: str = "url", html: str = "html", templates: DataFrame | None = None) -> DataFrame:
@@ -260,14 +310,22 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", templates:
     others = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     columns = {f"c{i}": c for i, c in enumerate(others)}
     narrow = pages.select(*(F.col(c).alias(n) for n, c in columns.items()), F.col(html).cast("string").alias("html"), _host(url).alias("host"))
-    with_template = narrow.join(sized(templates, 20_000), "host", "left").select(*columns, "html", "template")
-    schema = with_template.select(*columns, F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
+    few = templates.limit(BROADCAST_SUBTREES + 1).count() <= BROADCAST_SUBTREES
+    if few:
+        known = frozenset(templates.toArrow().column("subtree").to_pylist())
+        shared = pages.sparkSession.sparkContext.broadcast(known)
+    else:
+        own = _cut(pages, url, html).select("tag", F.explode("subtrees").alias("subtree")).join(templates, "subtree")
+        own = own.groupBy("tag").agg(F.collect_set("subtree").alias("template"))
+        narrow = narrow.withColumn("tag", _tag("host", "html")).join(own, "tag", "left").drop("tag")
+    schema = narrow.select(*columns, F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(batch.column("html").to_pylist(), batch.column("template").to_pylist(), strict=True)
-            texts = [main_text(h or "", frozenset(t or ())) for h, t in rows]
+            own = [shared.value] * batch.num_rows if few else [frozenset(t or ()) for t in batch.column("template").to_pylist()]
+            rows = zip(batch.column("html").to_pylist(), own, batch.column("host").to_pylist(), strict=True)
+            texts = [main_text(h or "", t, host) for h, t, host in rows]
             made = {"text": pa.array(texts, pa.string()), "n_chars": pa.array(np.array([len(t) for t in texts], np.int64))}
             yield pa.record_batch({c: batch.column(c) for c in columns} | made)
 
-    return mapped(with_template, work, schema).withColumnsRenamed(columns)
+    return mapped(narrow, work, schema).withColumnsRenamed(columns)

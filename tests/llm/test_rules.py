@@ -69,5 +69,15 @@ def test_keeps_clean_and_drops_junk(spark):
     assert sum(good) > 0.98 * len(good) and sum(bad) < 0.1 * len(bad)
 
 
+def test_documents_of_a_rare_language_are_not_judged_by_others(spark):
+    """Clean, but with none of the words that make up half of all the others' text."""
+    rows = [(i, " ".join(f"the of and to in {w}{i}" for w in "abcdefghijkl"), "en") for i in range(400)]
+    rows += [(1000 + i, " ".join(f"слово{j} речь{j * i}" for j in range(60)), "xx") for i in range(3)]
+    rows += [(2000, " ".join(f"слово{j} речь{j}" for j in range(60)), "en"), (2001, " ".join(f"слово{j} речь{j}" for j in range(60)), None)]
+    found = {r.doc_id: r for r in rules.rated(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(found[i].kept and found[i].word_distance is None and found[i].char_distance is None for i in (1000, 1001, 1002))
+    assert found[3].kept and not found[2000].kept and found[2001].word_distance > 0.53
+
+
 def test_empty_table(none):
     assert rules.rated(none).count() == 0

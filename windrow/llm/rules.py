@@ -20,7 +20,7 @@ MOST_REPEATED_PERCENT = 30
 
 #: Words of a language that have a bar of their own in the word histogram; all others share one.
 COMMON_WORDS = 200
-#: Words that a language must have in the corpus to be a reference; below, all languages together are.
+#: Words that a language must have in the corpus to be a reference; documents of others are not judged by a histogram.
 LEAST_REFERENCE_WORDS = 5_000
 #: Shorter documents are not judged by a histogram: their own is too rough.
 LEAST_CHARACTERS, LEAST_HISTOGRAM_WORDS = 200, 50
@@ -162,9 +162,9 @@ def judged(docs: DataFrame, known: dict[str, Reference], key: str = "doc_id", te
     """Per row of ``docs``: key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, char_distance, word_distance, kept.
 
-    A distance is null where the text is too short for its histogram; such a text is kept if it
-    passes the base rules.  Null texts are empty; documents of unknown language, null ones too, are
-    compared with all documents together.
+    A distance is null where the text is too short for its histogram, or its language has no
+    reference of its own; such a text is kept if it passes the base rules.  Null texts are empty;
+    documents whose language is null are compared with all documents together.
     """
     kind = docs.schema[key].dataType.simpleString()
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -173,7 +173,8 @@ def judged(docs: DataFrame, known: dict[str, Reference], key: str = "doc_id", te
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = {name: {w: i for i, w in enumerate(ref.words)} for name, ref in known.items()}
         for batch in batches:
-            rows, langs = [], [x if x in known else ANY for x in batch.column("lang").to_pylist()]
+            own_langs = batch.column("lang").to_pylist()
+            rows, langs, alone = [], [x if x in known else ANY for x in own_langs], np.array([x not in known for x in own_langs])
             chars, words = np.zeros((batch.num_rows, N_CLASSES)), [np.zeros(0)] * batch.num_rows
             for i, data in enumerate(as_bytes(batch.column("text"))):
                 data = data or b""
@@ -190,8 +191,8 @@ def judged(docs: DataFrame, known: dict[str, Reference], key: str = "doc_id", te
                 char_far[at] = distances(chars[at], known[name].classes)
                 word_far[at] = distances(np.stack([words[i] for i in at]), known[name].histogram())
             columns = {"key": batch.column("key")} | {c: pa.array(numbers[:, i].copy()) for i, c in enumerate(counts)}
-            columns["char_distance"] = pa.array(char_far, mask=chars.sum(axis=1) < LEAST_CHARACTERS)
-            columns["word_distance"] = pa.array(word_far, mask=numbers[:, 0] < LEAST_HISTOGRAM_WORDS)
+            columns["char_distance"] = pa.array(char_far, mask=alone | (chars.sum(axis=1) < LEAST_CHARACTERS))
+            columns["word_distance"] = pa.array(word_far, mask=alone | (numbers[:, 0] < LEAST_HISTOGRAM_WORDS))
             yield pa.record_batch(columns)
 
     narrow = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit(ANY)).alias("lang"))

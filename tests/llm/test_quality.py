@@ -62,6 +62,26 @@ def test_learns_from_texts_alone(spark, documents):
     assert np.array_equal(model.weights, quality.learn(documents, held).weights)
 
 
+def test_lines_beyond_the_first_teach_too(spark):
+    """Texts of both labels begin with the same lines; what tells them apart comes later."""
+    good, bad = "A plain line of text that ends well.\n", "$$ ## @@ 11 22 33 $$ ## @@\n"
+    texts = [(i, good * quality.SAMPLE_LINES + (good if i % 2 else bad) * (1000 + i), i % 2) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in texts], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in texts], "doc_id long, quality int")
+    model = quality.learn(docs, labels)
+    assert all((model.score(t.encode()) >= 0.7) == y for _, t, y in texts)
+    shares = [(model.share(t.encode()), y) for i, t, y in texts if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert (model.slope, model.shift) == pytest.approx(crf._logistic(*map(np.array, zip(*shares))), rel=1e-6)
+
+
+@given(st.integers(0, 5000), st.integers(0, 2**32 - 1))
+def test_sampled_lines_are_spread_over_the_text(n, seed):
+    places = quality.spread_lines(n, seed)
+    assert len(places) == min(n, len(places)) <= quality.SAMPLE_LINES and (np.diff(places) > 0).all()
+    if n >= 1000:
+        assert len(places) > quality.SAMPLE_LINES - quality.RUN_LINES and places[-1] >= n / 2 > places[0]
+
+
 def test_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (3, 0), (4, 0), (9, 1), (9, 0), (None, 1), (77, 1), (5, None)], "doc_id long, quality int")
     assert quality.rated(odd, labels).count() == odd.count()

@@ -135,7 +135,12 @@ def train(samples: list[tuple[np.ndarray, np.ndarray]], labels: list[int], round
         at -= 0.3 * (first / (1 - 0.9**turn)) / (np.sqrt(second / (1 - 0.99**turn)) + 1e-8)
     plain = Model(at[:FEATURES].copy(), at[FEATURES:].reshape(2, 2).copy(), 1.0, 0.0)
     shares = np.array([plain.marginals(rows) @ lengths / lengths.sum() for rows, lengths in samples])
-    return Model(plain.weights, plain.pairs, *_logistic(shares, np.array(labels, float)))
+    return calibrated(plain, shares, labels)
+
+
+def calibrated(model: Model, shares: list[float] | np.ndarray, labels: list[int]) -> Model:
+    """``model`` with the slope and shift by which the labels follow best from the texts' shares of good length."""
+    return Model(model.weights, model.pairs, *_logistic(np.array(shares, float), np.array(labels, float)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:

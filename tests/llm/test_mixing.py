@@ -42,6 +42,18 @@ def test_ranges_do_not_change_the_result(documents):
     assert few == many
 
 
+def test_a_hot_key_is_cut_and_keeps_its_order(spark, monkeypatch):
+    rows = [(None if i % 3 else i, f"word {i} " * (i % 7), "ab"[i % 2]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    whole = mixing.mixed(docs, 900).orderBy("source", "order_key", "tie", "before").collect()
+    monkeypatch.setattr(mixing, "HEAVY_ROWS", 20)
+    seen, plain = [], mixing._heavy
+    monkeypatch.setattr(mixing, "_heavy", lambda *a: seen.append(plain(*a)) or seen[-1])
+    assert mixing.mixed(docs, 900).orderBy("source", "order_key", "tie", "before").collect() == whole
+    assert [[x.cuts for x in r.heavy] for r in seen[0].collect()] == [[20]]
+    assert sorted({r.before for r in whole if r.source == "a" and r.size}) == sorted(r.before for r in whole if r.source == "a" and r.size)
+
+
 def test_documents_of_the_mix(odd, documents, none):
     for docs in (odd, documents):
         out = mixing.mixed_documents(docs, docs.count())

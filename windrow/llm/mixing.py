@@ -18,6 +18,8 @@ WEIGHTS = (1, 2, 3)
 #: A source's keys are cut into so many ranges at least, else into the square root of all rows: then
 #: neither the rows of a range nor the ranges of a source are many.
 LEAST_RANGES = 16
+#: A key of more rows than a range has on average, and than this, is cut by the texts' ties as well.
+HEAVY_ROWS = 10_000
 
 
 def words(text: str = "text") -> Column:
@@ -61,14 +63,34 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
     return ranked.select("source", "source_size", F.when(F.col("level_left").isNull(), F.col("limit").cast("double")).otherwise(target).alias("target"))
 
 
-def prefix_sums(rows: DataFrame, ranges: int) -> DataFrame:
+def _heavy(rows: DataFrame, ranges: int, most: int) -> DataFrame:
+    """at_range, heavy: the keys of more than ``most`` rows by the range they lie in, each with its
+    number of cuts.  They are fewer than all rows / ``most``."""
+    counted = rows.groupBy("order_key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+    cuts = F.ceil(F.col("n") / most).alias("cuts")
+    found = counted.select(_range(ranges).alias("at_range"), F.struct("order_key", cuts).alias("one"))
+    return checkpointed(found.groupBy("at_range").agg(F.collect_list("one").alias("heavy")), narrow=True)
+
+
+def _range(ranges: int) -> Column:
+    return F.floor(F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long") * ranges / F.lit(1 << 32)).cast("int")
+
+
+def prefix_sums(rows: DataFrame, ranges: int, most: int = HEAVY_ROWS) -> DataFrame:
     """``rows`` (source, order_key, tie, size, and more) with ``before``: sizes of the source's earlier rows.
 
     The keys are hash-random, so equal cuts of their span are balanced ranges: each is sorted by
-    one task, sums per range are added up along the source, and no task sees a whole source.
+    one task, sums per range are added up along the source, and no task sees a whole source.  A key of
+    more than ``most`` rows stands apart from the keys before and after it in its range, and is cut by
+    its ties, which are hashes too; only rows equal in key and text stay together.
     """
-    span = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long")
-    cut = rows.withColumn("range", F.floor(span * ranges / F.lit(1 << 32)).cast("int"))
+    heavy = sized(_heavy(rows, ranges, most))
+    met = rows.withColumn("at", _range(ranges)).join(heavy, F.col("at") == F.col("at_range"), "left")
+    earlier = F.size(F.filter("heavy", lambda x: x["order_key"] < F.col("order_key")))
+    own = F.try_element_at(F.filter("heavy", lambda x: x["order_key"] == F.col("order_key")), F.lit(1))["cuts"]
+    inner = F.when(own.isNotNull(), F.floor(F.col("tie") * own / F.lit(1 << 32))).otherwise(0).cast("long")
+    side = F.when(F.col("heavy").isNull(), 0).otherwise(2 * earlier + own.isNotNull().cast("int"))
+    cut = met.withColumn("range", F.struct(F.col("at"), side.alias("side"), inner.alias("inner"))).drop("at", "at_range", "heavy")
     part = cut.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     along = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = part.select(
@@ -107,7 +129,8 @@ def mixed(docs: DataFrame, rows: int, key: str = "doc_id", text: str = "text", s
     )
     per_source = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")))
     per_source = per_source.withColumnRenamed("source", "of_source")
-    ordered = prefix_sums(narrow, max(LEAST_RANGES, isqrt(rows)))
+    ranges = max(LEAST_RANGES, isqrt(rows))
+    ordered = prefix_sums(narrow, ranges, max(HEAVY_ROWS, rows // ranges))
     out = ordered.join(per_source, F.col("source").eqNullSafe(F.col("of_source")))
     budget = F.floor("target")
     return out.withColumn("taken", taken(F.col("before"), F.col("size"), F.col("source_size"), budget)).select(

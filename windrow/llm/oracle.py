@@ -28,4 +28,24 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, size, source_size, target,
                (passes * size + greatest(0, least(size, budget - passes * source_size - before)))::BIGINT AS taken FROM q
     """,
+    "op11_search": r"""
+        WITH docs AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+                          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+        held AS (SELECT doc_id, r, len(terms)::BIGINT AS n, unnest(terms) AS term FROM docs),
+        tf AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*)::BIGINT AS tf FROM held GROUP BY r, term),
+        whole AS (SELECT count(*)::BIGINT AS nn, sum(len(terms))::BIGINT AS ll FROM docs WHERE len(terms) > 0),
+        weights AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+                    FROM tf, whole GROUP BY term),
+        asked AS (SELECT item_id, unnest(regexp_extract_all(
+                      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        items AS (SELECT item_id, term, count(*)::BIGINT AS times FROM asked GROUP BY item_id, term),
+        scored AS (SELECT item_id, r, any_value(doc_id) AS doc_id,
+                          sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))))::BIGINT AS score
+                   FROM items JOIN tf USING (term) JOIN weights USING (term), whole GROUP BY item_id, r),
+        placed AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+                   FROM scored WHERE score > 0)
+        SELECT * FROM placed WHERE rank <= 20
+    """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from windrow.llm import exact, html, licenses, lm, mixing, packing, quality, ring, rules, simhash
+from windrow.llm import exact, html, lexical, licenses, lm, mixing, packing, quality, ring, rules, simhash
 from windrow.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,10 @@ def op10_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.labelled(table(spark, folder, "documents"))
 
 
+def op11_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -74,4 +78,5 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_simhash": op9_simhash,
     "op10_licenses": op10_licenses,
+    "op11_search": op11_search,
 }

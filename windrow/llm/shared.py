@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
 #: Files of a narrow checkpoint for each core.
@@ -83,6 +83,18 @@ def mapped(
     return df.mapInArrow(full, schema)
 
 
+def first_rows(df: DataFrame, group: list[str], order: list[Column], most: int) -> DataFrame:
+    """The first ``most`` rows of each group, with their ``rank`` (from 1).
+
+    First among the rows of a 64th of the tasks, then among what those leave: Spark cuts each task's
+    rows before they are shuffled, so no task sorts more of a group than its share of the tasks leaves.
+    """
+    (share,) = fresh(df, "share")
+    near = Window.partitionBy(*group, share).orderBy(*order)
+    some = df.withColumn(share, F.pmod(F.spark_partition_id(), F.lit(64))).withColumn("rank", F.row_number().over(near)).filter(F.col("rank") <= most)
+    return some.drop(share, "rank").withColumn("rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("rank") <= most)
+
+
 def text_tag(text: str = "text") -> Column:
     """A short name of a row's own text, to tell rows of one id apart; null and empty are one."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

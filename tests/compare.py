@@ -26,7 +26,7 @@ def canonical(frame: pd.DataFrame) -> pd.DataFrame:
         if pd.api.types.is_datetime64_any_dtype(out[c]):
             out[c] = out[c].astype("datetime64[us]")
         elif pd.api.types.is_integer_dtype(out[c]):
-            out[c] = out[c].astype("int64")
+            out[c] = out[c].astype("float64" if out[c].hasnans else "int64")
     return out.sort_values(columns, kind="stable").reset_index(drop=True)
 
 

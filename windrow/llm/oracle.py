@@ -48,4 +48,33 @@ ORACLE: dict[str, str] = {
                    FROM scored WHERE score > 0)
         SELECT * FROM placed WHERE rank <= 20
     """,
+    "op12_trie": r"""
+        WITH said AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT c, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) - 1 AS pos
+                FROM said),
+        -- the CRC of the decimal id, bit by bit
+        convs AS (SELECT c, c - c % 100 AS base, xor(4294967295, list_reduce(
+                      list_prepend(4294967295::BIGINT, list_transform(range(1, len(s) + 1), lambda i: ascii(s[i])::BIGINT)),
+                      lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                                               lambda x, z: xor(x >> 1, 3988292384 * (x & 1))))) % 6 AS h
+                  FROM (SELECT DISTINCT c, c::VARCHAR AS s FROM own)),
+        turns AS (SELECT v.c, o.pos AS place, 0 AS part, role, text FROM convs v JOIN own o ON o.c = v.base AND o.pos < v.h
+                  UNION ALL SELECT v.c, o.pos, 1, role, text FROM convs v JOIN own o ON o.c = v.c AND o.pos >= v.h),
+        steps AS (SELECT c, row_number() OVER along AS d, len(text)::BIGINT AS n,
+                         sha256(string_agg(sha256(strlen(role) || ':' || role || text), ',') OVER (along ROWS UNBOUNDED PRECEDING)) AS node
+                  FROM turns WINDOW along AS (PARTITION BY c ORDER BY part, place)),
+        paths AS (SELECT c, 0 AS d, 0 AS n, '' AS node FROM convs UNION ALL SELECT c, d, n, node FROM steps),
+        ended AS (SELECT c, max(d) AS d FROM paths GROUP BY c),
+        nodes AS (SELECT node, p.d, min(p.c) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+                         sha256(coalesce(string_agg(p.c::VARCHAR, ',' ORDER BY p.c) FILTER (WHERE p.d = e.d), '')) AS ends
+                  FROM paths p JOIN ended e ON p.c = e.c GROUP BY node, p.d),
+        over AS (SELECT b.node, a.node AS above, b.d - a.d AS gap FROM nodes b JOIN paths a ON a.c = b.conv_id AND a.d <= b.d),
+        kids AS (SELECT above AS node, count(*) AS n_children FROM over WHERE gap = 1 GROUP BY above),
+        sums AS (SELECT above AS node, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves, sum((n_convs - 1) * n) AS saved
+                 FROM over JOIN nodes USING (node) LEFT JOIN kids USING (node) GROUP BY above)
+        SELECT x.conv_id, x.d::BIGINT AS depth, up.conv_id AS parent_conv_id, x.n_convs::BIGINT AS n_convs,
+               coalesce(n_children, 0)::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, x.ends AS ends_sha256
+        FROM nodes x JOIN sums s ON x.node = s.node LEFT JOIN kids k ON x.node = k.node
+        LEFT JOIN over o ON o.node = x.node AND o.gap = 1 LEFT JOIN nodes up ON up.node = o.above
+    """,
 }

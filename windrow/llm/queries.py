@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from windrow.llm import exact, html, lexical, licenses, lm, mixing, packing, quality, ring, rules, simhash
+from windrow.llm import exact, html, lexical, licenses, lm, mixing, packing, quality, ring, rules, simhash, trie
 from windrow.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,10 @@ def op11_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -79,4 +83,5 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_licenses": op10_licenses,
     "op11_search": op11_search,
+    "op12_trie": op12_trie,
 }

@@ -1,0 +1,130 @@
+import math
+import random
+from itertools import product
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from windrow.llm import neighbours as nb
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def sound(v):
+    return v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def brute(rows, queries, most):
+    """Distances of every query to every row."""
+    held = {(i, tuple(map(float, v))) for i, v in rows if i is not None and sound(v)}
+    out = set()
+    for q, own in {(i, tuple(map(float, v))) for i, v in queries if i is not None and sound(v)}:
+        others = [(math.sqrt(sum((a - b) ** 2 for a, b in zip(own, v))), i) for i, v in held if (i, v) != (q, own) and len(v) == len(own)]
+        out |= {(q, rank + 1, i, round(d, 9)) for rank, (d, i) in enumerate(sorted(others)[:most])}
+    return out
+
+
+def found(spark, rows, queries, most=10, schema=SCHEMA, **how):
+    def frame(x):
+        return spark.createDataFrame(x, schema).selectExpr("*", "1 AS id", "2 AS bucket", "3 AS query", "'x' AS vector").repartition(3)
+
+    out = nb.neighbours(frame(rows), frame(queries), most, **how)
+    assert out.columns == ["query_id", "rank", "vec_id", "score"]
+    return [(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in out.collect()]
+
+
+def points(n, seed=1, length=6):
+    rng = random.Random(seed)
+    return [(i, [rng.randint(-3, 3) / 4 for _ in range(length)]) for i in range(n)]
+
+
+ODD = [
+    (1, [1.0, 2.0]),
+    (1, [1.0, 2.0]),
+    (2, [1.0, 2.0]),
+    (3, [1.0, -2.0]),
+    (3, [2.0, 1.0]),
+    (4, None),
+    (5, []),
+    (6, [0.0, -0.0]),
+    (7, [None, 1.0]),
+    (8, [float("nan"), 1.0]),
+    (9, [float("inf"), 1.0]),
+    (None, [1.0, 1.0]),
+    (10, [1.0, 2.0, 3.0]),
+    (11, [3e38, 1.0]),
+    (-12, [1e-30, 0.0]),
+]
+
+
+def test_odd_rows(spark):
+    got = found(spark, ODD, ODD)
+    assert len(got) == len(set(got)) and set(got) == brute(ODD, ODD, 10)
+
+
+def test_empty_tables_and_few_candidates(spark):
+    assert found(spark, [], ODD) == found(spark, ODD, []) == found(spark, [], []) == []
+    assert found(spark, ODD[:1], ODD[:1]) == []
+    few = points(7)
+    assert set(found(spark, few, few[:2])) == brute(few, few[:2], 10)
+
+
+@pytest.mark.parametrize("kind", ["array<float>", "array<double>", "array<int>"])
+def test_all_buckets_visited_is_exact(spark, kind):
+    rows = [(i, [int(4 * x) for x in v] if kind == "array<int>" else v) for i, v in points(300)]
+    got = found(spark, rows, rows[::20], 10, f"vec_id long, embedding {kind}", bucket_rows=20, success=1.0 - 1e-12)
+    assert set(got) == brute(rows, rows[::20], 10)
+
+
+def test_copies_may_be_most_rows_and_are_cut_into_parts(spark, monkeypatch):
+    monkeypatch.setattr(nb, "MOST_ROWS", 16)
+    monkeypatch.setattr(nb, "MOST_QUERIES", 4)
+    rows = points(120) + [(1000 - i, [0.25] * 6) for i in range(200)]
+    queries = rows[::7]
+    got = found(spark, rows, queries, 5, success=1.0 - 1e-12)
+    assert set(got) == brute(rows, queries, 5)
+
+
+def test_recall_of_clusters(spark):
+    rng = np.random.default_rng(3)
+    centers = rng.normal(size=(40, 24)) * 3
+    vectors = centers[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 24))
+    rows = [(i, v) for i, v in enumerate(vectors.astype(np.float32).tolist())]
+    queries = rows[::50]
+    got = found(spark, rows, queries, 10, bucket_rows=200)
+    assert len({x[:2] for x in got}) == len(got) == 10 * len(queries)
+    wanted = {(q, i) for q, _, i, _ in brute(rows, queries, 10)}
+    assert len({(q, i) for q, _, i, _ in got} & wanted) >= 0.9 * len(wanted)
+
+
+@pytest.mark.parametrize("scale", ["0.001", "0.01"])
+def test_recall_of_the_given_table(spark, scale):
+    table = spark.read.parquet(f"/root/testdata/sf{scale}/embeddings.parquet")
+    rows = [tuple(r) for r in table.select("vec_id", "embedding").collect()]
+    queries = [r for r in rows if r[0] % 100 == 0]
+    got = {(r.query_id, r.vec_id) for r in nb.neighbours(table, table.filter("vec_id % 100 = 0")).collect()}
+    wanted = {(q, i) for q, _, i, _ in brute(rows, queries, 10)}
+    assert len(got & wanted) >= 0.9 * len(wanted)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.lists(st.floats(0.001, 1), min_size=1, max_size=5), min_size=1, max_size=4), st.floats(0.1, 0.999))
+def test_buckets_come_in_order_of_success(shares, success):
+    steps = [sorted(((p / sum(s), i) for i, p in enumerate(s)), reverse=True) for s in shares]
+    chance = [dict((i, p) for p, i in s) for s in steps]
+    got = [math.prod(c[i] for c, i in zip(chance, at)) for at in nb.in_order(steps, success)]
+    every = sorted((math.prod(c[i] for c, i in zip(chance, at)) for at in product(*chance)), reverse=True)
+    assert got == pytest.approx(every[: len(got)])
+    assert sum(got) >= success - 1e-9 and sum(got[:-1]) < success
+
+
+def test_the_probability_of_a_perturbation_is_that_of_its_cell():
+    hashing = nb.Hashing.of(100_000, reach=0.7, spread=3.0, tables=2, bucket_rows=500, success=0.9)
+    rng = np.random.default_rng(5)
+    query = rng.normal(size=32)
+    moves = rng.normal(size=(20_000, 32))
+    near = query + 0.7 * moves / np.linalg.norm(moves, axis=1)[:, None]
+    visited = set(hashing.probes(query))
+    share = np.isin(hashing.buckets(near), list(visited)).any(axis=1).mean()
+    assert 0.85 < share < 0.97

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from windrow.llm import exact, html, lexical, licenses, lm, mixing, packing, quality, ring, rules, simhash, trie
+from windrow.llm import exact, html, lexical, licenses, lm, mixing, neighbours, packing, quality, ring, rules, simhash, trie
 from windrow.llm.shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,11 @@ def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.trie(table(spark, folder, "conversations"))
 
 
+def op13_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.neighbours(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -84,4 +89,5 @@ QUERIES: dict[str, Query] = {
     "op10_licenses": op10_licenses,
     "op11_search": op11_search,
     "op12_trie": op12_trie,
+    "op13_neighbours": op13_neighbours,
 }

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 from itertools import product
 
 import numpy as np
@@ -18,10 +19,10 @@ def sound(v):
 def brute(rows, queries, most):
     """Distances of every query to every row."""
     held = {(i, tuple(map(float, v))) for i, v in rows if i is not None and sound(v)}
-    out = set()
+    out = Counter()
     for q, own in {(i, tuple(map(float, v))) for i, v in queries if i is not None and sound(v)}:
-        others = [(math.sqrt(sum((a - b) ** 2 for a, b in zip(own, v))), i) for i, v in held if (i, v) != (q, own) and len(v) == len(own)]
-        out |= {(q, rank + 1, i, round(d, 9)) for rank, (d, i) in enumerate(sorted(others)[:most])}
+        others = {(round(math.sqrt(sum((a - b) ** 2 for a, b in zip(own, v))), 9), i) for i, v in held if (i, v) != (q, own) and len(v) == len(own)}
+        out.update((q, rank + 1, i, d) for rank, (d, i) in enumerate(sorted(others)[:most]))
     return out
 
 
@@ -31,7 +32,7 @@ def found(spark, rows, queries, most=10, schema=SCHEMA, **how):
 
     out = nb.neighbours(frame(rows), frame(queries), most, **how)
     assert out.columns == ["query_id", "rank", "vec_id", "score"]
-    return [(r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in out.collect()]
+    return Counter((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in out.collect())
 
 
 def points(n, seed=1, length=6):
@@ -53,28 +54,27 @@ ODD = [
     (9, [float("inf"), 1.0]),
     (None, [1.0, 1.0]),
     (10, [1.0, 2.0, 3.0]),
-    (11, [3e38, 1.0]),
-    (-12, [1e-30, 0.0]),
+    (11, [2.0**127, 1.0]),
+    (-12, [2.0**-99, 0.0]),
 ]
 
 
 def test_odd_rows(spark):
-    got = found(spark, ODD, ODD)
-    assert len(got) == len(set(got)) and set(got) == brute(ODD, ODD, 10)
+    assert found(spark, ODD, ODD) == brute(ODD, ODD, 10)
 
 
 def test_empty_tables_and_few_candidates(spark):
-    assert found(spark, [], ODD) == found(spark, ODD, []) == found(spark, [], []) == []
-    assert found(spark, ODD[:1], ODD[:1]) == []
+    assert found(spark, [], ODD) == found(spark, ODD, []) == found(spark, [], []) == Counter()
+    assert found(spark, ODD[:1], ODD[:1]) == Counter()
     few = points(7)
-    assert set(found(spark, few, few[:2])) == brute(few, few[:2], 10)
+    assert found(spark, few, few[:2]) == brute(few, few[:2], 10)
 
 
 @pytest.mark.parametrize("kind", ["array<float>", "array<double>", "array<int>"])
 def test_all_buckets_visited_is_exact(spark, kind):
     rows = [(i, [int(4 * x) for x in v] if kind == "array<int>" else v) for i, v in points(300)]
     got = found(spark, rows, rows[::20], 10, f"vec_id long, embedding {kind}", bucket_rows=20, success=1.0 - 1e-12)
-    assert set(got) == brute(rows, rows[::20], 10)
+    assert got == brute(rows, rows[::20], 10)
 
 
 def test_copies_may_be_most_rows_and_are_cut_into_parts(spark, monkeypatch):
@@ -83,7 +83,7 @@ def test_copies_may_be_most_rows_and_are_cut_into_parts(spark, monkeypatch):
     rows = points(120) + [(1000 - i, [0.25] * 6) for i in range(200)]
     queries = rows[::7]
     got = found(spark, rows, queries, 5, success=1.0 - 1e-12)
-    assert set(got) == brute(rows, queries, 5)
+    assert got == brute(rows, queries, 5)
 
 
 def test_recall_of_clusters(spark):

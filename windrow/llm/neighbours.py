@@ -261,8 +261,8 @@ def neighbours(
     fewer than ``most`` is compared with all rows instead, so it gets all there are if they are fewer.
 
     Keys are whole numbers; rows and queries without a key, and vectors null, empty, zero or holding null or
-    non-finite components, take no part.  Rows equal in key and vector are one row; a query's own
-    row is the one that equals it so.  Vectors are compared with those of their own length.  Of equal vectors only
+    non-finite components, take no part.  Rows equal in key and vector are one row, and
+    so are rows of one key that are equally far from a query; a query's own row is the one that equals it in both.  Vectors are compared with those of their own length.  Of equal vectors only
     the ``most`` + 1 smallest ids can matter, so no more are searched, and equal queries are
     searched once: copies may be any share of the table.  Empty tables give no rows; other columns are
     not read.

@@ -35,3 +35,13 @@ def none(spark):
 @pytest.fixture(scope="session")
 def documents(spark, small):
     return spark.read.parquet(f"{small}/documents.parquet")
+
+
+#: Names that the stages use inside, as further columns of the documents.
+INNER = "passes upto of_source times drop_key drop_tag tag at at_range heavy lies range inside before order_key tie size target taken keep component fingerprint share rank span".split()
+
+
+@pytest.fixture(scope="session")
+def clashing(odd):
+    """The odd rows with a column of every name that a stage uses inside."""
+    return odd.selectExpr(*odd.columns, *(f"'{c}' AS {c}" for c in INNER if c not in odd.columns))

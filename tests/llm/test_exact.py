@@ -58,3 +58,9 @@ def test_many_copies(spark):
     docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'the SAME text', concat('text ', id)) as text")
     found = exact.duplicates(docs).filter("group_size > 1").collect()
     assert {(r.keep_id, r.group_size) for r in found} == {(2997, 1000)} and sum(r.kept for r in found) == 1
+
+
+def test_clashing_names(odd, clashing):
+    out = exact.deduplicated(clashing)
+    assert out.columns == clashing.columns
+    assert sorted(map(str, out.select(odd.columns).collect())) == sorted(map(str, exact.deduplicated(odd).collect()))

@@ -1,8 +1,11 @@
 from collections import Counter, defaultdict
 
+import duckdb
 import pytest
 
+from tests.compare import assert_same
 from windrow.llm import mixing
+from windrow.llm.oracle import ORACLE
 
 
 def brute_targets(sizes, weights=(1, 2, 3), epochs=3):
@@ -51,6 +54,25 @@ def test_a_hot_key_is_cut_and_keeps_its_order(spark, monkeypatch):
     monkeypatch.setattr(mixing, "_heavy", lambda *a: seen.append(plain(*a)) or seen[-1])
     assert mixing.mixed(docs, 900).orderBy("source", "order_key", "tie", "before").collect() == whole
     assert [[x.cuts for x in r.heavy] for r in seen[0].collect()] == [[20]]
+
+
+def test_copies_of_a_hot_key_are_cut_too(spark, monkeypatch):
+    rows = [(None if i % 3 else i, "the same text" if i % 2 else f"word {i} " * (i % 7), "ab"[i % 5 == 0]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    whole = mixing.mixed(docs, 900).collect()
+    monkeypatch.setattr(mixing, "HEAVY_ROWS", 20)
+    assert sorted(map(str, mixing.mixed(docs, 900).collect())) == sorted(map(str, whole))
+
+
+def test_sql_of_repeated_ids(spark, tmp_path):
+    rows = [(i % 7 if i % 9 else None, f"word {i % 40} " * (i % 11), "abc"[i % 3] if i % 10 else None) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "out"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/out/*.parquet'")
+    want = con.execute(ORACLE["op8_mixing"]).df()
+    got = mixing.mixed(docs, 600).select("doc_id", "size", "source_size", "target", "taken").toPandas()
+    assert_same(got, want)
     assert sorted({r.before for r in whole if r.source == "a" and r.size}) == sorted(r.before for r in whole if r.source == "a" and r.size)
 
 
@@ -67,3 +89,9 @@ def test_documents_of_the_mix(odd, documents, none):
         for s in want:  # a document at the cut goes in or out whole; rows of one id and text go together
             assert abs(got[s] - want[s]) <= 2 * largest[s]
     assert mixing.mixed_documents(none, 0).count() == mixing.mixed(none, 0).count() == 0
+
+
+def test_clashing_names(odd, clashing):
+    out = mixing.mixed_documents(clashing, clashing.count())
+    assert out.columns == clashing.columns
+    assert sorted(map(str, out.select(odd.columns).collect())) == sorted(map(str, mixing.mixed_documents(odd, odd.count()).collect()))

@@ -92,3 +92,9 @@ def test_rows_that_stay(odd, documents, none):
         assert kept.columns == docs.columns
         assert kept.count() == len({r.keep for r in found})
     assert simhash.deduplicated(none).count() == simhash.near_duplicates(none).count() == 0
+
+
+def test_clashing_names(odd, clashing):
+    out = simhash.deduplicated(clashing, shingle_words=4, most_bits=4)
+    assert out.columns == clashing.columns
+    assert sorted(map(str, out.select(odd.columns).collect())) == sorted(map(str, simhash.deduplicated(odd, shingle_words=4, most_bits=4).collect()))

@@ -31,8 +31,8 @@ def _order_key(key: str) -> Column:
     return F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
 
 
-def _tie(text: str) -> Column:
-    return F.crc32(F.coalesce(F.col(text).cast("string"), F.lit("")))
+def tie_of(text: str) -> Column:
+    return F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = MOST_EPOCHS) -> DataFrame:
@@ -64,33 +64,45 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
 
 
 def _heavy(rows: DataFrame, ranges: int, most: int) -> DataFrame:
-    """at_range, heavy: the keys of more than ``most`` rows by the range they lie in, each with its
-    number of cuts.  They are fewer than all rows / ``most``."""
+    """at_range, heavy: the keys of more than ``most`` rows by the range they lie in, each with its number
+    of cuts and those of its ties that have more than ``most`` rows.  They are fewer than all rows / ``most``."""
     counted = rows.groupBy("order_key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
-    cuts = F.ceil(F.col("n") / most).alias("cuts")
-    found = counted.select(_range(ranges).alias("at_range"), F.struct("order_key", cuts).alias("one"))
-    return checkpointed(found.groupBy("at_range").agg(F.collect_list("one").alias("heavy")), narrow=True)
+    counted = sized(checkpointed(counted.select("order_key", F.ceil(F.col("n") / most).alias("cuts")), narrow=True))
+    copies = rows.join(counted.select("order_key"), "order_key", "left_semi").groupBy("order_key", "tie").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most)
+    copies = copies.groupBy(F.col("order_key").alias("copied")).agg(F.collect_list("tie").alias("ties"))
+    known = counted.join(copies, F.col("order_key") == F.col("copied"), "left")
+    one = F.struct("order_key", "cuts", F.coalesce("ties", F.array().cast("array<string>")).alias("ties"))
+    return checkpointed(known.select(_range(ranges).alias("at_range"), one.alias("one")).groupBy("at_range").agg(F.collect_list("one").alias("heavy")), narrow=True)
+
+
+def _leading(name: str) -> Column:
+    """The first 32 bits of a number in hexadecimal digits."""
+    return F.conv(F.substring(name, 1, 8), 16, 10).cast("long")
 
 
 def _range(ranges: int) -> Column:
-    return F.floor(F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long") * ranges / F.lit(1 << 32)).cast("int")
+    return F.floor(_leading("order_key") * ranges / F.lit(1 << 32)).cast("int")
 
 
 def prefix_sums(rows: DataFrame, ranges: int, most: int = HEAVY_ROWS) -> DataFrame:
     """``rows`` (source, order_key, tie, size, and more) with ``before``: sizes of the source's earlier rows.
 
-    The keys are hash-random, so equal cuts of their span are balanced ranges: each is sorted by
-    one task, sums per range are added up along the source, and no task sees a whole source.  A key of
-    more than ``most`` rows stands apart from the keys before and after it in its range, and is cut by
-    its ties, which are hashes too; only rows equal in key and text stay together.
+    Keys and ties are hash-random hexadecimal digits, so equal cuts of their span are balanced ranges: each is
+    sorted by one task, sums per range are added up along the source, and no task sees a whole source.
+    A key of more than ``most`` rows stands apart from the keys before and after it in its range, and
+    is cut by its ties; so does a tie of more than ``most`` rows, and since its rows are all alike, it is cut
+    by where they lie.  ``rows`` should be written, for they are read more than once.
     """
     heavy = sized(_heavy(rows, ranges, most))
-    met = rows.withColumn("at", _range(ranges)).join(heavy, F.col("at") == F.col("at_range"), "left")
+    met = rows.withColumn("at", _range(ranges)).withColumn("lies", F.spark_partition_id()).join(heavy, F.col("at") == F.col("at_range"), "left")
     earlier = F.size(F.filter("heavy", lambda x: x["order_key"] < F.col("order_key")))
-    own = F.try_element_at(F.filter("heavy", lambda x: x["order_key"] == F.col("order_key")), F.lit(1))["cuts"]
-    inner = F.when(own.isNotNull(), F.floor(F.col("tie") * own / F.lit(1 << 32))).otherwise(0).cast("long")
+    own = F.try_element_at(F.filter("heavy", lambda x: x["order_key"] == F.col("order_key")), F.lit(1))
     side = F.when(F.col("heavy").isNull(), 0).otherwise(2 * earlier + own.isNotNull().cast("int"))
-    cut = met.withColumn("range", F.struct(F.col("at"), side.alias("side"), inner.alias("inner"))).drop("at", "at_range", "heavy")
+    inner = F.when(own.isNull(), 0).otherwise(F.floor(_leading("tie") * own["cuts"] / F.lit(1 << 32))).cast("long")
+    is_copy = F.coalesce(F.array_contains(own["ties"], F.col("tie")), F.lit(False))
+    copied = F.when(own.isNull(), 0).otherwise(2 * F.size(F.filter(own["ties"], lambda t: t < F.col("tie"))) + is_copy.cast("int"))
+    lies = F.when(is_copy, F.col("lies")).otherwise(0)
+    cut = met.withColumn("range", F.struct(F.col("at"), side.alias("side"), inner.alias("inner"), copied.alias("copied"), lies.alias("lies"))).drop("at", "at_range", "heavy", "lies")
     part = cut.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
     along = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = part.select(
@@ -124,7 +136,7 @@ def mixed(docs: DataFrame, rows: int, key: str = "doc_id", text: str = "text", s
     """
     narrow = checkpointed(  # words are counted once
         docs.select(
-            F.col(key), F.col(source).cast("string").alias("source"), words(text).alias("size"), _order_key(key).alias("order_key"), _tie(text).alias("tie")
+            F.col(key), F.col(source).cast("string").alias("source"), words(text).alias("size"), _order_key(key).alias("order_key"), tie_of(text).alias("tie")
         )
     )
     per_source = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")))
@@ -150,14 +162,14 @@ def mixed_documents(docs: DataFrame, rows: int, key: str = "doc_id", text: str =
     passes = F.when(F.col("source_size") > 0, F.floor(F.floor("target") / F.col("source_size"))).otherwise(0).cast("int")
     rest = F.floor("target") - passes * F.col("source_size") - F.col("before")
     last = F.when((rest > 0) & (2 * rest >= F.col("size")), F.struct("order_key", "tie"))
+    of, full, cut, times = fresh(docs, "of_source", "passes", "upto", "times")
     upto = checkpointed(
-        decided.groupBy("source").agg(F.max(passes).alias("passes"), F.max(last).alias("upto")).select(F.col("source").alias("of_source"), "passes", "upto"),
+        decided.groupBy("source").agg(F.max(passes).alias(full), F.max(last).alias(cut)).select(F.col("source").alias(of), full, cut),
         narrow=True,
     )
-    place = F.struct(_order_key(key).alias("order_key"), _tie(text).alias("tie"))
-    own = docs[source].cast("string").eqNullSafe(F.col("of_source"))
-    (times,) = fresh(docs, "times")
+    place = F.struct(_order_key(key).alias("order_key"), tie_of(text).alias("tie"))
+    own = docs[source].cast("string").eqNullSafe(F.col(of))
     has_words = F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    copies = F.when(has_words, F.col("passes") + F.coalesce(place <= F.col("upto"), F.lit(False)).cast("int")).otherwise(0)
+    copies = F.when(has_words, F.col(full) + F.coalesce(place <= F.col(cut), F.lit(False)).cast("int")).otherwise(0)
     taken_rows = docs.join(sized(upto), own).withColumn(times, copies).filter(F.col(times) > 0)
     return taken_rows.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*(docs[c] for c in docs.columns))

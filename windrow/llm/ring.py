@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 import bisect
-from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
-import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from windrow.llm.shared import checkpointed, mapped
+from windrow.llm.mixing import HEAVY_ROWS, LEAST_RANGES, prefix_sums, tie_of
+from windrow.llm.shared import checkpointed
 
 #: Virtual nodes of each shard.
 VIRTUAL_NODES = 64
+#: Spans of the ring that are looked up, by the first three hexadecimal digits of a position.
+SPANS = 1 << 12
 
 
 @dataclass(frozen=True)
@@ -86,55 +86,53 @@ def plan(ring: Ring, arc_rows: list[int], capacity: list[int]) -> list[Segment]:
     return placed
 
 
-def placed(rows: DataFrame, key: str, shards: int, virtual_nodes: int = VIRTUAL_NODES, slack: float = 0.0) -> DataFrame:
+def _arcs(ring: Ring, spark: SparkSession) -> DataFrame:
+    """Per span of positions that share their leading bits: the first arc it meets, and the ends within it.
+
+    One row for each of ``SPANS``, whatever the rows; so an arc is found by one look-up and few comparisons.
+    """
+    width = (1 << 64) // SPANS
+    table = []
+    for span in range(SPANS):
+        first, past = bisect.bisect_left(ring.ends, span * width), bisect.bisect_left(ring.ends, (span + 1) * width)
+        table.append((span, first, [f"{e:016X}" for e in ring.ends[first:past]]))
+    return F.broadcast(spark.createDataFrame(table, "span int, first_arc int, inner_ends array<string>"))
+
+
+def placed(rows: DataFrame, key: str, shards: int, virtual_nodes: int = VIRTUAL_NODES, slack: float = 0.0, tie: str | None = None) -> DataFrame:
     """``rows`` with ``home`` (the shard of the arc that the key hashes to), ``shard`` and ``slot``.
 
-    Rows of one arc are numbered in the order in which they were read, by counts per task, so that a
-    key of any number of rows is spread over the tasks that read it; the driver sees one count for
-    each virtual node.  ``rows`` should be narrow: it is written once and read again.  Null keys
-    hash like any other value; an empty table gives no rows.
+    Rows of an arc are numbered along it: by the hash of their key, then by ``tie``, a column of
+    hash-random hexadecimal digits.  So what overflows is what lies last on its arc, however the rows are
+    dealt over files.  Numbers are prefix sums over ranges of the ring; a key of any number of rows is cut by
+    ties, and rows equal in both are alike.  The driver sees one count for each virtual node.  ``rows``
+    should be narrow: they are written once and read again.  Null keys hash like any other value; an empty
+    table gives no rows.
     """
     ring = Ring.of(shards, virtual_nodes)
-    schema = rows.withColumns({c: F.lit(0) for c in ("arc", "task")} | {"at": F.lit(0).cast("long")}).schema
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends, seen, task = np.array(ring.ends, np.uint64), np.zeros(len(ring.ends), np.int64), TaskContext.get().partitionId()
-        for batch in batches:
-            position = batch.column("position").to_numpy(zero_copy_only=False).view(np.uint64)
-            arcs = np.searchsorted(ends, position) % len(ends)
-            order = np.argsort(arcs, kind="stable")
-            counts = np.bincount(arcs, minlength=len(ends))
-            at = np.empty(len(arcs), np.int64)
-            at[order] = np.arange(len(arcs)) - np.repeat(np.cumsum(counts) - counts, counts)
-            at += seen[arcs]
-            seen += counts
-            columns = [batch.column(c) for c in schema.names[:-3]]
-            yield pa.record_batch(
-                [*columns, pa.array(arcs, pa.int32()), pa.array(np.full(len(arcs), task), pa.int32()), pa.array(at)], names=schema.names
-            )
-
-    numbered = checkpointed(mapped(rows.withColumn("position", F.xxhash64(key)), number, schema))
-    cells = numbered.groupBy("arc", "task").agg(F.count(F.lit(1)).alias("cell_rows"))
-    before = Window.partitionBy("arc").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.select("arc", "task", F.coalesce(F.sum("cell_rows").over(before), F.lit(0)).alias("earlier"))
+    at = rows.withColumn("order_key", F.lpad(F.hex(F.xxhash64(key)), 16, "0"))
+    at = at.withColumn("tie", F.lit("0" * 8) if tie is None else F.col(tie)).withColumn("size_of_row", F.lit(1).cast("long"))
+    at = at.withColumn("span", F.conv(F.substring("order_key", 1, 3), 16, 10).cast("int")).join(_arcs(ring, rows.sparkSession), "span")
+    arc = (F.col("first_arc") + F.size(F.filter("inner_ends", lambda e: e < F.col("order_key")))) % len(ring.ends)
+    kept = [F.struct(*rows.columns).alias("row"), arc.alias("source"), "order_key", "tie", F.col("size_of_row").alias("size")]
+    on_arcs = checkpointed(at.select(*kept))
     per_arc = [0] * len(ring.ends)
-    for r in numbered.groupBy("arc").count().collect():  # one row per virtual node at most
-        per_arc[r["arc"]] = r["count"]
-    segments = plan(ring, per_arc, capacities(sum(per_arc), shards, slack))
-    homes = [(a, s.first, s.first + s.n, s.shard, s.slot, ring.owners[a]) for s in segments for a in (s.arc,)]
+    for r in on_arcs.groupBy("source").count().collect():  # one row per virtual node at most
+        per_arc[r["source"]] = r["count"]
+    total = sum(per_arc)
+    segments = plan(ring, per_arc, capacities(total, shards, slack))
+    homes = [(s.arc, s.first, s.first + s.n, s.shard, s.slot, ring.owners[s.arc]) for s in segments]
     # at most one segment per arc, and one more for each shard that fills up on the way
     goes = rows.sparkSession.createDataFrame(homes, "seg_arc int, first long, past long, shard int, base long, home int")
-    rank = F.col("earlier") + F.col("at")
-    inside = (F.col("arc") == F.col("seg_arc")) & (rank >= F.col("first")) & (rank < F.col("past"))
-    return (
-        numbered.join(cells, ["arc", "task"])
-        .join(F.broadcast(goes), inside)
-        .select(*rows.columns, "home", "shard", (F.col("base") + rank - F.col("first")).alias("slot"))
-    )
+    ranges = max(LEAST_RANGES, isqrt(total))
+    numbered = prefix_sums(on_arcs, ranges, max(HEAVY_ROWS, total // ranges))
+    rank = F.col("before")
+    inside = (F.col("source") == F.col("seg_arc")) & (rank >= F.col("first")) & (rank < F.col("past"))
+    return numbered.join(F.broadcast(goes), inside).select("row.*", "home", "shard", (F.col("base") + rank - F.col("first")).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, key: str = "doc_id", text: str = "text", slack: float = 0.0) -> DataFrame:
     """Per document: key, size (UTF-8 bytes and one), text_crc32, home, shard and slot (gapless from 0)."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    narrow = docs.select(key, (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
-    return placed(narrow, key, shards, slack=slack)
+    narrow = docs.select(key, (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), tie_of(text).alias("text_md5"))
+    return placed(narrow, key, shards, slack=slack, tie="text_md5").drop("text_md5")

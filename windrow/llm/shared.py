@@ -118,12 +118,12 @@ def without_rows(docs: DataFrame, dropped: DataFrame, repeated: DataFrame, key:
     out, and pairs of which several rows exist and one is to stay.  Both are broadcast only if they
     are counted to be small; else the rows meet in a shuffle join, which Spark splits where skewed.
     """
-    (tag,) = fresh(docs, "tag")
+    tag, drop_key, drop_tag = fresh(docs, "tag", "drop_key", "drop_tag")
     tagged = docs.withColumn(tag, text_tag(text))
 
     def at(pairs: DataFrame) -> tuple[DataFrame, Column]:
-        pairs = sized(pairs.select(F.col(key).alias("drop_key"), F.col("tag").alias("drop_tag")))
-        return pairs, tagged[key].eqNullSafe(F.col("drop_key")) & (tagged[tag] == F.col("drop_tag"))
+        pairs = sized(pairs.select(F.col(key).alias(drop_key), F.col("tag").alias(drop_tag)))
+        return pairs, tagged[key].eqNullSafe(F.col(drop_key)) & (tagged[tag] == F.col(drop_tag))
 
     kept = tagged.join(*at(dropped), "left_anti")
     if repeated.isEmpty():

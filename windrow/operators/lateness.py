@@ -102,9 +102,21 @@ def on_time_pairs(
     **order,
 ) -> DataFrame:
     """Rows with the ``window`` they count for, one row per window still open on arrival."""
+    pairs = flag_late_pairs(df, windows, delay, ts, **order)
+    return pairs.where(~F.col("late")).drop("late")
+
+
+def flag_late_pairs(
+    df: DataFrame,
+    windows: Windows = RETAIL_WINDOWS,
+    delay: str = RETAIL_DELAY,
+    ts: str = "ts",
+    **order,
+) -> DataFrame:
+    """One row per row and ``window`` that covers it, with ``late``: true where the window had closed."""
     pairs = with_seen(df, ts=ts, **order).withColumn("window", windows.of(ts))
     is_late = closed(epoch_micros("window.end"), F.col("seen"), delay)
-    return pairs.where(~is_late).drop("seen")
+    return pairs.withColumn("late", is_late).drop("seen")
 
 
 def closed_windows(

@@ -75,13 +75,15 @@ def windowed_reduce(
         windows.of(ts)["start"].alias("window_start"),
         F.col(ts).alias("_ts"),
         F.col(tiebreak).alias("_tie"),
-        *_named(values),
+        *_aliased(values),
     )
     group = [key, "window_start"]
-    numbered = _numbered_back(rows, group, chunks, split_above)
-    runs = _reduce_runs(numbered.withColumn("_back", F.floor(F.col("_back") / RUN)), [*group, "_back"], list(values), run)
-    merged = _merge_parts(runs.withColumn("_part", F.floor(F.col("_back") / RUN)), [*group, "_part"], -F.col("_back"), merge)
-    reduced = _merge_parts(merged, group, -F.col("_part"), merge)
+    numbered = _numbered(rows, group, chunks, split_above)
+    # the newest run takes what is left over: it has from one to two runs' rows, the others one
+    last = F.greatest(F.floor(F.col("_n") / RUN), F.lit(1)) - 1
+    runs = _reduce_runs(numbered.withColumn("_run", F.least(F.floor(F.col("_at") / RUN), last)), [*group, "_run"], list(values), run)
+    merged = _merge_parts(runs.withColumn("_part", F.floor(F.col("_run") / RUN)), [*group, "_part"], F.col("_run"), merge)
+    reduced = _merge_parts(merged, group, F.col("_part"), merge)
     end = shift(F.col("window_start"), windows.size).alias("window_end")
     return reduced.select("window_start", end, key, "state")
 
@@ -113,7 +115,7 @@ def windowed_reduce_stream(
         key,
         F.col(ts).alias("_ts"),
         F.col(tiebreak).alias("_tie"),
-        *_named(values),
+        *_aliased(values),
     )
     runs = _reduce_runs(rows, ["pane", key], list(values), run)
     runs = runs.select(F.window_time("pane").alias("_at"), key, "state")
@@ -128,32 +130,33 @@ def _tumbling(windows: Windows) -> None:
         raise ValueError("an ordered reduce is defined over tumbling windows")
 
 
-def _named(values: dict[str, Column]) -> list[Column]:
+def _aliased(values: dict[str, Column]) -> list[Column]:
     return [c.alias(name) for name, c in values.items()]
 
 
-def _numbered_back(
+def _numbered(
     rows: DataFrame, group: Sequence[str], chunks: int | None, split_above: int
 ) -> DataFrame:
-    """Add ``_back``: the number of newer rows in the row's group.
+    """Add ``_at`` and ``_n``: the number of older rows in the row's group, and of all.
 
-    Counted from the newest row, so that of the runs cut by it only the oldest may be short.  Where no
-    group is heavy this is one window and one shuffle.  Else a row's number is that in its chunk plus
-    the rows of its group's newer chunks.
+    Where no group is heavy these are two windows over one shuffle.  Else a row's number is that in its chunk
+    plus the rows of its group's older chunks.
     """
-    newest_first = (F.desc("_ts"), F.desc("_tie"))
+    oldest_first = ("_ts", "_tie")
     cut = _cut_heavy(rows, group, chunks, split_above)
     if cut is None:
-        back = F.row_number().over(Window.partitionBy(*group).orderBy(*newest_first)) - 1
-        return rows.withColumn("_back", back)
+        at = F.row_number().over(Window.partitionBy(*group).orderBy(*oldest_first)) - 1
+        return rows.withColumn("_at", at).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*group)))
     # a struct of the group equals another one though it holds nulls
     cut = cut.withColumn("_group", F.struct(*group))
-    newer = Window.partitionBy("_group").orderBy(F.desc("chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    older = Window.partitionBy("_group").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     sizes = cut.groupBy("_group", "chunk").agg(F.count(F.lit(1)).alias("_size"))
-    floors = sizes.select("_group", "chunk", F.coalesce(F.sum("_size").over(newer), F.lit(0)).alias("_newer"))
-    inside = F.row_number().over(Window.partitionBy("_group", "chunk").orderBy(*newest_first)) - 1
-    joined = cut.join(floors, ["_group", "chunk"]).withColumn("_back", F.col("_newer") + inside)
-    return joined.select(*rows.columns, "_back")
+    floors = sizes.select(
+        "_group", "chunk", F.coalesce(F.sum("_size").over(older), F.lit(0)).alias("_older"), F.sum("_size").over(Window.partitionBy("_group")).alias("_n")
+    )
+    inside = F.row_number().over(Window.partitionBy("_group", "chunk").orderBy(*oldest_first)) - 1
+    joined = cut.join(floors, ["_group", "chunk"]).withColumn("_at", F.col("_older") + inside)
+    return joined.select(*rows.columns, "_at", "_n")
 
 
 def _cut_heavy(

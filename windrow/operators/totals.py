@@ -80,6 +80,21 @@ def fanned_totals(df: DataFrame, windows: Windows, keys: Sequence[str], amount:
     return with_bounds(totals, windows)
 
 
+def fanned_stream(df: DataFrame, windows: Windows, keys: dict[str, str], amount: str, ts: str = "ts") -> DataFrame:
+    """The same over a stream: ``window_start, window_end, branch, key, sum_amount, tran_count``.
+
+    A row is put into each branch of ``keys`` (name of the branch to the column of its key) before the one
+    stateful aggregate, so the source is read once and there is one state.  Keys of all branches are as
+    wide as BIGINT.
+    """
+    branches = F.explode(F.array(*[F.struct(F.lit(name).alias("branch"), F.col(key).cast("bigint").alias("key")) for name, key in keys.items()]))
+    rows = df.select(ts, F.col(amount).alias("_amount"), branches.alias("_of")).select(ts, "_amount", "_of.branch", "_of.key")
+    totals = rows.groupBy(placed(rows, windows, ts), "branch", "key").agg(
+        shown(total("_amount")).alias("sum_amount"), F.count(F.lit(1)).alias("tran_count")
+    )
+    return with_bounds(totals, windows)
+
+
 def _last_instant(totals: DataFrame, windows: Windows) -> Column:
     if totals.isStreaming:
         return F.window_time("window")

@@ -227,3 +227,14 @@ ORACLE["q_stream_rollup"] = ORACLE["q_global_rollup"]
 ORACLE["q_stream_name_sum"] = ORACLE["q_name_sum"]
 ORACLE["q_stream_wordcount_window"] = ORACLE["q_wordcount_window"]
 ORACLE["q_stream_reading_halving"] = ORACLE["q_reading_halving"]
+ORACLE["q_stream_tumbling_stagger"] = ORACLE["q_tumbling_stagger"]
+ORACLE["q_stream_reading_halving_long"] = ORACLE["q_reading_halving_long"]
+ORACLE["q_stream_on_time_store_sliding"] = ORACLE["q_on_time_store_sliding"]
+ORACLE["q_stream_late_pairs"] = f"""
+    SELECT row_id, window_start, window_start + INTERVAL 2 HOUR AS window_end
+    FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') - j * INTERVAL 1 HOUR AS window_start
+          FROM ({_SEEN}), (SELECT unnest([0, 1]) AS j))
+    WHERE window_start + INTERVAL 2 HOUR <= seen - INTERVAL 2 SECOND
+"""
+ORACLE["q_stream_fanout_totals"] = ORACLE["q_fanout_totals"]
+ORACLE["q_stream_published_once"] = ORACLE["q_store_sliding"]

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from windrow.functions.times import from_epoch_millis
 from windrow.operators.publish import publish_records, wire_fields
+from windrow.operators.totals import fanned_stream
 from windrow.operators.windows import (
     NAME_WINDOWS,
     NO_DELAY,
@@ -29,7 +30,7 @@ from windrow.session import shared_dir
 from windrow.sources.kafka import write_topic
 from windrow.sources.replay import by_clock, event_time
 from windrow.streaming import sinks
-from windrow.streaming.late import late_split
+from windrow.streaming.late import late_split, pair_split
 
 
 #: How long a total may be delivered again and still be told from a new one.
@@ -79,6 +80,38 @@ def retail_job(
     ]
 
 
+def fanned_job(
+    records: DataFrame,
+    stores: Callable[[DataFrame, int], None],
+    products: Callable[[DataFrame, int], None],
+    windows: Windows = RETAIL_WINDOWS,
+    checkpoints: str | None = None,
+) -> DataStreamWriter:
+    """Transaction records to store totals and product totals, by one query that reads them once.
+
+    Both sinks get their rows (``window_start, window_end, key, sum_amount, tran_count``) of a batch before it
+    is committed; bodies of repeatable effect, such as :func:`sinks.batch_folder`, make that exactly once.
+    """
+    totals = fanned_stream(retail.transactions_of(records), windows, {"store": "store_id", "product": "product_id"}, "price")
+    return sinks.batches(totals, sinks.by_branch({"store": stores, "product": products}), checkpoint_of(records, "fanned", checkpoints))
+
+
+def pair_job(
+    arrivals: DataFrame,
+    totals: Callable[[DataFrame, int], None],
+    late: Callable[[DataFrame, int], None],
+    key: str,
+    amount: str,
+    windows: Windows = RETAIL_WINDOWS,
+    delay: str = RETAIL_DELAY,
+    checkpoints: str | None = None,
+    **order: str,
+) -> DataStreamWriter:
+    """Totals of what came in time for its window, and the pairs of a row and a window that did not."""
+    body = pair_split(checkpoint_of(arrivals, "pairs-open", checkpoints), totals, late, key, amount, windows, delay, **order)
+    return sinks.batches(arrivals, body, checkpoint_of(arrivals, "pairs", checkpoints))
+
+
 def rollup_job(
     records: DataFrame,
     writer: sinks.LifecycleWriter,

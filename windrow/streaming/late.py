@@ -1,25 +1,30 @@
-"""Late rows of a stream into a side output, by the same row-by-row rule as the batch operator."""
+"""Late rows and late (row, window) pairs of a stream, by the same row-by-row rules as the batch operators."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from windrow.operators.lateness import flag_late
-from windrow.operators.windows import RETAIL_DELAY, RETAIL_WINDOWS, Windows
+from windrow.functions.money import shown, total
+from windrow.functions.times import shift
+from windrow.operators.lateness import flag_late, flag_late_pairs
+from windrow.operators.windows import RETAIL_DELAY, RETAIL_WINDOWS, Windows, with_bounds
+from windrow.session import names_in, remove_folder
+
+Body = Callable[[DataFrame, int], None]
 
 
 def late_split(
     folder: str,
-    main: Callable[[DataFrame, int], None],
-    side: Callable[[DataFrame, int], None],
+    main: Body,
+    side: Body,
     windows: Windows = RETAIL_WINDOWS,
     delay: str = RETAIL_DELAY,
     source: str = "source_partition",
     ts: str = "ts",
     **order,
-) -> Callable[[DataFrame, int], None]:
+) -> Body:
     """A ``foreachBatch`` body: on-time rows to ``main``, rows late for all their windows to ``side``.
 
     What each source has shown so far is a small table under ``folder`` (a shared folder), one row
@@ -30,13 +35,7 @@ def late_split(
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            shown = batch.groupBy(source).agg(F.max(ts).alias(ts))
-            before = None
-            if batch_id > 0:
-                reader = batch.sparkSession.read.schema(shown.schema)
-                before = reader.parquet(f"{folder}/turn={(batch_id - 1) % 2}")
-                shown = shown.unionByName(before).groupBy(source).agg(F.max(ts).alias(ts))
-            shown.write.mode("overwrite").parquet(f"{folder}/turn={batch_id % 2}")
+            before, _ = _seen_before(batch, batch_id, folder, source, ts)
             flagged = flag_late(
                 batch, windows, delay, ts, source=source, before=before, **order
             ).persist()
@@ -49,3 +48,101 @@ def late_split(
             batch.unpersist()
 
     return write
+
+
+def pair_split(
+    folder: str,
+    totals: Body,
+    late: Body,
+    key: str,
+    amount: str,
+    windows: Windows = RETAIL_WINDOWS,
+    delay: str = RETAIL_DELAY,
+    source: str = "source_partition",
+    ts: str = "ts",
+    **order,
+) -> Body:
+    """A ``foreachBatch`` body: each row counts for those of its windows that are open when it comes.
+
+    Totals (``window_start, window_end, key, amount, n``) of windows that every source has passed go to
+    ``totals``; the pairs of a row and a window that had closed go to ``late``, with the window's bounds.
+    Windows still open are a table of partial totals under ``folder`` (a shared folder): a batch merges its
+    own with those its predecessor left and writes them anew under its own number, so a batch that
+    is tried again changes nothing.  A source that comes late may still add to a window that is
+    out: that total comes as a further row, and :func:`summed` adds up what belongs together.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            before, shown_now = _seen_before(batch, batch_id, f"{folder}/seen", source, ts)
+            pairs = flag_late_pairs(batch, windows, delay, ts, source=source, before=before, **order).persist()
+            try:
+                late(with_bounds(pairs.where("late").drop("late")), batch_id)
+                fresh = with_bounds(pairs.where(~F.col("late")).select("window", key, amount))
+                partial = _merged(fresh.select("window_start", "window_end", key, F.col(amount).alias("amount"), F.lit(1).cast("bigint").alias("n")), key)
+                if (before_id := _last(spark, folder, below=batch_id)) is not None:
+                    partial = _merged(partial.unionByName(_open(spark, folder, before_id, partial)), key)
+                # one number: how far the slowest source has come
+                passed = shown_now.agg(shift(F.min(ts), delay, sign=-1)).first()[0]
+                partial = partial.persist()
+                try:
+                    closed = F.lit(False) if passed is None else F.col("window_end") <= F.lit(passed)
+                    totals(partial.where(closed), batch_id)
+                    partial.where(~closed).write.mode("overwrite").parquet(_place(folder, batch_id))
+                finally:
+                    partial.unpersist()
+            finally:
+                pairs.unpersist()
+        finally:
+            batch.unpersist()
+        if (old := _last(spark, folder, below=batch_id - 1)) is not None:
+            remove_folder(spark, _place(folder, old))
+
+    return write
+
+
+def open_totals(spark: SparkSession, folder: str) -> DataFrame | None:
+    """The totals of the windows that are still open under the ``folder`` of :func:`pair_split`; None before any batch."""
+    last = _last(spark, folder)
+    return None if last is None else spark.read.parquet(_place(folder, last))
+
+
+def summed(totals: DataFrame, key: str) -> DataFrame:
+    """``window_start, window_end, key, sum_amount, tran_count``: one row for each window and key of ``totals``."""
+    merged = _merged(totals, key)
+    return merged.select("window_start", "window_end", key, shown("amount").alias("sum_amount"), F.col("n").alias("tran_count"))
+
+
+def _merged(totals: DataFrame, key: str) -> DataFrame:
+    kind = totals.schema["amount"].dataType
+    wide = "double" if kind.simpleString() in ("float", "double") else f"decimal(38,{getattr(kind, 'scale', 0)})"
+    sums = totals.groupBy("window_start", "window_end", key).agg(total("amount").alias("amount"), F.sum("n").alias("n"))
+    return sums.withColumn("amount", F.col("amount").cast(wide))
+
+
+def _seen_before(batch: DataFrame, batch_id: int, folder: str, source: str, ts: str) -> tuple[DataFrame | None, DataFrame]:
+    """What each source had shown before the batch, and what it has now, which is written in its turn."""
+    shown_now = batch.groupBy(source).agg(F.max(ts).alias(ts))
+    before = None
+    if batch_id > 0:
+        reader = batch.sparkSession.read.schema(shown_now.schema)
+        before = reader.parquet(f"{folder}/turn={(batch_id - 1) % 2}")
+        shown_now = shown_now.unionByName(before).groupBy(source).agg(F.max(ts).alias(ts))
+    shown_now.write.mode("overwrite").parquet(f"{folder}/turn={batch_id % 2}")
+    return before, batch.sparkSession.read.schema(shown_now.schema).parquet(f"{folder}/turn={batch_id % 2}")
+
+
+def _place(folder: str, batch_id: int) -> str:
+    return f"{folder}/open/batch={batch_id}"
+
+
+def _last(spark: SparkSession, folder: str, below: int | None = None) -> int | None:
+    """The last batch, before ``below``, whose open windows are kept: two at most are."""
+    ids = [int(n.partition("=")[2]) for n in names_in(spark, f"{folder}/open") if n.startswith("batch=")]
+    return max((i for i in ids if below is None or i < below), default=None)
+
+
+def _open(spark: SparkSession, folder: str, batch_id: int, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(_place(folder, batch_id))

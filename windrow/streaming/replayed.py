@@ -11,23 +11,30 @@ from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructField, StructType, TimestampType
 
 from windrow.functions.text import explode_lines
 from windrow.functions.times import epoch_micros
+from windrow.operators.totals import fanned_stream
 from windrow.operators.windows import NO_DELAY, RETAIL_DELAY, WORD_WINDOWS
 from windrow.plans import names, readings, retail, words
-from windrow.plans.catalog import ARRIVAL_ORDER, DAYS, LATE_WINDOWS, NAMES, ROLLUP, SALES_WINDOWS
+from windrow.plans.catalog import ARRIVAL_ORDER, DAYS, LATE_WINDOWS, MONTHS, NAMES, ROLLUP, SALES_WINDOWS, STAGGER
 from windrow.schemas import BY_STORE, TOPIC_RECORD
-from windrow.session import pin_utc, remove_folder, shared_dir
+from windrow.session import date_in_order, pin_utc, remove_folder, shared_dir, stream_settings
 from windrow.sources import tables
 from windrow.sources.records import encode_by_store
 from windrow.sources.replay import event_time, table_stream
 from windrow.streaming import jobs, sinks
+from windrow.streaming.late import open_totals, summed
+from windrow.streaming.reduce import halved_stream
 from windrow.streaming.runs import append_end_marker, append_end_record, drain
+from windrow.streaming.stagger import staggered_totals
+from windrow.streaming.transactional import committed, transactional
 
-# Files, and so batches, that a table is replayed in at least, and the rows of one at most.
-LEAST_FILES, FILE_ROWS = 4, 2_000_000
+# Files, and so batches, that a table is replayed in at least, the rows of a file on average at most, and
+# the files of a batch at most.
+LEAST_FILES, FILE_ROWS, BATCH_FILES = 4, 2_000_000, 32
 
 
 def store_totals(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,7 +68,7 @@ def rollup(spark: SparkSession, folder: str) -> DataFrame:
 def late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The side output of a stream that splits off rows late for all their windows."""
     run = _Run(spark)
-    arrivals = run.stream(_view(spark, folder, "events", tables.shuffled_arrivals), F.col("arrival"))
+    arrivals = run.stream(_view(spark, folder, "events", tables.shuffled_arrivals), F.col("arrival"), then=F.col("row_id"))
     drain(
         jobs.split_job(
             arrivals,
@@ -98,6 +105,70 @@ def halved_readings(spark: SparkSession, folder: str) -> DataFrame:
     return run.emitted(halved, lambda: append_end_marker(rows, run.input))
 
 
+def _pairs(spark: SparkSession, folder: str) -> tuple[_Run, str]:
+    run = _Run(spark)
+    view = _view(spark, folder, "events", tables.shuffled_arrivals).withColumn("price", F.col("price").cast(tables.MONEY))
+    arrivals = run.stream(view, F.col("arrival"), then=F.col("row_id"))
+    out = [sinks.batch_folder(f"{run.folder}/{name}") for name in ("totals", "late")]
+    checkpoints = f"{run.folder}/checkpoints"
+    drain(jobs.pair_job(arrivals, *out, "store_id", "price", LATE_WINDOWS, RETAIL_DELAY, checkpoints, **ARRIVAL_ORDER))
+    return run, f"{checkpoints}/pairs-open"
+
+
+def on_time_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of the pairs that came in time: of windows that went out, and of those open at the end."""
+    run, kept = _pairs(spark, folder)
+    still_open = open_totals(spark, kept)
+    out = _batches(spark, f"{run.folder}/totals", still_open.schema)
+    return run.closed(summed(out.unionByName(still_open), "store_id"))
+
+
+def late_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The pairs that came after their window had closed."""
+    run, _ = _pairs(spark, folder)
+    layout = StructType.fromDDL("row_id bigint, window_start timestamp, window_end timestamp")
+    return run.closed(_batches(spark, f"{run.folder}/late", layout))
+
+
+def fanout_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Store and product totals, by one query with one read and one state, as two outputs."""
+    run = _Run(spark)
+    sales = run.stream(_view(spark, folder, "lineitem", tables.sales), epoch_micros("ts"))
+    keys = {"store_id": "store_id", "product_id": "product_id"}
+    totals = fanned_stream(event_time(sales, "ts", RETAIL_DELAY), SALES_WINDOWS, keys, "price")
+    writer = sinks.batches(totals, sinks.by_branch({k: sinks.batch_folder(f"{run.folder}/{k}") for k in keys}), f"{run.folder}/checkpoint")
+    run.to_the_end(writer, lambda: append_end_marker(sales, run.input))
+    plain = totals.drop("branch").schema
+    outputs = [_batches(spark, f"{run.folder}/{k}", plain).withColumn("branch", F.lit(k)) for k in keys]
+    return run.closed(outputs[0].unionByName(outputs[1]))
+
+
+def published_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Store totals through the sink of two phases, as its readers see them."""
+    run = _Run(spark)
+    sales = run.stream(_view(spark, folder, "lineitem", tables.sales), epoch_micros("ts"))
+    totals = retail.store_totals(event_time(sales, "ts", RETAIL_DELAY), SALES_WINDOWS)
+    run.to_the_end(transactional(totals, f"{run.folder}/out", f"{run.folder}/checkpoint"), lambda: append_end_marker(sales, run.input))
+    return run.closed(committed(spark, f"{run.folder}/out", totals.schema))
+
+
+def halved_long(spark: SparkSession, folder: str) -> DataFrame:
+    """All readings as one sensor's, by month: groups of many runs, in a state cut by rows."""
+    run = _Run(spark)
+    one = _view(spark, folder, "events", tables.readings).withColumn("sensor_id", F.lit("all"))
+    rows = run.stream(one, F.col("reading_id"))
+    return run.emitted(halved_stream(event_time(rows, "ts", NO_DELAY), MONTHS), lambda: append_end_marker(rows, run.input))
+
+
+def staggered_store_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of windows whose phase is the store's own, fixed by its first rows on the stream."""
+    run = _Run(spark)
+    view = _view(spark, folder, "events", tables.shuffled_arrivals)
+    sales = run.stream(view.select("ts", "store_id", F.col("price").cast(tables.MONEY).alias("price")), epoch_micros("ts"))
+    totals = staggered_totals(event_time(sales, "ts", NO_DELAY), STAGGER, "store_id", "price")
+    return run.emitted(totals, lambda: append_end_marker(sales, run.input))
+
+
 REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stream_store_sliding": store_totals,
     "q_stream_flushed_store_sliding": flushed_store_totals,
@@ -106,6 +177,12 @@ REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stream_name_sum": name_sums,
     "q_stream_wordcount_window": word_totals,
     "q_stream_reading_halving": halved_readings,
+    "q_stream_on_time_store_sliding": on_time_totals,
+    "q_stream_late_pairs": late_pairs,
+    "q_stream_fanout_totals": fanout_totals,
+    "q_stream_published_once": published_once,
+    "q_stream_reading_halving_long": halved_long,
+    "q_stream_tumbling_stagger": staggered_store_totals,
 }
 
 
@@ -113,6 +190,12 @@ def _view(spark: SparkSession, folder: str, name: str, view: Callable[[DataFrame
     return view(tables.table(pin_utc(spark), folder, name))
 
 
+def _batches(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """What a sink has written, without the numbers of the batches."""
+    plain = StructType([StructField(f.name, f.dataType) for f in schema])
+    return spark.read.schema(plain).parquet(folder).select(plain.fieldNames())
+
+
 class _Run:
     """One replay and its folder."""
 
@@ -121,37 +204,44 @@ class _Run:
         self.folder = f"{shared_dir(spark)}/replays/{uuid4()}"
         self.input = f"{self.folder}/in"
 
-    def stream(self, rows: DataFrame, order: Column, schema: StructType | None = None) -> DataFrame:
-        """The rows as a stream of files in the order of a number: the oldest rows in the oldest file."""
+    def stream(self, rows: DataFrame, order: Column, schema: StructType | None = None, then: Column | None = None) -> DataFrame:
+        """The rows as a stream of files in the order of a number: the oldest rows in the oldest file.
+
+        One job lays them out, cut by ranges of (``order``, ``then``), rows without a number first.  ``then`` is a
+        hash of the row unless rows of one number have an order of their own, so an instant of any number
+        of rows is spread over as many files as it fills.
+        """
         # Streams carry TIMESTAMP, so files do too.
         rows = rows.select(
             *[F.col(f.name).cast("timestamp") if f.dataType.simpleString() == "timestamp_ntz" else F.col(f.name) for f in rows.schema]
         )
-        n = rows.count()
-        files = max(LEAST_FILES, -(-n // FILE_ROWS))
-        shares = [i / files for i in range(1, files)]
-        edges = rows.agg(F.percentile_approx(order, shares, 10_000)).first()[0] or []
-        for low, high in zip([None, *edges], [*edges, None], strict=True):
-            piece = rows if low is None else rows.where(order > low)
-            piece = piece if high is None else piece.where(order <= high)
-            piece.coalesce(1).write.mode("append").parquet(self.input)
-        return table_stream(self.spark, self.input, schema or rows.schema)
+        files = max(LEAST_FILES, -(-rows.count() // FILE_ROWS))
+        minor = F.xxhash64(*rows.columns) if then is None else then
+        rows.repartitionByRange(files, order.asc_nulls_first(), minor).write.parquet(self.input)
+        date_in_order(self.spark, self.input)
+        per_batch = min(BATCH_FILES, files // LEAST_FILES)
+        return table_stream(self.spark, self.input, schema or rows.schema, per_batch)
 
     def emitted(self, result: DataFrame, end: Callable[[], None] | None = None) -> DataFrame:
         """What the stream has emitted at the end of its input, and of what ``end`` adds to it."""
-        writer = sinks.files(result, f"{self.folder}/out", f"{self.folder}/checkpoint")
-        drain(writer)
-        if end is not None:
-            end()
-            drain(writer)
+        self.to_the_end(sinks.files(result, f"{self.folder}/out", f"{self.folder}/checkpoint"), end)
         return self.ended(f"{self.folder}/out", result.schema)
 
+    def to_the_end(self, writer: DataStreamWriter, end: Callable[[], None] | None = None) -> None:
+        with stream_settings(self.spark):
+            drain(writer)
+            if end is not None:
+                end()
+                drain(writer)
+
     def ended(self, output: str, schema: StructType) -> DataFrame:
         """The rows written, with times as the tables have them."""
-        plain = StructType([StructField(f.name, f.dataType) for f in schema])
-        rows = self.spark.read.schema(plain).parquet(output)
-        back = [F.col(f.name).cast("timestamp_ntz") if isinstance(f.dataType, TimestampType) else F.col(f.name) for f in plain]
-        kept = _checkpointed(rows.select(*[c.alias(f.name) for c, f in zip(back, plain, strict=True)]))
+        return self.closed(_batches(self.spark, output, schema))
+
+    def closed(self, rows: DataFrame) -> DataFrame:
+        """The rows with times as the tables have them, kept beyond the run's folder."""
+        back = [F.col(f.name).cast("timestamp_ntz") if isinstance(f.dataType, TimestampType) else F.col(f.name) for f in rows.schema]
+        kept = _checkpointed(rows.select(*[c.alias(f.name) for c, f in zip(back, rows.schema, strict=True)]))
         remove_folder(self.spark, self.folder)
         return kept
 

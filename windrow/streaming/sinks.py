@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from windrow.operators.publish import round_robin
@@ -91,6 +91,20 @@ def twin(
     return write
 
 
+def by_branch(bodies: dict[str, Callable[[DataFrame, int], None]], branch: str = "branch") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body that deals the rows of each branch to its own body, from one run of the batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for name, body in bodies.items():
+                body(batch.where(F.col(branch) == name).drop(branch), batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 class LifecycleWriter:
     """Row sink with ``open`` / ``process`` / ``close``, to be subclassed.
 

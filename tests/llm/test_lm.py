@@ -43,6 +43,22 @@ def test_same_as_brute_force(spark, request, monkeypatch, which, size):
         assert r.score == pytest.approx(aimed - background, abs=1e-4)
 
 
+@pytest.mark.parametrize("common", [0, 30])
+def test_blocks_places_and_flushes_change_nothing(spark, documents, odd, monkeypatch, common):
+    """Small blocks, several places for a common token, pairs scored in the scan, sums handed on early."""
+    small = {"COMMON": common, "LOOKED_AT": 1, "BLOCK_PAIRS": 3000, "MOST_ENTRIES": 50, "PART_PAIRS": 4000, "HELD_SUMS": 300, "MOST_TIMES": 1000}
+    for name, value in small.items():
+        monkeypatch.setattr(lm, name, value)
+    for docs in (documents, odd):
+        target = {1, 3, 7, 9, 20, 21, 22}
+        found = lm.rated(docs.repartition(5), spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()
+        want = sorted(brute(docs.collect(), target, lm.VOCABULARY), key=lambda r: (str(r[0]), r[1], r[2]))
+        got = sorted(found, key=lambda r: (str(r.doc_id), r.n_tokens, r.target_loss))
+        for r, (doc, n, aimed, background) in zip(got, want, strict=True):
+            assert (r.doc_id, r.n_tokens) == (doc, n)
+            assert (r.target_loss, r.background_loss) == pytest.approx((aimed, background), rel=1e-9)
+
+
 @given(st.binary(min_size=1, max_size=20))
 def test_shapes(word):
     assert 0 <= lm.shape(word) < lm.SHAPES

@@ -27,13 +27,14 @@ PRIOR = 10.0
 #: Words counted, or remembered, before a task begins anew.
 REMEMBERED = 300_000
 #: Pairs of tokens that a task counts together before it emits them, and rows of what it emits.
-FLUSH_PAIRS, ROWS = 1_000_000, 100_000
+FLUSH_PAIRS, ROWS = 500_000, 50_000
 #: Tokens and pairs that are listed as common at most; pairs are looked for in one of so many documents.
 COMMON, LOOKED_AT = 10_000, 64
 #: Pairs and documents of a block, and entries of a token that go to one place, on average.
-BLOCK_PAIRS, MOST_DOCS, MOST_ENTRIES = 2_000_000, 65_536, 1_000_000
-#: Pairs that one task counts on average, and sums by document that it holds.
-PART_PAIRS, HELD_SUMS = 16_000_000, 2_000_000
+BLOCK_PAIRS, MOST_DOCS, MOST_ENTRIES = 800_000, 65_536, 250_000
+#: Pairs that one task counts on average, entries that it scores at a time, places permitting, and sums by
+#: document that it holds.
+PART_PAIRS, SCORED, HELD_SUMS = 16_000_000, 200_000, 500_000
 #: What an entry's number can tell; above it, the document is one of the target's.
 MOST_TIMES = 32_767
 ENTRY = np.dtype([("pair", "<i8"), ("doc", "<u2"), ("n", "<u2")])
@@ -435,16 +436,22 @@ def _met(entries: DataFrame, whole: Sums, kind: str, parts: int) -> DataFrame:
             at = batch.column("at").to_numpy()
             ended = int(np.searchsorted(at, at[-1]))  # the last place may go on
             left = batch.slice(ended)
-            if ended:
-                score(batch.slice(0, ended))
-                size += len(sums[-1][0])
-            if size > HELD_SUMS:
-                sums[:] = [merged()]
-                size = len(sums[0][0])
-                if size > HELD_SUMS // 2:
-                    yield from out()
-                    sums.clear()
-                    size = 0
+            upto = np.cumsum(pc.binary_length(batch.column("entries")).to_numpy() // ENTRY.itemsize)
+            begin = 0
+            while begin < ended:
+                past = int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + SCORED, side="right"))
+                past = int(np.searchsorted(at, at[max(past, begin)])) if past < ended else ended
+                if past <= begin:  # the place itself is that long
+                    past = int(np.searchsorted(at, at[begin], side="right"))
+                score(batch.slice(begin, past - begin))
+                size, begin = size + len(sums[-1][0]), past
+                if size > HELD_SUMS:
+                    sums[:] = [merged()]
+                    size = len(sums[0][0])
+                    if size > HELD_SUMS // 2:
+                        yield from out()
+                        sums.clear()
+                        size = 0
         if left is not None and left.num_rows:
             score(left)
         if sums:

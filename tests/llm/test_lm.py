@@ -46,7 +46,7 @@ def test_same_as_brute_force(spark, request, monkeypatch, which, size):
 @pytest.mark.parametrize("common", [0, 30])
 def test_blocks_places_and_flushes_change_nothing(spark, documents, odd, monkeypatch, common):
     """Small blocks, several places for a common token, pairs scored in the scan, sums handed on early."""
-    small = {"COMMON": common, "LOOKED_AT": 1, "BLOCK_PAIRS": 3000, "MOST_ENTRIES": 50, "PART_PAIRS": 4000, "HELD_SUMS": 300, "SCORED": 40, "MOST_TIMES": 1000}
+    small = {"COMMON": common, "LOOKED_AT": 1, "BLOCK_PAIRS": 3000, "MOST_ENTRIES": 50, "PART_PAIRS": 4000, "HELD_SUMS": 100, "ADDED": 200, "SCORED": 40, "MOST_TIMES": 1000}
     for name, value in small.items():
         monkeypatch.setattr(lm, name, value)
     for docs in (documents, odd):

@@ -31,10 +31,10 @@ FLUSH_PAIRS, ROWS = 500_000, 50_000
 #: Tokens and pairs that are listed as common at most; pairs are looked for in one of so many documents.
 COMMON, LOOKED_AT = 10_000, 64
 #: Pairs and documents of a block, and entries of a token that go to one place, on average.
-BLOCK_PAIRS, MOST_DOCS, MOST_ENTRIES = 800_000, 65_536, 250_000
-#: Pairs that one task counts on average, entries that it scores at a time, places permitting, and sums by
-#: document that it holds.
-PART_PAIRS, SCORED, HELD_SUMS = 16_000_000, 200_000, 500_000
+BLOCK_PAIRS, MOST_DOCS, MOST_ENTRIES = 1_200_000, 65_536, 250_000
+#: Pairs that one task counts on average, entries that it scores at a time, places permitting, and shares that
+#: it adds up at a time, and sums by document that it holds.
+PART_PAIRS, SCORED, ADDED, HELD_SUMS = 16_000_000, 200_000, 600_000, 1_000_000
 #: What an entry's number can tell; above it, the document is one of the target's.
 MOST_TIMES = 32_767
 ENTRY = np.dtype([("pair", "<i8"), ("doc", "<u2"), ("n", "<u2")])
@@ -445,13 +445,11 @@ def _met(entries: DataFrame, whole: Sums, kind: str, parts: int) -> DataFrame:
                     past = int(np.searchsorted(at, at[begin], side="right"))
                 score(batch.slice(begin, past - begin))
                 size, begin = size + len(sums[-1][0]), past
-                if size > HELD_SUMS:
-                    sums[:] = [merged()]
-                    size = len(sums[0][0])
-                    if size > HELD_SUMS // 2:
+                if size > ADDED:
+                    sums[:], size = [merged()], 0
+                    if len(sums[0][0]) > HELD_SUMS:
                         yield from out()
                         sums.clear()
-                        size = 0
         if left is not None and left.num_rows:
             score(left)
         if sums:

@@ -298,3 +298,140 @@ def test_the_layout_of_a_replay_keeps_null_orders_and_splits_instants(spark, sha
     drain(sinks.batches(stream, body, f"{run.folder}/ck"))
     assert len(batches) == 4 and sum(batches.values()) == 12_000
     date_in_order(spark, run.input)
+
+
+def running(query, out, schema, want, spark):
+    """Waits until a running query has written ``want`` rows."""
+    import os
+
+    got = []
+    for _ in range(120):
+        time.sleep(0.5)
+        if os.path.isdir(out) and len(got := spark.read.schema(schema).parquet(out).collect()) >= want:
+            break
+    assert query.exception() is None
+    return got
+
+
+def test_timers_hand_out_windows_of_a_silent_input(spark, folder):
+    units = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1), (None, 2), ("b", None)], "name string, n int")
+    units.coalesce(1).write.parquet(folder("in"))
+    with stream_settings(spark):
+        query = jobs.name_job(table_stream(spark, folder("in"), units.schema), Windows("1 second"), folder("ck"), sinks.to_files(folder("out")), timers=True).start()
+    try:
+        got = running(query, folder("out"), "window_start timestamp, window_end timestamp, name string, n bigint", 3, spark)
+        assert Counter((r.name, r.n) for r in got) == Counter([("a", 2), ("b", 1), (None, 2)])
+        assert all((r.window_end - r.window_start).total_seconds() == 1 for r in got)
+        plan = query._jsq.explainInternal(True)
+        assert "rate" not in plan.lower().split() and "RateStream" not in plan and "Union" not in plan
+    finally:
+        query.stop()
+
+
+def test_timers_halve_readings_by_the_clock(spark, folder):
+    rows = [(3, "s", 2.0), (1, "s", 8.0), (2, "s", 4.0)]
+    spark.createDataFrame(rows, "timestamp long, sensorId string, temperature double").coalesce(1).write.parquet(folder("in"))
+    stream = table_stream(spark, folder("in"), spark.read.parquet(folder("in")).schema)
+    with stream_settings(spark):
+        query = jobs.reading_job(stream, Windows("1 second"), True, folder("ck"), sinks.to_files(folder("out")), timers=True).start()
+    try:
+        (got,) = running(query, folder("out"), "sensorId string, first_ts bigint, temperature double, n bigint", 1, spark)
+        assert tuple(got) == ("s", 1, 4.0, 3)
+    finally:
+        query.stop()
+
+
+def test_a_slow_source_loses_nothing_and_a_silent_one_holds_nothing(spark, folder):
+    """The slow source lags by 100 s but is heard in each batch; the silent one is heard in the first only."""
+    from windrow.streaming.late import pair_split
+
+    schema = spark.createDataFrame([], ARRIVALS).schema
+    one = Decimal(1)
+    batches, i = [], 0
+    for b in range(6):
+        rows = []
+        for k in range(10):
+            for source, lag in ((0, 0), (1, 100), *(((2, 0),) if b == 0 else ())):
+                rows.append((i, at(1000 + b * 50 + 5 * k - lag), "k", one, source, i))
+                i += 1
+        batches.append(rows)
+    lay_out(spark, batches, schema, folder("in"))
+    order = {"source": "source_partition", "arrival": "arrival", "tiebreak": "row_id"}
+    out = {}
+    for name, idle in (("never", None), ("soon", "15 seconds")):
+        now = iter(range(0, 10_000, 5))  # each look at the clock is 5 s later: two a batch
+        body = pair_split(folder(f"open-{name}"), sinks.batch_folder(folder(f"totals-{name}")), sinks.batch_folder(folder(f"late-{name}")), "key", "price", PAIRS, "2 seconds", idle=idle, clock=lambda now=now: next(now), **order)
+        drain(sinks.batches(table_stream(spark, folder("in"), schema), body, folder(f"ck-{name}")))
+        still = open_totals(spark, folder(f"open-{name}"))
+        totals = spark.read.parquet(folder(f"totals-{name}")).select(still.columns)
+        assert spark.read.parquet(folder(f"late-{name}")).count() == 0
+        whole = spark.createDataFrame([r for rows in batches for r in rows], ARRIVALS)
+        want = pair_totals(whole.withColumn("window", PAIRS.of("ts")), "key", "price")
+        assert_same(summed(totals.unionByName(still), "key").toPandas(), want.toPandas())
+        out[name] = totals.agg(F.max("window_end")).first()[0]
+    # without the idle rule the silent source, last seen at 1045 s, holds all later windows
+    assert out["never"] <= at(1045)
+    # with it the slow one does, which has come to 1195 s
+    assert at(1150) <= out["soon"] <= at(1195)
+
+
+def test_refused_records_are_kept_aside_and_counted(spark, folder):
+    from windrow.operators.publish import publish_records, wire_fields
+    from windrow.schemas import TOPIC_RECORD, TRANSACTION
+    from windrow.sources import tables
+    from windrow.streaming.counts import RecordCounts, decoded
+
+    tx = tables.transactions(spark.read.parquet("/root/testdata/sf0.001/events.parquet"))
+    good = publish_records(tx, "transaction_id", wire_fields(TRANSACTION)).select(*[F.col(f.name).cast(f.dataType) for f in TOPIC_RECORD])
+    bad = spark.createDataFrame([("x", "{}"), ("y", "no record"), ("z", None)], "key string, text string").select(
+        "key", F.lit(0).alias("partition"), F.current_timestamp().alias("timestamp"), F.col("text").cast("binary").alias("value")
+    ).select(*[F.col(f.name).cast(f.dataType) for f in TOPIC_RECORD])
+    for i in range(3):
+        good.where(F.col("partition") == i).unionByName(bad).coalesce(1).write.mode("append").parquet(folder("in"))
+    counts = RecordCounts()
+    spark.streams.addListener(counts)
+    try:
+        drain(decoded(table_stream(spark, folder("in"), TOPIC_RECORD), TRANSACTION, sinks.batch_folder(folder("good")), sinks.batch_folder(folder("bad")), folder("ck"), ("key",)))
+        refused, rows = spark.read.parquet(folder("bad")), spark.read.parquet(folder("good"))
+        for _ in range(40):  # the listener hears of a batch a little later
+            if len(counts.by_batch) == 3:
+                break
+            time.sleep(0.25)
+    finally:
+        spark.streams.removeListener(counts)
+    assert rows.count() == tx.count() and Counter(r.key for r in refused.collect()) == Counter({"x": 3, "y": 3, "z": 3})
+    assert refused.drop("batch_id").columns == TOPIC_RECORD.fieldNames()
+    assert counts.total == Counter({"n": tx.count() + 9, "refused": 9})
+
+
+def test_offsets_start_restart_end_and_stop(spark, folder):
+    from windrow.sources.offsets import RecordReader, record_stream
+
+    def add(numbers, partition):
+        spark.createDataFrame([(n, "x") for n in numbers], "n long, more string").coalesce(1).write.mode("append").parquet(f"{folder('in')}/partition={partition}")
+        time.sleep(0.02)
+
+    schema = spark.createDataFrame([], "n long").schema
+
+    def read(checkpoint, **offsets):
+        drain(sinks.files(record_stream(spark, folder("in"), schema, **offsets), folder(checkpoint) + "-out", folder(checkpoint)))
+        return sorted(r.n for r in spark.read.schema(schema).parquet(folder(checkpoint) + "-out").collect())
+
+    add(range(5), 0)
+    add(range(100, 103), 1)
+    assert read("all") == [*range(5), 100, 101, 102]
+    assert read("all") == [*range(5), 100, 101, 102]  # nothing new
+    add(range(200, 202), 2)  # a new partition
+    assert read("all") == [*range(5), 100, 101, 102, 200, 201]
+    assert read("from", start={"0": 3, "1": 3}) == [3, 4, 200, 201]
+    assert read("upto", end={"0": 2, "1": 1}) == [0, 1, 100]
+    assert read("upto", end={"0": 4, "1": 1}) == [0, 1, 2, 3, 100]
+    reader = RecordReader(folder("in"), ["n"], {}, None)
+    assert reader.initialOffset() == {} and reader.latestOffset() == {"0": 5, "1": 3, "2": 2}
+    parts = reader.partitions({"0": 1, "1": 3}, {"0": 4, "1": 3, "2": 2})
+    assert [(p.first, p.past) for p in parts] == [(1, 4), (0, 2)]
+    assert [b.column(0).to_pylist() for p in parts for b in reader.read(p)] == [[1, 2, 3], [200, 201]]
+    reader.commit({"0": 4})
+    assert reader.done == {"0": 4}
+    reader.stop()
+    assert RecordReader(folder("nothing"), ["n"], {}, None).latestOffset() == {}

@@ -112,18 +112,18 @@ def reading_halving(spark: SparkSession, folder: str) -> DataFrame:
     return halving_reduce(_readings(spark, folder), DAYS)
 
 
-def _published(spark: SparkSession, folder: str) -> DataFrame:
+def published(spark: SparkSession, folder: str) -> DataFrame:
     return publish_records(_transactions(spark, folder), "transaction_id", wire_fields(TRANSACTION))
 
 
 def decoded_transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Events published as topic records and read back."""
-    return records.decode_transactions(_published(spark, folder))
+    return records.decode_transactions(published(spark, folder))
 
 
 def event_times(spark: SparkSession, folder: str) -> DataFrame:
     """Records whose event time is a field of theirs, per hour of that time."""
-    decoded = records.decode_transactions(_published(spark, folder))
+    decoded = records.decode_transactions(published(spark, folder))
     timed = decoded.select(_plain(from_epoch_millis("timestamp")).alias("ts"), "transaction_id")
     first, last = F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     return windowed_aggregates(timed, Windows("1 hour"), [], [first, last, F.count(F.lit(1)).alias("n")], "ts")
@@ -158,7 +158,7 @@ def product_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def published_records(spark: SparkSession, folder: str) -> DataFrame:
     """Published records with their value decoded (JSON text differs by float formatting)."""
-    topic = _published(spark, folder).withColumnRenamed("timestamp", "record_ts")
+    topic = published(spark, folder).withColumnRenamed("timestamp", "record_ts")
     decoded = records.decode_transactions(topic, keep=("key", "partition", "record_ts"))
     return decoded.withColumn("record_ts", _plain("record_ts"))
 

@@ -238,3 +238,4 @@ ORACLE["q_stream_late_pairs"] = f"""
 """
 ORACLE["q_stream_fanout_totals"] = ORACLE["q_fanout_totals"]
 ORACLE["q_stream_published_once"] = ORACLE["q_store_sliding"]
+ORACLE["q_stream_topic_offsets"] = ORACLE["q_decode_transactions"]

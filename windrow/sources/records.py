@@ -31,10 +31,20 @@ def decode_or_quarantine(
     df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: decoded rows, and the untouched input rows that do not decode."""
-    parsed = F.array(F.from_json(_text(), _wire(schema), {"mode": "PERMISSIVE", **_STRICT}))
-    complete = F.filter(parsed, lambda r: _complete(r, schema))
-    good = F.transform(complete, lambda r: _typed(r, schema))
-    return df.select(*keep, F.inline(good)), df.where(F.size(complete) == 0)
+    tried = parsed(df, schema)
+    return split_parsed(tried, keep)
+
+
+def parsed(df: DataFrame, schema: StructType) -> DataFrame:
+    """The input rows with ``_good``: an array of the decoded record, empty if it does not decode."""
+    record = F.array(F.from_json(_text(), _wire(schema), {"mode": "PERMISSIVE", **_STRICT}))
+    complete = F.filter(record, lambda r: _complete(r, schema))
+    return df.withColumn("_good", F.transform(complete, lambda r: _typed(r, schema)))
+
+
+def split_parsed(tried: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` of :func:`parsed` rows."""
+    return tried.select(*keep, F.inline("_good")), tried.where(F.size("_good") == 0).drop("_good")
 
 
 def decode_transactions(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from windrow.functions.text import line_word_counts
 from windrow.functions.times import from_epoch_millis
 from windrow.operators.publish import publish_records, wire_fields
 from windrow.operators.totals import fanned_stream
@@ -30,7 +31,9 @@ from windrow.session import shared_dir
 from windrow.sources.kafka import write_topic
 from windrow.sources.replay import by_clock, event_time
 from windrow.streaming import sinks
+from windrow.streaming.clock import clock_sums
 from windrow.streaming.late import late_split, pair_split
+from windrow.streaming.reduce import halved_stream
 
 
 #: How long a total may be delivered again and still be told from a new one.
@@ -147,18 +150,24 @@ def split_job(
 
 
 def word_job(
-    lines: DataFrame, windows: Windows = WORD_WINDOWS, checkpoints: str | None = None, sink: sinks.Sink = sinks.printed
+    lines: DataFrame, windows: Windows = WORD_WINDOWS, checkpoints: str | None = None, sink: sinks.Sink = sinks.printed, timers: bool = False
 ) -> DataStreamWriter:
-    """Text lines (``value``) to word counts per window of their ingest."""
+    """Text lines (``value``) to word counts per window of their ingest.  With ``timers``, here and below, windows
+    are handed out by timers in the state and not by a heartbeat beside the input."""
+    if timers:
+        counted = clock_sums(line_word_counts(lines.select(F.col("value").alias("line"))), windows, "word", "n", "n")
+        return sink(counted, checkpoint_of(lines, "words", checkpoints))
     stamped = by_clock(lines.select(F.col("value").alias("line")), NO_DELAY, "ts")
     counts = words.word_totals(stamped, windows)
     return sink(counts, checkpoint_of(lines, "words", checkpoints))
 
 
 def name_job(
-    units: DataFrame, windows: Windows = NAME_WINDOWS, checkpoints: str | None = None, sink: sinks.Sink = sinks.printed
+    units: DataFrame, windows: Windows = NAME_WINDOWS, checkpoints: str | None = None, sink: sinks.Sink = sinks.printed, timers: bool = False
 ) -> DataStreamWriter:
     """Named units (``name``, ``n``) summed per name and window of their ingest."""
+    if timers:
+        return sink(clock_sums(units, windows, "name", "n", "n"), checkpoint_of(units, "names", checkpoints))
     stamped = by_clock(units.select("name", "n"), NO_DELAY, "arrival_ts")
     return sink(names.name_sums(stamped, windows), checkpoint_of(units, "names", checkpoints))
 
@@ -169,9 +178,15 @@ def reading_job(
     clock: bool = True,
     checkpoints: str | None = None,
     sink: sinks.Sink = sinks.printed,
+    timers: bool = False,
 ) -> DataStreamWriter:
     """Readings (``timestamp`` in epoch milliseconds, ``sensorId``, ``temperature``) halved per
-    sensor and window.  Within one instant of arrival they go by ``timestamp``."""
+    sensor and window.  Within one instant of arrival they go by ``timestamp``.  With ``timers`` the state is
+    cut by rows as well."""
+    if timers:
+        timed = rows if clock else event_time(rows, from_epoch_millis("timestamp"), NO_DELAY)
+        halved = halved_stream(timed, windows, "sensorId", tiebreak="timestamp", stamp="timestamp", by_clock=clock)
+        return sink(halved, checkpoint_of(rows, "readings", checkpoints))
     stamped = by_clock(rows, NO_DELAY, "ts") if clock else event_time(rows, from_epoch_millis("timestamp"), NO_DELAY)
     reduced = readings.halved_readings(
         stamped, windows, key="sensorId", tiebreak="timestamp", stamp="timestamp"

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from windrow.functions.durations import micros
 from windrow.functions.money import shown, total
 from windrow.functions.times import shift
 from windrow.operators.lateness import flag_late, flag_late_pairs
@@ -60,6 +62,8 @@ def pair_split(
     delay: str = RETAIL_DELAY,
     source: str = "source_partition",
     ts: str = "ts",
+    idle: str | None = None,
+    clock: Callable[[], float] = time.time,
     **order,
 ) -> Body:
     """A ``foreachBatch`` body: each row counts for those of its windows that are open when it comes.
@@ -70,13 +74,16 @@ def pair_split(
     own with those its predecessor left and writes them anew under its own number, so a batch that
     is tried again changes nothing.  A source that comes late may still add to a window that is
     out: that total comes as a further row, and :func:`summed` adds up what belongs together.
+
+    A source that has shown nothing for as long as ``idle`` says, by ``clock`` in seconds, no longer holds
+    windows back.  It loses no row by that: lateness goes by what the source itself has shown.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()
         try:
-            before, shown_now = _seen_before(batch, batch_id, f"{folder}/seen", source, ts)
+            before, shown_now = _seen_before(batch, batch_id, f"{folder}/seen", source, ts, clock())
             pairs = flag_late_pairs(batch, windows, delay, ts, source=source, before=before, **order).persist()
             try:
                 late(with_bounds(pairs.where("late").drop("late")), batch_id)
@@ -84,8 +91,10 @@ def pair_split(
                 partial = _merged(fresh.select("window_start", "window_end", key, F.col(amount).alias("amount"), F.lit(1).cast("bigint").alias("n")), key)
                 if (before_id := _last(spark, folder, below=batch_id)) is not None:
                     partial = _merged(partial.unionByName(_open(spark, folder, before_id, partial)), key)
-                # one number: how far the slowest source has come
-                passed = shown_now.agg(shift(F.min(ts), delay, sign=-1)).first()[0]
+                # one number: how far the slowest source has come that is not idle; if all are, the fastest one
+                awake = F.lit(True) if idle is None else F.col("heard") > F.lit(clock() - micros(idle) / 1e6)
+                slowest, fastest = F.min(F.when(awake, F.col(ts))), F.max(ts)
+                passed = shown_now.agg(shift(F.coalesce(slowest, fastest), delay, sign=-1)).first()[0]
                 partial = partial.persist()
                 try:
                     closed = F.lit(False) if passed is None else F.col("window_end") <= F.lit(passed)
@@ -122,16 +131,19 @@ def _merged(totals: DataFrame, key: str) -> DataFrame:
     return sums.withColumn("amount", F.col("amount").cast(wide))
 
 
-def _seen_before(batch: DataFrame, batch_id: int, folder: str, source: str, ts: str) -> tuple[DataFrame | None, DataFrame]:
-    """What each source had shown before the batch, and what it has now, which is written in its turn."""
-    shown_now = batch.groupBy(source).agg(F.max(ts).alias(ts))
+def _seen_before(batch: DataFrame, batch_id: int, folder: str, source: str, ts: str, now: float = 0.0) -> tuple[DataFrame | None, DataFrame]:
+    """What each source had shown before the batch, and what it has now and when it was last heard, which is
+    written in its turn."""
+    latest = [F.max(ts).alias(ts), F.max("heard").alias("heard")]
+    shown_now = batch.withColumn("heard", F.lit(now)).groupBy(source).agg(*latest)
+    reader = batch.sparkSession.read.schema(shown_now.schema)
     before = None
     if batch_id > 0:
-        reader = batch.sparkSession.read.schema(shown_now.schema)
         before = reader.parquet(f"{folder}/turn={(batch_id - 1) % 2}")
-        shown_now = shown_now.unionByName(before).groupBy(source).agg(F.max(ts).alias(ts))
+        shown_now = shown_now.unionByName(before).groupBy(source).agg(*latest)
+        before = before.drop("heard")
     shown_now.write.mode("overwrite").parquet(f"{folder}/turn={batch_id % 2}")
-    return before, batch.sparkSession.read.schema(shown_now.schema).parquet(f"{folder}/turn={batch_id % 2}")
+    return before, reader.parquet(f"{folder}/turn={batch_id % 2}")
 
 
 def _place(folder: str, batch_id: int) -> str:

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, MapState, StatefulProcessor, StatefulProcessorHandle, TimerValues
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from windrow.functions.durations import micros
 from windrow.functions.times import epoch_micros, from_epoch_micros
@@ -63,6 +63,7 @@ class OrderedRuns(StatefulProcessor):
     state: str
     names: list[str]
     run_rows: int = RUN
+    by_clock: bool = False
     handle: StatefulProcessorHandle | None = field(default=None, repr=False)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -73,15 +74,17 @@ class OrderedRuns(StatefulProcessor):
         self.sums: MapState = handle.getMapState("sums", "start long", kept)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        passed = 1000 * timerValues.getCurrentWatermarkInMs()
+        now = 1000 * timerValues.getCurrentProcessingTimeInMs()
+        # by the clock nothing waits: all rows of a batch come at one time, and later ones later
+        passed = now + 1 if self.by_clock else 1000 * timerValues.getCurrentWatermarkInMs()
         fresh: dict[int, Rows] = {}
         for batch in rows:
-            at = batch["at"].to_numpy(np.int64)
+            at = np.full(len(batch), now) if self.by_clock else batch["at"].to_numpy(np.int64)
             starts = at - (at - self.offset) % self.size
             missing = [batch[f"no_{c}"].to_numpy(bool) for c in self.names]
             held = [[None if no else v for v, no in zip(batch[c].tolist(), none)] for c, none in zip(self.names, missing)]
             for start, row in zip(starts.tolist(), zip(at.tolist(), batch["tie"].tolist(), *held)):
-                if row[0] >= passed:
+                if self.by_clock or row[0] >= passed:
                     fresh.setdefault(start, []).append(row)
         for start, more in fresh.items():
             if self.sums.getValue((start,)) is None:
@@ -152,6 +155,7 @@ def reduced_stream(
     merge: Callable[[State, State], State],
     state: str,
     run_rows: int = RUN,
+    by_clock: bool = False,
 ) -> DataFrame:
     """``window_start, window_end, key`` and the columns of ``state`` per key and tumbling window of a stream.
 
@@ -161,6 +165,9 @@ def reduced_stream(
     belongs to no window, and rows without a key are one key.  A task holds the rows of a key that came
     in one batch or wait for the watermark; entries of the state hold ``run_rows`` at most.  Needs the state
     store that ``session.STREAM_SETTINGS`` names.
+
+    ``by_clock`` puts rows where the clock stands when they come, in the order of their tiebreak within a batch,
+    and hands windows out by it, also while the input is silent; ``ts`` and watermarks then play no part.
     """
     if windows.overlapping:
         raise ValueError("an ordered reduce is defined over tumbling windows")
@@ -170,13 +177,14 @@ def reduced_stream(
     columns = [c for n, v in values.items() for c in (F.coalesce(v, F.lit(0)).alias(n), v.isNull().alias(f"no_{n}"))]
     # keys go as text, for a null would not equal another one in Python
     name = F.to_json(F.struct(F.col(key).alias("key"))).alias("name")
-    rows = df.filter(F.col(ts).isNotNull()).select(name, epoch_micros(ts).alias("at"), F.col(tiebreak).cast("long").alias("tie"), *columns)
+    timed = df if by_clock else df.filter(F.col(ts).isNotNull())
+    rows = timed.select(name, (F.lit(0).cast("long") if by_clock else epoch_micros(ts)).alias("at"), F.col(tiebreak).cast("long").alias("tie"), *columns)
     typed = ", ".join(f"{n} {kind}" for n, kind in kinds)
-    runs = OrderedRuns(micros(windows.size), micros(windows.offset), run, merge, typed, state, [n for n, _ in kinds], run_rows)
+    runs = OrderedRuns(micros(windows.size), micros(windows.offset), run, merge, typed, state, [n for n, _ in kinds], run_rows, by_clock)
     out = f"name string, start long, {state}"
-    found = rows.groupBy("name").transformWithStateInPandas(runs, out, "Append", "EventTime")
+    found = rows.groupBy("name").transformWithStateInPandas(runs, out, "Append", "ProcessingTime" if by_clock else "EventTime")
     named = StructType([StructField("key", df.schema[key].dataType)])
-    time = df.schema[ts].dataType
+    time = TimestampType() if by_clock else df.schema[ts].dataType
     return found.select(
         from_epoch_micros(F.col("start"), time).alias("window_start"),
         from_epoch_micros(F.col("start") + F.lit(micros(windows.size)), time).alias("window_end"),
@@ -192,31 +200,37 @@ def halved_stream(
     value: str = "temperature",
     ts: str = "ts",
     tiebreak: str = "reading_id",
+    stamp: str | None = None,
     run_rows: int = RUN,
+    by_clock: bool = False,
 ) -> DataFrame:
     """The halving reduce of :mod:`windrow.operators.halving` with a state cut by rows: ``window_start, window_end,
-    key, first_ts, value, n``, equal to the batch form to the last bit."""
+    key, first_ts, value, n``, equal to the batch form to the last bit.  Of the first reading its time is kept
+    or, if given, its ``stamp``, a whole number."""
     found = reduced_stream(
         readings,
         windows,
         key,
         ts,
         tiebreak,
-        {"x": F.col(value).cast("double")},
+        {"x": F.col(value).cast("double"), **({} if stamp is None else {"stamp": F.col(stamp).cast("long")})},
         _halve,
         _merge_halves,
         "first_at bigint, first double, rows_n bigint, folded double",
         run_rows,
+        by_clock,
     )
-    first = from_epoch_micros(F.col("first_at"), readings.schema[ts].dataType).alias("first_ts")
-    return found.select("window_start", "window_end", key, first, F.col("folded").alias(value), F.col("rows_n").alias("n"))
+    first = F.col("first_at")
+    if stamp is None:
+        first = from_epoch_micros(first, TimestampType() if by_clock else readings.schema[ts].dataType)
+    return found.select("window_start", "window_end", key, first.alias("first_ts"), F.col("folded").alias(value), F.col("rows_n").alias("n"))
 
 
 def _halve(rows: Sequence[tuple]) -> State:
     folded = rows[0][2]
-    for _, _, x in rows[1:]:
-        folded = None if folded is None or x is None else (folded + x) / 2.0
-    return (rows[0][0], rows[0][2], len(rows), folded)
+    for row in rows[1:]:
+        folded = None if folded is None or row[2] is None else (folded + row[2]) / 2.0
+    return (rows[0][3] if len(rows[0]) > 3 else rows[0][0], rows[0][2], len(rows), folded)
 
 
 def _merge_halves(older: State, newer: State) -> State:

@@ -19,11 +19,12 @@ from windrow.functions.times import epoch_micros
 from windrow.operators.totals import fanned_stream
 from windrow.operators.windows import NO_DELAY, RETAIL_DELAY, WORD_WINDOWS
 from windrow.plans import names, readings, retail, words
-from windrow.plans.catalog import ARRIVAL_ORDER, DAYS, LATE_WINDOWS, MONTHS, NAMES, ROLLUP, SALES_WINDOWS, STAGGER
+from windrow.plans.catalog import ARRIVAL_ORDER, DAYS, LATE_WINDOWS, MONTHS, NAMES, ROLLUP, SALES_WINDOWS, STAGGER, published
 from windrow.schemas import BY_STORE, TOPIC_RECORD
 from windrow.session import date_in_order, pin_utc, remove_folder, shared_dir, stream_settings
 from windrow.sources import tables
-from windrow.sources.records import encode_by_store
+from windrow.sources.offsets import record_stream
+from windrow.sources.records import decode_transactions, encode_by_store
 from windrow.sources.replay import event_time, table_stream
 from windrow.streaming import jobs, sinks
 from windrow.streaming.late import open_totals, summed
@@ -143,6 +144,20 @@ def fanout_totals(spark: SparkSession, folder: str) -> DataFrame:
     return run.closed(outputs[0].unionByName(outputs[1]))
 
 
+def from_offsets(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as records of three topic partitions, read by their offsets: what there is, then twice, by the same
+    query started again, what has come since."""
+    run = _Run(spark)
+    records = published(spark, folder).select("key", "partition", "timestamp", F.col("value").cast("binary").alias("value"))
+    stream = decode_transactions(record_stream(spark, run.input, StructType([TOPIC_RECORD["value"]])))
+    writer = sinks.files(stream, f"{run.folder}/out", f"{run.folder}/checkpoint")
+    for turn in range(3):
+        part = records.where(F.pmod(F.xxhash64("key"), F.lit(3)) == turn)
+        part.write.mode("append").partitionBy("partition").parquet(run.input)
+        drain(writer)
+    return run.ended(f"{run.folder}/out", stream.schema)
+
+
 def published_once(spark: SparkSession, folder: str) -> DataFrame:
     """Store totals through the sink of two phases, as its readers see them."""
     run = _Run(spark)
@@ -181,6 +196,7 @@ REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q_stream_late_pairs": late_pairs,
     "q_stream_fanout_totals": fanout_totals,
     "q_stream_published_once": published_once,
+    "q_stream_topic_offsets": from_offsets,
     "q_stream_reading_halving_long": halved_long,
     "q_stream_tumbling_stagger": staggered_store_totals,
 }

@@ -423,11 +423,14 @@ def test_offsets_start_restart_end_and_stop(spark, folder):
     assert read("all") == [*range(5), 100, 101, 102]  # nothing new
     add(range(200, 202), 2)  # a new partition
     assert read("all") == [*range(5), 100, 101, 102, 200, 201]
-    assert read("from", start={"0": 3, "1": 3}) == [3, 4, 200, 201]
+    for n in range(300, 306):  # names of later files come before and after those of earlier ones
+        add([n], 3)
+        assert read("all")[10:] == list(range(300, n + 1))
+    assert read("from", start={"0": 3, "1": 3, "3": 5}) == [3, 4, 200, 201, 305]
     assert read("upto", end={"0": 2, "1": 1}) == [0, 1, 100]
     assert read("upto", end={"0": 4, "1": 1}) == [0, 1, 2, 3, 100]
     reader = RecordReader(folder("in"), ["n"], {}, None)
-    assert reader.initialOffset() == {} and reader.latestOffset() == {"0": 5, "1": 3, "2": 2}
+    assert reader.initialOffset() == {} and reader.latestOffset() == {"0": 5, "1": 3, "2": 2, "3": 6}
     parts = reader.partitions({"0": 1, "1": 3}, {"0": 4, "1": 3, "2": 2})
     assert [(p.first, p.past) for p in parts] == [(1, 4), (0, 2)]
     assert [b.column(0).to_pylist() for p in parts for b in reader.read(p)] == [[1, 2, 3], [200, 201]]

@@ -1,7 +1,8 @@
 """A stream source with offsets of its own: records in files of several partitions, as a topic has them.
 
-A folder holds ``partition=<n>`` folders of parquet files that are only ever added to.  The files of a partition, in
-the order of their names, are one sequence of records, and an offset is a record's place in it.  A query starts
+A folder holds ``partition=<n>`` folders of parquet files that are only ever added to, by one job at a time.  The
+files of a partition, by date and then by name, are one sequence of records, and an offset is a record's place in
+it: names alone would not do, since those of a later job may come first.  A query starts
 at the first record (or where it is told), goes on from the offsets of its checkpoint, and ends, if it is
 bounded, at stated offsets.
 """
@@ -53,7 +54,8 @@ class RecordReader(DataSourceStreamReader):
             name, _, number = folder.base_name.partition("=")
             if name != "partition":
                 continue
-            files = sorted(f.path for f in system.get_file_info(fs.FileSelector(folder.path)) if f.path.endswith(".parquet") and not f.base_name.startswith(("_", ".")))
+            held = (f for f in system.get_file_info(fs.FileSelector(folder.path)) if f.path.endswith(".parquet") and not f.base_name.startswith(("_", ".")))
+            files = [f.path for f in sorted(held, key=lambda f: (f.mtime_ns or 0, f.base_name))]
             for file in files:
                 if file not in self.sizes:
                     self.sizes[file] = pq.read_metadata(file, filesystem=system).num_rows

@@ -153,7 +153,7 @@ def from_offsets(spark: SparkSession, folder: str) -> DataFrame:
     writer = sinks.files(stream, f"{run.folder}/out", f"{run.folder}/checkpoint")
     for turn in range(3):
         part = records.where(F.pmod(F.xxhash64("key"), F.lit(3)) == turn)
-        part.write.mode("append").partitionBy("partition").parquet(run.input)
+        part.repartition("partition").write.mode("append").partitionBy("partition").parquet(run.input)
         drain(writer)
     return run.ended(f"{run.folder}/out", stream.schema)
 

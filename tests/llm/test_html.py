@@ -1,8 +1,10 @@
 import html as entities
 import re
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from windrow.llm import html
 
@@ -68,6 +70,67 @@ def test_only_what_is_aside_goes(page, text):
     assert html.main_text(page) == text
 
 
+LONG = "many words of the one text that this page is for " * 5
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<div class='layout with-sidebar'><p>{LONG}</p></div>", LONG.strip()),
+        (f"<div id='search-results'><p>{LONG}</p><div class=sidebar>links</div></div><p>imprint</p>", f"{LONG.strip()}\nimprint"),
+        (f"<p title=it's>a</p><p title=it's class=lead>{LONG}</p>", f"a\n{LONG.strip()}"),
+        (f"<p data-x='a>b' title = \"it's\">a</p><p \">b</p>", "a\nb"),
+        (f"<article><p>{LONG}</p><div class=alert>mind the gap</div><section class=related-work>others did</section><div class=related-posts>more</div></article>", f"{LONG.strip()}\nmind the gap\nothers did"),
+        (f"<article><p>{LONG}</p><section class=comments>{LONG * 40}</section></article>", LONG.strip()),
+        (f"<article>a box</article><p>{LONG}</p>", f"a box\n{LONG.strip()}"),
+        (f"<main><article>a box</article><p>{LONG}</p></main><p>b", f"a box\n{LONG.strip()}"),
+        (f"<div class=sidebar><p>only this</p></div>", "only this"),
+        (f"<div class=ads>{LONG * 3}</div><p>{LONG}</p>", LONG.strip()),
+    ],
+)
+def test_no_name_empties_a_page(page, text):
+    assert html.main_text(page) == text
+
+
+@pytest.mark.parametrize("part", ["<span>", "<p><span>x", "<b>x<div>", "<article>x", "<li>x<b>", "<div>x</b></i>", "<p>x</em>"])
+def test_deep_pages_take_time_in_step_with_their_length(part):
+    def seconds(n):
+        begin = time.perf_counter()
+        html.parse(part * n)
+        return time.perf_counter() - begin
+
+    seconds(1000)
+    n = 1_000_000 // len(part)
+    assert seconds(n) < 2 + 20 * seconds(n // 16) and seconds(n) < 15
+
+
+def test_templates_against_brute_force(spark):
+    """Every group's pages and subtrees counted in sets."""
+    rows = []
+    for i in range(60):
+        parts = [f"<p>own {i}</p>", f"<div><p>third {i % 3}</p></div>", "<section>for all</section>" if i % 5 else "", f"<ul><li>kind {i % 2}</ul>"]
+        rows.append((i, f"http://h{i % 2}.example.com/{'ab'[i % 4 // 2]}/{'cd'[i % 3 // 2]}/x", "".join(parts[i % 3 :] + parts[: i % 3])))
+    pages = spark.createDataFrame(rows * 2, "page_id long, url string, html string")
+    groups, cuts = {}, {}
+    for _, url, page in rows:
+        host = re.match("http://([^/]*)", url)[1]
+        digest, paths, found = html.subtrees(page, host)
+        cuts[digest] = min(cuts.get(digest, (url,)), (url,)) + (host, paths, found)
+    for url, host, paths, found in (c[:1] + c[-3:] for c in cuts.values()):
+        for g in html.sections(url, host):
+            groups.setdefault(g, []).append(set(found))
+        for path in paths:
+            groups.setdefault(path, []).append({s for s, above in found.items() if above == path})
+    want = set()
+    for held in groups.values():
+        for subtree in set().union(*held):
+            n = sum(subtree in h for h in held)
+            if n >= 5 and n >= 0.5 * len(held):
+                want.add(subtree)
+    got = {r.subtree for r in html.site_templates(pages, least_pages=5).collect()}
+    assert got == want and len(want) > 4
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<b>", "</b>", "<div class=x>", "</div>", "<script>", "</script>", "<!--", "-->", "<", ">", '"', "'", "&amp", "<li>", "<article>", "text ", "\n", "<a href='", "</", "<!x", "\x00"])).map("".join))
 def test_broken_markup_ends(page):
@@ -94,7 +157,10 @@ def test_site_templates_go(spark):
     assert texts[101] == "page 1" and texts[105].startswith("Call us any time")
     assert texts[210] == "the same page" and texts[300] == "" and texts[None] == "y"
     articles = pages.filter("page_id < 100").selectExpr("page_id", "url", "replace(html, '<body>', '<article>') as html")
-    assert {r.page_id: r.text for r in html.extracted(articles).collect()}[3] == f"story 3 about 21\n{quoted}"
+    # and within one as well: what all pages of a site have is no story's own, of whatever length
+    assert {r.page_id: r.text for r in html.extracted(articles).collect()}[3] == "story 3 about 21"
+    rare = articles.withColumn("html", F.when(F.col("page_id") % 4 > 0, F.replace("html", F.lit(quoted), F.lit(""))).otherwise(F.col("html")))
+    assert {r.page_id: r.text for r in html.extracted(rare).collect()}[4] == f"story 4 about 28\n{quoted}"
 
 
 NOTICE = "we keep our readers free of charge and so we ask all of you to write to us whenever you like"

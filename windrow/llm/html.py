@@ -20,8 +20,10 @@ LEAST_PAGES = 10
 LEAST_SHARE = 0.5
 #: Subtrees of templates that may be broadcast, at 8 bytes each; of more, each page's own are joined to it.
 BROADCAST_SUBTREES = 500_000
-#: A paragraph of an article that has more words is taken for a quoted passage, however often it recurs.
-MOST_PARAGRAPH_WORDS = 12
+#: What a class says is aside is not if so many times less text is left of the page without it.
+LEAST_LEFT = 10
+#: Articles are the main text if they have such a part of the page's, else what holds them is.
+LEAST_ARTICLE = 4
 
 # Fixed values of HTML: elements without content, with raw text, and those that begin a block.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -51,10 +53,14 @@ ASIDE_WORDS = frozenset(
 #: Elements of the article itself; of the words above only these few say that one is something else.
 MAIN_TAGS = frozenset({"article", "main"})
 NOT_MAIN_WORDS = frozenset("comment reply ad advert advertisement sponsored promo teaser".split())
-
-_MARKUP = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))*+)>?)""", re.S)
-#: One attribute after the other, each with its whole value: nothing is looked for within values.
-_ATTRIBUTE = re.compile(r"""([^\s/>="']+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)""")
+#: Within an article these words say nothing by themselves, and the first ones only beside one of the second.
+OPEN_WORDS = frozenset("alert related recommended recommendations search discussion widget social menu overlay header footer hidden banner".split())
+LISTED = (frozenset("related recommended recommendations".split()), frozenset("posts post articles stories links news reading items products topics".split()))
+
+_MARKUP = re.compile(r"""<(?:!--.*?(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))?+)*+)>?)""", re.S)
+#: One attribute after the other, each with its whole value: nothing is looked for within values, and a quote
+#: is one only where a value begins.
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]+)))?""")
 _FOLDERS = re.compile(r"[^/?#]*//[^/?#]*/([^?#]*/)")
 _NAME_WORD = re.compile(r"[A-Za-z][a-z]*")
 
@@ -64,6 +70,8 @@ class Element:
     tag: str
     name: str = ""
     aside: bool = False
+    #: Whether only its class, id or role says that it is aside.
+    by_name: bool = False
     children: list[Element | str] = field(default_factory=list)
     #: Digest of the tags and names from the root to this element, and that of its parent.
     path: int = 0
@@ -74,7 +82,7 @@ class Element:
     n_words: int = 0
 
 
-def _opened(tag: str, attributes: str, inside_main: bool, stack: list[Element]) -> Element:
+def _opened(tag: str, attributes: str, inside_main: bool, inside_article: bool, parent: Element) -> Element:
     words, names, hidden = set(), [], False
     if attributes and not attributes.isspace():
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
@@ -85,20 +93,65 @@ def _opened(tag: str, attributes: str, inside_main: bool, stack: list[Element])
                 names.append(value)
                 words.update(w.lower() for w in _NAME_WORD.findall(value))
     aside = hidden or tag in ASIDE_TAGS and not (tag == "header" and inside_main)
-    aside = aside or not (NOT_MAIN_WORDS if tag in MAIN_TAGS else ASIDE_WORDS).isdisjoint(words)
-    name, parent = " ".join(names), stack[-1]
+    if tag in MAIN_TAGS:
+        said = not NOT_MAIN_WORDS.isdisjoint(words)
+    elif inside_main:
+        said = not (ASIDE_WORDS - OPEN_WORDS).isdisjoint(words) or all(not of.isdisjoint(words) for of in LISTED)
+    else:
+        said = not ASIDE_WORDS.isdisjoint(words)
+    name = " ".join(names)
     path = xxhash.xxh3_64_intdigest(f"{tag} {name}".encode("utf-8", "surrogatepass"), parent.path)
-    paragraph = parent.paragraph or tag == "p" and any(e.tag == "article" for e in stack)
-    return Element(tag, name, aside, path=path, above=parent.path, paragraph=paragraph)
+    paragraph = parent.paragraph or tag == "p" and inside_article
+    return Element(tag, name, aside or said, said and not aside, path=path, above=parent.path, paragraph=paragraph)
+
+
+class _Open:
+    """The open elements, with the places of each tag and kind: nothing is searched for, however deep."""
+
+    def __init__(self, root: Element):
+        self.stack, self.places, self.kinds = [root], {}, {"block": [], "scope": [], "main": []}
+        #: Elements up to here are known not to be aside, since they hold an article.
+        self.cleared = 0
+
+    def _of(self, tag: str) -> list[list[int]]:
+        kinds = (("block", BLOCK), ("scope", SCOPES), ("main", MAIN_TAGS))
+        return [self.places.setdefault(tag, []), *(self.kinds[k] for k, tags in kinds if tag in tags)]
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost open element of these tags; 0, the root's, if there is none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def last_kind(self, kind: str) -> int:
+        return self.kinds[kind][-1] if self.kinds[kind] else 0
+
+    def push(self, element: Element) -> None:
+        for places in self._of(element.tag):
+            places.append(len(self.stack))
+        self.stack.append(element)
+
+    def close(self, place: int) -> None:
+        """Closes all elements from a place on."""
+        while len(self.stack) > place:
+            for places in self._of(self.stack.pop().tag):
+                places.pop()
+        self.cleared = min(self.cleared, place)
+
+    def clear(self) -> None:
+        """What holds an article is not aside, whatever it is called."""
+        for e in self.stack[self.cleared :]:
+            e.aside = e.aside and e.tag in MAIN_TAGS
+        self.cleared = len(self.stack)
 
 
 def parse(html: str, host: str = "") -> Element:
     """The element tree; unclosed, crossed and cut-off markup is closed where it must end.
 
-    Paths begin at the host: subtrees of different hosts have different ones.
+    Paths begin at the host: subtrees of different hosts have different ones.  Time grows in step with the
+    page, however deep its elements are.
     """
     root = Element("html", path=xxhash.xxh3_64_intdigest(host.encode("utf-8", "surrogatepass")))
-    stack, main, at, end = [root], 0, 0, len(html)
+    held, at, end = _Open(root), 0, len(html)
+    stack = held.stack
     while at < end:
         found = _MARKUP.search(html, at)
         if not found:
@@ -111,41 +164,64 @@ def parse(html: str, host: str = "") -> Element:
             continue
         tag = found[2].lower()
         if found[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            place = held.last(tag)
             # an inline end tag does not reach over the block that it stands in
-            if depth and (tag in BLOCK or not any(e.tag in BLOCK for e in stack[depth + 1 :])):
-                main -= sum(e.tag in MAIN_TAGS for e in stack[depth:])
-                del stack[depth:]
+            if place and (tag in BLOCK or held.last_kind("block") <= place):
+                held.close(place)
             continue
         if tag in ("html", "body"):
             continue
-        if tag in BLOCK:  # a new block ends an open paragraph, and the inline elements within it
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                if i < len(stack) and stack[i].tag in SCOPES:
-                    break
-        if tag in IMPLIED:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in IMPLIED[tag]:
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPES:
-                    break
-        element = _opened(tag, found[3], main > 0, stack)
+        if tag in BLOCK and held.last("p") > held.last_kind("scope"):
+            held.close(held.last("p"))  # a new block ends an open paragraph, and the inline elements within it
+        if tag in IMPLIED and (place := held.last(*IMPLIED[tag])) > held.last_kind("scope"):
+            held.close(place)
+        element = _opened(tag, found[3], bool(held.kinds["main"]), bool(held.places.get("article")), stack[-1])
         stack[-1].children.append(element)
-        if tag in MAIN_TAGS and not element.aside:  # what holds an article is not aside, whatever it is called
-            for e in stack:
-                e.aside = e.aside and e.tag in MAIN_TAGS
+        if tag in MAIN_TAGS and not element.aside:
+            held.clear()
         if tag in RAW:
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             at = close.end() if close else end
         elif tag not in VOID and not found[3].endswith("/"):
-            stack.append(element)
-            main += tag in MAIN_TAGS
+            held.push(element)
+    _settle(root)
     return root
 
 
+def _settle(root: Element) -> None:
+    """Takes back what names say of an element without which hardly any text of the page is left.
+
+    An element that only its name calls aside is not, if it has ``LEAST_LEFT`` times the words of all that is
+    left, the longest one first; within an article only if nothing else is left at all.
+    """
+    while True:
+        left, doubtful = 0, []
+        todo = [(root, False, None)]
+        words: dict[int, int] = {}
+        while todo:
+            one, inside, by = todo.pop()
+            inside = inside or one.tag in MAIN_TAGS
+            for child in one.children:
+                if isinstance(child, str):
+                    n = len(child.split())
+                    if by is None:
+                        left += n
+                    else:
+                        words[id(by)] = words.get(id(by), 0) + n
+                elif by is not None:
+                    if not child.aside:
+                        todo.append((child, inside, by))
+                elif not child.aside:
+                    todo.append((child, inside, None))
+                elif child.by_name and child.tag not in MAIN_TAGS:
+                    doubtful.append((child, inside))
+                    todo.append((child, inside, child))
+        found = [(words.get(id(e), 0), e) for e, inside in doubtful if words.get(id(e), 0) and (not left or not inside and words[id(e)] >= LEAST_LEFT * left)]
+        if not found:
+            return
+        max(found, key=lambda x: x[0])[1].aside = False
+
+
 def _digested(element: Element) -> None:
     """Digest of tag, names and content of each subtree, from the leaves up, without recursion."""
     todo = [(element, False)]
@@ -185,7 +261,7 @@ def _identity(e: Element) -> int:
 
 
 def _may_go(e: Element) -> bool:
-    return e.tag not in MAIN_TAGS and not (e.paragraph and e.n_words > MOST_PARAGRAPH_WORDS)
+    return e.tag not in MAIN_TAGS
 
 
 def sections(url: str, host: str = "") -> list[int]:
@@ -200,18 +276,22 @@ def sections(url: str, host: str = "") -> list[int]:
     return found
 
 
-def subtrees(html: str, host: str = "") -> tuple[int, list[int], dict[int, int]]:
+def subtrees(html: str, host: str = "") -> tuple[int, list[int], dict[int, int | None]]:
     """A page's own digest, its elements' paths, and the identities of the subtrees that may be
-    template, with the path that holds each, all as signed longs."""
+    template, with the path that holds each, all as signed longs.
+
+    In a paragraph of an article a path tells nothing (None): what several stories quote may have one of its own.
+    """
     root = parse(html, host)
     _digested(root)
     elements = [e for e, _ in _walk(root)]
-    found = {_identity(e): _signed(e.above) for e in elements if e is not root and e.n_words and _may_go(e)}
+    found = {_identity(e): None if e.paragraph else _signed(e.above) for e in elements if e is not root and e.n_words and _may_go(e)}
     return _signed(root.digest ^ root.path), sorted({_signed(e.path) for e in elements}), found
 
 
 def main_text(html: str, template: frozenset[int] = frozenset(), host: str = "") -> str:
-    """Blocks of the article, joined by line ends; of the whole body where no element says what is main."""
+    """Blocks of the article, joined by line ends; of the whole body where no element says what is main, or where what
+    does is a small part of it."""
     root = parse(html, host)
     if template:
         _digested(root)
@@ -219,9 +299,21 @@ def main_text(html: str, template: frozenset[int] = frozenset(), host: str = "")
     def gone(e: Element) -> bool:
         return e.aside or bool(template) and _may_go(e) and _identity(e) in template
 
-    tops = []
+    def size(of: list[Element]) -> int:
+        n, todo = 0, list(of)
+        while todo:
+            for child in todo.pop().children:
+                if isinstance(child, str):
+                    n += len(child.split())
+                elif not gone(child):
+                    todo.append(child)
+        return n
+
+    tops: list[Element] = []
     for tag in ("article", "main"):
         tops = tops or [e for e, inside in _walk(root) if e.tag == tag and not (inside and tag == "article")]
+        if tops and LEAST_ARTICLE * size(tops) < size([root]):
+            tops = []
     blocks, block = [], []
 
     def ended() -> None:
@@ -280,8 +372,8 @@ def site_templates(pages: DataFrame, url: str = "url", html: str = "html", least
     """subtree: the identities of all sites' recurring subtrees, each of one host.
 
     A subtree is counted among all pages of its host, among those of each folder that its page is in,
-    and among those that have the path at which it stands: so what a section or a kind of page has in
-    common is found however many other pages the host has.  Copies of one page count once.
+    and, but for paragraphs of articles, among those that have the path at which it stands: so what a section or a
+    kind of page has in common is found however many other pages the host has.  Copies of one page count once.
     """
     lists = ("sections", "paths", "subtrees", "above")
     distinct = _cut(pages, url, html).groupBy("page").agg(F.min_by(F.struct(*lists), "url").alias("cut")).select("cut.*")
@@ -291,7 +383,7 @@ def site_templates(pages: DataFrame, url: str = "url", html: str = "html", least
         return F.struct(group.alias("group"), subtree.alias("subtree"))
 
     by_section = F.flatten(F.transform("sections", lambda g: F.transform(F.array_append("subtrees", nothing), lambda s: pair(g, s))))
-    by_path = F.zip_with("above", "subtrees", pair)
+    by_path = F.filter(F.zip_with("above", "subtrees", pair), lambda p: p["group"].isNotNull())
     of_paths = F.transform("paths", lambda g: pair(g, nothing))
     found = distinct.select(F.inline(F.concat(by_section, by_path, of_paths)))
     counts = checkpointed(found.groupBy("group", "subtree").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least_pages))

@@ -1,4 +1,6 @@
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -64,5 +66,62 @@ def test_the_index_finds_what_a_scan_of_all_places_finds(documents):
         assert index.matches(words) == want
 
 
+GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        (GRANT.replace("any person", "any person or organization"), {"mit"}),
+        (GRANT.replace("this software", "software").replace("any person", "each and every person"), {"mit"}),
+        (GRANT.replace("hereby granted", "granted"), set()),
+        ("Distributed under the Apache 2.0 license.", {"apache-2"}),
+        ("// SPDX-License-Identifier: GPL-3.0-or-later", {"gpl-3"}),
+        ("# SPDX-License-Identifier: BSD-3-Clause", {"bsd"}),
+        ("Redistribution and use in source and binary forms, with or without modification, are", {"bsd"}),
+        (f"/* {' * '.join(licenses.MIT_TEXT.replace('AUTHORS', 'PROJECT AUTHORS').splitlines(True))} */", {"mit"}),
+        (f"x {licenses.MIT_TEXT} y Licensed under the Apache License, Version 2.0 z", {"mit", "apache-2"}),
+        ("the mit license " * 500, set()),
+    ],
+)
+def test_words_put_in_and_left_out(text, labels):
+    templates = licenses._templates()
+    found = licenses.Index(templates, {}).matches(licenses.words_of(text))
+    assert {templates[t].label for t, _, _ in found} == labels
+
+
+def test_candidates_come_from_the_rare_words_and_miss_nothing():
+    """Whatever the IDF, every template that a look at all beginnings verifies is among the candidates; without
+    the rare words there are none, and words that do not agree on a place give none."""
+    templates = licenses._templates()
+    rng = random.Random(4)
+    vocabulary = sorted({w for t in templates for w in t.words})
+    for _ in range(60):
+        one = rng.choice(templates)
+        words = list(one.words)
+        for _ in range(rng.randrange(3)):
+            words.insert(rng.randrange(len(words) + 1), rng.choice(vocabulary))
+        for _ in range(rng.randrange(3)):
+            words.pop(rng.randrange(len(words)))
+        words = [b"x"] * rng.randrange(5) + words + rng.choices(vocabulary, k=10)
+        index = licenses.Index(templates, {w: rng.random() for w in vocabulary})
+        every = {t for t, x in enumerate(templates) for s in range(-5, len(words)) if index._verified(x, words, s) is not None}
+        assert {t for t, _, _ in index.matches(words)} == every
+    index = licenses.Index(templates, {})
+    words = licenses.words_of(GRANT)
+    rare = set(index.postings)
+    assert index.candidates(words) and not index.candidates([w if w not in rare else b"x" for w in words])
+    mit = next(t for t, x in enumerate(templates) if x.words == tuple(words))
+    apart = [w for word in words for w in (word, *[b"x"] * 30)]
+    assert mit in index.candidates(words) and mit not in index.candidates(apart)
+
+
+def test_repeated_rows_and_clashing_names(files, odd):
+    twice = files.unionByName(files).selectExpr("*", "'x' AS key", "1 AS matches", "2 AS base", "3 AS n_words")
+    want = Counter(map(tuple, licenses.labelled(files).collect()))
+    assert Counter(map(tuple, licenses.labelled(twice).collect())) == want + want
+    assert licenses.labelled(odd).count() == odd.count()
+
+
 def test_empty_table(none):
     assert licenses.labelled(none).count() == 0

@@ -65,8 +65,11 @@ def local_session(cores: int | str = "*", name: str = "windrow", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir`` or, where that is unset, the warehouse."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", "")).rstrip("/")
+    """The folder all executors see: ``spark.checkpoint.dir`` or, in a local session that names none, the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("a cluster's session must name a folder that all executors share in spark.checkpoint.dir")
+    return (named or spark.conf.get("spark.sql.warehouse.dir", "")).rstrip("/")
 
 
 def remove_folder(spark: SparkSession, folder: str) -> None:

@@ -31,15 +31,21 @@ def decode_or_quarantine(
     df: DataFrame, schema: StructType, keep: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: decoded rows, and the untouched input rows that do not decode."""
-    tried = parsed(df, schema)
-    return split_parsed(tried, keep)
+    complete, good = _tried(schema)
+    return df.select(*keep, F.inline(good)), df.where(F.size(complete) == 0)
 
 
-def parsed(df: DataFrame, schema: StructType) -> DataFrame:
-    """The input rows with ``_good``: an array of the decoded record, empty if it does not decode."""
+def _tried(schema: StructType) -> tuple[Column, Column]:
+    """Arrays of the record if it is complete, else empty: as it was read, and in the types of the layout."""
     record = F.array(F.from_json(_text(), _wire(schema), {"mode": "PERMISSIVE", **_STRICT}))
     complete = F.filter(record, lambda r: _complete(r, schema))
-    return df.withColumn("_good", F.transform(complete, lambda r: _typed(r, schema)))
+    return complete, F.transform(complete, lambda r: _typed(r, schema))
+
+
+def parsed(df: DataFrame, schema: StructType) -> DataFrame:
+    """The input rows with ``_good``: an array of the decoded record, empty if it does not decode.  To be kept, so that
+    both halves of :func:`split_parsed` read it."""
+    return df.withColumn("_good", _tried(schema)[1])
 
 
 def split_parsed(tried: DataFrame, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:

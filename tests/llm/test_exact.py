@@ -10,22 +10,50 @@ from windrow.llm import exact, quotient
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 40), max_size=30), max_size=5), st.sampled_from([0, 1, 6]))
 def test_filters_merge_losslessly(parts, block_bits):
-    shape = quotient.Shape(block_bits, 7)
     want, filters = Counter(), defaultdict(list)
     for part in parts:
         want.update(part)
-        fingerprints, counts = np.unique(np.array(part, np.uint64), return_counts=True)
-        blocks = shape.blocks(fingerprints)
-        for block in set(blocks.tolist()):
-            filters[block].append(quotient.build(shape, fingerprints[blocks == block], counts[blocks == block]))
+        for block, kept in quotient.split(block_bits, *np.unique(np.array(part, np.uint64), return_counts=True)):
+            filters[block].append(kept)
     got = Counter()
     for block, some in filters.items():
-        fingerprints, counts = quotient.read(shape, block, quotient.merge(shape, block, some))
-        assert list(fingerprints) == sorted(fingerprints)
+        fingerprints, counts = quotient.merge(block_bits, block, some)
+        assert list(fingerprints) == sorted(set(fingerprints.tolist()))
+        again = quotient.read(block_bits, block, quotient.build(block_bits, fingerprints, counts))
+        assert again[0].tolist() == fingerprints.tolist() and again[1].tolist() == counts.tolist()
         got.update(dict(zip(fingerprints.tolist(), counts.tolist(), strict=True)))
     assert got == want
 
 
+@pytest.mark.parametrize("rows", [10**5, 10**6, 10**8, 10**10, 2 * 10**10])
+def test_filters_stay_small_at_any_size(rows):
+    sources = max(32, rows // 25_000)
+    levels = quotient.tree(rows, sources, exact.BLOCK_ROWS, exact.FAN, exact.LEAST_BITS)
+    assert len(levels) == (1 if sources <= exact.FAN else 2)
+    rng, held, of = np.random.default_rng(1), rows / sources, sources
+    for k, level in enumerate(levels):
+        meeting = min(exact.FAN, of)
+        assert meeting <= level.fan and held * meeting / 2**level.bits <= exact.BLOCK_ROWS  # what one merge holds
+        sample = np.unique(rng.integers(0, 2**64, max(1, round(held * min(1, 200_000 / held))), np.uint64))
+        # as many blocks as leave each of the sample's filters what it would hold of all
+        bits = max(0, level.bits - round(np.log2(max(1, held / len(sample)))))
+        some = [f for _, f in quotient.split(bits, sample, np.ones(len(sample), np.int64))]
+        if k or rows > 10**6:
+            assert len(some) * 20 <= len(sample)  # so that what a row of a filter costs beside its bytes is spread
+        assert sum(len(f.occupied) + len(f.run_ends) + len(f.remainders) + len(f.counts) for f in some) <= 11 * len(sample)
+        held, of = held * meeting, -(-of // level.fan)
+    assert of == 1
+
+
+@pytest.mark.parametrize("fan", [2, 3])
+def test_filters_merged_in_a_tree(spark, fan):
+    docs = spark.range(0, 4000, 1, 11).selectExpr("id as doc_id", "concat('text ', if(id % 3 = 0, 7, id % 1500)) as text")
+    digest = exact.digests(docs).persist()
+    want = {r.fingerprint: r["count"] for r in digest.groupBy("fingerprint").count().filter("count > 1").collect()}
+    assert {r.fingerprint: r.times for r in exact.repeated_fingerprints(digest, 4000, fan).collect()} == want
+    assert len(quotient.tree(4000, 11, exact.BLOCK_ROWS, fan, 6)) == {2: 4, 3: 3}[fan]
+
+
 def brute(rows):
     groups = defaultdict(list)
     for r in rows:

@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +17,10 @@ from windrow.llm.shared import as_bytes, ascii_lower, checkpointed, mapped, size
 FLUSH = 1_000_000
 #: Fingerprints that one merged block is meant to hold.
 BLOCK_ROWS = 200_000
-#: Quotient bits of a block: about one quotient for eight fingerprints of a full block.
-QUOTIENT_BITS = 15
+#: Tasks whose filters meet in one step of the tree of merges.
+FAN = 4096
+#: Block bits of the last step, at least: that many tasks merge.
+LEAST_BITS = 6
 
 
 def _normal(batch: pa.RecordBatch, text: str, bits: int) -> Iterator[tuple[bytes, int]]:
@@ -52,46 +53,56 @@ def digests(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int
     return mapped(narrow, work, f"row long, key {kind}, tag long, fingerprint long, sha256 string")
 
 
-def repeated_fingerprints(digest: DataFrame, rows: int) -> DataFrame:
+def repeated_fingerprints(digest: DataFrame, rows: int, fan: int = FAN) -> DataFrame:
     """Fingerprints that came more than once, with their counts, by merged counting quotient filters.
 
-    Each task emits the filter of what it has read, one row per block of fingerprints; the filters
-    of a block meet in one task, whose size is set by the number of blocks, not by how often a
-    fingerprint comes: a text that a third of all rows share is one slot in each filter.
+    Each task emits the filters of what it has read, one row per block of fingerprints.  Those of ``fan``
+    tasks meet by block and are handed on, cut into finer blocks, until all tasks' have met: one
+    step up to ``fan`` tasks, two up to its square.  What meets in a task is set by the number of
+    blocks, not by how often a fingerprint comes: a text that a third of all rows share is one slot in
+    each filter.
     """
-    shape = quotient.Shape(max(6, math.ceil(math.log2(max(1, rows / BLOCK_ROWS)))), QUOTIENT_BITS)
-    stored = "block int, occupied binary, run_ends binary, remainders binary, counts binary"
-
-    def emitted(fingerprints: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        blocks = shape.blocks(fingerprints)
-        starts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
-        found = []
-        for start, end in zip(starts, np.append(starts[1:], len(blocks)), strict=True):
-            kept = quotient.build(shape, fingerprints[start:end], counts[start:end])
-            found.append({"block": int(blocks[start])} | vars(kept))
-        return pa.RecordBatch.from_pylist(found, _arrow(stored))
+    levels = quotient.tree(rows, digest.rdd.getNumPartitions(), BLOCK_ROWS, fan, LEAST_BITS)
+    stored = "block int, share int, quotient_bits int, occupied binary, run_ends binary, remainders binary, counts binary"
+
+    def emitted(share: int, bits: int, fingerprints: np.ndarray, counts: np.ndarray) -> pa.Table:
+        found = [{"block": block, "share": share} | vars(kept) for block, kept in quotient.split(bits, fingerprints, counts)]
+        return pa.Table.from_pylist(found, _arrow(stored))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[np.ndarray] = []
+
+        def flushed() -> list[pa.RecordBatch]:
+            unique = np.unique(np.concatenate(parts), return_counts=True)
+            return emitted(share // levels[0].fan, levels[0].bits, *unique).to_batches()
+
         for batch in batches:
+            share = batch.column("task")[0].as_py()
             signed = batch.column("fingerprint").to_numpy(zero_copy_only=False)
             parts.append(signed.view(np.uint64) ^ np.uint64(1 << 63))
             if sum(map(len, parts)) >= FLUSH:
-                yield emitted(*np.unique(np.concatenate(parts), return_counts=True))
+                yield from flushed()
                 parts = []
         if parts:
-            yield emitted(*np.unique(np.concatenate(parts), return_counts=True))
-
-    def merge(group: pa.Table) -> pa.Table:
-        filters = [quotient.Filter(r["occupied"], r["run_ends"], r["remainders"], r["counts"]) for r in group.to_pylist()]
-        block = group.column("block")[0].as_py()
-        fingerprints, counts = quotient.read(shape, block, quotient.merge(shape, block, filters))
-        several = counts > 1
-        signed = (fingerprints[several] ^ np.uint64(1 << 63)).view(np.int64)
-        return pa.table({"fingerprint": signed, "times": counts[several].astype(np.int64)})
-
-    filters = mapped(digest.select("fingerprint"), build, stored)
-    return filters.groupBy("block").applyInArrow(merge, "fingerprint long, times long")
+            yield from flushed()
+
+    def merged(group: pa.Table, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        names = ["quotient_bits", "occupied", "run_ends", "remainders", "counts"]
+        return quotient.merge(bits, group.column("block")[0].as_py(), [quotient.Filter(**r) for r in group.select(names).to_pylist()])
+
+    def handed_on(bits: int, level: quotient.Level) -> Callable[[pa.Table], pa.Table]:
+        return lambda group: emitted(group.column("share")[0].as_py() // level.fan, level.bits, *merged(group, bits))
+
+    def several(group: pa.Table) -> pa.Table:
+        fingerprints, counts = merged(group, levels[-1].bits)
+        often = counts > 1
+        signed = (fingerprints[often] ^ np.uint64(1 << 63)).view(np.int64)
+        return pa.table({"fingerprint": signed, "times": counts[often].astype(np.int64)})
+
+    filters = mapped(digest.select("fingerprint", F.spark_partition_id().alias("task")), build, stored)
+    for before, level in zip(levels, levels[1:], strict=False):
+        filters = filters.groupBy("block", "share").applyInArrow(handed_on(before.bits, level), stored)
+    return filters.groupBy("block").applyInArrow(several, "fingerprint long, times long")
 
 
 def _arrow(columns: str) -> pa.Schema:

@@ -1,3 +1,4 @@
+import json
 import zlib
 from collections import defaultdict
 
@@ -8,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from windrow.llm import packing
-from windrow.llm.tokens import WordTokens
+from windrow.llm.tokens import PlainTokens, WordTokens, of_word_kind, tokens_of
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PLAIN, WORDS = Tokenizer.from_file(PATH), WordTokens(PATH)
@@ -24,6 +25,24 @@ def test_ids_are_the_tokenizers(text):
     assert np.frombuffer(WORDS.encode(text.encode("utf-8", "ignore")), "<u4").tolist() == brute(text.encode("utf-8", "ignore").decode())[:-1]
 
 
+def test_other_tokenizers(odd, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert not of_word_kind(path) and isinstance(tokens_of(path), PlainTokens) and isinstance(tokens_of(PATH), WordTokens)
+    with pytest.raises(ValueError, match="word kind"):
+        WordTokens(path)
+    plain = Tokenizer.from_file(path)
+    want = sorted((r.doc_id or -1, [*plain.encode(r.text or "", add_special_tokens=False).ids, 0]) for r in odd.collect())
+    got = defaultdict(list)
+    pieces = packing.token_pieces(odd.filter("doc_id is null or doc_id not in (3, 9)"), path).collect()
+    for r in sorted(pieces, key=lambda r: (r.doc_id or -1, r.start)):
+        got[r.doc_id or -1].extend(np.array(r.ids, "<u4").tolist())
+    assert {k: v for k, v in got.items() if k > 0} == {k: v for k, v in want if k not in (-1, 3, 9)}
+    # a file that asks for texts to be cut short is read without that
+    short = json.loads(open(PATH).read()) | {"truncation": {"max_length": 2, "stride": 0, "strategy": "LongestFirst", "direction": "Right"}}
+    (tmp_path / "short.json").write_text(json.dumps(short))
+    assert tokens_of(str(tmp_path / "short.json")).encode(b"one's, two three") == WORDS.encode(b"one's, two three")
+
+
 @pytest.mark.parametrize("which", ["odd", "documents"])
 def test_pieces_and_places(request, which):
     docs = request.getfixturevalue(which)

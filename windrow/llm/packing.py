@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from windrow.llm.shared import as_bytes, checkpointed, mapped
-from windrow.llm.tokens import REMEMBERED, WordTokens
+from windrow.llm.tokens import REMEMBERED, tokens_of
 
 #: Tokens of a sequence.
 CAPACITY = 2048
@@ -67,7 +67,7 @@ def token_pieces(
     step, end = 4 * capacity, np.array([END_ID], "<u4").tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(tokenizer, remembered)
+        words = tokens_of(tokenizer, remembered)
         for batch in batches:
             at, starts, parts = [], [], []
             for i, data in enumerate(as_bytes(batch.column("text"))):

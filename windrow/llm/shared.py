@@ -38,8 +38,10 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """This application's own folder within that of ``spark.checkpoint.dir``."""
+    """This application's own folder within that of ``spark.checkpoint.dir``; a local session may name none."""
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("a cluster's session must name a folder that all executors share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints")
     return spark.sparkContext.getCheckpointDir()
 

@@ -1,7 +1,8 @@
-"""Token ids of whole texts under a public tokenizer of the word kind."""
+"""Token ids of whole texts under a public tokenizer, fast for one of the word kind."""
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 
@@ -12,6 +13,43 @@ _MARKS = b".,!?;:*&%$#|"
 #: Words that are remembered, before those of them go that have not come since as many others did.
 REMEMBERED = 300_000
 
+# How a tokenizer of the word kind cuts a text, in the terms of its file.
+_WORD_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORD_CUTS = [
+    {"type": "Split", "pattern": {"Regex": _WORD_PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
+def of_word_kind(path: str) -> bool:
+    """Whether a tokenizer file lower-cases, lets no token reach over white space, and cuts words as :class:`WordTokens` does."""
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    cuts, normal, model = told.get("pre_tokenizer") or {}, told.get("normalizer") or {}, told.get("model") or {}
+    return (
+        normal.get("normalizers") == _WORD_NORMALIZERS
+        and cuts.get("pretokenizers") == _WORD_CUTS
+        and model.get("type", "BPE") == "BPE"
+        and not model.get("dropout")
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"].split() != [t["content"]] for t in told.get("added_tokens") or [])
+    )
+
+
+def tokens_of(path: str, remembered: int = REMEMBERED) -> WordTokens | PlainTokens:
+    """What encodes texts as the tokenizer of this file does: word by word where its kind allows it."""
+    return WordTokens(path, remembered) if of_word_kind(path) else PlainTokens(path)
+
+
+class PlainTokens:
+    """Ids as bytes, by the tokenizer's own ``encode`` of the whole text."""
+
+    def __init__(self, path: str):
+        self.tokenizer = _tokenizer(path)
+
+    def encode(self, text: bytes) -> bytes:
+        return _packed(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids)
+
 
 class WordTokens(dict):
     """Ids as bytes (little-endian unsigned 32-bit), the same as of the tokenizer's own ``encode``.
@@ -20,14 +58,16 @@ class WordTokens(dict):
     its words, one after the other, and a word's ids are looked up once: this is the dictionary of
     words seen.  A new word made of plain letters and marks goes to the tokenizer's model in these
     two parts, as the tokenizer itself would cut it; every other word goes through the whole
-    tokenizer.
+    tokenizer.  A file of another kind is refused.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import pre_tokenizers
 
+        if not of_word_kind(path):
+            raise ValueError(f"{path} is no tokenizer of the word kind")
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
         # how the tokenizer spells the bytes of a letter beyond ASCII for its model
         spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
@@ -62,5 +102,15 @@ class WordTokens(dict):
         return ids
 
 
+def _tokenizer(path: str):
+    """The tokenizer of a file, without the cutting and padding that the file may ask for."""
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(path)
+    found.no_truncation()
+    found.no_padding()
+    return found
+
+
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)

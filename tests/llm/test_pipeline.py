@@ -10,7 +10,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline as pipeline
 from windrow.llm import quality
-from windrow.llm.shared import written
+from windrow.llm.shared import new_folder, written
+from windrow.session import names_in
 from tests.llm.test_mixing import brute_targets
 from tests.llm.test_simhash import brute_components, brute_mark
 
@@ -97,7 +98,10 @@ def test_pack(stages):
 
 
 def test_run(spark):
+    folder = new_folder(spark).rsplit("/", 1)[0]
+    before = [n for n in names_in(spark, folder) if n.startswith("table-")]
     found = pipeline.run(spark, FOLDER)
+    assert [n for n in names_in(spark, folder) if n.startswith("table-")] == before  # the stages' tables are gone
     assert found.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and not found.isEmpty()
 
 

@@ -32,11 +32,16 @@ def checkpointed(df: DataFrame, narrow: bool = False) -> DataFrame:
 
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the same folder: for whole documents, of which a reader wants some columns."""
-    path = f"{_shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A name of its own for a table in the same folder; who writes it may remove it (:func:`windrow.session.remove_folder`)."""
+    return f"{_shared_folder(spark)}/table-{uuid.uuid4().hex}"
+
+
 def _shared_folder(spark: SparkSession) -> str:
     """This application's own folder within that of ``spark.checkpoint.dir``; a local session may name none."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from windrow.llm import exact, mixing, packing, quality, simhash
-from windrow.llm.shared import checkpointed, table, written
+from windrow.llm.shared import checkpointed, new_folder, table
+from windrow.session import remove_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -61,8 +62,16 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``.  Each stage's rows are written to the shared folder, so that a
-    later one, or a lost executor, reads them again and does not make them again."""
-    docs = table(spark, sf_dir, "documents")
+    later one, or a lost executor, reads them again and does not make them again.  A stage's table is
+    removed when what the next one makes of it is written: no more than two copies of the corpus are there.
+    """
+    docs, read = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        folder = new_folder(spark)
+        stage(spark, docs, sf_dir).write.parquet(folder)
+        if read:
+            remove_folder(spark, read)
+        docs, read = spark.read.parquet(folder), folder
+    packed = checkpointed(STAGES[-1][1](spark, docs, sf_dir))  # narrow rows
+    remove_folder(spark, read)
+    return packed

@@ -150,7 +150,10 @@ ORACLE: dict[str, str] = {
           ON t.transaction_id = e.event_id
     """,
     "q_round_robin_balance": """
-        SELECT unnest([0, 1, 2])::INTEGER AS target, 33 AS percent, count(*) AS n_rows, TRUE AS balanced FROM lineitem
+        SELECT task::INTEGER AS task, target::INTEGER AS target, (n_task + 2 - (target + 21 - task) % 3) // 3 AS n
+        FROM (SELECT l_partkey % 7 AS task, count(*) AS n_task FROM lineitem GROUP BY ALL),
+             (SELECT unnest([0, 1, 2]) AS target)
+        WHERE n_task > (target + 21 - task) % 3
     """,
     "q_product_roundtrip": _sliding("product_id"),
     "q_late_rows": f"""

@@ -1,6 +1,9 @@
 """Streams over replayed files give what the batch form gives."""
 
+import json
 import os
+import subprocess
+import sys
 import time
 from datetime import datetime
 
@@ -286,10 +289,25 @@ def test_lifecycle_sink(spark, folder):
     assert sorted(n for n in notes if n.startswith("row")) == [f"row {i}" for i in range(6)]
 
 
-def test_printed_rows(spark, folder):
-    spark.range(2).coalesce(1).write.parquet(folder("in"))
-    query = drain(sinks.printed(table_stream(spark, folder("in"), spark.range(1).schema), folder("ck")))
-    assert query.exception() is None
+PRINTING = """
+import sys
+from windrow.session import local_session
+from windrow.sources.replay import table_stream
+from windrow.streaming import sinks
+spark = local_session(2, "printing")
+rows = spark.sql("SELECT id, IF(id = 2, NULL, concat('näme ', id)) AS name, CAST(id AS DECIMAL(5,2)) AS amount FROM range(3)")
+rows.repartition(3).write.parquet(sys.argv[1] + "/in")
+query = sinks.printed(table_stream(spark, sys.argv[1] + "/in", rows.schema), sys.argv[1] + "/ck").trigger(availableNow=True).start()
+query.awaitTermination()
+"""
+
+
+def test_printed_rows(folder):
+    done = subprocess.run([sys.executable, "-c", PRINTING, folder("")], capture_output=True, text=True, timeout=120, check=True, cwd=os.path.dirname(os.path.dirname(__file__)))
+    lines = [json.loads(line) for line in (done.stdout + done.stderr).splitlines() if line.startswith('{"id"')]
+    assert sorted(lines, key=lambda r: r["id"]) == [
+        {"id": 0, "name": "näme 0", "amount": 0.0}, {"id": 1, "name": "näme 1", "amount": 1.0}, {"id": 2, "name": None, "amount": 2.0}
+    ]
 
 
 def test_retail_job_over_a_topic_table(spark, small, folder):

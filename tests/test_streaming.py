@@ -386,7 +386,13 @@ def test_shared_folder_where_none_is_set():
     class Session:
         conf = Conf
 
+        class sparkContext:
+            master = "local[8]"
+
     assert shared_dir(Session) == "hdfs://store/warehouse"
+    Session.sparkContext.master = "yarn"  # a cluster's warehouse may be a folder of one machine
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Session)
 
 
 @pytest.mark.parametrize("policy, closed", [("min", 0), ("max", 2)])

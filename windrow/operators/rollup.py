@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from windrow.functions.money import shown, total
 from windrow.functions.times import shift
+from windrow.operators.totals import merged_totals
 from windrow.operators.windows import ROLLUP_WINDOWS, Windows, placed, with_bounds
 
 
@@ -27,3 +28,18 @@ def global_rollup(
         F.sum("tran_count").alias("tran_count"), shown(total("sum_amount")).alias("sum_amount")
     )
     return with_bounds(rolled, windows)
+
+
+def placed_rollup(totals: DataFrame, windows: Windows = ROLLUP_WINDOWS, ts: str = "ts") -> DataFrame:
+    """Per-key totals in the windows of the roll-up, as :func:`merged_rollup` takes them."""
+    rows = totals.select(placed(totals, windows, ts), "tran_count", F.col("sum_amount").alias("amount"))
+    return with_bounds(rows, windows)
+
+
+def merged_rollup(rows: DataFrame) -> DataFrame:
+    """One row for each window; amounts in the type in which they are summed."""
+    return merged_totals(rows.withColumnRenamed("tran_count", "n"), []).select("window_start", "window_end", F.col("n").alias("tran_count"), "amount")
+
+
+def shown_rollup(rows: DataFrame) -> DataFrame:
+    return rows.select("window_start", "window_end", "tran_count", shown("amount").alias("sum_amount"))

@@ -87,14 +87,19 @@ def fanned_stream(df: DataFrame, windows: Windows, keys: dict[str, str], amount:
     stateful aggregate, so the source is read once and there is one state.  Keys of all branches are as
     wide as BIGINT.
     """
-    branches = F.explode(F.array(*[F.struct(F.lit(name).alias("branch"), F.col(key).cast("bigint").alias("key")) for name, key in keys.items()]))
-    rows = df.select(ts, F.col(amount).alias("_amount"), branches.alias("_of")).select(ts, "_amount", "_of.branch", "_of.key")
+    rows = branched(df.withColumn("_amount", F.col(amount)), keys, [ts, "_amount"])
     totals = rows.groupBy(placed(rows, windows, ts), "branch", "key").agg(
         shown(total("_amount")).alias("sum_amount"), F.count(F.lit(1)).alias("tran_count")
     )
     return with_bounds(totals, windows)
 
 
+def branched(df: DataFrame, keys: dict[str, str], columns: Sequence[str]) -> DataFrame:
+    """The ``columns`` of each row once for each branch of ``keys``, with ``branch`` and ``key``."""
+    branches = F.explode(F.array(*[F.struct(F.lit(name).alias("branch"), F.col(key).cast("bigint").alias("key")) for name, key in keys.items()]))
+    return df.select(*columns, branches.alias("_of")).select(*columns, "_of.branch", "_of.key")
+
+
 def _last_instant(totals: DataFrame, windows: Windows) -> Column:
     if totals.isStreaming:
         return F.window_time("window")
@@ -110,6 +115,26 @@ def pair_totals(pairs: DataFrame, key: str, amount: Column | str) -> DataFrame:
     )
 
 
+def placed_totals(df: DataFrame, windows: Windows, keys: Sequence[str], amount: Column | str, ts: str = "ts") -> DataFrame:
+    """``window_start, window_end, *keys, amount, n``: each row as a total of its own in each of its windows."""
+    amount = F.col(amount) if isinstance(amount, str) else amount
+    rows = df.select(windows.of(ts).alias("window"), *keys, amount.alias("amount"), F.lit(1).cast("bigint").alias("n"))
+    return with_bounds(rows)
+
+
+def merged_totals(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row for each window and ``keys`` of such totals; amounts in the type in which they are summed."""
+    kind = totals.schema["amount"].dataType
+    wide = "double" if kind.simpleString() in ("float", "double") else f"decimal(38,{getattr(kind, 'scale', 0)})"
+    sums = totals.groupBy("window_start", "window_end", *keys).agg(total("amount").alias("amount"), F.sum("n").alias("n"))
+    return sums.withColumn("amount", F.col("amount").cast(wide))
+
+
+def shown_totals(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merged totals as results show them."""
+    return totals.select("window_start", "window_end", *keys, shown("amount").alias("sum_amount"), F.col("n").alias("tran_count"))
+
+
 def windowed_sums(
     df: DataFrame, windows: Windows, keys: Sequence[str], value: str, ts: str, name: str
 ) -> DataFrame:

@@ -8,9 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from windrow.functions.durations import micros
-from windrow.functions.money import shown, total
 from windrow.functions.times import shift
 from windrow.operators.lateness import flag_late, flag_late_pairs
+from windrow.operators.totals import merged_totals, shown_totals
 from windrow.operators.windows import RETAIL_DELAY, RETAIL_WINDOWS, Windows, with_bounds
 from windrow.session import names_in, remove_folder
 
@@ -88,9 +88,9 @@ def pair_split(
             try:
                 late(with_bounds(pairs.where("late").drop("late")), batch_id)
                 fresh = with_bounds(pairs.where(~F.col("late")).select("window", key, amount))
-                partial = _merged(fresh.select("window_start", "window_end", key, F.col(amount).alias("amount"), F.lit(1).cast("bigint").alias("n")), key)
+                partial = merged_totals(fresh.select("window_start", "window_end", key, F.col(amount).alias("amount"), F.lit(1).cast("bigint").alias("n")), [key])
                 if (before_id := _last(spark, folder, below=batch_id)) is not None:
-                    partial = _merged(partial.unionByName(_open(spark, folder, before_id, partial)), key)
+                    partial = merged_totals(partial.unionByName(_open(spark, folder, before_id, partial)), [key])
                 # one number: how far the slowest source has come that is not idle; if all are, the fastest one
                 awake = F.lit(True) if idle is None else F.col("heard") > F.lit(clock() - micros(idle) / 1e6)
                 slowest, fastest = F.min(F.when(awake, F.col(ts))), F.max(ts)
@@ -120,15 +120,7 @@ def open_totals(spark: SparkSession, folder: str) -> DataFrame | None:
 
 def summed(totals: DataFrame, key: str) -> DataFrame:
     """``window_start, window_end, key, sum_amount, tran_count``: one row for each window and key of ``totals``."""
-    merged = _merged(totals, key)
-    return merged.select("window_start", "window_end", key, shown("amount").alias("sum_amount"), F.col("n").alias("tran_count"))
-
-
-def _merged(totals: DataFrame, key: str) -> DataFrame:
-    kind = totals.schema["amount"].dataType
-    wide = "double" if kind.simpleString() in ("float", "double") else f"decimal(38,{getattr(kind, 'scale', 0)})"
-    sums = totals.groupBy("window_start", "window_end", key).agg(total("amount").alias("amount"), F.sum("n").alias("n"))
-    return sums.withColumn("amount", F.col("amount").cast(wide))
+    return shown_totals(merged_totals(totals, [key]), [key])
 
 
 def _seen_before(batch: DataFrame, batch_id: int, folder: str, source: str, ts: str, now: float = 0.0) -> tuple[DataFrame | None, DataFrame]:

@@ -7,7 +7,7 @@ checkpointed, and the folder removed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,7 +16,8 @@ from pyspark.sql.types import StructField, StructType, TimestampType
 
 from windrow.functions.text import explode_lines
 from windrow.functions.times import epoch_micros
-from windrow.operators.totals import fanned_stream
+from windrow.operators.rollup import merged_rollup, placed_rollup, shown_rollup, window_time
+from windrow.operators.totals import branched, merged_totals, placed_totals, shown_totals
 from windrow.operators.windows import NO_DELAY, RETAIL_DELAY, WORD_WINDOWS
 from windrow.plans import names, readings, retail, words
 from windrow.plans.catalog import ARRIVAL_ORDER, DAYS, LATE_WINDOWS, MONTHS, NAMES, ROLLUP, SALES_WINDOWS, STAGGER, published
@@ -24,46 +25,68 @@ from windrow.schemas import BY_STORE, TOPIC_RECORD
 from windrow.session import date_in_order, pin_utc, remove_folder, shared_dir, stream_settings
 from windrow.sources import tables
 from windrow.sources.offsets import record_stream
-from windrow.sources.records import decode_transactions, encode_by_store
+from windrow.sources.records import decode_by_store, decode_transactions, encode_by_store
 from windrow.sources.replay import event_time, table_stream
 from windrow.streaming import jobs, sinks
+from windrow.streaming.closing import closing, once
 from windrow.streaming.late import open_totals, summed
 from windrow.streaming.reduce import halved_stream
 from windrow.streaming.runs import append_end_marker, append_end_record, drain
 from windrow.streaming.stagger import staggered_totals
 from windrow.streaming.transactional import committed, transactional
 
-# Files, and so batches, that a table is replayed in at least, the rows of a file on average at most, and
-# the files of a batch at most.
-LEAST_FILES, FILE_ROWS, BATCH_FILES = 4, 2_000_000, 32
+# Files, and so batches, that a table is replayed in at least, the rows of a file on average at most, the bytes of
+# its texts, and the files of a batch at most.  A file is read by one task.
+LEAST_FILES, FILE_ROWS, FILE_BYTES, BATCH_FILES = 4, 250_000, 16_000_000, 64
 
 
 def store_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Totals of the windows a stream over the sales has closed by their end."""
-    run = _Run(spark)
-    sales = run.stream(_view(spark, folder, "lineitem", tables.sales), epoch_micros("ts"))
-    return run.emitted(retail.store_totals(event_time(sales, "ts", RETAIL_DELAY), SALES_WINDOWS))
+    run, kind = _store_totals(spark, folder, flush=False)
+    return run.ended(f"{run.folder}/out", kind)
 
 
 def flushed_store_totals(spark: SparkSession, folder: str) -> DataFrame:
     """The same, and after the end marker those of the windows that were still open: all there are."""
-    run = _Run(spark)
-    view = _view(spark, folder, "lineitem", tables.sales)
-    sales = run.stream(view, epoch_micros("ts"))
-    totals = retail.store_totals(event_time(sales, "ts", RETAIL_DELAY), SALES_WINDOWS)
-    return run.emitted(totals, lambda: append_end_marker(sales, run.input))
+    run, kind = _store_totals(spark, folder)
+    return run.ended(f"{run.folder}/out", kind)
+
+
+def _store_totals(spark: SparkSession, folder: str, flush: bool = True) -> tuple[_Run, StructType]:
+    """A run that has written the store totals of closed windows, and their layout."""
+    run, key = _Run(spark), ["store_id"]
+    sales = run.stream(_view(spark, folder, "lineitem", tables.sales), epoch_micros("ts"))
+    kind = run.closes(
+        sales,
+        lambda df: placed_totals(df, SALES_WINDOWS, key, "price"),
+        lambda df: merged_totals(df, key),
+        lambda df: shown_totals(df, key),
+        RETAIL_DELAY,
+        (lambda: append_end_marker(sales, run.input)) if flush else None,
+    )
+    return run, kind
 
 
 def rollup(spark: SparkSession, folder: str) -> DataFrame:
     """The roll-up of per-store totals that come through a topic, each of them twice."""
     run = _Run(spark)
     totals = retail.amount_totals(_view(spark, folder, "lineitem", tables.sales), SALES_WINDOWS, "store_id", "price", exact=True)
+    totals.write.parquet(f"{run.folder}/totals")  # the layout reads them more than once
+    totals = spark.read.schema(totals.schema).parquet(f"{run.folder}/totals")
     records = encode_by_store(totals).select("key", F.lit(0).alias("partition"), F.current_timestamp().alias("timestamp"), "value")
     order = F.element_at(F.split("key", "@"), 2).cast("bigint")  # the window that the key names
     twice = records.unionByName(records)
     topic = run.stream(twice, order, TOPIC_RECORD)
-    rolled = retail.rollup_of_records(topic, ROLLUP, delay="20 days", repeats=True, amount="decimal(28,2)")
-    return run.emitted(rolled, lambda: append_end_record(spark, run.input, BY_STORE, ["windowStart", "windowEnd"]))
+    kind = run.closes(
+        window_time(decode_by_store(topic, "decimal(28,2)")),
+        lambda df: placed_rollup(df, ROLLUP),
+        merged_rollup,
+        shown_rollup,
+        "20 days",
+        lambda: append_end_record(spark, run.input, BY_STORE, ["windowStart", "windowEnd"]),
+        repeats=["store_id", "window_start", "window_end"],
+    )
+    return run.ended(f"{run.folder}/out", kind)
 
 
 def late_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -94,8 +117,9 @@ def name_sums(spark: SparkSession, folder: str) -> DataFrame:
 def word_totals(spark: SparkSession, folder: str) -> DataFrame:
     run = _Run(spark)
     texts = run.stream(_view(spark, folder, "documents", tables.texts).select("ts", "text"), epoch_micros("ts"))
-    lines = explode_lines(event_time(texts, "ts", NO_DELAY))
-    return run.emitted(words.word_totals(lines, WORD_WINDOWS), lambda: append_end_marker(texts, run.input))
+    placed = lambda df: words.placed_words(explode_lines(df), WORD_WINDOWS)
+    kind = run.closes(texts, placed, words.merged_words, lambda df: df, NO_DELAY, lambda: append_end_marker(texts, run.input))
+    return run.ended(f"{run.folder}/out", kind)
 
 
 def halved_readings(spark: SparkSession, folder: str) -> DataFrame:
@@ -132,16 +156,29 @@ def late_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def fanout_totals(spark: SparkSession, folder: str) -> DataFrame:
-    """Store and product totals, by one query with one read and one state, as two outputs."""
+    """Store and product totals, by one query with one read and one table of open windows, as two outputs."""
     run = _Run(spark)
     sales = run.stream(_view(spark, folder, "lineitem", tables.sales), epoch_micros("ts"))
-    keys = {"store_id": "store_id", "product_id": "product_id"}
-    totals = fanned_stream(event_time(sales, "ts", RETAIL_DELAY), SALES_WINDOWS, keys, "price")
-    writer = sinks.batches(totals, sinks.by_branch({k: sinks.batch_folder(f"{run.folder}/{k}") for k in keys}), f"{run.folder}/checkpoint")
-    run.to_the_end(writer, lambda: append_end_marker(sales, run.input))
-    plain = totals.drop("branch").schema
-    outputs = [_batches(spark, f"{run.folder}/{k}", plain).withColumn("branch", F.lit(k)) for k in keys]
-    return run.closed(outputs[0].unionByName(outputs[1]))
+    branches, key = {"store_id": "store_id", "product_id": "product_id"}, ["branch", "key"]
+    outputs = {k: sinks.batch_folder(f"{run.folder}/{k}") for k in branches}
+
+    def emit(totals: DataFrame, batch_id: int) -> None:
+        # each branch is summed up for its own output, so nothing is held
+        for name, body in outputs.items():
+            body(totals.where(F.col("branch") == name).drop("branch"), batch_id)
+
+    kind = run.closes(
+        sales,
+        lambda df: placed_totals(branched(df, branches, ["ts", "price"]), SALES_WINDOWS, key, "price"),
+        lambda df: merged_totals(df, key),
+        lambda df: shown_totals(df, key),
+        RETAIL_DELAY,
+        lambda: append_end_marker(sales, run.input),
+        emit=emit,
+    )
+    plain = StructType([f for f in kind if f.name != "branch"])
+    found = [_batches(spark, f"{run.folder}/{k}", plain).withColumn("branch", F.lit(k)) for k in branches]
+    return run.closed(found[0].unionByName(found[1]))
 
 
 def from_offsets(spark: SparkSession, folder: str) -> DataFrame:
@@ -159,12 +196,12 @@ def from_offsets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def published_once(spark: SparkSession, folder: str) -> DataFrame:
-    """Store totals through the sink of two phases, as its readers see them."""
-    run = _Run(spark)
-    sales = run.stream(_view(spark, folder, "lineitem", tables.sales), epoch_micros("ts"))
-    totals = retail.store_totals(event_time(sales, "ts", RETAIL_DELAY), SALES_WINDOWS)
-    run.to_the_end(transactional(totals, f"{run.folder}/out", f"{run.folder}/checkpoint"), lambda: append_end_marker(sales, run.input))
-    return run.closed(committed(spark, f"{run.folder}/out", totals.schema))
+    """Store totals through the sink of two phases, as its readers see them: a second query takes there what the
+    first has written."""
+    run, kind = _store_totals(spark, folder)
+    totals = table_stream(spark, f"{run.folder}/out", kind, BATCH_FILES).select(kind.fieldNames())
+    run.to_the_end(transactional(totals, f"{run.folder}/published", f"{run.folder}/published-checkpoint"))
+    return run.closed(committed(spark, f"{run.folder}/published", kind))
 
 
 def halved_long(spark: SparkSession, folder: str) -> DataFrame:
@@ -231,13 +268,36 @@ class _Run:
         rows = rows.select(
             *[F.col(f.name).cast("timestamp") if f.dataType.simpleString() == "timestamp_ntz" else F.col(f.name) for f in rows.schema]
         )
-        files = max(LEAST_FILES, -(-rows.count() // FILE_ROWS))
+        texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in rows.schema if f.dataType.simpleString() in ("string", "binary")]
+        count, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(texts, F.lit(0)).cast("bigint")), F.lit(0))).first()
+        files = max(LEAST_FILES, -(-count // FILE_ROWS), -(-size // FILE_BYTES))
         minor = F.xxhash64(*rows.columns) if then is None else then
         rows.repartitionByRange(files, order.asc_nulls_first(), minor).write.parquet(self.input)
         date_in_order(self.spark, self.input)
         per_batch = min(BATCH_FILES, files // LEAST_FILES)
         return table_stream(self.spark, self.input, schema or rows.schema, per_batch)
 
+    def closes(
+        self,
+        rows: DataFrame,
+        parts: Callable[[DataFrame], DataFrame],
+        merged: Callable[[DataFrame], DataFrame],
+        shown: Callable[[DataFrame], DataFrame],
+        delay: str,
+        end: Callable[[], None] | None = None,
+        repeats: Sequence[str] | None = None,
+        emit: Callable[[DataFrame, int], None] | None = None,
+    ) -> StructType:
+        """Has the totals of windows go to ``emit``, or to the folder ``out``, as they are closed, see
+        :func:`windrow.streaming.closing.closing`; returns their layout.  Rows that come again with the same
+        ``repeats`` count once."""
+        sink = emit or sinks.batch_folder(f"{self.folder}/out")
+        body = closing(f"{self.folder}/open", lambda totals, i: sink(shown(totals), i), parts, merged, delay)
+        if repeats is not None:
+            body = once(f"{self.folder}/seen", body, repeats, delay)
+        self.to_the_end(sinks.batches(rows, body, f"{self.folder}/checkpoint"), end)
+        return shown(merged(parts(rows))).schema
+
     def emitted(self, result: DataFrame, end: Callable[[], None] | None = None) -> DataFrame:
         """What the stream has emitted at the end of its input, and of what ``end`` adds to it."""
         self.to_the_end(sinks.files(result, f"{self.folder}/out", f"{self.folder}/checkpoint"), end)

@@ -134,6 +134,25 @@ def test_no_entry_of_the_state_is_longer_than_a_run(spark, folder):
     assert max(sizes) <= 64 and 1000 <= sum(sizes) <= 1000 + 200 + 128
 
 
+def test_rows_of_the_state_are_packed_and_rows_without_a_tiebreak_come_first(spark, folder):
+    schema = spark.createDataFrame([], READINGS).schema
+    batches = [[(at(b * 10), "hot", float(i), None if i == 7 else b * 100 + 2**60 + i) for i in range(20)] for b in range(2)]
+    stream_of = lambda: halved_stream(event_time(table_stream(spark, folder("in"), schema), "ts", "1 second"), Windows("1 hour"), run_rows=4)
+    lay_out(spark, batches, schema, folder("in"))
+    with stream_settings(spark):
+        drain(sinks.files(stream_of(), folder("out"), folder("ck")))
+        state = spark.read.format("statestore").option("stateVarName", "rows").load(folder("ck"))
+        assert state.selectExpr("user_map_value.rows").dtypes[0][1] == "array<binary>"
+        append_end_marker(table_stream(spark, folder("in"), schema), folder("in"))
+        drain(sinks.files(stream_of(), folder("out"), folder("ck")))
+    (row,) = spark.read.parquet(folder("out")).collect()
+    want = None
+    for b in range(2):
+        for x in [7.0, *(float(i) for i in range(20) if i != 7)]:
+            want = x if want is None else (want + x) / 2
+    assert row.n == 40 and row.temperature == pytest.approx(want, rel=1e-15)
+
+
 ARRIVALS = "row_id bigint, ts timestamp, key string, price decimal(18,2), source_partition int, arrival bigint"
 PAIRS = Windows("20 seconds", "10 seconds")
 

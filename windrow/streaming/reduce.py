@@ -23,7 +23,7 @@ from windrow.functions.times import epoch_micros, from_epoch_micros
 from windrow.operators.ordered import RUN
 from windrow.operators.windows import READING_WINDOWS, Windows
 
-#: Rows of one group in order: time, tiebreak, then the values to reduce; None for a null.
+#: Rows of one group in order: time, tiebreak (the least of numbers for a null), then the values to reduce; None for a null.
 Rows = list[tuple]
 State = tuple[Any, ...]
 
@@ -68,8 +68,11 @@ class OrderedRuns(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        row = f"at long, tie long, {self.values}"
-        self.rows: MapState = handle.getMapState("rows", "start long, kind int, place int", f"rows array<struct<{_struct(row)}>>")
+        kinds = [c.split()[1] for c in self.values.split(",")]
+        columns = [(n, "<i8" if kind == "bigint" else "<f8") for n, kind in zip(self.names, kinds, strict=True)]
+        # a row of the state is its bytes: the client of the state looks at every value it is given
+        self.layout = np.dtype([("at", "<i8"), ("tie", "<i8"), *columns, *[(f"no_{n}", "?") for n in self.names]])
+        self.rows: MapState = handle.getMapState("rows", "start long, kind int, place int", "rows array<binary>")
         kept = f"waiting int, newest int, in_part int, part struct<{_struct(self.state)}>, whole struct<{_struct(self.state)}>"
         self.sums: MapState = handle.getMapState("sums", "start long", kept)
 
@@ -77,23 +80,24 @@ class OrderedRuns(StatefulProcessor):
         now = 1000 * timerValues.getCurrentProcessingTimeInMs()
         # by the clock nothing waits: all rows of a batch come at one time, and later ones later
         passed = now + 1 if self.by_clock else 1000 * timerValues.getCurrentWatermarkInMs()
-        fresh: dict[int, Rows] = {}
+        came: list[np.ndarray] = []
         for batch in rows:
-            at = np.full(len(batch), now) if self.by_clock else batch["at"].to_numpy(np.int64)
-            starts = at - (at - self.offset) % self.size
-            missing = [batch[f"no_{c}"].to_numpy(bool) for c in self.names]
-            held = [[None if no else v for v, no in zip(batch[c].tolist(), none)] for c, none in zip(self.names, missing)]
-            for start, row in zip(starts.tolist(), zip(at.tolist(), batch["tie"].tolist(), *held)):
-                if self.by_clock or row[0] >= passed:
-                    fresh.setdefault(start, []).append(row)
-        for start, more in fresh.items():
+            packed = np.empty(len(batch), self.layout)
+            for name in self.layout.names:
+                packed[name] = now if name == "at" and self.by_clock else batch[name].to_numpy()
+            came.append(packed if self.by_clock else packed[packed["at"] >= passed])
+        fresh = np.concatenate(came) if came else np.empty(0, self.layout)
+        starts = fresh["at"] - (fresh["at"] - self.offset) % self.size
+        order = np.argsort(starts, kind="stable")
+        found, first = np.unique(starts[order], return_index=True)
+        for start, places in zip(found.tolist(), np.split(order, first[1:])):
             if self.sums.getValue((start,)) is None:
                 self.handle.registerTimer(self._closes(start))
                 self.sums.updateValue((start,), (0, 0, 0, None, None))
             waiting, newest, sums = self._load(start)
-            waiting = sorted(waiting + more, key=lambda r: r[:2])
-            ready = next((i for i, r in enumerate(waiting) if r[0] >= passed), len(waiting))
-            newest = self._reduce(newest + waiting[:ready], sums)
+            waiting = _ordered(np.concatenate([waiting, fresh[places]]))
+            ready = int(np.searchsorted(waiting["at"], passed))
+            newest = self._reduce(np.concatenate([newest, waiting[:ready]]), sums)
             self._store(start, waiting[ready:], newest, sums)
         return iter(())
 
@@ -101,36 +105,45 @@ class OrderedRuns(StatefulProcessor):
         out = []
         for (start,) in [k for k in self.sums.keys() if self._closes(k[0]) == expiredTimerInfo.getExpiryTimeInMs()]:
             waiting, newest, sums = self._load(start)
-            newest = self._reduce(newest + sorted(waiting, key=lambda r: r[:2]), sums)
-            sums.add(self.run(newest), self.merge, self.run_rows)
+            newest = self._reduce(np.concatenate([newest, _ordered(waiting)]), sums)
+            sums.add(self.run(self._unpacked(newest)), self.merge, self.run_rows)
             out.append((key[0], start, *sums.result(self.merge)))
-            self._store(start, [], [], None)
+            none = np.empty(0, self.layout)
+            self._store(start, none, none, None)
         # missing values stay None and not NaN
         return iter([pd.DataFrame(out, dtype=object)]) if out else iter(())
 
     def _closes(self, start: int) -> int:
         return -(-(start + self.size) // 1000)
 
-    def _reduce(self, newest: Rows, sums: Reduced) -> Rows:
+    def _unpacked(self, packed: np.ndarray) -> Rows:
+        held = [[None if no else v for v, no in zip(packed[n].tolist(), packed[f"no_{n}"].tolist())] for n in self.names]
+        return list(zip(packed["at"].tolist(), packed["tie"].tolist(), *held))
+
+    def _reduce(self, newest: np.ndarray, sums: Reduced) -> np.ndarray:
         """Reduces the older runs of ``newest`` and leaves the newest one, of less than two runs' rows."""
         done = 0
         while len(newest) - done >= 2 * self.run_rows:
-            sums.add(self.run(newest[done : done + self.run_rows]), self.merge, self.run_rows)
+            sums.add(self.run(self._unpacked(newest[done : done + self.run_rows])), self.merge, self.run_rows)
             done += self.run_rows
         return newest[done:]
 
-    def _load(self, start: int) -> tuple[Rows, Rows, Reduced]:
+    def _load(self, start: int) -> tuple[np.ndarray, np.ndarray, Reduced]:
         n_waiting, n_newest, in_part, part, whole = self.sums.getValue((start,))
-        waiting, newest = ([tuple(r) for i in range(n) for r in self.rows.getValue((start, kind, i))[0]] for kind, n in ((_WAITING, n_waiting), (_NEWEST, n_newest)))
+        waiting, newest = (
+            np.frombuffer(b"".join([r for i in range(n) for r in self.rows.getValue((start, kind, i))[0]]), self.layout)
+            for kind, n in ((_WAITING, n_waiting), (_NEWEST, n_newest))
+        )
         return waiting, newest, Reduced(None if part is None else tuple(part), in_part, None if whole is None else tuple(whole))
 
-    def _store(self, start: int, waiting: Rows, newest: Rows, sums: Reduced | None) -> None:
+    def _store(self, start: int, waiting: np.ndarray, newest: np.ndarray, sums: Reduced | None) -> None:
         before = self.sums.getValue((start,))
         counts = []
         for kind, rows in ((_WAITING, waiting), (_NEWEST, newest)):
             entries = range(0, len(rows), self.run_rows)
             for place, first in enumerate(entries):
-                self.rows.updateValue((start, kind, place), (rows[first : first + self.run_rows],))
+                data, width = rows[first : first + self.run_rows].tobytes(), self.layout.itemsize
+                self.rows.updateValue((start, kind, place), ([data[i : i + width] for i in range(0, len(data), width)],))
             for place in range(len(entries), before[kind]):
                 self.rows.removeKey((start, kind, place))
             counts.append(len(entries))
@@ -140,6 +153,10 @@ class OrderedRuns(StatefulProcessor):
             self.sums.updateValue((start,), (*counts, sums.in_part, sums.part, sums.whole))
 
 
+def _ordered(packed: np.ndarray) -> np.ndarray:
+    return packed[np.lexsort((packed["tie"], packed["at"]))]
+
+
 def _struct(columns: str) -> str:
     return ", ".join(f"{name}: {kind}" for name, kind in (c.split() for c in columns.split(",")))
 
@@ -178,7 +195,7 @@ def reduced_stream(
     # keys go as text, for a null would not equal another one in Python
     name = F.to_json(F.struct(F.col(key).alias("key"))).alias("name")
     timed = df if by_clock else df.filter(F.col(ts).isNotNull())
-    rows = timed.select(name, (F.lit(0).cast("long") if by_clock else epoch_micros(ts)).alias("at"), F.col(tiebreak).cast("long").alias("tie"), *columns)
+    rows = timed.select(name, (F.lit(0).cast("long") if by_clock else epoch_micros(ts)).alias("at"), F.coalesce(F.col(tiebreak).cast("long"), F.lit(-(2**63))).alias("tie"), *columns)
     typed = ", ".join(f"{n} {kind}" for n, kind in kinds)
     runs = OrderedRuns(micros(windows.size), micros(windows.offset), run, merge, typed, state, [n for n, _ in kinds], run_rows, by_clock)
     out = f"name string, start long, {state}"

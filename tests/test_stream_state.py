@@ -18,7 +18,7 @@ from windrow.operators.lateness import flag_late_pairs
 from windrow.operators.stagger import staggered
 from windrow.operators.totals import pair_totals
 from windrow.operators.windows import Windows, with_bounds
-from windrow.session import date_in_order, stream_settings
+from windrow.session import date_in_order, remove_folder, stream_settings
 from windrow.sources.replay import event_time, table_stream
 from windrow.streaming import jobs, replayed, sinks
 from windrow.streaming.late import open_totals, summed
@@ -35,6 +35,13 @@ def folder(tmp_path):
     return lambda name: str(tmp_path / name)
 
 
+@pytest.fixture(autouse=True, scope="module")
+def replays_removed(spark, shared):
+    """The layout is tested on a run that never ends; other modules look for folders that are left."""
+    yield
+    remove_folder(spark, f"{shared}/replays")
+
+
 def at(seconds):
     return START + timedelta(seconds=seconds)
 
